@@ -270,24 +270,19 @@ def _write_version(store, spec, changes, live, head, options, record) -> dict[st
     if len(live) >= options.compact_after:
         touched = live
 
-    columns = ["id", *spec.target_columns]
-    fresh = inserts
-    if options.narrow_inserts:
-        fresh = narrow_decimals(inserts, spec.narrow)
+    fresh = narrow_decimals(inserts, spec.narrow) if options.narrow_inserts else inserts
     start = head.counters.get(TARGET, 0) if head else 0
-    target = assign_ids(fresh, keys, start=start).select(*columns)
-    state = project_state(changes, keys)
+    fresh = pad_columns(assign_ids(fresh, keys, start=start), {"id": "bigint"} | spec.target_columns)
+    target, state = [fresh], [project_state(changes, keys)]
     if touched:
         old = store.read_segments(TARGET, touched).drop(SEGMENT)
         update_columns = spec.update_columns
         if options.preserve_created:
             update_columns = [c for c in update_columns if c not in CREATED_COLUMNS]
-        target = apply_updates(old, updates, keys, update_columns).unionByName(align(target, old))
+        target = [apply_updates(old, updates, keys, update_columns), align(fresh, old)]
         old_state = store.read_segments(STATE, touched).drop(SEGMENT)
-        state = old_state.join(updates.select(*keys), keys, "left_anti").unionByName(state)
-    else:
-        target = pad_columns(target, {"id": "bigint"} | spec.target_columns)
-    segment = store.write_segment(TARGET, target)
-    store.write_segment(STATE, state, segment)
+        state = [old_state.join(updates.select(*keys), keys, "left_anti"), *state]
+    segment = store.write_segment(TARGET, *target)
+    store.write_segment(STATE, *state, segment=segment)
     kept = [s for s in live if s not in set(touched)] + [segment]
     return {TARGET: kept, STATE: kept}

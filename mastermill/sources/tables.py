@@ -67,7 +67,9 @@ class SnapshotStore:
     rows rewrites just the segments that hold them.
 
     With ``buckets``, segments of tables that have bucket keys are clustered by these keys into that many
-    buckets, and reads keep the clustering, so joins on the keys do not shuffle the stored side.
+    buckets, and reads keep the clustering, so joins on the keys do not shuffle the stored side. Take the
+    number of shuffle partitions: then the rows of an extract, shuffled once for their de-duplication, meet
+    the stored rows without another exchange.
     One writer per root at a time.
     """
 
@@ -126,22 +128,32 @@ class SnapshotStore:
         at = at or self.head()
         return list(at.tables.get(table, ())) if at else []
 
-    def write_segment(self, table: str, df: DataFrame, segment: str | None = None) -> str:
-        """Write a new, still invisible segment and return its id."""
+    def write_segment(self, table: str, *parts: DataFrame, segment: str | None = None) -> str:
+        """Write the union of ``parts`` as a new, still invisible segment and return its id.
+
+        Each part of a bucketed table is clustered on its own: Spark leaves the shuffle out for a part that
+        comes from a join on the bucket keys, so only the new rows move.
+        """
         segment = segment or f"s{uuid.uuid4().hex}"
         location = f"{self.root}/{table}/{SEGMENT}={segment}"
-        df = df.drop(SEGMENT)
         keys = self.bucket_keys.get(table)
-        if self.buckets and keys:
-            name = f"mastermill_{uuid.uuid4().hex}"
-            clustered = df.repartition(self.buckets, *keys)
-            writer = clustered.write.format("parquet").bucketBy(self.buckets, *keys).sortBy(*keys)
-            writer.option("path", location).saveAsTable(name)
-            self.spark.sql(f"DROP TABLE {name}")
-        else:
-            df.write.mode("error").parquet(location)
+        if not (self.buckets and keys):
+            self._union(parts).write.mode("error").parquet(location)
+            return segment
+        name = f"mastermill_{uuid.uuid4().hex}"
+        clustered = self._union([p.repartition(self.buckets, *keys) for p in parts])
+        writer = clustered.write.format("parquet").bucketBy(self.buckets, *keys).sortBy(*keys)
+        writer.option("path", location).saveAsTable(name)
+        self.spark.sql(f"DROP TABLE {name}")
         return segment
 
+    @staticmethod
+    def _union(parts: Sequence[DataFrame]) -> DataFrame:
+        first, *rest = [p.drop(SEGMENT) for p in parts]
+        for part in rest:
+            first = first.unionByName(part)
+        return first
+
     def read_segments(self, table: str, segments: Iterable[str]) -> DataFrame | None:
         """The rows of the given segments with their ``segment`` id."""
         segments = list(segments)
