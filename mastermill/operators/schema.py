@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping, Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..spec import AUDIT_COLUMNS
 
@@ -20,12 +21,31 @@ def lower_names(df: DataFrame) -> DataFrame:
     return df.toDF(*lowered)
 
 
+def parse_int(text: Column) -> Column:
+    """An integer from text; a decimal fraction is cut off (``"7.50"`` is 7), anything else unreadable is null.
+
+    The pattern is only tried on text that is not a plain integer.
+    """
+    whole = text.try_cast("int")
+    fraction = F.when(text.rlike(r"^\s*[+-]?\d+\.\d*\s*$"), F.substring_index(text, ".", 1).try_cast("int"))
+    return F.coalesce(whole, fraction)
+
+
 def conform(df: DataFrame, schema: Mapping[str, str]) -> DataFrame:
     """Cast the columns named in ``schema`` in one projection; unreadable values become null.
 
     Columns outside the schema pass through, missing ones are not added.
     """
-    return df.select(*[F.col(f"`{c}`").try_cast(schema[c]).alias(c) if c in schema else F.col(f"`{c}`") for c in df.columns])
+
+    def typed(field: T.StructField) -> Column:
+        column = F.col(f"`{field.name}`")
+        if field.name not in schema:
+            return column
+        if schema[field.name] == "int" and isinstance(field.dataType, T.StringType):
+            return parse_int(column).alias(field.name)
+        return column.try_cast(schema[field.name]).alias(field.name)
+
+    return df.select(*[typed(f) for f in df.schema.fields])
 
 
 def pad_columns(df: DataFrame, schema: Mapping[str, str]) -> DataFrame:

@@ -86,6 +86,7 @@ RAW_ORDERS = {
     "O_ORDERKEY": "CAST(o_orderkey AS VARCHAR(40))",
     "O_TOTALPRICE": "CASE WHEN o_orderstatus = 'P' THEN 'N/A' ELSE CAST(CAST(o_totalprice AS DECIMAL(16,2)) AS VARCHAR(40)) END",
     "O_CUSTKEY": "CASE WHEN o_orderpriority = '5-LOW' THEN '12x' ELSE CAST(o_custkey AS VARCHAR(40)) END",
+    "QUANTITY": "CAST(CAST(o_totalprice AS DECIMAL(16,2)) AS VARCHAR(40))",
     "EXTRA": "o_orderpriority",
 }
 
@@ -94,13 +95,14 @@ RAW_ORDERS = {
     f"""
     WITH raw AS (SELECT {picked(RAW_ORDERS)} FROM orders)
     SELECT TRY_CAST(O_ORDERKEY AS BIGINT) AS o_orderkey, TRY_CAST(O_TOTALPRICE AS DECIMAL(16,6)) AS o_totalprice,
-           TRY_CAST(O_CUSTKEY AS INTEGER) AS o_custkey, EXTRA AS extra
+           TRY_CAST(O_CUSTKEY AS INTEGER) AS o_custkey, trunc(CAST(QUANTITY AS DECIMAL(16,2)))::INTEGER AS quantity,
+           EXTRA AS extra
     FROM raw
     """
 )
 def conform_types(spark: SparkSession, sf: str) -> DataFrame:
     raw = table(spark, sf, "orders").selectExpr(*[f"{e} AS {n}" for n, e in RAW_ORDERS.items()])
-    schema = {"o_orderkey": "bigint", "o_totalprice": "decimal(16,6)", "o_custkey": "int", "absent": "int"}
+    schema = {"o_orderkey": "bigint", "o_totalprice": "decimal(16,6)", "o_custkey": "int", "quantity": "int", "absent": "int"}
     return conform(lower_names(raw), schema)
 
 
