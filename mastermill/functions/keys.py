@@ -10,41 +10,41 @@ from pyspark.sql import types as T
 
 from ..spec import AUDIT_DATES
 
-FIELD_SEPARATOR = "\u001f"
-NULL_TOKEN = "\u0000"
-
 
 def business_key(keys: Sequence[str]) -> Column:
     """The key columns joined without a separator; for display and export, never for joins."""
     return F.concat_ws("", *[F.col(k).cast("string") for k in keys])
 
 
+def _marked(text: str) -> str:
+    return f"coalesce({text}, chr(0))"
+
+
 def key_text(keys: Sequence[str]) -> Column:
     """The key columns as one unambiguous string."""
-    return F.concat_ws(FIELD_SEPARATOR, *[F.coalesce(F.col(k).cast("string"), F.lit(NULL_TOKEN)) for k in keys])
+    return F.expr(f"concat_ws(chr(31), {', '.join(_marked(f'CAST(`{k}` AS STRING)') for k in keys)})")
 
 
-def canonical_text(field: T.StructField) -> Column:
-    """A column as a string that does not depend on the session time zone."""
-    column = F.col(f"`{field.name}`")
+def canonical_text(field: T.StructField) -> str:
+    """SQL for a column as a string that does not depend on the session time zone."""
     if isinstance(field.dataType, T.TimestampType):
-        return F.unix_micros(column).cast("string")
-    return column.cast("string")
+        return f"CAST(unix_micros(`{field.name}`) AS STRING)"
+    return f"CAST(`{field.name}` AS STRING)"
 
 
 def row_text(df: DataFrame, exclude: Iterable[str] = AUDIT_DATES, legacy: bool = False) -> Column:
     """All columns but ``exclude`` as one string.
 
-    The default sorts the columns by name, separates the fields and marks nulls, so column order, shifted
-    field borders and null against empty cannot make two different rows look equal. ``legacy`` keeps the
-    frame's column order, uses no separator and skips nulls.
+    The default sorts the columns by name, separates the fields with U+001F and marks nulls with U+0000, so
+    column order, shifted field borders and null against empty cannot make two different rows look equal.
+    ``legacy`` keeps the frame's column order, uses no separator and skips nulls.
     """
     skip = set(exclude)
     fields = [f for f in df.schema.fields if f.name not in skip]
     if legacy:
-        return F.concat_ws("", *[F.col(f"`{f.name}`").cast("string") for f in fields])
+        return F.expr(f"concat_ws('', {', '.join(f'CAST(`{f.name}` AS STRING)' for f in fields)})")
     fields = sorted(fields, key=lambda f: f.name)
-    return F.concat_ws(FIELD_SEPARATOR, *[F.coalesce(canonical_text(f), F.lit(NULL_TOKEN)) for f in fields])
+    return F.expr(f"concat_ws(chr(31), {', '.join(_marked(canonical_text(f)) for f in fields)})")
 
 
 def row_fingerprint(df: DataFrame, exclude: Iterable[str] = AUDIT_DATES, legacy: bool = False) -> Column:
@@ -61,9 +61,9 @@ def with_fingerprint(
     df: DataFrame, exclude: Iterable[str] = AUDIT_DATES, legacy: bool = False, method: str = "sha1"
 ) -> DataFrame:
     """Add ``hash_value`` and ``check_sum``. ``method="murmur"`` stores the checksum in both."""
-    check = checksum(df, exclude, legacy)
-    value = check.cast("string") if method == "murmur" else row_fingerprint(df, exclude, legacy)
-    return df.withColumns({"hash_value": value, "check_sum": check})
+    value = "CAST(hash(_row_text) AS STRING)" if method == "murmur" else "sha1(_row_text)"
+    texts = df.withColumn("_row_text", row_text(df, exclude, legacy))
+    return texts.selectExpr(*[f"`{c}`" for c in df.columns], f"{value} AS hash_value", "hash(_row_text) AS check_sum")
 
 
 def code_prefix(column: str, length: int | None) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .delta import CHANGE, INSERT, UPDATE
-from .schema import project_state
+from .schema import pad_columns, project_state
 
 CREATED_COLUMNS = ("created_date", "created_by")
 
@@ -20,32 +20,21 @@ def apply_updates(
 
     Columns the updates lack become null, as if the update row held a null there.
     """
-    have = set(updates.columns)
-    types = {f.name: f.dataType for f in target.schema.fields}
     names = {c: f"_new_{n}" for n, c in enumerate(update_columns)}
-    right = updates.select(
-        *keys,
-        F.lit(True).alias("_hit"),
-        *[(F.col(f"`{c}`") if c in have else F.lit(None)).cast(types[c]).alias(names[c]) for c in update_columns],
+    types = {f.name: f.dataType.simpleString() for f in target.schema.fields}
+    right = pad_columns(updates, {c: types[c] for c in [*keys, *[c for c in update_columns if c not in keys]]})
+    right = right.selectExpr(
+        *[f"`{k}`" for k in keys], "true AS _hit", *[f"`{c}` AS {new}" for c, new in names.items()]
     )
     joined = target.join(right, list(keys), "left")
-    return joined.select(
-        *[
-            F.when(F.col("_hit"), F.col(names[c])).otherwise(F.col(f"`{c}`")).alias(c) if c in names else F.col(f"`{c}`")
-            for c in target.columns
-        ]
+    return joined.selectExpr(
+        *[f"CASE WHEN _hit THEN {names[c]} ELSE `{c}` END AS `{c}`" if c in names else f"`{c}`" for c in target.columns]
     )
 
 
 def align(df: DataFrame, like: DataFrame) -> DataFrame:
     """The columns of ``like``, in its order and types; absent ones are null."""
-    have = set(df.columns)
-    return df.select(
-        *[
-            (F.col(f"`{f.name}`") if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in like.schema.fields
-        ]
-    )
+    return pad_columns(df, {f.name: f.dataType.simpleString() for f in like.schema.fields})
 
 
 def merge(

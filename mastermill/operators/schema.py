@@ -21,14 +21,17 @@ def lower_names(df: DataFrame) -> DataFrame:
     return df.toDF(*lowered)
 
 
-def parse_int(text: Column) -> Column:
-    """An integer from text; a decimal fraction is cut off (``"7.50"`` is 7), anything else unreadable is null.
+def _typed(field: T.StructField, dtype: str) -> str:
+    """SQL that casts a column and gives null for unreadable values.
 
-    The pattern is only tried on text that is not a plain integer.
+    Text with a decimal fraction reads as an integer by cutting the fraction off (``"7.50"`` is 7); the
+    pattern is only tried on text that is not a plain integer.
     """
-    whole = text.try_cast("int")
-    fraction = F.when(text.rlike(r"^\s*[+-]?\d+\.\d*\s*$"), F.substring_index(text, ".", 1).try_cast("int"))
-    return F.coalesce(whole, fraction)
+    name = f"`{field.name}`"
+    if dtype != "int" or not isinstance(field.dataType, T.StringType):
+        return f"try_cast({name} AS {dtype})"
+    whole = f"CASE WHEN {name} RLIKE '^ *[+-]?[0-9]+[.][0-9]* *$' THEN try_cast(substring_index({name}, '.', 1) AS int) END"
+    return f"coalesce(try_cast({name} AS int), {whole})"
 
 
 def conform(df: DataFrame, schema: Mapping[str, str]) -> DataFrame:
@@ -36,24 +39,21 @@ def conform(df: DataFrame, schema: Mapping[str, str]) -> DataFrame:
 
     Columns outside the schema pass through, missing ones are not added.
     """
+    return df.selectExpr(
+        *[f"{_typed(f, schema[f.name])} AS `{f.name}`" if f.name in schema else f"`{f.name}`" for f in df.schema.fields]
+    )
 
-    def typed(field: T.StructField) -> Column:
-        column = F.col(f"`{field.name}`")
-        if field.name not in schema:
-            return column
-        if schema[field.name] == "int" and isinstance(field.dataType, T.StringType):
-            return parse_int(column).alias(field.name)
-        return column.try_cast(schema[field.name]).alias(field.name)
 
-    return df.select(*[typed(f) for f in df.schema.fields])
+def pad_columns(df: DataFrame, schema: Mapping[str, str]) -> DataFrame:
+    """Exactly the columns of ``schema``, in that order and of these types; absent ones are null."""
+    have = {f.name: f.dataType.simpleString() for f in df.schema.fields}
 
+    def padded(name: str, dtype: str) -> str:
+        if have.get(name) == dtype:
+            return f"`{name}`"
+        return f"CAST({f'`{name}`' if name in have else 'NULL'} AS {dtype}) AS `{name}`"
 
-def pad_columns(df: DataFrame, schema: Mapping[str, str]) -> DataFrame:
-    """Exactly the columns of ``schema``, in that order; absent ones are null."""
-    have = set(df.columns)
-    return df.select(
-        *[(F.col(f"`{c}`") if c in have else F.lit(None)).cast(t).alias(c) for c, t in schema.items()]
-    )
+    return df.selectExpr(*[padded(c, t) for c, t in schema.items()])
 
 
 def drop_columns(df: DataFrame, names: Iterable[str]) -> DataFrame:

@@ -14,7 +14,7 @@ from mastermill.operators import region_code
 from mastermill.plans.entity import AUDIT
 from mastermill.session import new_work_path
 from mastermill.sources import SnapshotStore, read_extract
-from mastermill.spec import AUDIT_COLUMNS
+from mastermill.spec import AUDIT_COLUMNS, GateRule, LookupRule
 from mastermill.streaming import ingest_stream, stream_rows
 
 from .base import (
@@ -199,6 +199,8 @@ def conformed_sql(feed: Feed, second: bool) -> tuple[str, list[str]]:
     exprs |= {c: f"'{v}'" if isinstance(v, str) else str(v) for c, v in spec.constants.items()}
     if spec.region_default and "rgcd" not in exprs:
         exprs["rgcd"] = f"'{region_code(feed.region)}'"
+    if spec.category_ladder:
+        exprs |= {f"cc{n}": f"substr({exprs['cat_cd']}, 1, {n})" for n in range(1, 6)}
     typed = ", ".join(_cast(spec, c, e) for c, e in exprs.items())
     where = "" if second else f"WHERE {feed.first_day}"
     keys = " AND ".join(f"{k} IS NOT NULL" for k in spec.keys)
@@ -213,8 +215,10 @@ def conformed_sql(feed: Feed, second: bool) -> tuple[str, list[str]]:
 
 def _full(feed: Feed, second: bool) -> str:
     """All target columns of one day's valid rows, without the audit columns."""
-    spec = feed.spec
-    rows, have = conformed_sql(feed, second)
+    return full_sql(feed.spec, *conformed_sql(feed, second))
+
+
+def full_sql(spec: EntitySpec, rows: str, have: list[str]) -> str:
     columns = []
     for c, t in spec.target_columns.items():
         if c in AUDIT_COLUMNS:
@@ -226,7 +230,7 @@ def _full(feed: Feed, second: bool) -> str:
     return f"SELECT {', '.join(columns)} FROM ({rows})"
 
 
-def merged_sql(spec: EntitySpec, day1: str, day2: str) -> str:
+def merged_sql(spec: EntitySpec, day1: str, day2: str, before: str = "") -> str:
     """The target after both days, with ids, texts for timestamps and the date of the last change."""
     body = [c for c in spec.target_columns if c not in AUDIT_COLUMNS]
     keys = list(spec.delta_keys)
@@ -239,7 +243,7 @@ def merged_sql(spec: EntitySpec, day1: str, day2: str) -> str:
         f"strftime({c}, '%Y-%m-%d %H:%M:%S') AS {c}" if spec.target_columns[c] == "timestamp" else f'"{c}"' for c in body
     )
     return f"""
-        WITH d1 AS ({day1}), d2 AS ({day2}),
+        WITH {before} d1 AS ({day1}), d2 AS ({day2}),
         t1 AS (SELECT row_number() OVER (ORDER BY {sql_id_order(keys)}) AS id, * FROM d1),
         added AS (SELECT * FROM d2 ANTI JOIN t1 USING ({", ".join(keys)})),
         merged AS (
@@ -255,6 +259,63 @@ def merged_sql(spec: EntitySpec, day1: str, day2: str) -> str:
     """
 
 
+def _code_sql(rule: LookupRule) -> str:
+    text = f"CAST({rule.source} AS VARCHAR)"
+    return f"substr({text}, 1, {rule.prefix})" if rule.prefix else text
+
+
+def resolved_sql(feed: Feed, day: int, gate: str = "") -> tuple[str, str, list[str]]:
+    """Common table expressions that apply the entity's rules to one day: ``(ctes, last name, columns)``.
+
+    ``dim_<day>_<rule>`` holds a registered dimension after the day; given dimensions are CTEs of their name.
+    """
+    rows, have = conformed_sql(feed, day == 2)
+    name = f"rows_{day}"
+    ctes = [f"{name} AS ({rows})"]
+    for k, rule in enumerate(feed.spec.rules):
+        after = f"rows_{day}_{k}"
+        if isinstance(rule, GateRule):
+            gated = ", ".join(f"CASE WHEN {rule.source} IN (SELECT code FROM {gate}) THEN {c} END AS {c}" for c in rule.columns)
+            ctes.append(f"{after} AS (SELECT * REPLACE ({gated}) FROM {name})")
+            name = after
+            continue
+        dim, code = f"dim_{day}_{k}", _code_sql(rule)
+        if rule.missing == "register":
+            codes = f"SELECT DISTINCT {code} AS code FROM {name} WHERE {rule.source} IS NOT NULL"
+            number = f"row_number() OVER (ORDER BY {sql_id_order(['code'])})"
+            if day == 1:
+                ctes.append(f"{dim} AS (SELECT code, {number} AS id FROM ({codes}))")
+            else:
+                old = f"dim_1_{k}"
+                ctes.append(
+                    f"{dim} AS (SELECT code, id FROM {old} UNION ALL SELECT code, (SELECT count(*) FROM {old}) + {number} "
+                    f"AS id FROM (SELECT * FROM ({codes}) ANTI JOIN {old} USING (code)))"
+                )
+        else:
+            dim = rule.dimension
+        join = "LEFT JOIN" if rule.missing == "null" else "JOIN"
+        where = f"WHERE {rule.source} IS NOT NULL" if rule.require_source else ""
+        kept = [c for c in have if c not in rule.outputs]
+        types = {out: SQL_TYPES.get(t, t.upper()) for out, (_, t) in rule.outputs.items()}
+        added = [f"TRY_CAST(dim.{value} AS {types[out]}) AS {out}" for out, (value, _) in rule.outputs.items()]
+        inner = f"(SELECT *, {code} AS lookup_code FROM {name} {where}) r"
+        columns = ", ".join([f"r.{c}" for c in kept] + added)
+        ctes.append(f"{after} AS (SELECT {columns} FROM {inner} {join} {dim} dim ON dim.code = r.lookup_code)")
+        have = [*kept, *rule.outputs]
+        name = after
+    return ", ".join(ctes), name, have
+
+
+def ruled_sql(feed: Feed, given: str = "", gate: str = "") -> str:
+    """The target after both days of an entity with lookup rules."""
+    parts, days = [given] if given else [], []
+    for day in (1, 2):
+        ctes, name, have = resolved_sql(feed, day, gate)
+        parts.append(ctes)
+        days.append(full_sql(feed.spec, f"SELECT * FROM {name}", have))
+    return merged_sql(feed.spec, *days, before=", ".join(parts) + ",")
+
+
 def load_two_days(spark: SparkSession, sf: str, feed: Feed, dimensions=None, buckets: int = 0, **options) -> SnapshotStore:
     """Write both extracts, load them in order and return the store."""
     base = new_work_path(spark, f"feed-{feed.entity}")
@@ -292,3 +353,176 @@ def entity_coninv_bucketed(spark: SparkSession, sf: str) -> DataFrame:
 
 
 scenario(ORACLES["entity_coninv"])(entity_coninv_bucketed)
+
+
+# -- entities with lookup rules ------------------------------------------------------------------------------
+
+CUSTOMER = Feed(
+    "customer",
+    "customer",
+    {
+        "custid": "CAST(c_custkey AS STRING)",
+        "name": "c_name",
+        "chainc": "c_mktsegment",
+        "chnl": "CASE WHEN c_nationkey = 3 THEN NULL ELSE CAST(c_nationkey AS STRING) END",
+        "shpto": "substr(c_name, 10)",
+        "sldto": "c_name",
+        "sldto_d": "c_mktsegment",
+        "cdisccd": "CAST(c_nationkey AS STRING)",
+        "cdiscp": "CAST(CAST(c_acctbal AS DECIMAL(16,2)) AS STRING)",
+    },
+    first_day="c_acctbal > 1000",
+    changes={
+        "chainc": "CASE WHEN c_mktsegment = 'BUILDING' THEN 'HOUSES' ELSE c_mktsegment END",
+        "sldto_d": "c_name",
+        "cdisccd": "CASE WHEN c_nationkey < 5 THEN '-1' ELSE CAST(c_nationkey AS STRING) END",
+    },
+    junk={"mmexcll": "'x'"},
+)
+
+
+@scenario(ruled_sql(CUSTOMER))
+def entity_customer(spark: SparkSession, sf: str) -> DataFrame:
+    """All customers share one sold-to code, the most skewed lookup there can be."""
+    return shown_target(load_two_days(spark, sf, CUSTOMER))
+
+
+PART = Feed(
+    "part_regional",
+    "part",
+    {
+        "part_num": "CAST(p_partkey AS STRING)",
+        "name": "p_name",
+        "rgcd": "CASE WHEN p_size < 20 THEN 'ASIA' WHEN p_size < 40 THEN 'EUROPE' ELSE 'NOWHERE' END",
+        "prod_cd5": "NULLIF(p_type, 'SMALL')",
+        "mktcd": "NULLIF(p_brand, 'Brand#13')",
+        "cat_cd": "p_brand",
+        "fran_code": "p_type",
+        "lprc": "CAST(CAST(p_retailprice AS DECIMAL(16,2)) AS STRING)",
+        "pllqty": "CAST(p_size AS STRING)",
+    },
+    first_day="p_size > 5",
+    changes={
+        "lprc": "CAST(CAST(CASE WHEN p_brand = 'Brand#1' THEN 7.25 ELSE p_retailprice END AS DECIMAL(16,2)) AS STRING)",
+        "rgcd": "CASE WHEN p_size < 18 THEN 'ASIA' WHEN p_size < 40 THEN 'EUROPE' ELSE 'NOWHERE' END",
+    },
+    junk={"lpp_part": "'x'", "franc_code": "p_type", "brand_code": "p_brand", "prod_code": "p_type"},
+)
+PART_DIMENSIONS = {
+    "x_market_code": (
+        "part",
+        "SELECT p_brand AS code, CAST(min(p_size) AS STRING) AS level1, 'x' AS level2, CAST(max(p_size) AS STRING) AS level3, "
+        "CAST(count(*) AS STRING) AS level4, CAST(NULL AS STRING) AS level5 FROM part WHERE p_brand <> 'Brand#7' GROUP BY p_brand",
+    ),
+    "p_lifecycle_stage": ("part", "SELECT CAST(p_partkey AS STRING) AS code, p_partkey + 5 AS id FROM part WHERE p_size >= 25"),
+    "p_pricing_region": ("region", "SELECT r_name AS code, r_regionkey + 1 AS id FROM region"),
+    "p_pricing_action_detail": (
+        "lineitem",
+        "SELECT CAST(l_partkey AS STRING) AS code, l_returnflag AS attr, "
+        "CASE WHEN l_linestatus = 'F' THEN 'yes' ELSE 'no' END AS app, date_trunc('month', l_shipdate) AS effdt FROM lineitem",
+    ),
+    "view_x_yes_no_flag": (
+        "lineitem",
+        "SELECT DISTINCT l_returnflag AS id, CASE WHEN l_returnflag = 'R' THEN 'True' ELSE 'False' END AS code FROM lineitem",
+    ),
+}
+PART_GIVEN = ", ".join(f"{name} AS ({sql})" for name, (_, sql) in PART_DIMENSIONS.items()) + """,
+    hits AS (SELECT DISTINCT a.code FROM p_pricing_action_detail a JOIN view_x_yes_no_flag f ON f.id = a.attr
+             WHERE f.code = 'True' AND a.app = 'yes' AND CAST(a.effdt AS DATE) = DATE '1998-03-01')
+"""
+
+
+def part_dimensions(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    return {
+        name: spark.sql(sql.replace(f"FROM {source}", "FROM {source}"), source=table(spark, sf, source))
+        for name, (source, sql) in PART_DIMENSIONS.items()
+    }
+
+
+@scenario(ruled_sql(PART, PART_GIVEN, "hits"))
+def entity_part_regional(spark: SparkSession, sf: str) -> DataFrame:
+    return shown_target(load_two_days(spark, sf, PART, part_dimensions(spark, sf), file_date=date(1998, 3, 1)))
+
+
+# -- audit, files and streams --------------------------------------------------------------------------------
+
+LINES = BY_NAME["coninv"]
+_KEYS = ", ".join(LINES.spec.keys)
+_COUNT_DAY = f"""
+    SELECT 1 AS day, (SELECT count(*) FROM lineitem WHERE {LINES.first_day}) AS csv_count, count(*) AS inserts, 0 AS updates FROM d1
+    UNION ALL
+    SELECT 2, (SELECT count(*) FROM lineitem), count(*) FILTER (d1.cordno IS NULL),
+           count(*) FILTER (d1.cordno IS NOT NULL AND d1 IS DISTINCT FROM d2)
+    FROM d2 LEFT JOIN d1 USING ({_KEYS})
+"""
+
+
+@scenario(
+    f"""
+    WITH d1 AS ({_full(LINES, False)}), d2 AS ({_full(LINES, True)}), counts AS ({_COUNT_DAY})
+    SELECT 'coninv' AS table_name, concat('coninv_', day, '.csv') AS file_name, 'OCA' AS region,
+           CAST(csv_count AS BIGINT) AS csv_count, CAST(inserts AS BIGINT) AS data_insert_count,
+           CAST(updates AS BIGINT) AS data_update_count, 'Success' AS status, 'extract loaded' AS success_message,
+           '' AS error_message, sha256(concat('coninv_', day, '.csv')) AS file_code
+    FROM counts
+    """
+)
+def audit_counts(spark: SparkSession, sf: str) -> DataFrame:
+    store = load_two_days(spark, sf, LINES)
+    audit = spark.read.parquet(f"{store.root}/{AUDIT}")
+    return audit.drop("created_date", "start_time", "end_time", "duration")
+
+
+EVENT_SQL = """
+    SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, user_id, event_type, CAST(value AS DECIMAL(16,6)) AS value, props
+    FROM events
+"""
+EVENT_SCHEMA = {"event_id": "bigint", "user_id": "bigint", "value": "decimal(16,6)"}
+
+
+def _event_files(spark: SparkSession, sf: str) -> str:
+    path = new_work_path(spark, "events")
+    events = table(spark, sf, "events").withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+    events.repartition(4, "user_id").write.csv(path, header=True)
+    return path
+
+
+@scenario(EVENT_SQL)
+def extract_rows(spark: SparkSession, sf: str) -> DataFrame:
+    from mastermill.operators import conform
+
+    return conform(read_extract(spark, _event_files(spark, sf)), EVENT_SCHEMA)
+
+
+@scenario(EVENT_SQL)
+def stream_extract_rows(spark: SparkSession, sf: str) -> DataFrame:
+    from mastermill.operators import conform
+    from mastermill.sources import append_table, read_table
+
+    path, out = _event_files(spark, sf), new_work_path(spark, "streamed")
+    stream = stream_rows(spark, path, table(spark, sf, "events").columns)
+    writer = stream.writeStream.foreachBatch(lambda batch, _: append_table(conform(batch, EVENT_SCHEMA), out))
+    writer = writer.option("checkpointLocation", new_work_path(spark, "checkpoint"))
+    writer.trigger(availableNow=True).start().awaitTermination()
+    return read_table(spark, out)
+
+
+@scenario(
+    f"""
+    WITH d AS ({_full(BY_NAME["franchise"], True)})
+    SELECT francdn, frands, paexcept, CAST(francdn AS VARCHAR) AS code FROM d
+    """
+)
+def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
+    """Every file of a directory loaded by the file stream, each as its own commit."""
+    from dataclasses import replace
+
+    feed = BY_NAME["franchise"]
+    spec = replace(feed.spec, files={"AUS": "part-"})
+    base = new_work_path(spark, "franchise-stream")
+    feed.write(spark, sf, True, f"{base}/AUS")
+    store = open_store(spark, f"{base}/store", spec)
+    for _ in range(2):  # the second start finds nothing new
+        ingest_stream(store, spec, f"{base}/AUS", f"{base}/checkpoint", "AUS", RunOptions(run_ts=RUN_TS)).awaitTermination()
+    target = store.read("target").select("francdn", "frands", "paexcept")
+    return target.join(store.read("state").select("francdn", "code"), "francdn")
