@@ -50,6 +50,7 @@ def _attach(
     code: Column,
     outputs: Mapping[str, tuple[str, str]],
     how: str,
+    small: bool,
     salt: int,
     hot: Sequence[str] | None,
 ) -> DataFrame:
@@ -60,14 +61,15 @@ def _attach(
     )
     left = df.withColumn(_CODE, code.cast("string"))
     on = [_CODE]
-    if salt > 1:
+    if small:
+        right = F.broadcast(right)
+    elif salt > 1:
         hot = hot_codes(df, code.cast("string")) if hot is None else hot
         left, right = _spread(left, right, hot, salt)
         on = [_CODE, _SALT]
     joined = left.join(right, on, how)
-    kept = [F.col(names[c]).alias(c) if c in outputs else F.col(f"`{c}`") for c in df.columns]
-    added = [F.col(names[o]).alias(o) for o in outputs if o not in df.columns]
-    return joined.select(*kept, *added)
+    kept = [f"{names[c]} AS `{c}`" if c in outputs else f"`{c}`" for c in df.columns]
+    return joined.selectExpr(*kept, *[f"{names[o]} AS `{o}`" for o in outputs if o not in df.columns])
 
 
 def lookup_required(
@@ -75,15 +77,16 @@ def lookup_required(
     dim: DataFrame,
     code: Column,
     outputs: Mapping[str, tuple[str, str]],
+    small: bool = False,
     salt: int = 0,
     hot: Sequence[str] | None = None,
 ) -> DataFrame:
     """Inner join on the dimension's ``code``; only the output columns of the dimension survive.
 
-    ``salt`` spreads the rows of the most frequent codes over that many join keys, for dimensions too large
-    to broadcast; ``hot`` names those codes when they are known.
+    ``small`` asks for a broadcast, for dimensions whose row count was checked. ``salt`` spreads the rows of
+    the most frequent codes over that many join keys, for larger ones; ``hot`` names these codes if known.
     """
-    return _attach(df, dim, code, outputs, "inner", salt, hot)
+    return _attach(df, dim, code, outputs, "inner", small, salt, hot)
 
 
 def lookup_or_drop(df: DataFrame, dim: DataFrame, code: Column, outputs: Mapping[str, tuple[str, str]], **kw) -> DataFrame:
@@ -96,11 +99,12 @@ def lookup_optional(
     dim: DataFrame,
     code: Column,
     outputs: Mapping[str, tuple[str, str]],
+    small: bool = False,
     salt: int = 0,
     hot: Sequence[str] | None = None,
 ) -> DataFrame:
     """Keep all rows; the output columns are null where the code is unknown."""
-    return _attach(df, dim, code, outputs, "left", salt, hot)
+    return _attach(df, dim, code, outputs, "left", small, salt, hot)
 
 
 def unregistered_codes(df: DataFrame, dim: DataFrame, code: Column) -> DataFrame:
@@ -117,28 +121,33 @@ def assign_ids(
     new_rows: DataFrame,
     keys: Sequence[str],
     existing: DataFrame | None = None,
-    start: int = 0,
+    start: Column | int = 0,
+    within: Sequence[str] = (),
     id_column: str = "id",
 ) -> DataFrame:
     """Dense ids after the greatest id of ``existing``, or after ``start``; the same on every run.
 
     Rows are numbered inside buckets taken from a digest of the key, and each bucket starts where the
     preceding ones end. Numbering is parallel over 4096 buckets of distinct keys; only the bucket counts, at
-    most 4096 rows, meet in one place.
+    most 4096 rows for each group of ``within``, meet in one place.
     """
     text = key_text(keys)
     rows = new_rows.withColumn("_text", text).withColumn("_bucket", F.substring(F.sha1("_text"), 1, ID_BUCKET_DIGITS))
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    group = [*within, "_bucket"]
+    before = Window.partitionBy(*within).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
-        rows.groupBy("_bucket")
+        rows.groupBy(*group)
         .agg(F.count("*").alias("_n"))
-        .select("_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+        .select(*group, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
     )
-    inside = F.row_number().over(Window.partitionBy("_bucket").orderBy("_text"))
-    top = F.lit(start) if existing is None else existing.agg(F.coalesce(F.max(id_column), F.lit(0)).alias("top")).scalar()
-    numbered = rows.withColumn("_rank", inside).join(F.broadcast(starts), "_bucket")
+    inside = F.row_number().over(Window.partitionBy(*group).orderBy("_text"))
+    if existing is not None:
+        start = existing.agg(F.coalesce(F.max(id_column), F.lit(0)).alias("top")).scalar()
+    elif isinstance(start, int):
+        start = F.lit(start)
+    numbered = rows.withColumn("_rank", inside).join(F.broadcast(starts), group)
     return numbered.select(
-        (top + F.col("_start") + F.col("_rank")).cast("bigint").alias(id_column),
+        (start + F.col("_start") + F.col("_rank")).cast("bigint").alias(id_column),
         *[F.col(f"`{c}`") for c in new_rows.columns if c != id_column],
     )
 
@@ -148,12 +157,17 @@ def new_dimension_rows(
     dim: DataFrame | None,
     run_ts: datetime,
     user: str = "system",
-    start: int = 0,
+    start: Column | int = 0,
+    within: Sequence[str] = (),
     name: str = PLACEHOLDER_NAME,
 ) -> DataFrame:
-    """Dimension rows for unregistered codes: next ids, placeholder name, audit columns."""
+    """Dimension rows for unregistered codes: next ids, placeholder name, audit columns.
+
+    ``within`` numbers several dimensions at once, told apart by these columns.
+    """
     values = audit_values(run_ts, user)
-    return assign_ids(codes.select("code"), ["code"], dim, start).select(
+    return assign_ids(codes.select(*within, "code"), ["code"], dim, start, within).select(
+        *within,
         "id",
         "code",
         F.lit(name).alias("name"),

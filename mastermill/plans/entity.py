@@ -20,10 +20,8 @@ from ..operators.lookups import (
     lookup_optional,
     lookup_or_drop,
     lookup_required,
-    new_dimension_rows,
     one_per_code,
     qualifying_codes,
-    unregistered_codes,
 )
 from ..operators.merge import CREATED_COLUMNS, align, apply_updates
 from ..operators.schema import (
@@ -39,17 +37,21 @@ from ..operators.schema import (
 )
 from ..session import new_work_path
 from ..sources.files import is_empty
-from ..sources.tables import SEGMENT, Commit, SnapshotStore
-from ..spec import AUDIT_COLUMNS, EntitySpec, GateRule, LookupRule
+from ..sources.tables import SEGMENT, SnapshotStore
+from ..spec import EntitySpec, GateRule
 from .audit import EMPTY, FAILED, SKIPPED, SUCCESS, RunRecord, append_audit
+from .dimensions import DIMENSIONS, Dimensions
 
 TARGET, STATE, AUDIT = "target", "state", "run_audit"
-DIMENSION_SCHEMA = {"id": "bigint", "code": "string", "name": "string"} | AUDIT_COLUMNS
 
 
 @dataclass(frozen=True)
 class RunOptions:
-    """Choices of one run that are not part of the entity."""
+    """Choices of one run that are not part of the entity.
+
+    ``compact_after`` is the number of segments after which a run rewrites them as one; ``broadcast_rows`` the
+    greatest row count of a registered dimension that is broadcast.
+    """
 
     run_ts: datetime = field(default_factory=lambda: datetime.now(timezone.utc))
     region: str = ""
@@ -61,6 +63,7 @@ class RunOptions:
     preserve_created: bool = False
     narrow_inserts: bool = False
     compact_after: int = 64
+    broadcast_rows: int = 200_000
 
 
 def open_store(spark, root: str, spec: EntitySpec, buckets: int = 0) -> SnapshotStore:
@@ -105,90 +108,32 @@ def finish_rows(df: DataFrame, spec: EntitySpec, options: RunOptions) -> DataFra
     return with_fingerprint(df, exclude=("created_date", "updated_date", *outside), method=spec.fingerprint)
 
 
-class _Dimensions:
-    """The dimensions of one run: given read-only frames, or tables of the store that grow by registration."""
-
-    def __init__(self, store: SnapshotStore, head: Commit | None, given: Mapping[str, DataFrame], options: RunOptions):
-        self.store, self.given, self.options = store, given, options
-        self.tables = {name: list(s) for name, s in (head.tables if head else {}).items()}
-        self.counters = dict(head.counters if head else {})
-        self.grown: set[str] = set()
-
-    def read(self, name: str) -> DataFrame | None:
-        if name in self.given:
-            return self.given[name]
-        return self.store.read_segments(name, self.tables.get(name, ()))
-
-    def require(self, name: str) -> DataFrame:
-        dim = self.read(name)
-        if dim is None:
-            raise ValueError(f"dimension {name} is neither given nor stored")
-        return dim
-
-    def register(self, name: str, rows: DataFrame, rule: LookupRule) -> DataFrame:
-        """Store the codes of ``rows`` that the dimension lacks, then return the stored dimension."""
-        spark = self.store.spark
-        if name in self.given and name not in self.tables:
-            self._adopt(name, self.given[name])
-        dim = self.store.read_segments(name, self.tables.get(name, ()))
-        known = dim if dim is not None else spark.createDataFrame([], "code string")
-        codes = unregistered_codes(rows, known, code_prefix(rule.source, rule.prefix))
-        start = self.counters.get(name, 0)
-        fresh = new_dimension_rows(codes, None, self.options.run_ts, self.options.user, start)
-        segment = self.store.write_segment(name, fresh)
-        added = self.store.read_segments(name, [segment]).count()
-        if added or dim is None:
-            self.tables[name] = [*self.tables.get(name, ()), segment]
-            self.counters[name] = start + added
-            self.grown.add(name)
-        return self.store.read_segments(name, self.tables[name])
-
-    def _adopt(self, name: str, seed: DataFrame) -> None:
-        """Take a given dimension into the store as its first segment."""
-        columns = DIMENSION_SCHEMA | {f.name: f.dataType.simpleString() for f in seed.schema.fields if f.name not in DIMENSION_SCHEMA}
-        segment = self.store.write_segment(name, pad_columns(seed, columns))
-        self.tables[name] = [segment]
-        top = self.store.read_segments(name, [segment]).agg(F.max("id")).first()[0]
-        self.counters[name] = top or 0
-        self.grown.add(name)
-
-
-def resolve_codes(df: DataFrame, spec: EntitySpec, dims: _Dimensions, options: RunOptions) -> DataFrame:
-    """Apply the lookup rules in order.
-
-    New codes are collected from ``survivors``: the rows that the preceding rules keep, expressed as null
-    filters and semi joins, so a registration job reads its code column and does not repeat earlier lookups.
-    """
-    survivors, replaced = df, set()
+def resolve_codes(df: DataFrame, spec: EntitySpec, dims: Dimensions, options: RunOptions) -> DataFrame:
+    """Register unseen codes, then apply the rules in order as joins of one plan."""
+    dims.register_all(df, spec)
     for rule in spec.rules:
         if isinstance(rule, GateRule):
             df = _gate(df, rule, dims, options)
             continue
-        code = code_prefix(rule.source, rule.prefix)
+        code, how = code_prefix(rule.source, rule.prefix), {}
         if rule.require_source or rule.missing != "null":
-            df, survivors = require_source(df, rule.source), require_source(survivors, rule.source)
-        values = list(dict.fromkeys(value for value, _ in rule.outputs.values()))
+            df = require_source(df, rule.source)
         if rule.missing == "register":
-            dim = dims.register(rule.dimension, df if rule.source in replaced else survivors, rule)
-            df = lookup_required(df, one_per_code(dim, values), code, rule.outputs, salt=rule.salt)
-        elif rule.missing == "null":
-            df = lookup_optional(df, one_per_code(dims.require(rule.dimension), values), code, rule.outputs, salt=rule.salt)
+            dim, how = dims.stored(rule.dimension), dims.strategy(rule)
         else:
-            dim = one_per_code(dims.require(rule.dimension), values)
-            df = lookup_or_drop(df, dim, code, rule.outputs, salt=rule.salt)
-            matched = dim.select(F.col("code").cast("string").alias("_code"))
-            source = df if rule.source in replaced else survivors.withColumn("_code", code).join(matched, "_code", "left_semi")
-            survivors = source.drop("_code")
-        replaced |= set(rule.outputs)
+            values = list(dict.fromkeys(value for value, _ in rule.outputs.values()))
+            dim = one_per_code(dims.given_frame(rule.dimension), values)
+        lookup = {"register": lookup_required, "null": lookup_optional, "drop": lookup_or_drop}[rule.missing]
+        df = lookup(df, dim, code, rule.outputs, **how)
     return df
 
 
-def _gate(df: DataFrame, rule: GateRule, dims: _Dimensions, options: RunOptions) -> DataFrame:
+def _gate(df: DataFrame, rule: GateRule, dims: Dimensions, options: RunOptions) -> DataFrame:
     if not has_columns(df, rule.guard):
         return df
     if options.file_date is None:
         raise ValueError("the action gate needs the date of the file")
-    actions, flags = dims.require(rule.actions), dims.require(rule.flags)
+    actions, flags = dims.given_frame(rule.actions), dims.given_frame(rule.flags)
     codes = qualifying_codes(actions, flags, options.file_date, rule.flag_code, rule.app_value)
     return action_gate(df, codes, F.col(rule.source), rule.columns)
 
@@ -226,7 +171,7 @@ def _load(store, spec, extract, options, given, record) -> None:
         record.close(EMPTY, "extract has no rows")
         return
     head = store.head()
-    dims = _Dimensions(store, head, given, options)
+    dims = Dimensions(store, head, given, options)
 
     conformed, read = count_rows(conform_extract(extract, spec, options.region), f"read-{uuid.uuid4().hex}")
     rows = valid_rows(conformed, spec)
@@ -249,7 +194,7 @@ def _load(store, spec, extract, options, given, record) -> None:
     record.csv_count = read.get.get("rows", 0)
     record.data_insert_count, record.data_update_count = counted.get.get(INSERT, 0), counted.get.get(UPDATE, 0)
 
-    tables = {name: dims.tables[name] for name in dims.grown}
+    tables = {DIMENSIONS: dims.segments} if dims.grown else {}
     counters = {name: dims.counters[name] for name in dims.grown}
     if record.data_insert_count or record.data_update_count:
         changes = spark.read.schema(classified.schema).parquet(staged)

@@ -128,7 +128,9 @@ class SnapshotStore:
         at = at or self.head()
         return list(at.tables.get(table, ())) if at else []
 
-    def write_segment(self, table: str, *parts: DataFrame, segment: str | None = None) -> str:
+    def write_segment(
+        self, table: str, *parts: DataFrame, segment: str | None = None, partition_by: Sequence[str] = ()
+    ) -> str:
         """Write the union of ``parts`` as a new, still invisible segment and return its id.
 
         Each part of a bucketed table is clustered on its own: Spark leaves the shuffle out for a part that
@@ -138,7 +140,7 @@ class SnapshotStore:
         location = f"{self.root}/{table}/{SEGMENT}={segment}"
         keys = self.bucket_keys.get(table)
         if not (self.buckets and keys):
-            self._union(parts).write.mode("error").parquet(location)
+            self._union(parts).write.mode("error").partitionBy(*partition_by).parquet(location)
             return segment
         name = f"mastermill_{uuid.uuid4().hex}"
         clustered = self._union([p.repartition(self.buckets, *keys) for p in parts])

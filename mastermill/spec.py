@@ -89,6 +89,14 @@ class EntitySpec:
     validation_status: str = "true"
     order_by: tuple[str, ...] = ()
 
+    def __post_init__(self):
+        replaced: set[str] = set()
+        for rule in self.rules:
+            if rule.source in replaced:
+                raise ValueError(f"{self.name}: rule source {rule.source!r} was replaced by an earlier rule")
+            if isinstance(rule, LookupRule):
+                replaced |= set(rule.outputs)
+
     @property
     def delta_keys(self) -> tuple[str, ...]:
         """Keys that identify a row in the state and target tables."""
