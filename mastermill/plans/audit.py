@@ -8,7 +8,7 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..sources.tables import append_table
+from ..sources.tables import append_table, one_row
 
 SUCCESS, FAILED, EMPTY, SKIPPED = "Success", "Failed", "Empty", "Skipped"
 
@@ -57,9 +57,10 @@ class RunRecord:
 
 
 def audit_frame(spark: SparkSession, record: RunRecord) -> DataFrame:
-    return spark.createDataFrame([asdict(record)], AUDIT_SCHEMA)
+    values = {k: v.isoformat() if isinstance(v, datetime) else v for k, v in asdict(record).items()}
+    return one_row(spark, values, AUDIT_SCHEMA)
 
 
 def append_audit(spark: SparkSession, record: RunRecord, location: str, fmt: str = "parquet", **options) -> None:
     """Append the record to the run-audit table."""
-    append_table(audit_frame(spark, record).coalesce(1), location, fmt, **options)
+    append_table(audit_frame(spark, record), location, fmt, **options)

@@ -32,6 +32,7 @@ class Dimensions:
         self.counters = dict(head.counters) if head else {}
         self.grown: set[str] = set()
         self.code_counts: DataFrame | None = None
+        self.stored_rows: DataFrame | None = None
 
     def given_frame(self, name: str) -> DataFrame:
         if name not in self.given:
@@ -40,8 +41,9 @@ class Dimensions:
 
     def stored(self, name: str) -> DataFrame:
         """A registered dimension; the filter on the partition column prunes the other dimensions' files."""
-        rows = self.store.read_segments(DIMENSIONS, self.segments)
-        return rows.filter(F.col(DIMENSION) == name).drop(DIMENSION, SEGMENT)
+        if self.stored_rows is None:
+            self.stored_rows = self.store.read_segments(DIMENSIONS, self.segments)
+        return self.stored_rows.filter(F.col(DIMENSION) == name).drop(DIMENSION, SEGMENT)
 
     def strategy(self, rule: LookupRule) -> dict:
         """How to join a registered dimension; its greatest id bounds its rows from above or close to it."""

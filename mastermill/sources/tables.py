@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
@@ -40,6 +41,12 @@ def replace_table(df: DataFrame, location: str) -> None:
     df.write.mode("overwrite").parquet(location)
 
 
+def one_row(spark: SparkSession, values: Mapping, schema: str) -> DataFrame:
+    """A frame of one row and one partition, built without starting a Python worker."""
+    parsed = F.from_json(F.lit(json.dumps(values)), schema)
+    return spark.range(0, 1, 1, 1).select(parsed.alias("row")).select("row.*")
+
+
 def path_exists(spark: SparkSession, location: str) -> bool:
     try:
         spark.read.format("binaryFile").load(location)
@@ -117,15 +124,15 @@ class SnapshotStore:
         top = dict(previous.counters) if previous else {}
         top.update(counters or {})
         version = previous.version + 1 if previous else 1
-        row = (version, run_id, datetime.now(timezone.utc), live, top)
-        frame = self.spark.createDataFrame([row], COMMIT_SCHEMA).coalesce(1)
+        now = datetime.now(timezone.utc).isoformat()
+        row = {"version": version, "run_id": run_id, "committed_at": now, "tables": live, "counters": top}
+        frame = one_row(self.spark, row, COMMIT_SCHEMA)
         frame.write.mode("error").json(f"{self.root}/commit_log/v{version:010d}")
         return Commit(version, run_id, live, top)
 
     # -- segments --------------------------------------------------------------------------------------
 
-    def live_segments(self, table: str, at: Commit | None = None) -> list[str]:
-        at = at or self.head()
+    def live_segments(self, table: str, at: Commit | None) -> list[str]:
         return list(at.tables.get(table, ())) if at else []
 
     def write_segment(
@@ -180,5 +187,5 @@ class SnapshotStore:
 
     def read(self, table: str, at: Commit | None = None) -> DataFrame | None:
         """The published rows of a table, without the segment id; ``None`` before the first commit."""
-        rows = self.read_segments(table, self.live_segments(table, at))
+        rows = self.read_segments(table, self.live_segments(table, at or self.head()))
         return None if rows is None else rows.drop(SEGMENT)

@@ -94,12 +94,12 @@ def test_preserve_created(spark, store, run_ts):
 
 def test_insert_only_run_keeps_segments_and_update_rewrites_only_its_segment(spark, store, run_ts):
     run_entity(store, BOM, extract(spark, DAY_ONE), options(run_ts))
-    first = store.live_segments("target")
+    first = store.live_segments("target", store.head())
     run_entity(store, BOM, extract(spark, [("B1", "C1", "n", "1", None)]), options(run_ts))
-    second = store.live_segments("target")
+    second = store.live_segments("target", store.head())
     assert second[:1] == first and len(second) == 2
     run_entity(store, BOM, extract(spark, [("B1", "C1", "m", "1", None)]), options(run_ts))
-    third = store.live_segments("target")
+    third = store.live_segments("target", store.head())
     assert third[:1] == first and len(third) == 2 and third[1] != second[1]
     assert store.read("target").count() == 4
 
@@ -107,7 +107,7 @@ def test_insert_only_run_keeps_segments_and_update_rewrites_only_its_segment(spa
 def test_compaction(spark, store, run_ts):
     for n in range(4):
         run_entity(store, BOM, extract(spark, [(f"B{n}", "C1", "n", "1", None)]), options(run_ts, compact_after=3))
-    assert len(store.live_segments("target")) == 1
+    assert len(store.live_segments("target", store.head())) == 1
     assert store.read("target").count() == 4 and store.read("state").count() == 4
 
 
