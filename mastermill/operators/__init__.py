@@ -11,6 +11,7 @@ from .lookups import (
     lookup_or_drop,
     lookup_required,
     new_dimension_rows,
+    number_by_position,
     one_per_code,
     qualifying_codes,
     register_and_lookup,

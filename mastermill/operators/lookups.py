@@ -152,6 +152,25 @@ def assign_ids(
     )
 
 
+def number_by_position(stored: DataFrame, start: int = 0, id_column: str = "id") -> DataFrame:
+    """Dense ids after ``start`` for rows read from Parquet, without a shuffle or a sort.
+
+    The id is the number of rows in the preceding files plus the row's index in its own file, so it is the
+    same on every read of the same files. ``stored`` must hold whole files: filter it by partition columns
+    only. The row counts per file, one row for each file, are all that is gathered and broadcast.
+    """
+    rows = stored.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (
+        rows.groupBy("_file")
+        .agg(F.count("*").alias("_n"))
+        .select("_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    )
+    numbered = rows.join(F.broadcast(starts), "_file")
+    ids = (F.lit(start) + F.col("_start") + F.col("_row") + 1).cast("bigint").alias(id_column)
+    return numbered.select(ids, *[F.col(f"`{c}`") for c in stored.columns if c != id_column])
+
+
 def new_dimension_rows(
     codes: DataFrame,
     dim: DataFrame | None,

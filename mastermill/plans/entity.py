@@ -16,10 +16,10 @@ from ..operators.delta import CHANGE, INSERT, UNCHANGED, UPDATE, classify_delta,
 from ..operators.filters import has_columns, require_keys, require_source
 from ..operators.lookups import (
     action_gate,
-    assign_ids,
     lookup_optional,
     lookup_or_drop,
     lookup_required,
+    number_by_position,
     one_per_code,
     qualifying_codes,
 )
@@ -215,9 +215,10 @@ def _write_version(store, spec, changes, live, head, options, record) -> dict[st
     if len(live) >= options.compact_after:
         touched = live
 
-    fresh = narrow_decimals(inserts, spec.narrow) if options.narrow_inserts else inserts
-    start = head.counters.get(TARGET, 0) if head else 0
-    fresh = pad_columns(assign_ids(fresh, keys, start=start), {"id": "bigint"} | spec.target_columns)
+    fresh = number_by_position(inserts, head.counters.get(TARGET, 0) if head else 0)
+    if options.narrow_inserts:
+        fresh = narrow_decimals(fresh, spec.narrow)
+    fresh = pad_columns(fresh, {"id": "bigint"} | spec.target_columns)
     target, state = [fresh], [project_state(changes, keys)]
     if touched:
         old = store.read_segments(TARGET, touched).drop(SEGMENT)

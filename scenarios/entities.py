@@ -231,7 +231,7 @@ def full_sql(spec: EntitySpec, rows: str, have: list[str]) -> str:
 
 
 def merged_sql(spec: EntitySpec, day1: str, day2: str, before: str = "") -> str:
-    """The target after both days, with ids, texts for timestamps and the date of the last change."""
+    """The target after both days, with texts for timestamps and the date of the last change."""
     body = [c for c in spec.target_columns if c not in AUDIT_COLUMNS]
     keys = list(spec.delta_keys)
     on = " AND ".join(f"d2.{k} = t1.{k}" for k in keys)
@@ -244,16 +244,13 @@ def merged_sql(spec: EntitySpec, day1: str, day2: str, before: str = "") -> str:
     )
     return f"""
         WITH {before} d1 AS ({day1}), d2 AS ({day2}),
-        t1 AS (SELECT row_number() OVER (ORDER BY {sql_id_order(keys)}) AS id, * FROM d1),
-        added AS (SELECT * FROM d2 ANTI JOIN t1 USING ({", ".join(keys)})),
         merged AS (
-            SELECT t1.id, {merged}, CASE WHEN {hit} AND ({differs}) THEN '{LATER_TEXT}' ELSE '{RUN_TEXT}' END AS updated_date
-            FROM t1 LEFT JOIN d2 ON {on}
+            SELECT {merged}, CASE WHEN {hit} AND ({differs}) THEN '{LATER_TEXT}' ELSE '{RUN_TEXT}' END AS updated_date
+            FROM d1 AS t1 LEFT JOIN d2 ON {on}
             UNION ALL
-            SELECT (SELECT count(*) FROM t1) + row_number() OVER (ORDER BY {sql_id_order(keys)}) AS id,
-                   {", ".join(body)}, '{LATER_TEXT}' AS updated_date FROM added
+            SELECT {", ".join(body)}, '{LATER_TEXT}' AS updated_date FROM d2 ANTI JOIN d1 USING ({", ".join(keys)})
         )
-        SELECT CAST(id AS BIGINT) AS id, {shown}, updated_date, updated_date AS created_date, 'system' AS updated_by,
+        SELECT {shown}, updated_date, updated_date AS created_date, 'system' AS updated_by,
                'system' AS created_by, '{spec.validation_status}' AS validationstatus, false AS is_valid, ' ' AS "comment"
         FROM merged
     """
@@ -328,7 +325,7 @@ def load_two_days(spark: SparkSession, sf: str, feed: Feed, dimensions=None, buc
 
 
 def shown_target(store: SnapshotStore) -> DataFrame:
-    target = store.read("target")
+    target = store.read("target").drop("id")
     return stamp_text(target, *[f.name for f in target.schema.fields if f.dataType.typeName() == "timestamp"])
 
 
@@ -473,6 +470,23 @@ def audit_counts(spark: SparkSession, sf: str) -> DataFrame:
     return audit.drop("created_date", "start_time", "end_time", "duration")
 
 
+@scenario(
+    f"""
+    WITH d1 AS ({_full(LINES, False)}), d2 AS ({_full(LINES, True)}),
+    n AS (SELECT (SELECT count(*) FROM d1) AS n1, (SELECT count(*) FROM d2 ANTI JOIN d1 USING ({_KEYS})) AS n2)
+    SELECT '{RUN_TEXT}' AS created_date, 1::BIGINT AS first_id, n1 AS last_id, n1 AS rows, n1 AS ids FROM n
+    UNION ALL
+    SELECT '{LATER_TEXT}', n1 + 1, n1 + n2, n2, n2 FROM n
+    """
+)
+def dense_row_ids(spark: SparkSession, sf: str) -> DataFrame:
+    """Ids are dense in each load and survive updates."""
+    target = load_two_days(spark, sf, LINES, preserve_created=True).read("target")
+    ids = [F.min("id").alias("first_id"), F.max("id").alias("last_id"), F.count("*").alias("rows")]
+    ids.append(F.countDistinct("id").alias("ids"))
+    return stamp_text(target, "created_date").groupBy("created_date").agg(*ids)
+
+
 EVENT_SQL = """
     SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, user_id, event_type, CAST(value AS DECIMAL(16,6)) AS value, props
     FROM events
