@@ -17,6 +17,7 @@ from ..spec import AUDIT_COLUMNS, EntitySpec, GateRule, LookupRule
 
 DIMENSIONS, DIMENSION, EXTRA = "dimensions", "dimension", "extra"
 DIMENSION_SCHEMA = {"id": "bigint", "code": "string", "name": "string"} | AUDIT_COLUMNS
+STORED_SCHEMA = ", ".join(f"`{c}` {t}" for c, t in DIMENSION_SCHEMA.items()) + f", {EXTRA} map<string,string>, {DIMENSION} string"
 
 
 class Dimensions:
@@ -42,9 +43,12 @@ class Dimensions:
     def stored(self, name: str) -> DataFrame:
         """A registered dimension; the filter on the partition column prunes the other dimensions' files."""
         if self.stored_rows is None:
-            self.stored_rows = self.store.read_segments(DIMENSIONS, self.segments)
+            self.stored_rows = self._read(self.segments)
         return self.stored_rows.filter(F.col(DIMENSION) == name).drop(DIMENSION, SEGMENT)
 
+    def _read(self, segments: list[str]) -> DataFrame:
+        return self.store.read_segments(DIMENSIONS, segments, STORED_SCHEMA)
+
     def strategy(self, rule: LookupRule) -> dict:
         """How to join a registered dimension; its greatest id bounds its rows from above or close to it."""
         if self.counters.get(rule.dimension, 0) <= self.options.broadcast_rows:
@@ -70,7 +74,7 @@ class Dimensions:
         self._used_codes(rows, spec).write.parquet(staged)
         self.code_counts = spark.read.parquet(staged)
 
-        known = [self.store.read_segments(DIMENSIONS, self.segments)] if self.segments else []
+        known = [self._read(self.segments)] if self.segments else []
         known = [part.select(DIMENSION, "code") for part in [*known, *parts]]
         fresh = self.code_counts.select(DIMENSION, "code")
         if known:
@@ -85,9 +89,9 @@ class Dimensions:
 
         replaced = self.segments if len(self.segments) >= options.compact_after else []
         if replaced:
-            parts = [self.store.read_segments(DIMENSIONS, replaced).drop(SEGMENT), *parts]
+            parts = [self._read(replaced).drop(SEGMENT), *parts]
         segment = self.store.write_segment(DIMENSIONS, added, *parts, partition_by=[DIMENSION])
-        new = self.store.read_segments(DIMENSIONS, [segment])
+        new = self._read([segment])
         tallies = new.groupBy(DIMENSION).agg(F.max("id").alias("top")).collect()
         if tallies:
             self.segments = [s for s in self.segments if s not in replaced] + [segment]

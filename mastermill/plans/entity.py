@@ -68,7 +68,7 @@ class RunOptions:
 
 def open_store(spark, root: str, spec: EntitySpec, buckets: int = 0) -> SnapshotStore:
     """Store of one entity; with ``buckets`` its target and state are clustered by the row key."""
-    return SnapshotStore(spark, root, buckets, {TARGET: spec.delta_keys, STATE: spec.delta_keys})
+    return SnapshotStore(spark, root, buckets, {TARGET: spec.cluster_keys, STATE: spec.cluster_keys})
 
 
 def conform_extract(extract: DataFrame, spec: EntitySpec, region: str = "") -> DataFrame:

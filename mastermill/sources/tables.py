@@ -163,8 +163,11 @@ class SnapshotStore:
             first = first.unionByName(part)
         return first
 
-    def read_segments(self, table: str, segments: Iterable[str]) -> DataFrame | None:
-        """The rows of the given segments with their ``segment`` id."""
+    def read_segments(self, table: str, segments: Iterable[str], schema: str | None = None) -> DataFrame | None:
+        """The rows of the given segments with their ``segment`` id.
+
+        A partitioned table needs its ``schema``: a segment without rows has no file to take it from.
+        """
         segments = list(segments)
         if not segments:
             return None
@@ -172,7 +175,8 @@ class SnapshotStore:
         paths = [f"{base}/{SEGMENT}={s}" for s in segments]
         keys = self.bucket_keys.get(table)
         if not (self.buckets and keys):
-            return self.spark.read.option("basePath", base).parquet(*paths)
+            reader = self.spark.read.option("basePath", base)
+            return (reader.schema(f"{schema}, {SEGMENT} string") if schema else reader).parquet(*paths)
         schema = self.spark.read.parquet(paths[0]).schema
         fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
         names = ", ".join(f"`{k}`" for k in keys)

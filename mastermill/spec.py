@@ -102,6 +102,13 @@ class EntitySpec:
         """Keys that identify a row in the state and target tables."""
         return self.merge_keys or self.keys
 
+    @property
+    def cluster_keys(self) -> tuple[str, ...]:
+        """The keys that vary within an extract. Catalyst folds constant ones out of shuffles and joins, so
+        stored rows clustered by the others line up with an extract."""
+        fixed = set(self.constants) | ({"rgcd"} if self.region_default else set())
+        return tuple(k for k in self.delta_keys if k not in fixed)
+
     @property
     def code_columns(self) -> tuple[str, ...]:
         return self.code_from or self.delta_keys
