@@ -19,12 +19,15 @@ from .schema import audit_values
 _CODE, _SALT, _HIT = "_lookup_code", "_lookup_salt", "_lookup_hit"
 HOT_CODES = 64
 ID_BUCKET_DIGITS = 3
+FLAG_SLOTS = 16
 PLACEHOLDER_NAME = "to be filled"
 
 
 def one_per_code(dim: DataFrame, values: Sequence[str] = ("id",)) -> DataFrame:
     """One row per non-null code (the smallest value row), so that a lookup cannot multiply rows."""
     dim = dim.filter(F.col("code").isNotNull())
+    if len(values) == 1:
+        return dim.groupBy("code").agg(F.min(values[0]).alias(values[0]))
     return dim.groupBy("code").agg(F.min(F.struct(*values)).alias("_v")).select("code", "_v.*")
 
 
@@ -217,7 +220,8 @@ def qualifying_codes(
 ) -> DataFrame:
     """Distinct codes with an applied action that takes effect on the file date and whose flag is set.
 
-    The date test is a half-open range on the stored timestamp, so the scan can prune by it.
+    The date test is a half-open range on the stored timestamp, so the scan can prune by it. Most actions
+    point at the same one or two flags; the few flag rows are repeated to spread them.
     """
     start = datetime(file_date.year, file_date.month, file_date.day)
     active = actions.filter(
@@ -226,8 +230,11 @@ def qualifying_codes(
         & (F.col("effdt") < F.lit((start + timedelta(days=1)).isoformat(" ")).cast("timestamp"))
     )
     on = flags.filter(F.col("code") == flag_code).select(F.col("id").cast("string").alias("attr"))
-    active = active.select(F.col("code").cast("string").alias("code"), F.col("attr").cast("string").alias("attr"))
-    return active.join(on, "attr", "left_semi").select("code").distinct()
+    on = on.distinct().withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(FLAG_SLOTS - 1))))
+    code = F.col("code").cast("string")
+    slot = F.pmod(F.xxhash64(code), F.lit(FLAG_SLOTS)).cast("int")
+    active = active.select(code.alias("code"), F.col("attr").cast("string").alias("attr"), slot.alias(_SALT))
+    return active.join(on, ["attr", _SALT], "left_semi").select("code").distinct()
 
 
 def action_gate(df: DataFrame, codes: DataFrame, code: Column, gated: Sequence[str]) -> DataFrame:

@@ -16,6 +16,7 @@ from ..sources.tables import SEGMENT, Commit, SnapshotStore
 from ..spec import AUDIT_COLUMNS, EntitySpec, GateRule, LookupRule
 
 DIMENSIONS, DIMENSION, EXTRA = "dimensions", "dimension", "extra"
+ROW_OVERHEAD = 64  # bytes of a broadcast row besides its code
 DIMENSION_SCHEMA = {"id": "bigint", "code": "string", "name": "string"} | AUDIT_COLUMNS
 STORED_SCHEMA = ", ".join(f"`{c}` {t}" for c, t in DIMENSION_SCHEMA.items()) + f", {EXTRA} map<string,string>, {DIMENSION} string"
 
@@ -50,8 +51,9 @@ class Dimensions:
         return self.store.read_segments(DIMENSIONS, segments, STORED_SCHEMA)
 
     def strategy(self, rule: LookupRule) -> dict:
-        """How to join a registered dimension; its greatest id bounds its rows from above or close to it."""
-        if self.counters.get(rule.dimension, 0) <= self.options.broadcast_rows:
+        """How to join a registered dimension, by the rows and code bytes it was counted to hold."""
+        rows, size = self.counters.get(rule.dimension, 0), self.counters.get(f"{rule.dimension}.bytes", 0)
+        if rows * ROW_OVERHEAD + size <= self.options.broadcast_bytes:
             return {"small": True}
         if rule.salt < 2:
             return {}
@@ -92,12 +94,15 @@ class Dimensions:
             parts = [self._read(replaced).drop(SEGMENT), *parts]
         segment = self.store.write_segment(DIMENSIONS, added, *parts, partition_by=[DIMENSION])
         new = self._read([segment])
-        tallies = new.groupBy(DIMENSION).agg(F.max("id").alias("top")).collect()
+        size = F.sum(F.octet_length("code")).alias("bytes")
+        tallies = new.groupBy(DIMENSION).agg(F.max("id").alias("top"), size).collect()
         if tallies:
             self.segments = [s for s in self.segments if s not in replaced] + [segment]
         for tally in tallies:
-            self.counters[tally[DIMENSION]] = max(tally["top"] or 0, tops.get(tally[DIMENSION], 0))
-            self.grown.add(tally[DIMENSION])
+            name, before = tally[DIMENSION], 0 if replaced else self.counters.get(f"{tally[DIMENSION]}.bytes", 0)
+            self.counters[name] = max(tally["top"] or 0, tops.get(name, 0))
+            self.counters[f"{name}.bytes"] = before + (tally["bytes"] or 0)
+            self.grown |= {name, f"{name}.bytes"}
 
     def _seed(self, name: str) -> DataFrame:
         """A given dimension as rows of the store, the smallest id for each code."""

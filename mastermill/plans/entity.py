@@ -49,8 +49,8 @@ TARGET, STATE, AUDIT = "target", "state", "run_audit"
 class RunOptions:
     """Choices of one run that are not part of the entity.
 
-    ``compact_after`` is the number of segments after which a run rewrites them as one; ``broadcast_rows`` the
-    greatest row count of a registered dimension that is broadcast.
+    ``compact_after`` is the number of segments after which a run rewrites them as one; ``broadcast_bytes`` the
+    greatest counted size of a registered dimension that is broadcast.
     """
 
     run_ts: datetime = field(default_factory=lambda: datetime.now(timezone.utc))
@@ -63,7 +63,7 @@ class RunOptions:
     preserve_created: bool = False
     narrow_inserts: bool = False
     compact_after: int = 64
-    broadcast_rows: int = 200_000
+    broadcast_bytes: int = 64 << 20
 
 
 def open_store(spark, root: str, spec: EntitySpec, buckets: int = 0) -> SnapshotStore:

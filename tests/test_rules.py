@@ -30,11 +30,11 @@ def dimension(store, name):
     return {r.code: r.id for r in dim.collect()}
 
 
-@pytest.mark.parametrize("broadcast_rows", [200_000, 0], ids=["broadcast", "salted"])
-def test_customer_rules(spark, tmp_path, run_ts, broadcast_rows):
+@pytest.mark.parametrize("broadcast_bytes", [1 << 20, 0], ids=["broadcast", "salted"])
+def test_customer_rules(spark, tmp_path, run_ts, broadcast_bytes):
     store = open_store(spark, str(tmp_path / "s"), CUSTOMER)
     seed = spark.createDataFrame([(7, "A", "seeded", "z"), (9, "A", "double", "z")], "id bigint, code string, name string, rgcd string")
-    record = run_entity(store, CUSTOMER, customers(spark, DAY_ONE), RunOptions(run_ts=run_ts, broadcast_rows=broadcast_rows), {"x_chain": seed})
+    record = run_entity(store, CUSTOMER, customers(spark, DAY_ONE), RunOptions(run_ts=run_ts, broadcast_bytes=broadcast_bytes), {"x_chain": seed})
     assert (record.csv_count, record.data_insert_count) == (4, 2)
     # Codes come from rows that the preceding rules keep: customer 3 has no chain, customer 4 no ship-to.
     assert dimension(store, "x_chain") == {"A": 7, "B": 10}
@@ -47,7 +47,7 @@ def test_customer_rules(spark, tmp_path, run_ts, broadcast_rows):
     target = store.read("target")
     assert rows(target, "custid", "name", "chainc", "shpto") == [("1", "n1", 7, 1), ("2", "n2", 7, 1)]
 
-    options = RunOptions(run_ts=LATER, broadcast_rows=broadcast_rows)
+    options = RunOptions(run_ts=LATER, broadcast_bytes=broadcast_bytes)
     again = run_entity(store, CUSTOMER, customers(spark, DAY_ONE), options, {"x_chain": seed})
     assert (again.data_insert_count, again.data_update_count) == (0, 0)
     moved = run_entity(store, CUSTOMER, customers(spark, [("1", "n1", "C", "x", "1234567", "9999991")]), options)
