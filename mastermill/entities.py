@@ -43,12 +43,13 @@ CUSTOMER = EntitySpec(
     keys=("custid",),
     constants={"grp": "", "mngrp": ""},
     drop=("sldtd", "mmbygrp", "sldtod", "mmexcll", "record_action"),
+    # One chain, group, ship-to or sold-to may own a large share of the customers: ``salt`` spreads its rows
+    # once the dimension is too large to broadcast.
     rules=(
-        register("chainc", "x_chain"),
-        register("chnl", "x_channel"),
-        register("grp", "x_customer_group"),
-        register("mngrp", "x_customer_main_group"),
-        # One ship-to or sold-to may own a large share of the customers: spread its rows.
+        register("chainc", "x_chain", salt=16),
+        register("chnl", "x_channel", salt=16),
+        register("grp", "x_customer_group", salt=16),
+        register("mngrp", "x_customer_main_group", salt=16),
         register("shpto", "x_ship_to", prefix=6, salt=16),
         register("sldto", "x_sold_to", prefix=6, salt=16),
     ),
@@ -134,17 +135,18 @@ PART_REGIONAL = EntitySpec(
     drop=("lpp_part",),
     category_ladder=True,
     rules=(
-        register("prod_cd5", "x_product_code_1_digit", "prod_cd1", prefix=1),
-        register("prod_cd5", "x_product_code_3_digit", "prod_cd3", prefix=3),
+        register("prod_cd5", "x_product_code_1_digit", "prod_cd1", prefix=1, salt=16),
+        register("prod_cd5", "x_product_code_3_digit", "prod_cd3", prefix=3, salt=16),
         LookupRule(
             "mktcd",
             "x_market_code",
             {f"mktcdl{n}": (f"level{n}", "int") for n in range(1, 6)},
             missing="null",
             require_source=True,
+            salt=16,
         ),
         LookupRule("part_num", "p_lifecycle_stage", {"lfcycle": ("id", "bigint")}, missing="null"),
-        LookupRule("rgcd", "p_pricing_region", {"rgcd": ("id", "bigint")}, missing="drop"),
+        LookupRule("rgcd", "p_pricing_region", {"rgcd": ("id", "bigint")}, missing="drop", salt=16),
         register("part_num", "x_sub_brand", "sub_brand"),
         GateRule(
             "part_num",

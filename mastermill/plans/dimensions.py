@@ -51,8 +51,15 @@ class Dimensions:
         return self.store.read_segments(DIMENSIONS, segments, STORED_SCHEMA)
 
     def strategy(self, rule: LookupRule) -> dict:
-        """How to join a registered dimension, by the rows and code bytes it was counted to hold."""
-        rows, size = self.counters.get(rule.dimension, 0), self.counters.get(f"{rule.dimension}.bytes", 0)
+        """How to join a dimension: broadcast when its rows and code bytes, as counted, fit the limit; beyond
+        it a shuffle join, whose frequent codes are spread if the rule has a ``salt``."""
+        if rule.missing == "register":
+            rows, size = self.counters.get(rule.dimension, 0), self.counters.get(f"{rule.dimension}.bytes", 0)
+        elif rule.salt > 1:
+            size = F.coalesce(F.sum(F.octet_length(F.col("code").cast("string"))), F.lit(0))
+            rows, size = self.given_frame(rule.dimension).agg(F.count("*"), size).first()
+        else:
+            return {}  # codes are unique in the rows: Catalyst's own choice is safe
         if rows * ROW_OVERHEAD + size <= self.options.broadcast_bytes:
             return {"small": True}
         if rule.salt < 2:
@@ -66,19 +73,22 @@ class Dimensions:
 
         One scan counts the codes of every rule; the counts also tell which codes are frequent.
         """
-        names = [r.dimension for r in spec.rules if isinstance(r, LookupRule) and r.missing == "register"]
-        if not names:
+        lookups = [r for r in spec.rules if isinstance(r, LookupRule)]
+        names = [r.dimension for r in lookups if r.missing == "register"]
+        if not names and all(r.salt < 2 for r in lookups):
             return
         spark = self.store.spark
-        seeds = [n for n in names if n in self.given and n not in self.counters]
-        parts = [self._seed(n) for n in seeds]
         staged = new_work_path(spark, f"{spec.name}-codes")
         self._used_codes(rows, spec).write.parquet(staged)
         self.code_counts = spark.read.parquet(staged)
+        if not names:
+            return
+        seeds = [n for n in names if n in self.given and n not in self.counters]
+        parts = [self._seed(n) for n in seeds]
 
         known = [self._read(self.segments)] if self.segments else []
         known = [part.select(DIMENSION, "code") for part in [*known, *parts]]
-        fresh = self.code_counts.select(DIMENSION, "code")
+        fresh = self.code_counts.filter(F.col(DIMENSION).isin(names)).select(DIMENSION, "code")
         if known:
             fresh = fresh.join(functools.reduce(DataFrame.unionByName, known), [DIMENSION, "code"], "left_anti")
         tops = dict(self.counters)
@@ -115,7 +125,7 @@ class Dimensions:
         return seed.select(F.lit(name).alias(DIMENSION), *common, extra.alias(EXTRA))
 
     def _used_codes(self, rows: DataFrame, spec: EntitySpec) -> DataFrame:
-        """``dimension, code, rows`` over the rows that reach each registering rule.
+        """``dimension, code, rows`` over the rows that reach each rule that registers or spreads codes.
 
         A row reaches a rule when the preceding rules keep it: their sources are not null and, where a rule
         drops rows, the code is known. The counts are combined in the map tasks.
@@ -127,10 +137,10 @@ class Dimensions:
             code = code_prefix(rule.source, rule.prefix)
             if rule.require_source or rule.missing != "null":
                 reached = reached & F.col(rule.source).isNotNull()
-            if rule.missing == "register":
+            if rule.missing == "register" or rule.salt > 1:
                 entry = F.struct(F.lit(rule.dimension).alias(DIMENSION), code.alias("code"))
-                entries.append(F.when(reached, entry))
-            elif rule.missing == "drop":
+                entries.append(F.when(reached & code.isNotNull(), entry))
+            if rule.missing == "drop":
                 known = self.given_frame(rule.dimension).select(F.col("code").cast("string").alias(f"_code{n}"))
                 known = known.distinct().withColumn(f"_known{n}", F.lit(True))
                 rows = rows.join(known, code == F.col(f"_code{n}"), "left")

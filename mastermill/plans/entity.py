@@ -115,16 +115,16 @@ def resolve_codes(df: DataFrame, spec: EntitySpec, dims: Dimensions, options: Ru
         if isinstance(rule, GateRule):
             df = _gate(df, rule, dims, options)
             continue
-        code, how = code_prefix(rule.source, rule.prefix), {}
+        code = code_prefix(rule.source, rule.prefix)
         if rule.require_source or rule.missing != "null":
             df = require_source(df, rule.source)
         if rule.missing == "register":
-            dim, how = dims.stored(rule.dimension), dims.strategy(rule)
+            dim = dims.stored(rule.dimension)
         else:
             values = list(dict.fromkeys(value for value, _ in rule.outputs.values()))
             dim = one_per_code(dims.given_frame(rule.dimension), values)
         lookup = {"register": lookup_required, "null": lookup_optional, "drop": lookup_or_drop}[rule.missing]
-        df = lookup(df, dim, code, rule.outputs, **how)
+        df = lookup(df, dim, code, rule.outputs, **dims.strategy(rule))
     return df
 
 

@@ -3,17 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mastermill import ENTITIES, EntitySpec, RunOptions, open_store, run_day, run_entity
-from mastermill.operators import region_code
+from mastermill.operators import conform, region_code
 from mastermill.plans.entity import AUDIT
 from mastermill.session import new_work_path
-from mastermill.sources import SnapshotStore, read_extract
+from mastermill.sources import SnapshotStore, append_table, read_extract, read_table
 from mastermill.spec import AUDIT_COLUMNS, GateRule, LookupRule
 from mastermill.streaming import ingest_stream, stream_rows
 
@@ -371,7 +371,7 @@ CUSTOMER = Feed(
     first_day="c_acctbal > 1000",
     changes={
         "chainc": "CASE WHEN c_mktsegment = 'BUILDING' THEN 'HOUSES' ELSE c_mktsegment END",
-        "sldto_d": "c_name",
+        "sldto_d": "CASE WHEN c_nationkey > 20 THEN c_name ELSE c_mktsegment END",
         "cdisccd": "CASE WHEN c_nationkey < 5 THEN '-1' ELSE CAST(c_nationkey AS STRING) END",
     },
     junk={"mmexcll": "'x'"},
@@ -503,16 +503,11 @@ def _event_files(spark: SparkSession, sf: str) -> str:
 
 @scenario(EVENT_SQL)
 def extract_rows(spark: SparkSession, sf: str) -> DataFrame:
-    from mastermill.operators import conform
-
     return conform(read_extract(spark, _event_files(spark, sf)), EVENT_SCHEMA)
 
 
 @scenario(EVENT_SQL)
 def stream_extract_rows(spark: SparkSession, sf: str) -> DataFrame:
-    from mastermill.operators import conform
-    from mastermill.sources import append_table, read_table
-
     path, out = _event_files(spark, sf), new_work_path(spark, "streamed")
     stream = stream_rows(spark, path, table(spark, sf, "events").columns)
     writer = stream.writeStream.foreachBatch(lambda batch, _: append_table(conform(batch, EVENT_SCHEMA), out))
@@ -529,8 +524,6 @@ def stream_extract_rows(spark: SparkSession, sf: str) -> DataFrame:
 )
 def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
     """Every file of a directory loaded by the file stream, each as its own commit."""
-    from dataclasses import replace
-
     feed = BY_NAME["franchise"]
     spec = replace(feed.spec, files={"AUS": "part-"})
     base = new_work_path(spark, "franchise-stream")

@@ -80,9 +80,10 @@ def parts(spark, guard=True):
     return df.selectExpr("*", "'a' AS Franc_code", "'b' AS brand_code", "'c' AS prod_code") if guard else df
 
 
-def test_part_rules(spark, tmp_path, run_ts):
+@pytest.mark.parametrize("broadcast_bytes", [1 << 20, 0], ids=["broadcast", "salted"])
+def test_part_rules(spark, tmp_path, run_ts, broadcast_bytes):
     store = open_store(spark, str(tmp_path / "s"), PART)
-    options = RunOptions(run_ts=run_ts, file_date=date(2024, 5, 8), narrow_inserts=True)
+    options = RunOptions(run_ts=run_ts, file_date=date(2024, 5, 8), narrow_inserts=True, broadcast_bytes=broadcast_bytes)
     record = run_entity(store, PART, parts(spark), options, part_dimensions(spark))
     assert (record.csv_count, record.data_insert_count) == (5, 2)
     target = store.read("target")
