@@ -6,6 +6,7 @@ from collections.abc import Mapping
 from dataclasses import replace
 from datetime import date
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 
 from ..sources.files import discover_files, read_extract
@@ -26,35 +27,44 @@ def run_day(
 ) -> list[RunRecord]:
     """Load the files in ``<root>/<region>`` that carry the entity's prefix and the day.
 
-    A file that fails is audited and the next one is tried, unless ``fail_fast``. Each file is its own commit,
-    and its name is the run id, so running the day again skips the files already loaded.
+    A region whose directory cannot be listed, or a file that fails, is audited and the next one is tried,
+    unless ``fail_fast``. Each file is its own commit and its name is the run id, so running the day again skips
+    the files already loaded.
     """
     options = options or RunOptions()
-    records = []
-    files = discover_files(store.spark, root, spec.files, day).orderBy("region", "file_name").collect()
-    for file in files:
-        run = replace(
-            options,
-            region=file["region"],
-            file_name=file["file_name"],
-            file_date=file["file_date"] or day,
-            run_id=options.run_id or f"{file['region']}/{file['file_name']}",
-        )
-        record = RunRecord(spec.name, run.file_name, run.region)
+    records: list[RunRecord] = []
+
+    def failed(record: RunRecord, error: Exception) -> None:
+        append_audit(store.spark, record.close(FAILED, str(error)), f"{store.root}/{AUDIT}")
+        records.append(record)
+
+    for region, prefix in spec.files.items():
         try:
-            if not file["accepted"]:
-                raise ValueError(f"unsupported file type: {file['file_name']}")
-            extract = read_extract(store.spark, file["path"])
-        except Exception as error:
-            append_audit(store.spark, record.close(FAILED, str(error)), f"{store.root}/{AUDIT}")
-            records.append(record)
+            found = discover_files(store.spark, root, {region: prefix}, day).orderBy("file_name").collect()
+        except AnalysisException as error:
+            failed(RunRecord(spec.name, region=region), error)
             if fail_fast:
                 raise
             continue
-        try:
-            records.append(run_entity(store, spec, extract, run, dimensions))
-        except Exception as error:
-            if fail_fast:
-                raise
-            records.append(record.close(FAILED, str(error)))
+        for file in found:
+            name = file["file_name"]
+            record = RunRecord(spec.name, name, region)
+            try:
+                if not file["accepted"]:
+                    raise ValueError(f"unsupported file type: {name}")
+                extract = read_extract(store.spark, file["path"])
+            except Exception as error:
+                failed(record, error)
+                if fail_fast:
+                    raise
+                continue
+            run = replace(
+                options, region=region, file_name=name, file_date=file["file_date"] or day, run_id=f"{region}/{name}"
+            )
+            try:
+                records.append(run_entity(store, spec, extract, run, dimensions))
+            except Exception as error:
+                records.append(record.close(FAILED, str(error)))
+                if fail_fast:
+                    raise
     return records

@@ -152,12 +152,14 @@ def run_entity(
     """
     options = options or RunOptions()
     record = RunRecord(spec.name, options.file_name, options.region)
-    audit = f"{store.root}/{AUDIT}"
+    audit, before = f"{store.root}/{AUDIT}", set(store.registered)
     try:
         _load(store, spec, extract, options, dimensions or {}, record)
     except Exception as error:
         append_audit(store.spark, record.close(FAILED, str(error)), audit)
         raise
+    finally:
+        store.release(keep=before)
     append_audit(store.spark, record, audit)
     return record
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import uuid
 from collections.abc import Iterable, Mapping, Sequence
@@ -85,6 +86,7 @@ class SnapshotStore:
         self.root = root.rstrip("/")
         self.buckets = buckets
         self.bucket_keys = dict(bucket_keys or {})
+        self.registered: set[str] = set()
 
     # -- commits ---------------------------------------------------------------------------------------
 
@@ -180,15 +182,23 @@ class SnapshotStore:
         schema = self.spark.read.parquet(paths[0]).schema
         fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
         names = ", ".join(f"`{k}`" for k in keys)
-        name = f"mastermill_{uuid.uuid4().hex}"
+        identity = hashlib.sha1("|".join([base, str(self.buckets), *segments]).encode()).hexdigest()
+        name = f"mastermill_{identity}"
+        self.registered.add(name)
         self.spark.sql(
-            f"CREATE TABLE {name} ({fields}, {SEGMENT} string) USING parquet PARTITIONED BY ({SEGMENT}) "
+            f"CREATE TABLE IF NOT EXISTS {name} ({fields}, {SEGMENT} string) USING parquet PARTITIONED BY ({SEGMENT}) "
             f"CLUSTERED BY ({names}) SORTED BY ({names}) INTO {self.buckets} BUCKETS LOCATION '{base}'"
         )
         adds = " ".join(f"PARTITION ({SEGMENT}='{s}') LOCATION '{p}'" for s, p in zip(segments, paths))
-        self.spark.sql(f"ALTER TABLE {name} ADD {adds}")
+        self.spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {adds}")
         return self.spark.table(name)
 
+    def release(self, keep: Iterable[str] = ()) -> None:
+        """Drop the catalog entries made for bucketed reads; the files stay. Frames read before are then void."""
+        for name in self.registered - set(keep):
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        self.registered &= set(keep)
+
     def read(self, table: str, at: Commit | None = None) -> DataFrame | None:
         """The published rows of a table, without the segment id; ``None`` before the first commit."""
         rows = self.read_segments(table, self.live_segments(table, at or self.head()))

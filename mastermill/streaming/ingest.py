@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.keys import file_date
-from ..plans.entity import RunOptions, run_entity
+from ..plans.audit import FAILED, RunRecord, append_audit
+from ..plans.entity import AUDIT, RunOptions, run_entity
 from ..sources.files import is_accepted, read_extract
 from ..sources.tables import SnapshotStore
 from ..spec import EntitySpec
@@ -51,15 +52,21 @@ def ingest_stream(
     """Load every new extract of a region directory with :func:`run_entity`.
 
     The stream carries file names, at most ``max_files`` per batch, because headers differ from file to file;
-    the rows are read by the batch. A batch may be delivered twice after a failure: files are skipped by name
+    the rows are read by the batch. A file of another type is audited as failed. A batch may be delivered twice after a failure: files are skipped by name
     once they are published.
     """
     options = options or RunOptions()
     spark = store.spark
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        chosen = batch.filter(is_accepted(F.col("file_name"))).withColumn("file_date", file_date(F.col("file_name")))
+        name = F.col("file_name")
+        chosen = batch.withColumns({"file_date": file_date(name), "accepted": is_accepted(name)})
         for file in chosen.orderBy("file_name").collect():
+            if not file["accepted"]:
+                record = RunRecord(spec.name, file["file_name"], region)
+                message = f"unsupported file type: {file['file_name']}"
+                append_audit(spark, record.close(FAILED, message), f"{store.root}/{AUDIT}")
+                continue
             run = replace(
                 options,
                 region=region,

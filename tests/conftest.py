@@ -16,6 +16,7 @@ def spark(tmp_path_factory):
         "local[4]",
         spark__sql__shuffle__partitions="4",
         spark__ui__enabled="false",
+        spark__sql__codegen__wholeStage="false",  # tiny inputs: compiling costs more than it saves
         spark__driver__memory="4g",
         spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")),
         spark__sql__warehouse__dir=str(tmp_path_factory.mktemp("warehouse")),

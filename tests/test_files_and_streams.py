@@ -1,6 +1,7 @@
 """File selection, the day's run, and incremental ingest, on real files."""
 
 import gzip
+from dataclasses import replace
 from datetime import date
 
 import pytest
@@ -73,8 +74,18 @@ def test_run_day(spark, inbound, tmp_path, run_ts):
     audit = spark.read.parquet(f"{store.root}/{AUDIT}")
     assert rows(audit, "status") == [("Failed",), ("Failed",), ("Success",), ("Success",)]
     head = store.head()
+    two_regions = replace(SUPPLIER, files={"OCA": "OCASUPPLR_2024", "AUS": "AUSSUPPLR_2024"})
+    again = run_day(store, two_regions, str(inbound), DAY, RunOptions(run_ts=run_ts))
+    assert again[0].region == "OCA" and "PATH_NOT_FOUND" in again[0].error_message
+    assert [r.status for r in again] == ["Failed", "Skipped", "Failed", "Failed", "Skipped"] and store.head() == head
+
+
+def test_run_day_skips_loaded_files(spark, inbound, tmp_path, run_ts):
+    store = open_store(spark, str(tmp_path / "store"), SUPPLIER)
+    run_day(store, SUPPLIER, str(inbound), DAY, RunOptions(run_ts=run_ts))
+    head = store.head()
     again = run_day(store, SUPPLIER, str(inbound), DAY, RunOptions(run_ts=run_ts))
-    assert [r.status for r in again] == ["Skipped", "Failed", "Failed", "Skipped"] and store.head() == head
+    assert [r.status for r in again] == ["Skipped"] and store.head() == head
 
 
 def test_ingest_stream_loads_each_file_once(spark, inbound, tmp_path, run_ts):
@@ -88,7 +99,10 @@ def test_ingest_stream_loads_each_file_once(spark, inbound, tmp_path, run_ts):
     assert poll().version == 1 and poll().version == 1
     # A reordered, lower-case header is read by name.
     put(inbound / "AUS", "AUSSUPPLR_2024_20240509.csv", "vaname,vacode\nnine,S9\nuno,S1\n")
+    put(inbound / "AUS", "AUSSUPPLR_2024_20240509.csv.pgp", "secret")
     assert poll().version == 2
+    audit = spark.read.parquet(f"{store.root}/{AUDIT}").filter("status = 'Failed'")
+    assert rows(audit, "file_name") == [("AUSSUPPLR_2024_20240509.csv.pgp",)]
     assert rows(store.read("target"), "vacode", "vaname") == [("S1", "uno"), ("S2", "two, quoted"), ("S9", "nine")]
 
 
