@@ -13,8 +13,8 @@ from mastermill import ENTITIES, EntitySpec, RunOptions, open_store, run_day, ru
 from mastermill.operators import conform, region_code
 from mastermill.plans.entity import AUDIT
 from mastermill.session import new_work_path
-from mastermill.sources import SnapshotStore, append_table, read_extract, read_table
-from mastermill.spec import AUDIT_COLUMNS, GateRule, LookupRule
+from mastermill.sources import SnapshotStore, append_table, read_extract, read_table, replace_table
+from mastermill.spec import AUDIT_COLUMNS, AUDIT_DATES, GateRule, LookupRule
 from mastermill.streaming import ingest_stream, stream_rows
 
 from .base import (
@@ -28,6 +28,7 @@ from .base import (
     scenario,
     sql_id_order,
     sql_rank,
+    sql_text,
     stamp_text,
     table,
 )
@@ -487,6 +488,46 @@ def dense_row_ids(spark: SparkSession, sf: str) -> DataFrame:
     return stamp_text(target, "created_date").groupBy("created_date").agg(*ids)
 
 
+def _hash_sql(spec: EntitySpec) -> str:
+    stamps = {"comment": "' '", "created_by": "'system'", "is_valid": "false", "updated_by": "'system'"}
+    stamps["validationstatus"] = f"'{spec.validation_status}'"
+    casts = {c: f"epoch_us({c})" for c, t in spec.target_columns.items() if t == "timestamp"}
+    return f"sha1({sql_text([c for c in spec.target_columns if c not in AUDIT_DATES], casts | stamps)})"
+
+
+@scenario(
+    f"""
+    WITH d1 AS ({_full(LINES, False)}), d2 AS ({_full(LINES, True)}),
+    latest AS (SELECT * FROM d2 UNION ALL SELECT * FROM d1 ANTI JOIN d2 USING ({_KEYS}))
+    SELECT {_KEYS}, concat(CAST(cordno AS VARCHAR), CAST(cinvno AS VARCHAR), cpartno) AS code,
+           {_hash_sql(LINES.spec)} AS hash_value
+    FROM latest
+    """
+)
+def stored_state(spark: SparkSession, sf: str) -> DataFrame:
+    """After both days the state holds the fingerprint of every current row."""
+    return load_two_days(spark, sf, LINES).read("state").drop("check_sum")
+
+
+@scenario(
+    """
+    SELECT 'appended' AS step, c_custkey, c_name, c_mktsegment FROM customer
+    UNION ALL
+    SELECT 'replaced', c_custkey, c_name, c_mktsegment FROM customer WHERE c_mktsegment <> 'BUILDING'
+    """
+)
+def appended_and_replaced(spark: SparkSession, sf: str) -> DataFrame:
+    customers = table(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    others = customers.filter("c_mktsegment <> 'BUILDING'")
+    grown, staged = new_work_path(spark, "grown"), new_work_path(spark, "staged")
+    append_table(customers.filter("c_mktsegment = 'BUILDING'"), grown)
+    append_table(others, grown)
+    replace_table(customers, staged)
+    replace_table(others, staged)
+    frames = [read_table(spark, path).withColumn("step", F.lit(step)) for path, step in ((grown, "appended"), (staged, "replaced"))]
+    return frames[0].unionByName(frames[1])
+
+
 EVENT_SQL = """
     SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, user_id, event_type, CAST(value AS DECIMAL(16,6)) AS value, props
     FROM events
