@@ -347,7 +347,7 @@ BY_NAME = {feed.entity: feed for feed in FEEDS}
 
 def entity_coninv_bucketed(spark: SparkSession, sf: str) -> DataFrame:
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return shown_target(load_two_days(spark, sf, BY_NAME["coninv"], buckets=min(buckets, 200)))
+    return shown_target(load_two_days(spark, sf, BY_NAME["coninv"], buckets=min(buckets, 16)))
 
 
 scenario(ORACLES["entity_coninv"])(entity_coninv_bucketed)
