@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
+
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,6 +22,18 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Give the workers this package, once per Spark context, as ``--py-files`` would."""
+    sc = spark.sparkContext
+    if getattr(sc, "_mastermill_shipped", False):
+        return
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    folder = tempfile.mkdtemp(prefix="mastermill-package-")  # on the driver, which serves the file
+    root, name = os.path.split(package)
+    sc.addPyFile(shutil.make_archive(os.path.join(folder, name), "zip", root, name))
+    sc._mastermill_shipped = True
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -4,8 +4,10 @@ Tokens are runs of letters, digits and non-ASCII characters, and runs of other v
 pairs of neighbours are hashed to two times 65,536 buckets. Two multinomials are counted over whole tables: all
 documents (raw) and the documents labelled good and not toxic (trusted). A document's score is the mean over its
 n-grams of ``log((trusted + m) / (expected + m))``, where ``expected`` is the trusted count the bucket would have if
-trusted text were like raw text and ``m`` is a prior that keeps rare buckets near zero. The threshold is the one that
-best separates the labelled documents; it is applied to every document, nothing is drawn at random.
+trusted text were like raw text and ``m`` is a prior that keeps rare buckets near zero. Documents are dealt to two folds by doc_id,
+and each is scored with the counts of the other fold: its own words would else speak for it, if it is
+trusted, or against it. The threshold is the one that best separates the labelled documents; it is applied to every document, nothing
+is drawn at random.
 
 Defined results: a null text has no words and fails; without trusted or without rejected labels the threshold is minus
 infinity, so that only the base rules decide; labels with null fields are not used, and of several labels of a document
@@ -20,7 +22,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,6 +30,7 @@ from .common import mixed, word_ids
 
 BITS = 16
 BUCKETS = 2 << BITS
+FOLDS = 2
 SEGMENT = 4_000_000
 SYMBOLS = b"#*$%&|<>"
 SPACES = b" \t\n\x0b\x0c\r"
@@ -45,7 +48,7 @@ FIELDS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_rep
 
 @dataclass(frozen=True)
 class QualityModel:
-    """Weights by bucket, and the least score of a kept document."""
+    """Weights by fold and bucket, and the least score of a kept document."""
 
     weights: np.ndarray = field(repr=False)
     threshold: float = -np.inf
@@ -143,24 +146,34 @@ def as_bytes(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.large_binary()).to_pylist()]
 
 
-def counted(docs: DataFrame, text: str = "text", trusted: str = "trusted") -> DataFrame:
-    """Counts by bucket over all rows, and over the trusted rows."""
+def fold() -> Column:
+    return F.pmod(F.xxhash64("doc_id"), F.lit(FOLDS)).cast("int")
+
+
+def counted(docs: DataFrame) -> DataFrame:
+    """Counts by fold and bucket over all rows of ``text``, ``trusted`` and ``fold``, and over the trusted rows."""
 
     def count(batches):
-        grams, all_rows, good_rows = NGrams(), np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
+        grams, all_rows, good_rows = NGrams(), np.zeros(FOLDS * BUCKETS, np.int64), np.zeros(FOLDS * BUCKETS, np.int64)
         for batch in batches:
-            good = np.array(batch.column(1).to_pylist(), bool)
+            good, base = np.array(batch.column(1).to_pylist(), bool), np.array(batch.column(2).to_pylist(), np.int64) * BUCKETS
             for bucket, row in grams.buckets(as_bytes(batch.column(0))):
-                all_rows += np.bincount(bucket, minlength=BUCKETS)
-                good_rows += np.bincount(bucket[good[row]], minlength=BUCKETS)
+                bucket += base[row]
+                all_rows += np.bincount(bucket, minlength=FOLDS * BUCKETS)
+                good_rows += np.bincount(bucket[good[row]], minlength=FOLDS * BUCKETS)
         found = np.flatnonzero(all_rows)
         yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(all_rows[found]), pa.array(good_rows[found])], ["bucket", "raw", "good"])
 
-    each = docs.select(text, trusted).mapInArrow(count, "bucket long, raw long, good long")
+    each = docs.select("text", "trusted", "fold").mapInArrow(count, "bucket long, raw long, good long")
     return each.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("good").alias("good"))
 
 
 def weights_of(raw: np.ndarray, good: np.ndarray, prior: float) -> np.ndarray:
+    """Weights by fold and bucket, each fold's from the counts of the others."""
+    return np.stack([log_ratio(raw.sum(axis=0) - raw[k], good.sum(axis=0) - good[k], prior) for k in range(FOLDS)])
+
+
+def log_ratio(raw: np.ndarray, good: np.ndarray, prior: float) -> np.ndarray:
     if not raw.sum() or not good.sum():
         return np.zeros(len(raw))
     expected = np.zeros(len(raw))
@@ -191,39 +204,40 @@ def fit_quality(docs: DataFrame, labels: DataFrame, prior: float = 20.0, clean_c
     """
     marks = judged(labels)
     texts = docs.select("doc_id", "text")
-    flagged = texts.join(marks.filter("trusted"), "doc_id", "left").select("text", F.coalesce("trusted", F.lit(False)).alias("trusted"))
-    raw, good = np.zeros(BUCKETS), np.zeros(BUCKETS)
+    flagged = texts.join(marks.filter("trusted"), "doc_id", "left")
+    flagged = flagged.select("text", F.coalesce("trusted", F.lit(False)).alias("trusted"), fold().alias("fold"))
+    raw, good = np.zeros(FOLDS * BUCKETS), np.zeros(FOLDS * BUCKETS)
     counts = counted(flagged).toPandas()
     raw[counts.bucket], good[counts.bucket] = counts.raw, counts.good
-    weights = weights_of(raw, good, prior)
+    weights = weights_of(raw.reshape(FOLDS, BUCKETS), good.reshape(FOLDS, BUCKETS), prior)
     if not good.sum():
         return QualityModel(weights)
 
     def score(batches):
         grams = NGrams()
         for batch in batches:
-            scores = scored(grams, as_bytes(batch.column(1)), weights)
+            scores = scored(grams, as_bytes(batch.column(1)), batch.column(2), weights)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores)], ["doc_id", "score"])
 
     bins = (F.least(F.greatest(F.floor(F.col("score") / SCORE_STEP), F.lit(-SCORE_LIMIT)), F.lit(SCORE_LIMIT - 1)) + SCORE_LIMIT).alias("bin")
-    scores = texts.mapInArrow(score, T.StructType([texts.schema["doc_id"], T.StructField("score", T.DoubleType())]))
+    scores = texts.withColumn("fold", fold()).mapInArrow(score, T.StructType([texts.schema["doc_id"], T.StructField("score", T.DoubleType())]))
     found = scores.join(marks, "doc_id").groupBy(bins, "trusted").count().toPandas()
     by_kind = np.zeros((2, 2 * SCORE_LIMIT), np.int64)
     by_kind[found.trusted.astype(int), found.bin.astype(int)] = found["count"]
     return QualityModel(weights, best_threshold(by_kind[0], by_kind[1], clean_cost))
 
 
-def scored(grams: NGrams, texts: list[bytes], weights: np.ndarray) -> np.ndarray:
-    total, number = np.zeros(len(texts)), np.zeros(len(texts))
+def scored(grams: NGrams, texts: list[bytes], folds: pa.Array, weights: np.ndarray) -> np.ndarray:
+    total, number, own = np.zeros(len(texts)), np.zeros(len(texts)), np.array(folds.to_pylist(), np.int64)
     for bucket, row in grams.buckets(texts):
-        total += np.bincount(row, weights[bucket], minlength=len(texts))
+        total += np.bincount(row, weights[own[row], bucket], minlength=len(texts))
         number += np.bincount(row, minlength=len(texts))
     return total / np.maximum(number, 1)
 
 
 def rate_quality(docs: DataFrame, model: QualityModel) -> DataFrame:
     """``docs`` with a struct ``quality``: the base metrics, the score and the verdict ``kept``."""
-    docs = docs.select(*[F.col("`" + c.replace("`", "``") + "`") for c in docs.columns if c.lower() != "quality"])
+    docs = docs.select(*[F.col("`" + c.replace("`", "``") + "`") for c in docs.columns if c.lower() not in ("quality", "_fold")])
     at = [c.lower() for c in docs.columns].index("text")
     schema = T.StructType([*docs.schema.fields, T.StructField("quality", T._parse_datatype_string(FIELDS))])
     names = [x.split()[0] for x in FIELDS.split(", ")]
@@ -233,11 +247,12 @@ def rate_quality(docs: DataFrame, model: QualityModel) -> DataFrame:
         for batch in batches:
             texts = as_bytes(batch.column(at))
             metrics = [base_metrics(x) for x in texts]
-            score = scored(grams, texts, model.weights)
+            score = scored(grams, texts, batch.column(batch.num_columns - 1), model.weights)
             failed = [base_failed(m[0], m[4]) for m in metrics]
             kept = ~np.array(failed, bool) & (score >= model.threshold)
             columns = [pa.array([m[i] for m in metrics], pa.int64()) for i in range(5)]
             columns += [pa.array(failed, pa.bool_()), pa.array(score), pa.array(kept)]
+            batch = batch.select(range(batch.num_columns - 1))
             yield batch.append_column("quality", pa.StructArray.from_arrays(columns, names))
 
-    return docs.mapInArrow(rate, schema)
+    return docs.withColumn("_fold", fold()).mapInArrow(rate, schema)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read_table
+from .common import read_table, ship_package
 from .decontaminate import benchmark_matches
 from .line_dedup import dedup_lines
 from .near_dedup import near_duplicates
@@ -19,7 +19,11 @@ CRC = F.crc32
 
 def query(sql: str | None = None):
     def add(f):
-        QUERIES[f.__name__] = f
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship_package(spark)
+            return f(spark, sf_dir)
+
+        QUERIES[f.__name__] = run
         if sql:
             ORACLES[f.__name__] = sql
         return f
