@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mastermill.llm.common import quoted, read_table, stored
+from mastermill.llm.common import quoted, read_table, ship_package, stored
 from mastermill.llm.decontaminate import decontaminate
 from mastermill.llm.line_dedup import dedup_lines
 from mastermill.llm.near_dedup import near_duplicates
@@ -21,6 +21,7 @@ ORACLE_SQL = None
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rules reject go."""
+    ship_package(spark)
     model = fit_quality(docs, read_table(spark, sf_dir, "labels"))
     return rate_quality(docs, model).filter("quality.kept").select(*[quoted(c) for c in docs.columns])
 
