@@ -8,9 +8,10 @@ the whole sequence is the one shingle. Documents are linked where ``100 * |inter
 2. Each class has ``BANDS * ROWS`` minima. Classes that agree in a whole band share a bucket; each is
    paired with the bucket's smallest class, which makes as many pairs as rows.
 3. Pairs pass by their sizes, then by their signatures, then by the full sets. Links give components.
-4. Buckets that still hold several components are compared in full: their classes in blocks, signatures against
-   signatures, for pairs of different components only, and what passes is verified on full sets. So every pair that shares a
-   bucket is either within a component or was compared; none is capped or dropped.
+4. Buckets of more than two classes that still hold several components are compared in full, once for all buckets of the same
+   classes: in blocks of bounded bytes, for pairs of different components only, by signatures and then by full sets within the
+   task, which hands on no more links than join its components. So every pair that shares a bucket is either within a component
+   or was compared; none is capped or dropped.
 
 At 85 percent a linked pair shares no band with probability 2e-6, and the signature test loses one with less than 1e-6.
 
@@ -34,7 +35,7 @@ from .quality import as_bytes
 
 BANDS, ROWS = 28, 6
 MINIMA = BANDS * ROWS
-BLOCK = 1024
+BLOCK_BYTES = 8 << 20
 CHUNK = 256
 
 
@@ -109,7 +110,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     classes = stored(classes, "classes")
     nodes = stored(named.join(classes.select("row", "class"), "row").select("class", "size", "d1", "d2", "minima", "bands"), "nodes")
 
-    member = nodes.select("class", F.explode("bands").alias("bucket"))
+    member = nodes.select("class", "size", F.explode("bands").alias("bucket"))
     shared = member.groupBy("bucket").agg(F.min("class").alias("leader"), F.max("class").alias("other")).filter("leader <> other")
     member = stored(member.join(shared.select("bucket", "leader"), "bucket"), "buckets")
     pairs = member.filter("class <> leader").select(F.col("leader").alias("a"), F.col("class").alias("b")).distinct()
@@ -118,8 +119,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     links = stored(verified(signed(pairs, nodes, percent), sets, percent), "links")
     roots = connected_components(links)
 
-    rest = contested(member, roots, nodes, percent)
-    more = stored(verified(rest, sets, percent), "more")
+    more = stored(contested(member, roots, nodes, sets, percent), "more")
     if not more.isEmpty():
         roots = connected_components(links.union(more))
 
@@ -176,46 +176,72 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     def compare(batches):
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                common = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * common >= percent * (len(x) + len(y) - common))
+            full = zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())
+            keep = [linked(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent) for x, y in full]
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
     return both.select("a", "b", "full_a", "full_b").mapInArrow(compare, "a long, b long").distinct()
 
 
-def contested(member: DataFrame, roots: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different components that share a bucket and whose sizes and signatures allow a link.
+def linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    common = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * common >= percent * (len(x) + len(y) - common)
 
-    A bucket is dealt in blocks of about ``BLOCK`` classes, so a task holds two blocks whatever the bucket's size.
+
+def contested(member: DataFrame, roots: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between different components that share a bucket, no more than join them.
+
+    A bucket is dealt in blocks of about ``BLOCK_BYTES``, so a task holds two blocks whatever the bucket's size.
     """
     rooted = member.join(roots.select(F.col("node").alias("class"), "root"), "class", "left")
-    rooted = rooted.select("bucket", "class", F.coalesce("root", "class").alias("root"))
-    several = rooted.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("n")).filter("lo <> hi")
-    several = several.select("bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    rooted = rooted.select("bucket", "class", "size", F.coalesce("root", "class").alias("root"))
+    several = rooted.groupBy("bucket").agg(
+        F.min("root").alias("lo"),
+        F.max("root").alias("hi"),
+        F.count("*").alias("n"),
+        F.sum(F.col("size") * 8 + 4 * MINIMA).alias("bytes"),
+        F.sum(F.xxhash64("class").cast("decimal(38,0)")).alias("content"),
+    )
+    # Two classes were compared already, as each was with its bucket's smallest; the same classes often meet in many buckets.
+    several = several.filter("lo <> hi and n > 2").groupBy("lo", "hi", "n", "bytes", "content").agg(F.min("bucket").alias("bucket"))
+    several = several.select("bucket", F.ceil(F.col("bytes") / BLOCK_BYTES).cast("int").alias("blocks"))
     dealt = rooted.join(several, "bucket").withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
-    # The same classes mostly meet in many buckets: what one bucket holds in one block is compared once.
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "class", "root")
-    dealt = dealt.join(nodes.select("class", "size", "minima"), "class")
-    least = least_equal(percent)
+    dealt = dealt.select("bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "class", "root", "size")
+    dealt = dealt.join(nodes.select("class", "minima"), "class").join(sets, "class")
 
     def compare(pdf):
         import pandas as pd
 
-        sig = np.frombuffer(b"".join(pdf.minima), np.uint32).reshape(-1, MINIMA)
-        node, root, size = pdf["class"].to_numpy(), pdf.root.to_numpy(), pdf["size"].to_numpy()
-        names, counts = np.unique(root, return_counts=True)
-        main = names[counts.argmax()]
-        out = []
-        for k in np.flatnonzero(root != main):
-            # Pairs among the rest are met from both ends and made distinct later.
-            other = np.flatnonzero((root != root[k]) & (100 * np.minimum(size, size[k]) >= percent * np.maximum(size, size[k])))
-            hit = other[(sig[other] == sig[k]).sum(axis=1) >= least]
-            out.append(np.stack([np.minimum(node[hit], node[k]), np.maximum(node[hit], node[k])], axis=1))
-        found = np.concatenate(out) if out else np.zeros((0, 2), np.int64)
-        return pd.DataFrame(np.unique(found, axis=0), columns=["a", "b"])
+        return pd.DataFrame(joining_links(pdf, percent), columns=["a", "b"], dtype="int64")
 
     return dealt.groupBy("bucket", "i", "j").applyInPandas(compare, "a long, b long").distinct()
+
+
+def joining_links(rows, percent: int) -> list[tuple[int, int]]:
+    """Verified links between the rows' components, by union-find; ``rows`` as dealt in :func:`contested`."""
+    sig = np.frombuffer(b"".join(rows.minima), np.uint32).reshape(-1, MINIMA)
+    full = [np.frombuffer(x, np.uint64) for x in rows.full]
+    node, size, least = rows["class"].to_numpy(), rows["size"].to_numpy(), least_equal(percent)
+    names, group, counts = np.unique(rows.root.to_numpy(), return_inverse=True, return_counts=True)
+    parent, out, refuted = list(range(len(names))), [], set()
+
+    def find(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    # Rows of the largest component meet the others from their side.
+    for k in np.flatnonzero(group != counts.argmax()):
+        near = np.flatnonzero((group != group[k]) & (100 * np.minimum(size, size[k]) >= percent * np.maximum(size, size[k])))
+        equal = (sig[near] == sig[k]).sum(axis=1)
+        for c in near[np.argsort(-equal, kind="stable")][: int((equal >= least).sum())]:
+            if find(group[c]) == find(group[k]) or (c, k) in refuted:
+                continue
+            if linked(full[k], full[c], percent):
+                parent[find(group[c])] = find(group[k])
+                out.append((min(node[k], node[c]), max(node[k], node[c])))
+            else:
+                refuted.add((k, c))
+    return out
