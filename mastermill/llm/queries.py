@@ -2,15 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read_table, ship_package
+from mastermill.session import new_work_path
+
+from .common import read_table, ship_package, stored
 from .decontaminate import benchmark_matches
 from .line_dedup import dedup_lines
 from .near_dedup import near_duplicates
 from .packing import pack
+from .personal_data import BASE_KINDS, personal_data
 from .quality import fit_quality, rate_quality
+from .substring_dedup import dedup_substrings
+from .token_counts import TokenTotals, count_tokens
+from .token_files import read_token_files, write_token_files
+from .url_rules import judge_urls, mine_rules
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -61,6 +68,25 @@ FROM numbered n JOIN gone g ON g.doc_id = n.doc_id AND g.chunk = n.chunk GROUP B
 """
 
 
+@query()
+def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = write_token_files(read_table(spark, sf_dir, "documents"), tokenizer_path(), end_id=2)
+    return read_token_files(manifest).select("doc_id", "start", "n_tokens", CRC("ids").alias("ids_crc32"))
+
+
+@query()
+def op2_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = dedup_substrings(read_table(spark, sf_dir, "documents"), window=50)
+    removed = (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed")
+    return found.select("doc_id", "n_bytes", removed, F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query()
+def op3_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages")
+    return judge_urls(pages, mine_rules(pages, read_table(spark, sf_dir, "labels")))
+
+
 @query(LINES_SQL)
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -94,6 +120,35 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rated.select("doc_id", "quality.*")
 
 
+@query()
+def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = personal_data(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    counts = [F.expr(f"cast(size(filter(spans, s -> s.kind = '{kind}')) as bigint)").alias(f"n_{kind}") for kind in BASE_KINDS]
+    base = joined_spans(F.filter("spans", lambda s: s["kind"].isin(*BASE_KINDS)))
+    return found.select("doc_id", *counts, F.sha2(base, 256).alias("base_sha256"), joined_spans(F.col("spans")).alias("spans"))
+
+
+def joined_spans(spans: Column) -> Column:
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+
+@query()
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Insert all documents, replay that batch, delete repeats of a text, and move the rest to the version that counts an end id."""
+    counts = stored(count_tokens(read_table(spark, sf_dir, "documents"), tokenizer_path()), "counts")
+    first = counts.groupBy("digest").agg(F.min("doc_id").alias("first"))
+    repeats = counts.join(first, "digest").filter("doc_id <> first")
+    kept = counts.join(first, "digest").filter("doc_id = first")
+    totals = TokenTotals(spark, new_work_path(spark, "token-totals"))
+    inserted = counts.select(F.lit("insert").alias("op"), "source", "lang", F.lit("bpe-1").alias("version"), "n_tokens", F.lit(None).alias("old_tokens"))
+    totals.commit("insert", inserted)
+    totals.commit("insert", inserted)
+    totals.commit("delete", repeats.select(F.lit("delete").alias("op"), "source", "lang", F.lit("bpe-1").alias("version"), "n_tokens", F.lit(None).alias("old_tokens")))
+    with_end = (F.col("n_tokens") + 1).alias("n_tokens")
+    totals.commit("revise", kept.select(F.lit("revise").alias("op"), "source", "lang", F.lit("bpe-1").alias("version"), with_end, F.col("n_tokens").alias("old_tokens")))
+    return totals.totals()
+
+
 @query()
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
