@@ -17,13 +17,15 @@ import numpy as np
 
 MEMORY = 1 << 22
 BUCKET = 1 << 12
+GROUP = 32
 
 
 class BucketQueue:
     """Tuples (key, position) by key, those with equal keys in the order of their arrival; keys handed out never decrease."""
 
-    def __init__(self, sizes: np.ndarray, memory: int = MEMORY):
+    def __init__(self, sizes: np.ndarray, memory: int = MEMORY, dtype: type = np.int64):
         """``sizes``: how many tuples each key will have; keys with few share a bucket."""
+        self.dtype = np.dtype(dtype)
         total = np.cumsum(sizes)
         large = sizes > BUCKET
         group = np.cumsum(large | np.concatenate([[False], large[:-1]]))
@@ -31,16 +33,20 @@ class BucketQueue:
         edge = np.concatenate([[True], (group[1:] != group[:-1]) | ((number[1:] != number[:-1]) & ~large[1:])])
         self.bucket = np.cumsum(edge) - 1
         self.single = np.bincount(self.bucket, minlength=int(self.bucket[-1]) + 1) == 1
+        # Tuples wait by group of buckets, and by bucket once their group has its turn.
+        self.groups: list[list] = [[] for _ in range(-(-len(self.single) // GROUP))]
         self.waiting: list[list] = [[] for _ in range(len(self.single))]
-        self.memory, self.held, self.file = memory, 0, None
+        self.turn, self.memory, self.held, self.file = -1, memory, 0, None
 
     def push(self, keys: np.ndarray, positions: np.ndarray) -> None:
         bucket = self.bucket[keys]
-        order = np.argsort(bucket, kind="stable")
-        bucket, pairs = bucket[order], np.stack([keys[order], positions[order]])
-        cuts = np.flatnonzero(bucket[1:] != bucket[:-1]) + 1
-        for b, part in zip(bucket[np.concatenate([[0], cuts])].tolist() if len(bucket) else [], np.split(pairs, cuts, axis=1)):
-            self.waiting[b].append(part)
+        place = np.where(bucket // GROUP == self.turn, bucket, -1 - bucket // GROUP)
+        order = np.argsort(place, kind="stable")
+        place, pairs = place[order], np.stack([keys[order], positions[order]])
+        cuts = [0, *(np.flatnonzero(place[1:] != place[:-1]) + 1).tolist(), len(place)]
+        for a, b in zip(cuts, cuts[1:]):
+            at = int(place[a])
+            (self.waiting[at] if at >= 0 else self.groups[-1 - at]).append(pairs[:, a:b])
         self.held += len(keys)
         if self.held > self.memory:
             self._spill()
@@ -48,26 +54,37 @@ class BucketQueue:
     def _spill(self) -> None:
         self.file = self.file or tempfile.TemporaryFile()
         self.file.seek(0, 2)
-        for parts in self.waiting:
+        for parts in (*self.groups, *self.waiting):
             for i, part in enumerate(parts):
                 if isinstance(part, np.ndarray):
                     at = self.file.tell()
-                    self.file.write(np.ascontiguousarray(part, np.int64).tobytes())
+                    self.file.write(np.ascontiguousarray(part).tobytes())
                     parts[i] = (at, part.shape[1])
         self.held = 0
 
-    def take(self, b: int) -> tuple[np.ndarray, np.ndarray]:
-        """What waits in bucket ``b``, in the order of arrival."""
-        parts = []
-        for part in self.waiting[b]:
+    def _read(self, parts: list) -> np.ndarray:
+        out = []
+        for part in parts:
             if isinstance(part, tuple):
                 self.file.seek(part[0])
-                part = np.frombuffer(self.file.read(16 * part[1]), np.int64).reshape(2, -1)
+                part = np.frombuffer(self.file.read(2 * self.dtype.itemsize * part[1]), self.dtype).reshape(2, -1)
             else:
                 self.held -= part.shape[1]
-            parts.append(part)
-        self.waiting[b] = []
-        joined = np.concatenate(parts, axis=1)
+            out.append(part)
+        parts.clear()
+        return np.concatenate(out, axis=1)
+
+    def has(self, b: int) -> bool:
+        """Whether something waits in bucket ``b``, which has its turn now."""
+        if b // GROUP != self.turn:
+            self.turn = b // GROUP
+            if self.groups[self.turn]:
+                self.push(*self._read(self.groups[self.turn]))
+        return bool(self.waiting[b])
+
+    def take(self, b: int) -> tuple[np.ndarray, np.ndarray]:
+        """What waits in bucket ``b``, in the order of arrival."""
+        joined = self._read(self.waiting[b])
         return joined[0], joined[1]
 
     def close(self) -> None:
@@ -77,12 +94,12 @@ class BucketQueue:
 
 def induced(key: np.ndarray, seeds: np.ndarray, seed_keys: np.ndarray, wanted: np.ndarray, memory: int) -> Iterator[np.ndarray]:
     """Positions in order: the seeds, and each position before one handed out that is ``wanted`` (under its ``key``)."""
-    sizes = np.bincount(key[wanted], minlength=int(max(key.max(), seed_keys.max(initial=0))) + 1) + np.bincount(seed_keys, minlength=int(max(key.max(), seed_keys.max(initial=0))) + 1)
-    queue = BucketQueue(sizes, memory)
+    n_keys = int(max(key.max(), seed_keys.max(initial=0))) + 1
+    queue = BucketQueue(np.bincount(key[wanted], minlength=n_keys) + np.bincount(seed_keys, minlength=n_keys), memory, key.dtype)
     queue.push(seed_keys, seeds)
     for b in range(len(queue.waiting)):
-        keys, positions = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        while queue.waiting[b] or len(keys):
+        keys, positions = np.zeros(0, key.dtype), np.zeros(0, key.dtype)
+        while queue.has(b) or len(keys):
             if queue.waiting[b]:
                 # What came in the meantime comes after what has the same key already.
                 more_keys, more = queue.take(b)
@@ -94,7 +111,7 @@ def induced(key: np.ndarray, seeds: np.ndarray, seed_keys: np.ndarray, wanted: n
             pushes = (positions > 0) & wanted[before]
             cut = len(keys)
             if not queue.single[b]:
-                least = np.minimum.accumulate(np.where(pushes, key[before], np.iinfo(np.int64).max))
+                least = np.minimum.accumulate(np.where(pushes, key[before], np.iinfo(key.dtype).max))
                 late = np.flatnonzero(keys[1:] > least[:-1])
                 cut = int(late[0]) + 1 if len(late) else cut
             yield positions[:cut]
@@ -107,6 +124,7 @@ def induced(key: np.ndarray, seeds: np.ndarray, seed_keys: np.ndarray, wanted: n
 
 def substring_names(tagged: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """Rank of each substring from one start to the next (both included) among all; equal substrings share theirs."""
+    starts = starts.astype(np.int64)
     sizes = np.append(starts[1:] - starts[:-1] + 1, 1)
     bits = int(tagged.max()).bit_length()
     width = max(1, 62 // bits)
@@ -135,11 +153,12 @@ def suffix_array(text: np.ndarray, memory: int = MEMORY) -> np.ndarray:
     n = len(text)
     if n < 2:
         return np.arange(n)
-    chars = np.append(text.astype(np.int64) + 1, 0)  # a least character ends the text
+    kind = np.int32 if 4 * max(n, int(text.max()) + 2) < 1 << 31 else np.int64
+    chars = np.append(text.astype(kind) + 1, 0).astype(kind)  # a least character ends the text
     differs = np.flatnonzero(chars[1:] != chars[:-1])
     next_change = differs[np.searchsorted(differs, np.arange(n))]
     small = np.append(chars[next_change] < chars[next_change + 1], True)
-    stars = np.flatnonzero(small[1:] & ~small[:-1]) + 1
+    stars = (np.flatnonzero(small[1:] & ~small[:-1]) + 1).astype(kind)
     names = substring_names(chars * 2 + small, stars)
     if len(names) > 1 and names.max() + 1 < len(names):
         stars = stars[suffix_array(names, memory)]

@@ -37,9 +37,9 @@ from .induced_sorting import suffix_array
 from .quality import BASE, as_bytes
 from .token_files import opened
 
-GRAM = 26
-SHARD_BYTES = 2 << 20
-BUFFER = 2 << 20
+GRAM = 20
+SHARD_BYTES = 4 << 20
+BUFFER = 1 << 19
 NONE = -(1 << 63)
 SPANS = "array<struct<start:bigint,end:bigint>>"
 
@@ -71,15 +71,15 @@ def powers(n: int) -> list[np.ndarray]:
     return _POWERS
 
 
-def windows(texts: list[bytes], window: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, bytes]]:
-    """Fingerprint, text number and start of all windows, what to add to the start for its place in the text, and the bytes
-    in which it starts, a few megabytes at a time."""
+def runs(texts: list[bytes], window: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """Runs of neighbouring windows with one fingerprint, some texts at a time: fingerprint, text number, place in the text, number
+    of windows, and where the run starts in the bytes that come last."""
     part, owner, shift, size = [], [], [], 0
     for i, text in enumerate(texts):
         for at in range(0, max(1, len(text) - window + 1), BUFFER):
             piece = text[at : at + BUFFER + window - 1]
             if size and size + len(piece) > BUFFER + window:
-                yield _windows(part, owner, shift, window)
+                yield _runs(part, owner, shift, window)
                 part, owner, shift, size = [], [], [], 0
             if len(piece) >= window:
                 part.append(piece)
@@ -87,29 +87,24 @@ def windows(texts: list[bytes], window: int) -> Iterator[tuple[np.ndarray, np.nd
                 shift.append(at)
                 size += len(piece)
     if part:
-        yield _windows(part, owner, shift, window)
+        yield _runs(part, owner, shift, window)
 
 
-def _windows(part: list[bytes], owner: list[int], shift: list[int], window: int):
+def _runs(part: list[bytes], owner: list[int], shift: list[int], window: int) -> tuple:
     data = b"".join(part)
-    fps = fingerprints(np.frombuffer(data, np.uint8), window)
-    sizes = np.array([len(x) for x in part])
-    begins = np.cumsum(sizes) - sizes
-    piece = np.repeat(np.arange(len(part)), sizes)[: len(fps)]
-    at = np.arange(len(fps))
-    inside = at + window <= (begins + sizes)[piece]
-    piece, at = piece[inside], at[inside]
-    offset = np.array(shift)[piece] - begins[piece]
-    return fps[inside], np.array(owner)[piece], at, offset, data
-
-
-def runs(fps: np.ndarray, owner: np.ndarray, at: np.ndarray, keep: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """First and last index of each run of neighbouring windows with one fingerprint, of those to ``keep``."""
-    new = np.concatenate([[True], (fps[1:] != fps[:-1]) | (owner[1:] != owner[:-1]) | (at[1:] != at[:-1] + 1)])
+    fps = np.maximum(fingerprints(np.frombuffer(data, np.uint8), window), np.uint64(2))
+    ends = np.cumsum([len(x) for x in part])
+    for end in ends[:-1].tolist():
+        fps[end - window + 1 : end] = 0  # windows that cross into the next text
+    new = np.concatenate([[True], fps[1:] != fps[:-1]])
+    new[ends[:-1][ends[:-1] < len(new)]] = True
     first = np.flatnonzero(new)
-    last = np.append(first[1:], len(fps)) - 1
-    chosen = keep[first]
-    return first[chosen], last[chosen]
+    count = np.diff(np.append(first, len(fps)))
+    inside = fps[first] > 0
+    first, count = first[inside], count[inside]
+    piece = np.searchsorted(ends, first, side="right")
+    place = first - (ends[piece] - np.array([len(x) for x in part])[piece]) + np.array(shift)[piece]
+    return fps[first], np.array(owner)[piece], place, count, first, data
 
 
 class SideTable:
@@ -171,9 +166,7 @@ def _sending(copies: SideTable, window: int, buckets: int):
         known, found = {}, {}
         for batch in batches:
             for part, _, texts, copied in _rows(batch, copies, known):
-                for fps, owner, *_ in windows([b"" if c else t for t, c in zip(texts, copied)], window):
-                    new = np.concatenate([[True], (fps[1:] != fps[:-1]) | (owner[1:] != owner[:-1])])
-                    fps, owner = fps[new], owner[new]
+                for fps, owner, *_ in runs([b"" if c else t for t, c in zip(texts, copied)], window):
                     order = np.lexsort((owner, fps))
                     fps, owner = fps[order], owner[order]
                     once = np.concatenate([[True], (fps[1:] != fps[:-1]) | (owner[1:] != owner[:-1])])
@@ -228,12 +221,10 @@ def member(values: np.ndarray, among: np.ndarray) -> np.ndarray:
 
 def _candidate_segments(texts: list[bytes], copied: list[bool], among: np.ndarray, window: int):
     """(text number, start in the text, number of windows, bytes, fingerprint) of each segment."""
-    for fps, owner, at, offset, data in windows([b"" if c else t for t, c in zip(texts, copied)], window):
-        first, last = runs(fps, owner, at, member(fps >> np.uint64(1), among))
-        start, stop = at[first], at[last] + window
-        rows = zip(owner[first].tolist(), (start + offset[first]).tolist(), start.tolist(), stop.tolist(), fps[first].tolist())
-        for number, place, a, b, fp in rows:
-            yield number, place, b - a - window + 1, data[a:b], fp
+    for fps, owner, place, count, start, data in runs([b"" if c else t for t, c in zip(texts, copied)], window):
+        hit = np.flatnonzero(member(fps >> np.uint64(1), among))
+        for number, at, n, a, fp in zip(*(x[hit].tolist() for x in (owner, place, count, start, fps))):
+            yield number, at, n, data[a : a + n + window - 1], fp
 
 
 class _Wanted:
@@ -308,11 +299,11 @@ def smallest_owners(bodies: list[bytes], docs: np.ndarray, window: int) -> list[
     """For each segment the smallest doc of its windows' strings over all segments, as run lengths and values."""
     sizes = np.array([len(b) for b in bodies], np.int64)
     # A byte 0 between segments; bytes count from 1 so that it is the least and no string crosses it.
-    data = np.zeros(int((sizes + 1).sum()), np.int64)
+    data = np.zeros(int((sizes + 1).sum()), np.int32)
     begins = np.cumsum(sizes + 1) - sizes - 1
     inside = np.ones(len(data), bool)
     inside[begins + sizes] = False
-    data[inside] = np.frombuffer(b"".join(bodies), np.uint8).astype(np.int64) + 1
+    data[inside] = np.frombuffer(b"".join(bodies), np.uint8).astype(np.int32) + 1
     number = np.repeat(np.arange(len(bodies)), sizes + 1)
     starts = np.arange(len(data)) + window <= (begins + sizes)[number]
     order = suffix_array(data)
