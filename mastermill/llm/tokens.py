@@ -9,7 +9,6 @@ runs of white space are encoded as they are.
 from __future__ import annotations
 
 import os
-import re
 
 import numpy as np
 
@@ -18,9 +17,6 @@ CACHE_UNITS = 1_000_000
 POOL_IDS = 8_000_000
 UNITS_AT_ONCE = 200
 
-_RUN = re.compile(r"\s\s")
-
-
 class Encoder:
     """Encodes texts with the tokenizer file at ``path``; strings of special tokens are ordinary text."""
 
@@ -47,6 +43,7 @@ class Encoder:
         self.units: dict[str, int] = {}
         self.start = np.zeros(1, np.int64)
         self.pool = np.zeros(0, np.uint32)
+        self.n_pool = 0
 
     def whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
@@ -55,38 +52,56 @@ class Encoder:
         """The ids of each text."""
         if not self.by_units:
             return [self.whole(x) for x in texts]
-        if len(self.units) > CACHE_UNITS or len(self.pool) > POOL_IDS:
+        if len(self.units) > CACHE_UNITS or self.n_pool > POOL_IDS:
             self._clear()
-        split = [x.split(" ") if x and not _RUN.search(x) and not x[0].isspace() and not x[-1].isspace() else None for x in texts]
-        self._learn([parts for parts in split if parts])
-        return [self.whole(x) if parts is None else self._gathered(parts) for x, parts in zip(texts, split)]
-
-    def _learn(self, split: list[list[str]]) -> None:
-        new: dict[str, None] = {}
-        for parts in split:
-            new.update(dict.fromkeys(parts[1:]))
-        missing = [x for x in new if x not in self.units]
+        split = [x.split(" ") if falls_at_spaces(x) else None for x in texts]
+        self._learn(set().union(*(parts[1:] for parts in split if parts)))
+        firsts = iter(self._batch([parts[0] for parts in split if parts]))
+        return [self.whole(x) if parts is None else self._gathered(next(firsts), parts) for x, parts in zip(texts, split)]
+
+    def _batch(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(x.ids, np.uint32) for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, units: set[str]) -> None:
+        missing = [x for x in units if x not in self.units]
         if not missing:
             return
-        joined = [" " + " ".join(missing[i : i + UNITS_AT_ONCE]) for i in range(0, len(missing), UNITS_AT_ONCE)]
-        ids = np.concatenate([np.array(x.ids, np.uint32) for x in self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)])
+        ids = np.concatenate(self._batch([" " + " ".join(missing[i : i + UNITS_AT_ONCE]) for i in range(0, len(missing), UNITS_AT_ONCE)]))
         starts = np.flatnonzero(self.begins[ids])
         if len(starts) != len(missing):  # not such a tokenizer after all
             raise ValueError("the tokenizer does not keep words apart")
-        self.units.update(zip(missing, range(len(self.units), len(self.units) + len(missing))))
-        self.start = np.concatenate([self.start[:-1], starts + len(self.pool), [len(self.pool) + len(ids)]])
-        self.pool = np.concatenate([self.pool, ids])
+        known, used = len(self.units), self.n_pool
+        self.units.update(zip(missing, range(known, known + len(missing))))
+        self.start = filled(self.start, known, np.append(starts, len(ids)) + used)
+        self.pool = filled(self.pool, used, ids)
+        self.n_pool = used + len(ids)
 
-    def _gathered(self, parts: list[str]) -> np.ndarray:
-        first = self.whole(parts[0])
+    def _gathered(self, first: np.ndarray, parts: list[str]) -> np.ndarray:
         if len(parts) == 1:
             return first
-        unit = np.fromiter(map(self.units.__getitem__, parts[1:]), np.int64, len(parts) - 1)
+        words = iter(parts)
+        next(words)
+        unit = np.fromiter(map(self.units.__getitem__, words), np.int64, len(parts) - 1)
         at, size = self.start[unit], self.start[unit + 1] - self.start[unit]
         where = np.repeat(at - np.cumsum(size) + size, size) + np.arange(size.sum())
         return np.concatenate([first, self.pool[where]])
 
 
+def falls_at_spaces(text: str) -> bool:
+    """Whether every white space of ``text`` stands alone between visible characters; False also where that is uncertain."""
+    plain = text.replace("\n", " ")
+    # Of all white space only the space counts as printable.
+    return bool(text) and plain.isprintable() and "  " not in plain and plain[0] != " " and plain[-1] != " "
+
+
+def filled(array: np.ndarray, at: int, values: np.ndarray) -> np.ndarray:
+    """``array`` with ``values`` from position ``at``, made twice as long where they do not fit."""
+    if at + len(values) > len(array):
+        array = np.concatenate([array[:at], np.zeros(max(at, 2 * len(values)) + len(values), array.dtype)])
+    array[at : at + len(values)] = values
+    return array
+
+
 _ENCODERS: dict[str, Encoder] = {}
 
 
