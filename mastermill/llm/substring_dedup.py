@@ -141,7 +141,7 @@ def dedup_substrings(docs: DataFrame, window: int = 50) -> DataFrame:
     count = repeated.agg(F.sum("n")).first()[0] or 0
     shards = max(1, int(count * (2 * window - GRAM) // SHARD_BYTES) + 1)
     segments = parts.mapInArrow(_segments(copies, wanted, window, shards), "shard int, part int, body binary, sizes binary, docs binary")
-    answers = segments.groupBy("shard").applyInPandas(_shard(window), "part int, keys binary, counts binary, docs binary")
+    answers = segments.groupBy("shard").applyInPandas(_shard(window), "part int, keys binary, counts binary, lengths binary, docs binary")
     owners = SideTable(stored(answers, "answers"), "owners")
 
     schema = f"doc_id long, n_bytes long, spans {SPANS}, kept binary"
@@ -278,25 +278,25 @@ def _shard(window: int):
             for x, doc in zip(bodies, np.frombuffer(docs, "<i8").tolist()):
                 least[x] = min(doc, least.get(x, doc))
             parts.append((part, bodies))
-        owner = smallest_owners(list(least), np.fromiter(least.values(), np.int64, len(least)), window)
-        owner = dict(zip(least, owner))
+        number = dict(zip(least, range(len(least))))
+        runs_of, lengths, owner = smallest_owners(list(least), np.fromiter(least.values(), np.int64, len(least)), window)
+        keys = [segment_key(x) for x in least]
         out = []
         for part, bodies in parts:
             # Runs of windows with one owner; a part needs no more than that.
-            keys, counts, docs = [], [], []
-            for x in bodies:
-                lengths, values = owner[x]
-                keys.append(segment_key(x))
-                counts.append(np.stack([lengths, np.concatenate([[len(lengths)], np.zeros(len(lengths) - 1, np.int64)])]))
-                docs.append(values)
-            out.append((part, b"".join(keys), np.concatenate(counts, axis=1).astype("<i4").tobytes(), np.concatenate(docs).astype("<i8").tobytes()))
-        return pd.DataFrame(out, columns=["part", "keys", "counts", "docs"])
+            mine = np.fromiter(map(number.__getitem__, bodies), np.int64, len(bodies))
+            count = runs_of[mine + 1] - runs_of[mine]
+            at = np.repeat(runs_of[mine] - np.cumsum(count) + count, count) + np.arange(count.sum())
+            row = (part, b"".join([keys[i] for i in mine.tolist()]), count.astype("<i4"), lengths[at].astype("<i4"), owner[at].astype("<i8"))
+            out.append((*row[:2], *(x.tobytes() for x in row[2:])))
+        return pd.DataFrame(out, columns=["part", "keys", "counts", "lengths", "docs"])
 
     return answer
 
 
-def smallest_owners(bodies: list[bytes], docs: np.ndarray, window: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For each segment the smallest doc of its windows' strings over all segments, as run lengths and values."""
+def smallest_owners(bodies: list[bytes], docs: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The smallest doc of each window's string over all segments, by runs of windows: where each segment's runs begin, the runs'
+    lengths, and their docs."""
     sizes = np.array([len(b) for b in bodies], np.int64)
     # A byte 0 between segments; bytes count from 1 so that it is the least and no string crosses it.
     data = np.zeros(int((sizes + 1).sum()), np.int32)
@@ -313,12 +313,11 @@ def smallest_owners(bodies: list[bytes], docs: np.ndarray, window: int) -> list[
     least = np.minimum.reduceat(docs[number[order]], np.flatnonzero(np.concatenate([[True], ~same])))
     owner = np.zeros(len(data), np.int64)
     owner[order] = least[string]
-    out = []
-    for b, size in zip(begins.tolist(), (sizes - window + 1).tolist()):
-        mine = owner[b : b + size]
-        first = np.flatnonzero(np.concatenate([[True], mine[1:] != mine[:-1]]))
-        out.append((np.diff(np.append(first, size)), mine[first]))
-    return out
+    place = np.flatnonzero(starts)
+    owner, number = owner[place], number[place]
+    first = np.flatnonzero(np.concatenate([[True], (owner[1:] != owner[:-1]) | (number[1:] != number[:-1])]))
+    runs_of = np.searchsorted(number[first], np.arange(len(bodies) + 1))
+    return runs_of, np.diff(np.append(first, len(place))), owner[first]
 
 
 def common_prefix(data: np.ndarray, order: np.ndarray, window: int) -> np.ndarray:
@@ -358,12 +357,13 @@ def _cutting(copies: SideTable, table: SideTable, owners: SideTable, window: int
 
 
 def _answers(rows: pa.Table | None) -> dict[bytes, tuple]:
+    """Lengths and docs of the runs by the key of their segment."""
     out: dict[bytes, tuple] = {}
     for row in rows.to_pylist() if rows else []:
-        counts, docs = np.frombuffer(row["counts"], "<i4").reshape(2, -1), np.frombuffer(row["docs"], "<i8")
-        first = np.flatnonzero(counts[1])
-        for k, (a, n) in enumerate(zip(first.tolist(), counts[1][first].tolist())):
-            out[row["keys"][16 * k : 16 * k + 16]] = (counts[0][a : a + n].tolist(), docs[a : a + n].tolist())
+        ends = np.cumsum(np.frombuffer(row["counts"], "<i4")).tolist()
+        lengths, docs, keys = np.frombuffer(row["lengths"], "<i4").tolist(), np.frombuffer(row["docs"], "<i8").tolist(), row["keys"]
+        for k, (a, b) in enumerate(zip([0, *ends], ends)):
+            out[keys[16 * k : 16 * k + 16]] = (lengths[a:b], docs[a:b])
     return out
 
 
