@@ -44,15 +44,17 @@ NONE = -(1 << 63)
 SPANS = "array<struct<start:bigint,end:bigint>>"
 
 
-def fingerprints(data: np.ndarray, window: int) -> np.ndarray:
-    """The fingerprint of each window of ``data``: the least hash of the strings of ``GRAM`` bytes in it."""
+def gram_hashes(data: np.ndarray) -> np.ndarray:
+    """The hash of each string of ``GRAM`` bytes of ``data``, which is not shorter than that."""
     n = len(data)
-    if n < window:
-        return np.zeros(0, np.uint64)
     up, down = powers(n)
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:n])])
-    least = mixed((sums[GRAM:] - sums[:-GRAM]) * down[: n - GRAM + 1])
-    size, span = 1, window - GRAM + 1
+    return mixed((sums[GRAM:] - sums[:-GRAM]) * down[: n - GRAM + 1])
+
+
+def least_of(hashes: np.ndarray, span: int) -> np.ndarray:
+    """The least of each ``span`` neighbouring hashes: the fingerprints of the windows."""
+    least, size = hashes, 1
     while size < span:
         step = min(size, span - size)
         least = np.minimum(least[:-step], least[step:])
@@ -92,8 +94,10 @@ def runs(texts: list[bytes], window: int) -> Iterator[tuple[np.ndarray, ...]]:
 
 def _runs(part: list[bytes], owner: list[int], shift: list[int], window: int) -> tuple:
     data = b"".join(part)
-    fps = np.maximum(fingerprints(np.frombuffer(data, np.uint8), window), np.uint64(2))
+    hashes = np.maximum(gram_hashes(np.frombuffer(data, np.uint8)), np.uint64(2))
+    fps = least_of(hashes, window - GRAM + 1)
     ends = np.cumsum([len(x) for x in part])
+    fps = fps.copy() if fps is hashes else fps
     for end in ends[:-1].tolist():
         fps[end - window + 1 : end] = 0  # windows that cross into the next text
     new = np.concatenate([[True], fps[1:] != fps[:-1]])
@@ -104,7 +108,25 @@ def _runs(part: list[bytes], owner: list[int], shift: list[int], window: int) ->
     first, count = first[inside], count[inside]
     piece = np.searchsorted(ends, first, side="right")
     place = first - (ends[piece] - np.array([len(x) for x in part])[piece]) + np.array(shift)[piece]
-    return fps[first], np.array(owner)[piece], place, count, first, data
+    return fps[first], np.array(owner)[piece], place, count, first, hashes, data
+
+
+def anchored(fps: np.ndarray, count: np.ndarray, start: np.ndarray, hashes: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+    """The runs cut so that all windows of one have the same first place of the string their fingerprint is of: number of the run, windows
+    before the part, windows in it, and the offset of that place from the part's start. Nearly all runs are whole parts."""
+    number, skipped = np.arange(len(fps)), np.zeros(len(fps), np.int64)
+    while len(number):
+        offset, at = np.full(len(number), -1), start[number] + skipped
+        open_ = np.arange(len(number))
+        k = 0
+        while len(open_):
+            hit = hashes[at[open_] + k] == fps[number[open_]]
+            offset[open_[hit]] = k
+            open_, k = open_[~hit], k + 1
+        inside = np.minimum(count[number] - skipped, offset + 1)
+        yield number, skipped, inside, offset
+        more = skipped + inside < count[number]
+        number, skipped = number[more], (skipped + inside)[more]
 
 
 class SideTable:
@@ -140,7 +162,7 @@ def dedup_substrings(docs: DataFrame, window: int = 50) -> DataFrame:
 
     count = repeated.agg(F.sum("n")).first()[0] or 0
     shards = max(1, int(count * (2 * window - GRAM) // SHARD_BYTES) + 1)
-    segments = parts.mapInArrow(_segments(copies, wanted, window, shards), "shard int, part int, body binary, sizes binary, docs binary")
+    segments = parts.mapInArrow(_segments(copies, wanted, window, shards), "shard int, part int, body binary, sizes binary, grams binary, docs binary")
     answers = segments.groupBy("shard").applyInPandas(_shard(window), "part int, keys binary, counts binary, lengths binary, docs binary")
     owners = SideTable(stored(answers, "answers"), "owners")
 
@@ -167,7 +189,7 @@ def _sending(copies: SideTable, window: int, buckets: int):
         for batch in batches:
             for part, _, texts, copied in _rows(batch, copies, known):
                 for fps, owner, *_ in runs([b"" if c else t for t, c in zip(texts, copied)], window):
-                    order = np.lexsort((owner, fps))
+                    order = np.argsort(fps, kind="stable")  # texts are in order already
                     fps, owner = fps[order], owner[order]
                     once = np.concatenate([[True], (fps[1:] != fps[:-1]) | (owner[1:] != owner[:-1])])
                     # The lowest bit of what is sent says that several documents of the part have the fingerprint.
@@ -220,11 +242,13 @@ def member(values: np.ndarray, among: np.ndarray) -> np.ndarray:
 
 
 def _candidate_segments(texts: list[bytes], copied: list[bool], among: np.ndarray, window: int):
-    """(text number, start in the text, number of windows, bytes, fingerprint) of each segment."""
-    for fps, owner, place, count, start, data in runs([b"" if c else t for t, c in zip(texts, copied)], window):
+    """(text number, start in the text, number of windows, bytes, offset of the fingerprint's string, fingerprint) of each segment."""
+    for fps, owner, place, count, start, hashes, data in runs([b"" if c else t for t, c in zip(texts, copied)], window):
         hit = np.flatnonzero(member(fps >> np.uint64(1), among))
-        for number, at, n, a, fp in zip(*(x[hit].tolist() for x in (owner, place, count, start, fps))):
-            yield number, at, n, data[a : a + n + window - 1], fp
+        for number, skipped, inside, offset in anchored(fps[hit], count[hit], start[hit], hashes):
+            rows = (owner[hit][number], place[hit][number] + skipped, inside, start[hit][number] + skipped, offset, fps[hit][number])
+            for text, at, n, a, gram, fp in zip(*(x.tolist() for x in rows)):
+                yield text, at, n, data[a : a + n + window - 1], gram, fp
 
 
 class _Wanted:
@@ -245,42 +269,45 @@ def _segments(copies: SideTable, table: SideTable, window: int, shards: int):
         for batch in batches:
             for part, docs, texts, copied in _rows(batch, copies, known):
                 mine = found.setdefault(part, {})
-                for number, _, _, body, fp in _candidate_segments(texts, copied, wanted.among(part), window):
-                    old = mine.get(body)
+                for number, _, _, body, gram, fp in _candidate_segments(texts, copied, wanted.among(part), window):
+                    old = mine.get((body, gram))
                     if old is None or docs[number] < old[0]:
-                        mine[body] = (docs[number], (fp >> 1) % shards)
+                        mine[body, gram] = (docs[number], (fp >> 1) % shards)
         for part, mine in found.items():
             by_shard: dict[int, list] = {}
-            for body, (doc, shard) in mine.items():
-                by_shard.setdefault(shard, []).append((body, doc))
-            rows = [
-                {"shard": s, "part": part, "body": b"".join(b for b, _ in x), "sizes": np.array([len(b) for b, _ in x], "<i4").tobytes(), "docs": np.array([d for _, d in x], "<i8").tobytes()}
-                for s, x in by_shard.items()
-            ]
-            yield pa.RecordBatch.from_pylist(rows, pa.schema([("shard", pa.int32()), ("part", pa.int32()), ("body", pa.binary()), ("sizes", pa.binary()), ("docs", pa.binary())]))
+            for (body, gram), (doc, shard) in mine.items():
+                by_shard.setdefault(shard, []).append((body, gram, doc))
+            rows = []
+            for shard, found_here in by_shard.items():
+                bodies, grams, docs = zip(*found_here)
+                sizes = np.array([len(b) for b in bodies], "<i4").tobytes()
+                rows.append((shard, part, b"".join(bodies), sizes, np.array(grams, "<i4").tobytes(), np.array(docs, "<i8").tobytes()))
+            types = (pa.int32(), pa.int32(), *[pa.binary()] * 4)
+            columns = [pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 6, types)]
+            yield pa.RecordBatch.from_arrays(columns, ["shard", "part", "body", "sizes", "grams", "docs"])
 
     return make
 
 
-def segment_key(body: bytes) -> bytes:
-    return hashlib.blake2b(body, digest_size=16).digest()
+def segment_key(body: bytes, gram: int) -> bytes:
+    return hashlib.blake2b(body, digest_size=16, salt=gram.to_bytes(8, "little")).digest()
 
 
 def _shard(window: int):
     def answer(pdf):
         import pandas as pd
 
-        least: dict[bytes, int] = {}
+        least: dict[tuple[bytes, int], int] = {}
         parts = []
-        for part, body, sizes, docs in zip(pdf.part, pdf.body, pdf.sizes, pdf.docs):
-            ends = np.cumsum(np.frombuffer(sizes, "<i4").astype(np.int64))
-            bodies = [body[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]
+        for part, body, sizes, grams, docs in zip(pdf.part, pdf.body, pdf.sizes, pdf.grams, pdf.docs):
+            ends = np.cumsum(np.frombuffer(sizes, "<i4").astype(np.int64)).tolist()
+            bodies = [(body[a:b], g) for a, b, g in zip([0, *ends], ends, np.frombuffer(grams, "<i4").tolist())]
             for x, doc in zip(bodies, np.frombuffer(docs, "<i8").tolist()):
                 least[x] = min(doc, least.get(x, doc))
             parts.append((part, bodies))
         number = dict(zip(least, range(len(least))))
         runs_of, lengths, owner = smallest_owners(list(least), np.fromiter(least.values(), np.int64, len(least)), window)
-        keys = [segment_key(x) for x in least]
+        keys = [segment_key(*x) for x in least]
         out = []
         for part, bodies in parts:
             # Runs of windows with one owner; a part needs no more than that.
@@ -294,21 +321,30 @@ def _shard(window: int):
     return answer
 
 
-def smallest_owners(bodies: list[bytes], docs: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def smallest_owners(segments: list[tuple[bytes, int]], docs: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The smallest doc of each window's string over all segments, by runs of windows: where each segment's runs begin, the runs'
-    lengths, and their docs."""
-    sizes = np.array([len(b) for b in bodies], np.int64)
-    # A byte 0 between segments; bytes count from 1 so that it is the least and no string crosses it.
+    lengths, and their docs.
+
+    All windows of a segment hold its gram, so it is one character of the text that is sorted; equal grams are equal characters.
+    """
+    known: dict[bytes, int] = {}
+    symbols = np.fromiter((known.setdefault(body[g : g + GRAM], len(known)) for body, g in segments), np.int32, len(segments))
+    sizes = np.fromiter((len(body) - GRAM + 1 for body, _ in segments), np.int64, len(segments))
+    # A character 0 between segments, bytes from 1 and grams from 257: no string crosses into the next segment.
     data = np.zeros(int((sizes + 1).sum()), np.int32)
     begins = np.cumsum(sizes + 1) - sizes - 1
-    inside = np.ones(len(data), bool)
-    inside[begins + sizes] = False
-    data[inside] = np.frombuffer(b"".join(bodies), np.uint8).astype(np.int32) + 1
-    number = np.repeat(np.arange(len(bodies)), sizes + 1)
-    starts = np.arange(len(data)) + window <= (begins + sizes)[number]
+    plain = np.ones(len(data), bool)
+    plain[begins + sizes] = False
+    grams = begins + np.fromiter((g for _, g in segments), np.int64, len(segments))
+    plain[grams] = False
+    data[plain] = np.frombuffer(b"".join([body[:g] + body[g + GRAM :] for body, g in segments]), np.uint8).astype(np.int32) + 1
+    data[grams] = symbols + 257
+    number = np.repeat(np.arange(len(segments)), sizes + 1)
+    size = window - GRAM + 1
+    starts = np.arange(len(data)) + size <= (begins + sizes)[number]
     order = suffix_array(data)
     order = order[starts[order]]
-    same = common_prefix(data.astype(np.uint16), order, window)
+    same = common_prefix(data, order, size)
     string = np.cumsum(np.concatenate([[True], ~same])) - 1
     least = np.minimum.reduceat(docs[number[order]], np.flatnonzero(np.concatenate([[True], ~same])))
     owner = np.zeros(len(data), np.int64)
@@ -316,7 +352,7 @@ def smallest_owners(bodies: list[bytes], docs: np.ndarray, window: int) -> tuple
     place = np.flatnonzero(starts)
     owner, number = owner[place], number[place]
     first = np.flatnonzero(np.concatenate([[True], (owner[1:] != owner[:-1]) | (number[1:] != number[:-1])]))
-    runs_of = np.searchsorted(number[first], np.arange(len(bodies) + 1))
+    runs_of = np.searchsorted(number[first], np.arange(len(segments) + 1))
     return runs_of, np.diff(np.append(first, len(place))), owner[first]
 
 
@@ -336,8 +372,8 @@ def _cutting(copies: SideTable, table: SideTable, owners: SideTable, window: int
                 if part not in answers:
                     answers[part] = _answers(owners.rows(part))
                 gone: list[list] = [[] for _ in texts]
-                for number, place, n, body, _ in _candidate_segments(texts, copied, wanted.among(part), window):
-                    lengths, values = answers[part][segment_key(body)]
+                for number, place, _, body, gram, _ in _candidate_segments(texts, copied, wanted.among(part), window):
+                    lengths, values = answers[part][segment_key(body, gram)]
                     at = place
                     for length, owner in zip(lengths, values):
                         if owner < docs[number]:
