@@ -7,6 +7,9 @@ import shutil
 import tempfile
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 
 from mastermill.session import new_work_path
@@ -48,6 +51,25 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def opened(path: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a path or URI as Python opens it, and the path there."""
+    return fs.FileSystem.from_uri("s3://" + path.removeprefix("s3a://") if path.startswith("s3a://") else path)
+
+
+class SideTable:
+    """Rows of a table that Spark wrote by part, read by the task that holds the part."""
+
+    def __init__(self, df: DataFrame, label: str):
+        self.path = new_work_path(df.sparkSession, label)
+        df.repartition("part").write.partitionBy("part").parquet(self.path)
+
+    def rows(self, part: int) -> pa.Table | None:
+        system, name = opened(f"{self.path}/part={part}")
+        if system.get_file_info(name).type != fs.FileType.Directory:
+            return None
+        return pq.ParquetDataset(name, filesystem=system, partitioning=None).read()
+
+
 def mixed(h: np.ndarray) -> np.ndarray:
     """Finish 64-bit hashes so that all bits depend on all bits."""
     h = (h ^ (h >> SHIFT)) * MIX_A

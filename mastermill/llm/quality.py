@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import mixed, word_ids
+from .common import SideTable, mixed, stored, word_ids
 
 BITS = 16
 BUCKETS = 2 << BITS
@@ -150,21 +150,26 @@ def fold() -> Column:
     return F.pmod(F.xxhash64("doc_id"), F.lit(FOLDS)).cast("int")
 
 
-def counted(docs: DataFrame) -> DataFrame:
-    """Counts by fold and bucket over all rows of ``text``, ``trusted`` and ``fold``, and over the trusted rows."""
+def counted(parts: DataFrame, trusted: SideTable) -> DataFrame:
+    """Counts by fold and bucket over all rows of ``part``, ``doc_id``, ``text`` and ``fold``, and over those whose doc_id is trusted."""
 
     def count(batches):
         grams, all_rows, good_rows = NGrams(), np.zeros(FOLDS * BUCKETS, np.int64), np.zeros(FOLDS * BUCKETS, np.int64)
+        known: dict[int, frozenset] = {}
         for batch in batches:
-            good, base = np.array(batch.column(1).to_pylist(), bool), np.array(batch.column(2).to_pylist(), np.int64) * BUCKETS
-            for bucket, row in grams.buckets(as_bytes(batch.column(0))):
+            ids = list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
+            for part in {p for p, _ in ids} - known.keys():
+                rows = trusted.rows(part)
+                known[part] = frozenset(rows["doc_id"].to_pylist() if rows else ())
+            good, base = np.array([d in known[p] for p, d in ids], bool), np.array(batch.column(3).to_pylist(), np.int64) * BUCKETS
+            for bucket, row in grams.buckets(as_bytes(batch.column(2))):
                 bucket += base[row]
                 all_rows += np.bincount(bucket, minlength=FOLDS * BUCKETS)
                 good_rows += np.bincount(bucket[good[row]], minlength=FOLDS * BUCKETS)
         found = np.flatnonzero(all_rows)
         yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(all_rows[found]), pa.array(good_rows[found])], ["bucket", "raw", "good"])
 
-    each = docs.select("text", "trusted", "fold").mapInArrow(count, "bucket long, raw long, good long")
+    each = parts.select("part", "doc_id", "text", "fold").mapInArrow(count, "bucket long, raw long, good long")
     return each.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("good").alias("good"))
 
 
@@ -203,11 +208,11 @@ def fit_quality(docs: DataFrame, labels: DataFrame, prior: float = 20.0, clean_c
     The driver gets sums by bucket and by bin of the score, whose number is fixed, never rows of documents.
     """
     marks = judged(labels)
-    texts = docs.select("doc_id", "text")
-    flagged = texts.join(marks.filter("trusted"), "doc_id", "left")
-    flagged = flagged.select("text", F.coalesce("trusted", F.lit(False)).alias("trusted"), fold().alias("fold"))
+    parts = stored(docs.select(F.spark_partition_id().alias("part"), "doc_id", "text", fold().alias("fold")), "parts")
+    # The trusted doc_ids go to the parts that hold them; texts are not shuffled, however many labels there are.
+    trusted = SideTable(parts.select("part", "doc_id").join(marks.filter("trusted").select("doc_id"), "doc_id"), "trusted")
     raw, good = np.zeros(FOLDS * BUCKETS), np.zeros(FOLDS * BUCKETS)
-    counts = counted(flagged).toPandas()
+    counts = counted(parts, trusted).toPandas()
     raw[counts.bucket], good[counts.bucket] = counts.raw, counts.good
     weights = weights_of(raw.reshape(FOLDS, BUCKETS), good.reshape(FOLDS, BUCKETS), prior)
     if not good.sum():
@@ -220,7 +225,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, prior: float = 20.0, clean_c
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores)], ["doc_id", "score"])
 
     bins = (F.least(F.greatest(F.floor(F.col("score") / SCORE_STEP), F.lit(-SCORE_LIMIT)), F.lit(SCORE_LIMIT - 1)) + SCORE_LIMIT).alias("bin")
-    scores = texts.withColumn("fold", fold()).mapInArrow(score, T.StructType([texts.schema["doc_id"], T.StructField("score", T.DoubleType())]))
+    scores = parts.select("doc_id", "text", "fold").mapInArrow(score, T.StructType([parts.schema["doc_id"], T.StructField("score", T.DoubleType())]))
     found = scores.join(marks, "doc_id").groupBy(bins, "trusted").count().toPandas()
     by_kind = np.zeros((2, 2 * SCORE_LIMIT), np.int64)
     by_kind[found.trusted.astype(int), found.bin.astype(int)] = found["count"]

@@ -25,17 +25,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.parquet as pq
-from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mastermill.session import new_work_path
-
-from .common import mixed, stored
+from .common import SideTable, mixed, stored
 from .induced_sorting import suffix_array
 from .quality import BASE, as_bytes
-from .token_files import opened
 
 GRAM = 20
 SHARD_BYTES = 4 << 20
@@ -129,20 +124,6 @@ def anchored(fps: np.ndarray, count: np.ndarray, start: np.ndarray, hashes: np.n
         number, skipped = number[more], (skipped + inside)[more]
 
 
-class SideTable:
-    """Rows of a table that Spark wrote by part, read by the task that holds the part."""
-
-    def __init__(self, df: DataFrame, label: str):
-        self.path = new_work_path(df.sparkSession, label)
-        df.repartition("part").write.partitionBy("part").parquet(self.path)
-
-    def rows(self, part: int) -> pa.Table | None:
-        system, name = opened(f"{self.path}/part={part}")
-        if system.get_file_info(name).type != fs.FileType.Directory:
-            return None
-        return pq.ParquetDataset(name, filesystem=system, partitioning=None).read()
-
-
 def dedup_substrings(docs: DataFrame, window: int = 50) -> DataFrame:
     """``doc_id``, ``n_bytes``, ``spans`` (removed runs of bytes) and ``kept`` (the remaining bytes) of each row."""
     if window <= GRAM:

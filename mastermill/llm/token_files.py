@@ -24,14 +24,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from mastermill.session import new_work_path
 
-from .common import stored
+from .common import opened, stored
 from .tokens import encoder
 
 MAGIC = b"IDBITS01"
@@ -59,10 +58,6 @@ def unpack_bits(data: bytes, bits: int, count: int) -> np.ndarray:
     return np.packbits(wide, axis=1, bitorder="little").view("<u4").ravel().astype(np.uint32)
 
 
-def opened(path: str) -> tuple[fs.FileSystem, str]:
-    return fs.FileSystem.from_uri("s3://" + path.removeprefix("s3a://") if path.startswith("s3a://") else path)
-
-
 class ShardWriter:
     def __init__(self, path: str, bits: int):
         system, name = opened(path)
