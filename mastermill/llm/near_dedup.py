@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from .common import MIX_A, MIX_B, mixed, stored, word_ids
 from .components import connected_components
 from .quality import as_bytes
+from .tokens import forget
 
 BANDS, ROWS = 28, 6
 MINIMA = BANDS * ROWS
@@ -86,6 +87,7 @@ def sets_of(docs: DataFrame, words: int) -> DataFrame:
     """``doc_id``, ``size``, digest (``d1``, ``d2``), ``minima`` and ``bands`` of each row with a doc_id."""
 
     def build(batches):
+        forget()
         a, b = universal()
         for batch in batches:
             found = []

@@ -48,8 +48,8 @@ def cut_pieces(docs: DataFrame, tokenizer: str, window: int, end_id: int) -> Dat
     def cut(batches):
         encode = encoder(tokenizer)
         for batch in batches:
-            for at in range(0, batch.num_rows, 2000):
-                part = batch.slice(at, 2000)
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
                 rows = []
                 for doc_id, ids in zip(part.column(0).to_pylist(), encode.encode([x or "" for x in part.column(1).to_pylist()])):
                     ids = np.append(ids, np.uint32(end_id)).astype("<u4")

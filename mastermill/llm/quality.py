@@ -11,7 +11,7 @@ is drawn at random.
 
 Defined results: a null text has no words and fails; without trusted or without rejected labels the threshold is minus
 infinity, so that only the base rules decide; labels with null fields are not used, and of several labels of a document
-the worst counts. A text of more than four million bytes is counted in segments cut at white space, and no n-gram spans a
+the worst counts. A text of more than a million bytes is counted in segments cut at white space, and no n-gram spans a
 cut. An input column named ``quality`` is replaced in the result; other columns pass through.
 """
 
@@ -27,11 +27,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import SideTable, mixed, stored, word_ids
+from .tokens import forget
 
 BITS = 16
 BUCKETS = 2 << BITS
 FOLDS = 2
-SEGMENT = 4_000_000
+SEGMENT = 1_000_000
 SYMBOLS = b"#*$%&|<>"
 SPACES = b" \t\n\x0b\x0c\r"
 BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -154,6 +155,7 @@ def counted(parts: DataFrame, trusted: SideTable) -> DataFrame:
     """Counts by fold and bucket over all rows of ``part``, ``doc_id``, ``text`` and ``fold``, and over those whose doc_id is trusted."""
 
     def count(batches):
+        forget()
         grams, all_rows, good_rows = NGrams(), np.zeros(FOLDS * BUCKETS, np.int64), np.zeros(FOLDS * BUCKETS, np.int64)
         known: dict[int, frozenset] = {}
         for batch in batches:
@@ -219,6 +221,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, prior: float = 20.0, clean_c
         return QualityModel(weights)
 
     def score(batches):
+        forget()
         grams = NGrams()
         for batch in batches:
             scores = scored(grams, as_bytes(batch.column(1)), batch.column(2), weights)
@@ -248,6 +251,7 @@ def rate_quality(docs: DataFrame, model: QualityModel) -> DataFrame:
     names = [x.split()[0] for x in FIELDS.split(", ")]
 
     def rate(batches):
+        forget()
         grams = NGrams()
         for batch in batches:
             texts = as_bytes(batch.column(at))

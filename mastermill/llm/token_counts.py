@@ -36,8 +36,8 @@ def count_tokens(docs: DataFrame, tokenizer: str) -> DataFrame:
         encode = encoder(tokenizer)
         for batch in batches:
             sizes = []
-            for at in range(0, batch.num_rows, 2000):
-                sizes += [len(x) for x in encode.encode([x or "" for x in batch.slice(at, 2000).column(0).to_pylist()])]
+            for at in range(0, batch.num_rows, 500):
+                sizes += [len(x) for x in encode.encode([x or "" for x in batch.slice(at, 500).column(0).to_pylist()])]
             yield batch.select(range(1, batch.num_columns)).append_column("n_tokens", pa.array(sizes, pa.int64()))
 
     rows = docs.select("text", "doc_id", "source", "lang", F.md5(F.coalesce("text", F.lit(""))).alias("digest"))

@@ -144,8 +144,8 @@ def write_token_files(docs: DataFrame, tokenizer: str, end_id: int = 2, folder:
         bits = max(1, int(max(encode.tokenizer.get_vocab_size() - 1, end_id)).bit_length())
         end = np.array([end_id], np.uint32)
         for batch in batches:
-            for at in range(0, batch.num_rows, 2000):
-                part = batch.slice(at, 2000)
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
                 for doc_id, ids in zip(part.column(0).to_pylist(), encode.encode([x or "" for x in part.column(1).to_pylist()])):
                     writer = writer or ShardWriter(file, bits)
                     writer.add(doc_id, np.concatenate([ids, end]))

@@ -15,8 +15,8 @@ from itertools import chain
 import numpy as np
 
 # A worker's memory for units and their ids; both are dropped beyond it, which costs time but changes no result.
-CACHE_UNITS = 1_000_000
-POOL_IDS = 8_000_000
+CACHE_UNITS = 500_000
+POOL_IDS = 4_000_000
 UNITS_AT_ONCE = 200
 FIRST = "\0"  # marks a text's first unit, which no space begins; it is in no text that falls at spaces
 END = "\1"  # marks signs that follow letters
@@ -142,3 +142,8 @@ def encoder(path: str) -> Encoder:
     if path not in _ENCODERS:
         _ENCODERS[path] = Encoder(path)
     return _ENCODERS[path]
+
+
+def forget() -> None:
+    """Give back the encoders' memory: a worker that goes on with another operator has no use for them."""
+    _ENCODERS.clear()
