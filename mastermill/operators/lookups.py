@@ -1,7 +1,7 @@
 """Dimension lookups, code registration and the dated-action gate.
 
-No join here forces a broadcast: Catalyst broadcasts a dimension when its size statistics allow it and shuffles
-otherwise, so a dimension as large as the fact table stays safe.
+A dimension is broadcast where its caller has counted it and says that it is small, otherwise the choice is Catalyst's; a
+dimension as large as the fact table is shuffled.
 """
 
 from __future__ import annotations

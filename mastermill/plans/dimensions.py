@@ -24,8 +24,8 @@ STORED_SCHEMA = ", ".join(f"`{c}` {t}" for c, t in DIMENSION_SCHEMA.items()) + f
 class Dimensions:
     """Stored dimensions share one table, partitioned by the dimension's name.
 
-    A seed, if one is given for a registered dimension, is taken into the store on first use; columns beyond
-    the common ones are kept as text in the map ``extra``.
+    Rows given for a registered dimension are taken into the store on every run, as far as it lacks their codes; a given
+    id or code that contradicts a stored one raises an error. Columns beyond the common ones are kept as text in the map ``extra``.
     """
 
     def __init__(self, store: SnapshotStore, head: Commit | None, given: Mapping[str, DataFrame], options):
@@ -48,6 +48,8 @@ class Dimensions:
         return self.stored_rows.filter(F.col(DIMENSION) == name).drop(DIMENSION, SEGMENT)
 
     def _read(self, segments: list[str]) -> DataFrame:
+        if not segments:
+            return self.store.spark.createDataFrame([], f"{STORED_SCHEMA}, {SEGMENT} string")
         return self.store.read_segments(DIMENSIONS, segments, STORED_SCHEMA)
 
     def strategy(self, rule: LookupRule) -> dict:
@@ -83,8 +85,8 @@ class Dimensions:
         self.code_counts = spark.read.parquet(staged)
         if not names:
             return
-        seeds = [n for n in names if n in self.given and n not in self.counters]
-        parts = [self._seed(n) for n in seeds]
+        seeds = [n for n in dict.fromkeys(names) if n in self.given]
+        parts = [self._unstored(n) for n in seeds]
 
         known = [self._read(self.segments)] if self.segments else []
         known = [part.select(DIMENSION, "code") for part in [*known, *parts]]
@@ -93,7 +95,7 @@ class Dimensions:
             fresh = fresh.join(functools.reduce(DataFrame.unionByName, known), [DIMENSION, "code"], "left_anti")
         tops = dict(self.counters)
         for name in seeds:
-            tops[name] = self.given[name].agg(F.max("id")).first()[0] or 0
+            tops[name] = max(self.given[name].agg(F.max("id")).first()[0] or 0, tops.get(name, 0))
         start = F.coalesce(*[F.when(F.col(DIMENSION) == n, F.lit(tops.get(n, 0))) for n in dict.fromkeys(names)])
         options = self.options
         added = new_dimension_rows(fresh, None, options.run_ts, options.user, start, within=[DIMENSION])
@@ -114,6 +116,19 @@ class Dimensions:
             self.counters[f"{name}.bytes"] = before + (tally["bytes"] or 0)
             self.grown |= {name, f"{name}.bytes"}
 
+    def _unstored(self, name: str) -> DataFrame:
+        """The given rows of a dimension whose codes are not stored; an error if one contradicts a stored row."""
+        seed = self._seed(name)
+        if name not in self.counters:
+            return seed
+        stored = self.stored(name).select(F.col("id").alias("stored_id"), F.col("code").alias("stored_code"))
+        by_code = seed.join(stored, F.col("code") == F.col("stored_code")).filter("id <> stored_id")
+        by_id = seed.join(stored, F.col("id") == F.col("stored_id")).filter("code <> stored_code")
+        wrong = by_code.unionByName(by_id).select("id", "code", "stored_id", "stored_code").first()
+        if wrong:
+            raise ValueError(f"dimension {name}: given {wrong.id} {wrong.code}, stored {wrong.stored_id} {wrong.stored_code}")
+        return seed.join(stored, F.col("code") == F.col("stored_code"), "left_anti")
+
     def _seed(self, name: str) -> DataFrame:
         """A given dimension as rows of the store, the smallest id for each code."""
         seed = self.given[name].filter("code IS NOT NULL").withColumn("_order", -F.col("id"))

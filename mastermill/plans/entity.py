@@ -38,7 +38,7 @@ from ..operators.schema import (
 from ..session import new_work_path
 from ..sources.files import is_empty
 from ..sources.tables import SEGMENT, SnapshotStore
-from ..spec import EntitySpec, GateRule
+from ..spec import AUDIT_COLUMNS, EntitySpec, GateRule
 from .audit import EMPTY, FAILED, SKIPPED, SUCCESS, RunRecord, append_audit
 from .dimensions import DIMENSIONS, Dimensions
 
@@ -94,8 +94,8 @@ def valid_rows(df: DataFrame, spec: EntitySpec) -> DataFrame:
 def finish_rows(df: DataFrame, spec: EntitySpec, options: RunOptions) -> DataFrame:
     """Target columns, ``code`` and fingerprint of resolved rows.
 
-    Columns that the target does not hold are left out before the hash, so they cannot cause updates. The
-    legacy fingerprint instead takes every column in file order.
+    Columns that the target does not hold and audit columns are left out of the hash, so neither they nor another
+    user cause updates. The legacy fingerprint instead takes every column in file order.
     """
     df = df.withColumn("code", business_key(spec.code_columns))
     df = stamp_audit(df, options.run_ts, options.user, spec.validation_status)
@@ -105,7 +105,7 @@ def finish_rows(df: DataFrame, spec: EntitySpec, options: RunOptions) -> DataFra
         return pad_columns(df, wanted | {"code": "string", "hash_value": "string", "check_sum": "int"})
     df = pad_columns(df, wanted | {"code": "string"})
     outside = () if spec.keep_code else ("code",)
-    return with_fingerprint(df, exclude=("created_date", "updated_date", *outside), method=spec.fingerprint)
+    return with_fingerprint(df, exclude=(*AUDIT_COLUMNS, *outside), method=spec.fingerprint)
 
 
 def resolve_codes(df: DataFrame, spec: EntitySpec, dims: Dimensions, options: RunOptions) -> DataFrame:

@@ -94,7 +94,10 @@ class SnapshotStore:
         location = f"{self.root}/commit_log"
         if not path_exists(self.spark, location):
             return None
-        return self.spark.read.schema(COMMIT_SCHEMA).option("recursiveFileLookup", True).json(location)
+        rows = self.spark.read.schema(COMMIT_SCHEMA).option("recursiveFileLookup", True).json(location)
+        # Of rows with one version the earliest counts, for every reader alike.
+        first = F.min_by(F.struct(*rows.columns), F.struct("committed_at", "run_id"))
+        return rows.filter("version IS NOT NULL").groupBy("version").agg(first.alias("row")).select("row.*")
 
     def head(self) -> Commit | None:
         """The newest commit."""
@@ -118,18 +121,21 @@ class SnapshotStore:
     ) -> Commit:
         """Publish the live segments and greatest ids of the named tables; other tables keep theirs.
 
-        ``previous`` is the commit the run started from; when another run was published since, the version
-        exists and the write fails.
+        ``previous`` is the commit the run started from. Each attempt writes a folder of its own, so one that a writer left
+        half-written is in nobody's way; when another run was published from the same commit, the later one fails.
         """
         live = dict(previous.tables) if previous else {}
         live.update({name: list(segments) for name, segments in tables.items()})
         top = dict(previous.counters) if previous else {}
         top.update(counters or {})
         version = previous.version + 1 if previous else 1
-        now = datetime.now(timezone.utc).isoformat()
+        now = datetime.now(timezone.utc).isoformat(timespec="milliseconds")  # as precise as the log's file format
         row = {"version": version, "run_id": run_id, "committed_at": now, "tables": live, "counters": top}
         frame = one_row(self.spark, row, COMMIT_SCHEMA)
-        frame.write.mode("error").json(f"{self.root}/commit_log/v{version:010d}")
+        frame.write.mode("error").json(f"{self.root}/commit_log/v{version:010d}-{uuid.uuid4().hex}")
+        own = (F.col("run_id") == run_id) & (F.col("committed_at") == F.lit(now))
+        if self.commits().filter((F.col("version") == version) & own).isEmpty():
+            raise RuntimeError(f"version {version} already exists: another run published it")
         return Commit(version, run_id, live, top)
 
     # -- segments --------------------------------------------------------------------------------------

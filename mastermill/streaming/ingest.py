@@ -48,11 +48,13 @@ def ingest_stream(
     dimensions: Mapping[str, DataFrame] | None = None,
     max_files: int = 16,
     trigger: Mapping[str, object] | None = None,
+    fail_fast: bool = False,
 ) -> StreamingQuery:
     """Load every new extract of a region directory with :func:`run_entity`.
 
     The stream carries file names, at most ``max_files`` per batch, because headers differ from file to file;
-    the rows are read by the batch. A file of another type is audited as failed. A batch may be delivered twice after a failure: files are skipped by name
+    the rows are read by the batch. A file of another type is audited as failed, and
+    so is one whose run fails; with ``fail_fast`` that ends the stream. A batch may be delivered twice after a failure: files are skipped by name
     once they are published.
     """
     options = options or RunOptions()
@@ -74,7 +76,12 @@ def ingest_stream(
                 file_date=file["file_date"],
                 run_id=f"{region}/{file['file_name']}",
             )
-            run_entity(store, spec, read_extract(spark, file["path"]), run, dimensions)
+            try:
+                run_entity(store, spec, read_extract(spark, file["path"]), run, dimensions)
+            except Exception:
+                # The run has written its audit row; the files behind a bad one are loaded all the same.
+                if fail_fast:
+                    raise
 
     files = stream_files(spark, directory, spec.files.get(region, ""), max_files)
     writer = files.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)

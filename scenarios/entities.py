@@ -14,7 +14,7 @@ from mastermill.operators import conform, region_code
 from mastermill.plans.entity import AUDIT
 from mastermill.session import new_work_path
 from mastermill.sources import SnapshotStore, append_table, read_extract, read_table, replace_table
-from mastermill.spec import AUDIT_COLUMNS, AUDIT_DATES, GateRule, LookupRule
+from mastermill.spec import AUDIT_COLUMNS, GateRule, LookupRule
 from mastermill.streaming import ingest_stream, stream_rows
 
 from .base import (
@@ -347,7 +347,7 @@ BY_NAME = {feed.entity: feed for feed in FEEDS}
 
 def entity_coninv_bucketed(spark: SparkSession, sf: str) -> DataFrame:
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return shown_target(load_two_days(spark, sf, BY_NAME["coninv"], buckets=min(buckets, 16)))
+    return shown_target(load_two_days(spark, sf, BY_NAME["coninv"], buckets=buckets))
 
 
 scenario(ORACLES["entity_coninv"])(entity_coninv_bucketed)
@@ -489,10 +489,8 @@ def dense_row_ids(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _hash_sql(spec: EntitySpec) -> str:
-    stamps = {"comment": "' '", "created_by": "'system'", "is_valid": "false", "updated_by": "'system'"}
-    stamps["validationstatus"] = f"'{spec.validation_status}'"
     casts = {c: f"epoch_us({c})" for c, t in spec.target_columns.items() if t == "timestamp"}
-    return f"sha1({sql_text([c for c in spec.target_columns if c not in AUDIT_DATES], casts | stamps)})"
+    return f"sha1({sql_text([c for c in spec.target_columns if c not in AUDIT_COLUMNS], casts)})"
 
 
 @scenario(

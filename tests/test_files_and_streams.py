@@ -25,7 +25,7 @@ def put(folder, name, text):
 
 
 @pytest.fixture
-def inbound(tmp_path):
+def landing(tmp_path):
     root = tmp_path / "in"
     put(root / "AUS", "AUSSUPPLR_2024_20240508.csv", CSV)
     put(root / "AUS", "AUSSUPPLR_2024_20240507.csv", CSV)
@@ -36,9 +36,9 @@ def inbound(tmp_path):
 DAY = date(2024, 5, 8)
 
 
-def test_discover_by_prefix_and_day(spark, inbound):
-    put(inbound / "AUS", "AUSSUPPLR_2024_20240508.csv.pgp", "secret")
-    found = discover_files(spark, str(inbound), SUPPLIER.files, DAY)
+def test_discover_by_prefix_and_day(spark, landing):
+    put(landing / "AUS", "AUSSUPPLR_2024_20240508.csv.pgp", "secret")
+    found = discover_files(spark, str(landing), SUPPLIER.files, DAY)
     assert rows(found, "file_name", "region", "accepted") == [
         ("AUSSUPPLR_2024_20240508.csv", "AUS", True),
         ("AUSSUPPLR_2024_20240508.csv.pgp", "AUS", False),
@@ -47,24 +47,24 @@ def test_discover_by_prefix_and_day(spark, inbound):
         require_accepted(found)
 
 
-def test_read_extract_plain_and_gzip(spark, inbound):
-    put(inbound / "AUS", "z.csv.gz", CSV)
+def test_read_extract_plain_and_gzip(spark, landing):
+    put(landing / "AUS", "z.csv.gz", CSV)
     for name in ("AUSSUPPLR_2024_20240508.csv", "z.csv.gz"):
-        df = read_extract(spark, str(inbound / "AUS" / name))
+        df = read_extract(spark, str(landing / "AUS" / name))
         assert dict(df.dtypes) == {"VACODE": "string", "VANAME": "string"}
         assert rows(df) == [("S1", "one"), ("S2", "two, quoted")]
-    put(inbound / "AUS", "header.csv", "VACODE,VANAME\n")
-    put(inbound / "AUS", "void.csv", "")
-    assert is_empty(read_extract(spark, str(inbound / "AUS" / "header.csv")))
-    assert is_empty(read_extract(spark, str(inbound / "AUS" / "void.csv")))
+    put(landing / "AUS", "header.csv", "VACODE,VANAME\n")
+    put(landing / "AUS", "void.csv", "")
+    assert is_empty(read_extract(spark, str(landing / "AUS" / "header.csv")))
+    assert is_empty(read_extract(spark, str(landing / "AUS" / "void.csv")))
 
 
-def test_run_day(spark, inbound, tmp_path, run_ts):
-    put(inbound / "AUS", "AUSSUPPLR_2024_x_20240508.txt", CSV)
-    put(inbound / "AUS", "AUSSUPPLR_2024_y_20240508.csv", "OTHER\n1\n")
-    put(inbound / "AUS", "AUSSUPPLR_2024_z_20240508.csv.gz", "vaname,VACODE\nthree,S3\n")
+def test_run_day(spark, landing, tmp_path, run_ts):
+    put(landing / "AUS", "AUSSUPPLR_2024_x_20240508.txt", CSV)
+    put(landing / "AUS", "AUSSUPPLR_2024_y_20240508.csv", "OTHER\n1\n")
+    put(landing / "AUS", "AUSSUPPLR_2024_z_20240508.csv.gz", "vaname,VACODE\nthree,S3\n")
     store = open_store(spark, str(tmp_path / "store"), SUPPLIER)
-    records = run_day(store, SUPPLIER, str(inbound), DAY, RunOptions(run_ts=run_ts))
+    records = run_day(store, SUPPLIER, str(landing), DAY, RunOptions(run_ts=run_ts))
     assert [r.status for r in records] == ["Success", "Failed", "Failed", "Success"]
     assert rows(store.read("target"), "vacode", "rgcd", "vaname") == [
         ("S1", "AUS", "one"),
@@ -75,31 +75,31 @@ def test_run_day(spark, inbound, tmp_path, run_ts):
     assert rows(audit, "status") == [("Failed",), ("Failed",), ("Success",), ("Success",)]
     head = store.head()
     two_regions = replace(SUPPLIER, files={"OCA": "OCASUPPLR_2024", "AUS": "AUSSUPPLR_2024"})
-    again = run_day(store, two_regions, str(inbound), DAY, RunOptions(run_ts=run_ts))
+    again = run_day(store, two_regions, str(landing), DAY, RunOptions(run_ts=run_ts))
     assert again[0].region == "OCA" and "PATH_NOT_FOUND" in again[0].error_message
     assert [r.status for r in again] == ["Failed", "Skipped", "Failed", "Failed", "Skipped"] and store.head() == head
 
 
-def test_run_day_skips_loaded_files(spark, inbound, tmp_path, run_ts):
+def test_run_day_skips_loaded_files(spark, landing, tmp_path, run_ts):
     store = open_store(spark, str(tmp_path / "store"), SUPPLIER)
-    run_day(store, SUPPLIER, str(inbound), DAY, RunOptions(run_ts=run_ts))
+    run_day(store, SUPPLIER, str(landing), DAY, RunOptions(run_ts=run_ts))
     head = store.head()
-    again = run_day(store, SUPPLIER, str(inbound), DAY, RunOptions(run_ts=run_ts))
+    again = run_day(store, SUPPLIER, str(landing), DAY, RunOptions(run_ts=run_ts))
     assert [r.status for r in again] == ["Skipped"] and store.head() == head
 
 
-def test_ingest_stream_loads_each_file_once(spark, inbound, tmp_path, run_ts):
+def test_ingest_stream_loads_each_file_once(spark, landing, tmp_path, run_ts):
     store = open_store(spark, str(tmp_path / "store"), SUPPLIER)
 
     def poll():
-        args = (store, SUPPLIER, str(inbound / "AUS"), str(tmp_path / "checkpoint"), "AUS", RunOptions(run_ts=run_ts))
+        args = (store, SUPPLIER, str(landing / "AUS"), str(tmp_path / "checkpoint"), "AUS", RunOptions(run_ts=run_ts))
         ingest_stream(*args).awaitTermination()
         return store.head()
 
     assert poll().version == 1 and poll().version == 1
     # A reordered, lower-case header is read by name.
-    put(inbound / "AUS", "AUSSUPPLR_2024_20240509.csv", "vaname,vacode\nnine,S9\nuno,S1\n")
-    put(inbound / "AUS", "AUSSUPPLR_2024_20240509.csv.pgp", "secret")
+    put(landing / "AUS", "AUSSUPPLR_2024_20240509.csv", "vaname,vacode\nnine,S9\nuno,S1\n")
+    put(landing / "AUS", "AUSSUPPLR_2024_20240509.csv.pgp", "secret")
     assert poll().version == 2
     audit = spark.read.parquet(f"{store.root}/{AUDIT}").filter("status = 'Failed'")
     assert rows(audit, "file_name") == [("AUSSUPPLR_2024_20240509.csv.pgp",)]
