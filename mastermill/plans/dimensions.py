@@ -21,6 +21,11 @@ DIMENSION_SCHEMA = {"id": "bigint", "code": "string", "name": "string"} | AUDIT_
 STORED_SCHEMA = ", ".join(f"`{c}` {t}" for c, t in DIMENSION_SCHEMA.items()) + f", {EXTRA} map<string,string>, {DIMENSION} string"
 
 
+def by_file(rows: DataFrame) -> DataFrame:
+    """Rows of dimensions placed so that a file holds a range of ids of one dimension."""
+    return rows.repartition(F.col(DIMENSION), (F.col("id") / 1_000_000).cast("bigint"))
+
+
 class Dimensions:
     """Stored dimensions share one table, partitioned by the dimension's name.
 
@@ -101,17 +106,14 @@ class Dimensions:
         added = new_dimension_rows(fresh, None, options.run_ts, options.user, start, within=[DIMENSION])
         added = added.withColumn(EXTRA, F.lit(None).cast("map<string,string>"))
 
-        replaced = self.segments if len(self.segments) >= options.compact_after else []
-        if replaced:
-            parts = [self._read(replaced).drop(SEGMENT), *parts]
-        segment = self.store.write_segment(DIMENSIONS, added, *parts, partition_by=[DIMENSION])
-        new = self._read([segment])
+        written = self.store.write_segment(DIMENSIONS, *map(by_file, [added, *parts]), partition_by=[DIMENSION])
+        new = self._read(written)
         size = F.sum(F.octet_length("code")).alias("bytes")
         tallies = new.groupBy(DIMENSION).agg(F.max("id").alias("top"), size).collect()
         if tallies:
-            self.segments = [s for s in self.segments if s not in replaced] + [segment]
+            self.segments = [*self.segments, *written]
         for tally in tallies:
-            name, before = tally[DIMENSION], 0 if replaced else self.counters.get(f"{tally[DIMENSION]}.bytes", 0)
+            name, before = tally[DIMENSION], self.counters.get(f"{tally[DIMENSION]}.bytes", 0)
             self.counters[name] = max(tally["top"] or 0, tops.get(name, 0))
             self.counters[f"{name}.bytes"] = before + (tally["bytes"] or 0)
             self.grown |= {name, f"{name}.bytes"}

@@ -40,7 +40,7 @@ from ..sources.files import is_empty
 from ..sources.tables import SEGMENT, SnapshotStore
 from ..spec import AUDIT_COLUMNS, EntitySpec, GateRule
 from .audit import EMPTY, FAILED, SKIPPED, SUCCESS, RunRecord, append_audit
-from .dimensions import DIMENSIONS, Dimensions
+from .dimensions import DIMENSION, DIMENSIONS, STORED_SCHEMA, Dimensions, by_file
 
 TARGET, STATE, AUDIT = "target", "state", "run_audit"
 
@@ -49,8 +49,7 @@ TARGET, STATE, AUDIT = "target", "state", "run_audit"
 class RunOptions:
     """Choices of one run that are not part of the entity.
 
-    ``compact_after`` is the number of segments after which a run rewrites them as one; ``broadcast_bytes`` the
-    greatest counted size of a registered dimension that is broadcast.
+    ``broadcast_bytes`` is the greatest counted size of a registered dimension that is broadcast.
     """
 
     run_ts: datetime = field(default_factory=lambda: datetime.now(timezone.utc))
@@ -62,13 +61,46 @@ class RunOptions:
     legacy_fingerprint: bool = False
     preserve_created: bool = False
     narrow_inserts: bool = False
-    compact_after: int = 64
     broadcast_bytes: int = 64 << 20
 
 
-def open_store(spark, root: str, spec: EntitySpec, buckets: int = 0) -> SnapshotStore:
-    """Store of one entity; with ``buckets`` its target and state are clustered by the row key."""
-    return SnapshotStore(spark, root, buckets, {TARGET: spec.cluster_keys, STATE: spec.cluster_keys})
+def open_store(spark, root: str, spec: EntitySpec, buckets: int = 0, unit_rows: int = 1_000_000) -> SnapshotStore:
+    """Store of one entity, cut by the row key into slices of about ``unit_rows``; with ``buckets`` its target and state are
+    clustered by that key."""
+    return SnapshotStore(spark, root, buckets, {TARGET: spec.cluster_keys, STATE: spec.cluster_keys}, unit_rows)
+
+
+def compact(store: SnapshotStore, most: int = 256) -> int:
+    """Rewrite at most ``most`` small slices of target and state, and as many small dimension segments, as fewer larger ones.
+
+    Loads never do this. Call it between loads until it returns 0; it returns how many pieces it replaced, and publishes
+    like a run. The rows stay the same.
+    """
+    head, before = store.head(), set(store.registered)
+    if head is None:
+        return 0
+    tables: dict[str, list[str]] = {}
+    live = store.live_segments(STATE, head)
+    small = store.small_units(STATE, live, most)
+    number = store.slices(sum(n for _, n in small))
+    replaced = 0
+    if number < len(small):
+        gone, segment = [unit for unit, _ in small], f"s{uuid.uuid4().hex}"
+        replaced += len(gone)
+        for table in (TARGET, STATE):
+            written = store.write_segment(table, store.read_segments(table, gone), segment=segment, slices=number)
+        tables = dict.fromkeys((TARGET, STATE), [u for u in live if u not in set(gone)] + written)
+    live = store.live_segments(DIMENSIONS, head)
+    gone = [s for s, _ in store.small_units(DIMENSIONS, live, most, STORED_SCHEMA)]
+    if len(gone) > 1:
+        replaced += len(gone)
+        rows = by_file(store.read_segments(DIMENSIONS, gone, STORED_SCHEMA))
+        written = store.write_segment(DIMENSIONS, rows, partition_by=[DIMENSION])
+        tables[DIMENSIONS] = [s for s in live if s not in set(gone)] + written
+    if tables:
+        store.commit(f"compact-{uuid.uuid4().hex}", tables, head)
+    store.release(keep=before)
+    return replaced
 
 
 def conform_extract(extract: DataFrame, spec: EntitySpec, region: str = "") -> DataFrame:
@@ -208,14 +240,12 @@ def _load(store, spec, extract, options, given, record) -> None:
 
 
 def _write_version(store, spec, changes, live, head, options, record) -> dict[str, list[str]]:
-    """Write the segment that replaces the segments holding updated rows and adds the new rows."""
+    """Write the segment that replaces the slices holding updated rows and adds the new rows."""
     keys = list(spec.delta_keys)
     inserts, updates = changes.filter(F.col(CHANGE) == INSERT), changes.filter(F.col(CHANGE) == UPDATE)
     touched: list[str] = []
     if record.data_update_count:
         touched = [r[SEGMENT] for r in updates.select(SEGMENT).distinct().collect()]
-    if len(live) >= options.compact_after:
-        touched = live
 
     fresh = number_by_position(inserts, head.counters.get(TARGET, 0) if head else 0)
     if options.narrow_inserts:
@@ -230,7 +260,8 @@ def _write_version(store, spec, changes, live, head, options, record) -> dict[st
         target = [apply_updates(old, updates, keys, update_columns), align(fresh, old)]
         old_state = store.read_segments(STATE, touched).drop(SEGMENT)
         state = [old_state.join(updates.select(*keys), keys, "left_anti"), *state]
-    segment = store.write_segment(TARGET, *target)
-    store.write_segment(STATE, *state, segment=segment)
-    kept = [s for s in live if s not in set(touched)] + [segment]
+    segment, number = f"s{uuid.uuid4().hex}", store.slices(record.data_insert_count, len(touched))
+    store.write_segment(TARGET, *target, segment=segment, slices=number)
+    gone = set(touched)
+    kept = [s for s in live if s not in gone] + store.write_segment(STATE, *state, segment=segment, slices=number)
     return {TARGET: kept, STATE: kept}

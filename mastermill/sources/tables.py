@@ -13,7 +13,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SEGMENT = "segment"
+SEGMENT, SLICE = "segment", "slice"
 COMMIT_SCHEMA = (
     "version bigint, run_id string, committed_at timestamp, "
     "tables map<string,array<string>>, counters map<string,bigint>"
@@ -71,8 +71,12 @@ class SnapshotStore:
 
     A table is a set of Parquet directories ``<root>/<table>/segment=<id>``. A commit is one small JSON row
     that lists the live segments of every table; segments without a commit are invisible. Readers take the
-    newest commit. A run that only adds rows writes one new segment and keeps the others; a run that changes
-    rows rewrites just the segments that hold them.
+    newest commit.
+
+    Tables that have bucket keys are cut further: a segment consists of slices by hash of these keys, about one for each
+    ``unit_rows`` rows, and a slice of a segment is what a commit lists. A run that only adds rows writes new slices and keeps
+    the others; a run that changes rows rewrites just the slices that hold them. Tables with the same keys and the same rows
+    have the same slices.
 
     With ``buckets``, segments of tables that have bucket keys are clustered by these keys into that many
     buckets, and reads keep the clustering, so joins on the keys do not shuffle the stored side. Take the
@@ -81,11 +85,19 @@ class SnapshotStore:
     One writer per root at a time.
     """
 
-    def __init__(self, spark: SparkSession, root: str, buckets: int = 0, bucket_keys: Mapping[str, Sequence[str]] | None = None):
+    def __init__(
+        self,
+        spark: SparkSession,
+        root: str,
+        buckets: int = 0,
+        bucket_keys: Mapping[str, Sequence[str]] | None = None,
+        unit_rows: int = 1_000_000,
+    ):
         self.spark = spark
         self.root = root.rstrip("/")
         self.buckets = buckets
         self.bucket_keys = dict(bucket_keys or {})
+        self.unit_rows = unit_rows
         self.registered: set[str] = set()
 
     # -- commits ---------------------------------------------------------------------------------------
@@ -143,10 +155,23 @@ class SnapshotStore:
     def live_segments(self, table: str, at: Commit | None) -> list[str]:
         return list(at.tables.get(table, ())) if at else []
 
+    def slices(self, rows: int, least: int = 1) -> int:
+        """The number of slices for a new segment of that many rows; a bucket is never cut."""
+        wanted = max(least, -(-rows // self.unit_rows))
+        return min(wanted, self.buckets) if self.buckets else wanted
+
+    def small_units(self, table: str, units: Sequence[str], most: int, schema: str | None = None) -> list[tuple[str, int]]:
+        """At most ``most`` of the given units that hold less than half of ``unit_rows``, smallest first, with their rows."""
+        if not units:
+            return []
+        counts = self.read_segments(table, units, schema).groupBy(SEGMENT).agg(F.count("*").alias("rows"))
+        small = counts.filter(F.col("rows") < self.unit_rows / 2).orderBy("rows", SEGMENT).limit(most)
+        return [(r[SEGMENT], r["rows"]) for r in small.collect()]
+
     def write_segment(
-        self, table: str, *parts: DataFrame, segment: str | None = None, partition_by: Sequence[str] = ()
-    ) -> str:
-        """Write the union of ``parts`` as a new, still invisible segment and return its id.
+        self, table: str, *parts: DataFrame, segment: str | None = None, partition_by: Sequence[str] = (), slices: int = 1
+    ) -> list[str]:
+        """Write the union of ``parts`` as a new, still invisible segment and return what a commit lists of it.
 
         Each part of a bucketed table is clustered on its own: Spark leaves the shuffle out for a part that
         comes from a join on the bucket keys, so only the new rows move.
@@ -154,15 +179,26 @@ class SnapshotStore:
         segment = segment or f"s{uuid.uuid4().hex}"
         location = f"{self.root}/{table}/{SEGMENT}={segment}"
         keys = self.bucket_keys.get(table)
-        if not (self.buckets and keys):
+        if not keys:
             self._union(parts).write.mode("error").partitionBy(*partition_by).parquet(location)
-            return segment
-        name = f"mastermill_{uuid.uuid4().hex}"
-        clustered = self._union([p.repartition(self.buckets, *keys) for p in parts])
-        writer = clustered.write.format("parquet").bucketBy(self.buckets, *keys).sortBy(*keys)
-        writer.option("path", location).saveAsTable(name)
-        self.spark.sql(f"DROP TABLE {name}")
-        return segment
+            return [segment]
+        # Spark's own placement by hash: a task holds the rows of one slice, or of one bucket of it.
+        place = F.pmod(F.hash(*keys), F.lit(self.buckets or slices))
+        if self.buckets:
+            parts = [p.repartition(self.buckets, *keys) for p in parts]
+            rows = self._union(parts).withColumn(SLICE, (place.cast("bigint") * slices / self.buckets).cast("int"))
+            name = f"mastermill_{uuid.uuid4().hex}"
+            writer = rows.write.format("parquet").partitionBy(SLICE).bucketBy(self.buckets, *keys).sortBy(*keys)
+            writer.option("path", location).saveAsTable(name)
+            self.spark.sql(f"DROP TABLE {name}")
+        else:
+            if slices > 1:
+                parts = [p.repartition(slices, *keys) for p in parts]
+            self._union(parts).withColumn(SLICE, place).write.mode("error").partitionBy(SLICE).parquet(location)
+        found = [0]
+        if slices > 1:
+            found = sorted(r[0] for r in self.spark.read.schema(f"{SLICE} int").parquet(location).distinct().collect())
+        return [f"{segment}/{SLICE}={k}" for k in found]
 
     @staticmethod
     def _union(parts: Sequence[DataFrame]) -> DataFrame:
@@ -172,7 +208,7 @@ class SnapshotStore:
         return first
 
     def read_segments(self, table: str, segments: Iterable[str], schema: str | None = None) -> DataFrame | None:
-        """The rows of the given segments with their ``segment`` id.
+        """The rows of the given segments, or slices of segments, with the name a commit lists them under as ``segment``.
 
         A partitioned table needs its ``schema``: a segment without rows has no file to take it from.
         """
@@ -182,9 +218,12 @@ class SnapshotStore:
         base = f"{self.root}/{table}"
         paths = [f"{base}/{SEGMENT}={s}" for s in segments]
         keys = self.bucket_keys.get(table)
-        if not (self.buckets and keys):
+        unit = F.concat_ws(f"/{SLICE}=", F.col(SEGMENT), F.col(SLICE).cast("string"))
+        if not keys:
             reader = self.spark.read.option("basePath", base)
             return (reader.schema(f"{schema}, {SEGMENT} string") if schema else reader).parquet(*paths)
+        if not self.buckets:
+            return self.spark.read.option("basePath", base).parquet(*paths).withColumn(SEGMENT, unit).drop(SLICE)
         schema = self.spark.read.parquet(paths[0]).schema
         fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
         names = ", ".join(f"`{k}`" for k in keys)
@@ -192,12 +231,14 @@ class SnapshotStore:
         name = f"mastermill_{identity}"
         self.registered.add(name)
         self.spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {name} ({fields}, {SEGMENT} string) USING parquet PARTITIONED BY ({SEGMENT}) "
+            f"CREATE TABLE IF NOT EXISTS {name} ({fields}, {SEGMENT} string, {SLICE} int) USING parquet "
+            f"PARTITIONED BY ({SEGMENT}, {SLICE}) "
             f"CLUSTERED BY ({names}) SORTED BY ({names}) INTO {self.buckets} BUCKETS LOCATION '{base}'"
         )
-        adds = " ".join(f"PARTITION ({SEGMENT}='{s}') LOCATION '{p}'" for s, p in zip(segments, paths))
+        places = [(*s.split(f"/{SLICE}="), p) for s, p in zip(segments, paths)]
+        adds = " ".join(f"PARTITION ({SEGMENT}='{s}', {SLICE}={k}) LOCATION '{p}'" for s, k, p in places)
         self.spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {adds}")
-        return self.spark.table(name)
+        return self.spark.table(name).withColumn(SEGMENT, unit).drop(SLICE)
 
     def release(self, keep: Iterable[str] = ()) -> None:
         """Drop the catalog entries made for bucketed reads; the files stay. Frames read before are then void."""

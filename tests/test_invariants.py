@@ -6,7 +6,7 @@ from datetime import datetime, timedelta, timezone
 
 import pytest
 
-from mastermill import ENTITIES, RunOptions, open_store, run_entity
+from mastermill import ENTITIES, RunOptions, compact, open_store, run_entity
 from mastermill.plans.entity import finish_rows
 from tests.conftest import rows
 
@@ -31,7 +31,8 @@ def test_target_matches_the_model(spark, tmp_path, buckets):
         # One key holds a third of all rows.
         data += [("hot", "1", "x", str(rng.randint(0, 9)), None) for _ in range(20)]
         extract = spark.createDataFrame(data, "FSOLDT string, FRCHDISP string, FDSCD string, FSHIPT string, NAME string")
-        record = run_entity(store, MAP, extract, RunOptions(run_ts=start + timedelta(days=day), compact_after=3))
+        record = run_entity(store, MAP, extract, RunOptions(run_ts=start + timedelta(days=day)))
+        compact(store)
         versions = {}
         for sold, disp, code, ship, name in data:
             if code is not None:

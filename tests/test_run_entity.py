@@ -4,7 +4,7 @@ from datetime import datetime, timezone
 
 import pytest
 
-from mastermill import ENTITIES, RunOptions, open_store, run_entity
+from mastermill import ENTITIES, RunOptions, compact, open_store, run_entity
 from mastermill.plans.entity import AUDIT
 from tests.conftest import rows
 
@@ -107,9 +107,30 @@ def test_insert_only_run_keeps_segments_and_update_rewrites_only_its_segment(spa
 
 def test_compaction(spark, store, run_ts):
     for n in range(4):
-        run_entity(store, BOM, extract(spark, [(f"B{n}", "C1", "n", "1", None)]), options(run_ts, compact_after=3))
+        run_entity(store, BOM, extract(spark, [(f"B{n}", "C1", "n", "1", None)]), options(run_ts))
+    before = sorted(store.read("target").collect())
+    assert len(store.live_segments("target", store.head())) == 4
+    assert compact(store, most=3) == 3 and compact(store) == 2 and compact(store) == 0
     assert len(store.live_segments("target", store.head())) == 1
-    assert store.read("target").count() == 4 and store.read("state").count() == 4
+    assert sorted(store.read("target").collect()) == before and store.read("state").count() == 4
+
+
+@pytest.mark.parametrize("buckets", [0, 8])
+def test_one_update_rewrites_one_slice_of_target_and_state(spark, tmp_path, run_ts, buckets):
+    store = open_store(spark, str(tmp_path / "s"), BOM, buckets, unit_rows=500)
+    rows = [(f"A{n}", "C1", "n", "1", None) for n in range(4000)]
+    run_entity(store, BOM, extract(spark, rows), options(run_ts))
+    for change in "xy":
+        before = store.head()
+        record = run_entity(store, BOM, extract(spark, [("A7", "C1", change, "1", None)]), options(run_ts))
+        assert record.data_update_count == 1
+        for table in ("target", "state"):
+            old, new = store.live_segments(table, before), store.live_segments(table, store.head())
+            written = [u for u in new if u not in old]
+            assert len(old) == len(new) == 8 and len(written) == 1 and len(set(old) - set(new)) == 1
+            assert 300 < store.read_segments(table, written).count() < 700
+        assert store.read("target").count() == store.read("state").count() == 4000
+        assert [r.assemb for r in store.read("target").filter(f"name = '{change}'").collect()] == ["A7"]
 
 
 def test_swapped_contents_are_both_updates(spark, store, run_ts):
