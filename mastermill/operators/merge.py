@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -44,21 +45,39 @@ def merge(
     update_columns: Sequence[str],
     preserve_created: bool = False,
 ) -> DataFrame:
-    """The target after the insert and update rows of ``changes`` (see ``classify_delta``).
+    """The target after the insert and update rows of ``changes`` (see ``classify_delta``), by one join.
 
     ``preserve_created`` keeps the created columns of updated rows.
     """
     if preserve_created:
         update_columns = [c for c in update_columns if c not in CREATED_COLUMNS]
-    inserts = changes.filter(F.col(CHANGE) == INSERT)
-    updates = changes.filter(F.col(CHANGE) == UPDATE)
-    updated = apply_updates(target, updates, keys, update_columns)
-    return updated.unionByName(align(inserts, target))
+    joined, names = _meet(target, changes, keys)
+    columns = []
+    for c, new in names.items():
+        taken = f"_old IS NULL OR {_NEW}" if c in update_columns else "_old IS NULL"
+        columns.append(f"CASE WHEN {taken} THEN {new} ELSE `{c}` END AS `{c}`")
+    return joined.filter(f"_old OR {CHANGE} = '{INSERT}'").selectExpr(*columns)
 
 
 def advance_state(state: DataFrame, changes: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The state after the changes: untouched fingerprints and the new ones of inserts and updates."""
+    """The state after the changes: untouched fingerprints and the new ones of inserts and updates, by one join."""
+    state = project_state(state, keys)
+    joined, names = _meet(state, changes, keys)
+    return joined.selectExpr(*[f"CASE WHEN {_NEW} THEN {new} ELSE `{c}` END AS `{c}`" for c, new in names.items()])
+
+
+_NEW = f"{CHANGE} IS NOT NULL"
+
+
+def _meet(stored: DataFrame, changes: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, dict[str, str]]:
+    """Stored rows beside the update of their key, inserts and other updates alone; and the names of the new columns.
+
+    ``_old`` marks stored rows, ``CHANGE`` those that have a change.
+    """
+    names = {c: f"_new_{n}" for n, c in enumerate(stored.columns)}
     fresh = changes.filter(F.col(CHANGE).isin(INSERT, UPDATE))
-    columns = project_state(state, keys).columns
-    kept = state.select(*columns).join(fresh.filter(F.col(CHANGE) == UPDATE).select(*keys), list(keys), "left_anti")
-    return kept.unionByName(project_state(fresh, keys).select(*columns))
+    values = align(fresh.select(*[c for c in fresh.columns if c in names], CHANGE), stored.withColumn(CHANGE, F.lit("")))
+    right = values.selectExpr(*[f"`{c}` AS {new}" for c, new in names.items()], CHANGE)
+    same = [F.col(f"`{k}`") == F.col(names[k]) for k in keys]
+    on = functools.reduce(lambda a, b: a & b, same, F.col(CHANGE) == UPDATE)
+    return stored.withColumn("_old", F.lit(True)).join(right, on, "full"), names
