@@ -8,6 +8,11 @@ earliest in the text), after their text was found equal byte by byte to that of
 Defined results: a null or empty text stays as it is with no lines removed. Rows that agree in doc_id and text are one
 document and come out alike. A text of which nothing is left becomes empty, and ``n_kept_lines`` is 0. Columns that
 clash with the result's own (``n_lines``, ``n_kept_lines``) are replaced; other columns pass through.
+
+Chunks of two lines or more with limits after about every 4th line miss most repeated passages of few lines. :func:`dedup_line_runs` is
+the whole rule: a line goes if it lies in a run of whole lines of ``LEAST_BYTES`` or more (line ends counted) that stands earlier too.
+It looks up the shortest such runs from and up to each line, of which every longer run is made, by their SHA-256, so that no text is
+shuffled for the search. Each line that goes still stands in an earlier place.
 """
 
 from __future__ import annotations
@@ -20,6 +25,7 @@ from .common import quoted, stored
 DIVISOR = 4
 FACTOR = 31
 LEAST_LINES = 2
+LEAST_BYTES = 50
 
 
 def line_hash(line: Column) -> Column:
@@ -92,3 +98,62 @@ def cut(joined: DataFrame, columns: list[str]) -> DataFrame:
     out = out.withColumn("_left", F.when(F.col("_gone").isNull(), F.col("_lines")).otherwise(left))
     kept = [text.alias(c) if c.lower() == "text" else F.col(quoted(c)) for c in columns]
     return out.select(*kept, F.size("_lines").cast("long").alias("n_lines"), F.size("_left").cast("long").alias("n_kept_lines"))
+
+
+def line_runs(docs: DataFrame) -> DataFrame:
+    """The shortest runs of ``LEAST_BYTES`` from and up to each line: ``key``, ``doc_id``, ``first`` (line, from 0), ``n_lines``, ``digest``."""
+    lines = F.split(F.coalesce("text", F.lit("")), "\n", -1)
+    rows = docs.select("doc_id", row_key().alias("key"), lines.alias("lines"))
+    rows = rows.withColumn("sizes", F.transform("lines", lambda x: F.octet_length(x) + 1))
+    limits = F.flatten(F.transform("sizes", lambda size, i: F.when(size >= LEAST_BYTES, F.array(limit(i, F.lit(1)))).otherwise(short_runs(i))))
+    rows = rows.withColumn("limits", F.array_distinct(F.filter(limits, lambda r: r["n_lines"] > 0)))
+    body = lambda r: F.array_join(F.slice("lines", r["first"] + 1, r["n_lines"]), "\n")
+    runs = F.transform("limits", lambda r: F.struct(r["first"].alias("first"), r["n_lines"].alias("n_lines"), F.unhex(F.sha2(body(r), 256)).alias("digest")))
+    return rows.select("key", "doc_id", F.explode(runs).alias("run")).select("key", "doc_id", "run.*")
+
+
+def repeated_runs(docs: DataFrame) -> DataFrame:
+    """``key``, ``first`` and ``n_lines`` of each run that stands earlier too."""
+    refs = line_runs(docs).select("digest", F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "key", "first", "n_lines").alias("at"))
+    found = refs.groupBy("digest").agg(F.min("at").alias("earliest"), F.max("at").alias("greatest"))
+    found = found.filter("earliest != greatest").select("digest", "earliest")
+    return refs.join(found, "digest").filter("at != earliest").select("at.key", "at.first", "at.n_lines")
+
+
+def limit(first: Column, count: Column) -> Column:
+    return F.struct(first.cast("int").alias("first"), count.cast("int").alias("n_lines"))
+
+
+def short_runs(i: Column) -> Column:
+    """From line ``i`` on and up to it; 0 lines where the text ends before. Each line has a byte at least, its end."""
+    before = F.greatest(i - (LEAST_BYTES - 1), F.lit(0))
+    ahead = lines_needed(F.slice("sizes", i + 1, LEAST_BYTES))
+    back = lines_needed(F.reverse(F.slice("sizes", before + 1, i - before + 1)))
+    return F.array(limit(i, ahead), limit(i - back + 1, back))
+
+
+def lines_needed(sizes: Column) -> Column:
+    start = F.struct(F.lit(0).alias("bytes"), F.lit(0).alias("n"))
+
+    def step(a, size):
+        more = a["bytes"] < LEAST_BYTES
+        return F.struct(F.when(more, a["bytes"] + size).otherwise(a["bytes"]).alias("bytes"), F.when(more, a["n"] + 1).otherwise(a["n"]).alias("n"))
+
+    return F.aggregate(sizes, start, step, lambda a: F.when(a["bytes"] >= LEAST_BYTES, a["n"]).otherwise(0))
+
+
+def dedup_line_runs(docs: DataFrame) -> DataFrame:
+    """``docs`` with the lines of repeated runs cut out of ``text``, and the counts ``n_lines`` and ``n_kept_lines``."""
+    own = ("n_lines", "n_kept_lines", "_key", "_gone")
+    docs = docs.select(*[F.col(quoted(c)) for c in docs.columns if c.lower() not in own])
+    gone = repeated_runs(docs.select("doc_id", "text")).groupBy(F.col("key").alias("_key"))
+    gone = gone.agg(F.collect_set(F.struct("first", "n_lines")).alias("_runs"))
+    places = F.flatten(F.transform("_runs", lambda r: F.sequence(r["first"], r["first"] + r["n_lines"] - 1)))
+    joined = docs.withColumn("_key", row_key()).join(gone.select("_key", F.array_distinct(places).alias("_gone")), "_key", "left")
+    out = joined.withColumn("_lines", F.split(F.coalesce("text", F.lit("")), "\n", -1))
+    left = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_gone"))
+    out = out.withColumn("_left", F.when(F.col("_gone").isNotNull(), F.transform(left, lambda i: F.col("_lines")[i])))
+    text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join("_left", "\n"))
+    kept = [text.alias(c) if c.lower() == "text" else F.col(quoted(c)) for c in docs.columns]
+    n_kept = F.when(F.col("_gone").isNull(), F.size("_lines")).otherwise(F.size("_left"))
+    return out.select(*kept, F.size("_lines").cast("long").alias("n_lines"), n_kept.cast("long").alias("n_kept_lines"))

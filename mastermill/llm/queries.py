@@ -9,7 +9,7 @@ from mastermill.session import new_work_path
 
 from .common import read_table, ship_package, stored
 from .decontaminate import benchmark_matches
-from .line_dedup import dedup_lines
+from .line_dedup import dedup_line_runs, dedup_lines
 from .near_dedup import near_duplicates
 from .packing import pack
 from .personal_data import BASE_KINDS, personal_data
@@ -67,6 +67,32 @@ SELECT n.doc_id, coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone)
 FROM numbered n JOIN gone g ON g.doc_id = n.doc_id AND g.chunk = n.chunk GROUP BY n.doc_id
 """
 
+RUNS_SQL = r"""
+WITH lines AS (
+  SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents
+), each AS (
+  SELECT doc_id, unnest(l) AS line, unnest(range(len(l))) AS i FROM lines
+), sized AS (
+  SELECT *, strlen(line) + 1 AS size, sum(strlen(line) + 1) OVER (PARTITION BY doc_id ORDER BY i) AS upto FROM each
+), runs AS (
+  SELECT a.doc_id, a.i AS first, min(b.i) AS last FROM sized a JOIN sized b ON b.doc_id = a.doc_id AND b.i >= a.i
+  WHERE b.upto - a.upto + a.size >= 50 GROUP BY a.doc_id, a.i
+  UNION
+  SELECT a.doc_id, max(b.i), a.i FROM sized a JOIN sized b ON b.doc_id = a.doc_id AND b.i <= a.i
+  WHERE a.upto - b.upto + b.size >= 50 GROUP BY a.doc_id, a.i
+), bodies AS (
+  SELECT r.doc_id, first, last, string_agg(line, chr(10) ORDER BY i) AS body
+  FROM runs r JOIN sized s ON s.doc_id = r.doc_id AND s.i BETWEEN first AND last GROUP BY ALL
+), numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY body ORDER BY doc_id, first) AS copy FROM bodies
+), gone AS (
+  SELECT DISTINCT s.doc_id, i FROM numbered r JOIN sized s ON s.doc_id = r.doc_id AND i BETWEEN first AND last WHERE copy > 1
+)
+SELECT s.doc_id, coalesce(string_agg(line, chr(10) ORDER BY s.i) FILTER (g.i IS NULL), '') AS text,
+       count(*)::BIGINT AS n_lines, (count(*) FILTER (g.i IS NULL))::BIGINT AS n_kept_lines
+FROM sized s LEFT JOIN gone g ON g.doc_id = s.doc_id AND g.i = s.i GROUP BY s.doc_id
+"""
+
 
 @query()
 def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -92,6 +118,11 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+@query(RUNS_SQL)
+def op4_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_line_runs(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @query()
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed_digest(read_table(spark, sf_dir, "documents"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from mastermill.llm import induced_sorting, near_dedup, substring_dedup
 from mastermill.llm.components import connected_components
-from mastermill.llm.line_dedup import dedup_lines, repeated_chunks
+from mastermill.llm.line_dedup import dedup_line_runs, dedup_lines, repeated_chunks
 from mastermill.llm.near_dedup import near_duplicates, shingles
 from mastermill.llm.substring_dedup import dedup_substrings
 
@@ -161,3 +161,48 @@ def test_line_dedup_odd_rows(spark, empty):
     assert dedup_lines(df).columns == ["doc_id", "text", "n_lines", "n_kept_lines"]
     assert [r.n_kept_lines for r in got if r.doc_id == 1] == [8, 8] and [r.text for r in got if r.doc_id == 2] == [None]
     assert [r.n_kept_lines < 8 for r in got if r.doc_id is None] == [repeated_chunks(df.select("doc_id", "text")).filter(F.lit(True)).count() > 0]
+
+
+def brute_runs(rows, least):
+    """Every line of every run of whole lines of ``least`` bytes that stands earlier too, by looking at all runs."""
+    seen, out = set(), {}
+    for d, t in rows:
+        lines = (t or "").split("\n")
+        gone = set()
+        for i in range(len(lines)):
+            for j in range(i, len(lines)):
+                run = "\n".join(lines[i : j + 1])
+                if len(run.encode()) + 1 >= least:
+                    gone |= set(range(i, j + 1)) if run in seen else set()
+                    seen.add(run)
+        left = [x for i, x in enumerate(lines) if i not in gone]
+        out[d] = ("\n".join(left) if gone else t, len(lines), len(left))
+    return out
+
+
+def test_line_runs_find_planted_passages(spark):
+    r = random.Random(11)
+    line = lambda n: " ".join(f"w{r.randrange(10**6)}" for _ in range(n))
+    passages = [[line(r.choice((1, 2, 4, 15))) for _ in range(k)] + [line(9)] for k in range(2, 8) for _ in range(5)]
+    around = [[[line(12) for _ in range(r.randint(0, 3))] for _ in range(4)] for _ in passages]
+    rows = [(i, "\n".join(a[0] + p + a[1])) for i, (p, a) in enumerate(zip(passages, around))]
+    rows += [(100 + i, "\n".join(a[2] + p + a[3])) for i, (p, a) in enumerate(zip(passages, around))]
+    got = {x.doc_id: x.text for x in dedup_line_runs(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: t for i, t in rows[:30]} | {100 + i: "\n".join(a[2] + a[3]) for i, a in enumerate(around)}
+
+
+def test_line_runs_against_all_runs(docs, texts, spark, empty):
+    r = random.Random(2)
+    short = ["\n".join(r.choice(("", "a", "bcd", "x" * 20, "y" * 49, "é" * 25)) for _ in range(r.randint(1, 60))) for _ in range(60)]
+    for df, rows in ((docs, texts), (spark.createDataFrame(list(enumerate(short)), "doc_id long, text string"), short)):
+        got = {x.doc_id: (x.text, x.n_lines, x.n_kept_lines) for x in dedup_line_runs(df).collect()}
+        assert got == brute_runs(list(enumerate(rows)), 50)
+    assert dedup_line_runs(empty).count() == 0
+
+
+def test_line_runs_odd_rows(spark):
+    text = "\n".join("abcdefgh" * 10)
+    rows = [(None, text, "a"), (1, text, "b"), (1, text, "c"), (2, None, "d"), (3, "", "e")]
+    got = sorted(dedup_line_runs(spark.createDataFrame(rows, "doc_id long, text string, N_Lines string")).collect(), key=str)
+    assert [(x.doc_id, x.n_kept_lines, x.text is None) for x in got if x.doc_id != 1] == [(2, 1, True), (3, 1, False), (None, 0, False)]
+    assert len({x.text for x in got if x.doc_id == 1}) == 1 and min(x.n_kept_lines for x in got if x.doc_id == 1) > 0
