@@ -4,15 +4,18 @@ A byte goes if a string of ``window`` bytes around it also starts in a document
 
 1. The documents are written once with the number of their part (task). Whole copies of an earlier document go at once.
 2. Each window has a fingerprint: the least hash of its ``GRAM``-byte strings. Neighbouring windows mostly share it, and
-   equal windows always do. Each part sends its distinct fingerprints in a few blocks, and learns which of them other documents have.
+   equal windows always do. Each part sends its distinct fingerprints and about how often it has them in a few blocks, and learns which
+   of them other documents have, and which are heavy: their segments could exceed ``SHARD_BYTES``.
 3. Runs of windows with one such fingerprint become segments. Equal segments of a part are sent once, with the smallest doc_id, to the
-   shard of their fingerprint, so all places of a window that repeats meet in one shard.
+   shard of their key, so all places of a window that repeats meet in one shard. The key is the fingerprint, for heavy ones
+   the fingerprint with the next least hash of the window. Those keys are weighed in a pass of their own, which only runs if a fingerprint is heavy,
+   and windows of a key that is still too heavy go by the hash of the whole window. All three are functions of the window alone.
 4. A shard's segments are joined and their suffixes sorted by external induced sorting (:mod:`induced_sorting`). Neighbouring suffixes
    with a common prefix of a window's length are one string; the common prefixes are read from the bytes, not carried through the
    induction. The smallest doc_id of each string goes back to the parts, which cut their documents.
 
 What a task needs of another step it reads from the shared folder by the number of its part, so texts are never shuffled. A passage in a
-third of all documents is one segment per part. Shards are made as many as keep each near ``SHARD_BYTES``.
+third of all documents is one segment per part. Shards are made as many as keep each near ``SHARD_BYTES``, by the weights of the keys.
 
 Defined results: a null text is empty; nothing is removed from texts shorter than the window. A null doc_id is smaller
 than all others and loses nothing. Rows that share a doc_id remove nothing from each other. Columns other than doc_id and text are not read.
@@ -36,6 +39,7 @@ GRAM = 20
 SHARD_BYTES = 4 << 20
 BUFFER = 1 << 19
 NONE = -(1 << 63)
+LOW = np.uint64(6)  # bits of a sent fingerprint that hold, from the least, whether several documents have it and the logarithm of its number
 SPANS = "array<struct<start:bigint,end:bigint>>"
 
 
@@ -128,7 +132,6 @@ def dedup_substrings(docs: DataFrame, window: int = 50) -> DataFrame:
     """``doc_id``, ``n_bytes``, ``spans`` (removed runs of bytes) and ``kept`` (the remaining bytes) of each row."""
     if window <= GRAM:
         raise ValueError(f"a window holds more than {GRAM} bytes")
-    spark = docs.sparkSession
     text = F.coalesce("text", F.lit("")).cast("binary").alias("text")
     parts = stored(docs.select(F.spark_partition_id().alias("part"), F.coalesce(F.col("doc_id").cast("long"), F.lit(NONE)).alias("doc"), text), "parts")
 
@@ -136,14 +139,7 @@ def dedup_substrings(docs: DataFrame, window: int = 50) -> DataFrame:
     first = digests.groupBy("digest").agg(F.min("doc").alias("first"))
     copies = SideTable(digests.join(first, "digest").filter("doc > first").select("part", "doc", "digest"), "copies")
 
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    blocks = parts.mapInArrow(_sending(copies, window, buckets), "bucket int, part int, fps binary")
-    repeated = stored(blocks.groupBy("bucket").applyInPandas(_repeated, "part int, fps binary, n long"), "repeated")
-    wanted = SideTable(repeated.select("part", "fps"), "wanted")
-
-    count = repeated.agg(F.sum("n")).first()[0] or 0
-    shards = max(1, int(count * (2 * window - GRAM) // SHARD_BYTES) + 1)
-    segments = parts.mapInArrow(_segments(copies, wanted, window, shards), "shard int, part int, body binary, sizes binary, grams binary, docs binary")
+    wanted, segments = sharded(parts, copies, window)
     answers = segments.groupBy("shard").applyInPandas(_shard(window), "part int, keys binary, counts binary, lengths binary, docs binary")
     owners = SideTable(stored(answers, "answers"), "owners")
 
@@ -151,6 +147,25 @@ def dedup_substrings(docs: DataFrame, window: int = 50) -> DataFrame:
     return parts.mapInArrow(_cutting(copies, wanted, owners, window), schema)
 
 
+def sharded(parts: DataFrame, copies: SideTable, window: int) -> tuple[_Wanted, DataFrame]:
+    """Which fingerprints and keys of each part are to be looked up and split, and the segments by shard."""
+    buckets = int(parts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    most = 2 * window - GRAM  # bytes of a segment
+    blocks = parts.mapInArrow(_sending(copies, window, buckets), "bucket int, part int, fps binary")
+    found = blocks.groupBy("bucket").applyInPandas(_repeated(SHARD_BYTES // most), "part int, fps binary, heavy binary, n long, n_heavy long")
+    repeated = stored(found, "repeated")
+    wanted = _Wanted(SideTable(repeated.select("part", "fps", "heavy"), "wanted"))
+    n, n_heavy = repeated.agg(F.sum("n"), F.sum("n_heavy")).first()
+    size = (n or 0) * most
+    if n_heavy:
+        blocks = parts.mapInArrow(_weighing(copies, wanted, window, buckets), "bucket int, part int, keys binary, sizes binary, windows binary")
+        weighed = stored(blocks.groupBy("bucket").applyInPandas(_too_heavy(SHARD_BYTES, window), "part int, keys binary, size long"), "weighed")
+        wanted = _Wanted(wanted.table, SideTable(weighed.select("part", "keys"), "split"))
+        size += weighed.agg(F.sum("size")).first()[0] or 0
+    shards = max(1, int(size // SHARD_BYTES) + 1)
+    return wanted, parts.mapInArrow(_segments(copies, wanted, window, shards), "shard int, part int, body binary, sizes binary, grams binary, docs binary")
+
+
 def _rows(batch: pa.RecordBatch, copies: SideTable, known: dict) -> Iterator[tuple[int, list[int], list[bytes], list[bool]]]:
     """Part, doc, text and whether it is a copy, by part."""
     part = np.array(batch.column(0).to_pylist(), np.int64)
@@ -169,49 +184,116 @@ def _sending(copies: SideTable, window: int, buckets: int):
         known, found = {}, {}
         for batch in batches:
             for part, _, texts, copied in _rows(batch, copies, known):
-                for fps, owner, *_ in runs([b"" if c else t for t, c in zip(texts, copied)], window):
+                for fps, owner, _, count, *_ in runs([b"" if c else t for t, c in zip(texts, copied)], window):
                     order = np.argsort(fps, kind="stable")  # texts are in order already
-                    fps, owner = fps[order], owner[order]
-                    once = np.concatenate([[True], (fps[1:] != fps[:-1]) | (owner[1:] != owner[:-1])])
-                    # The lowest bit of what is sent says that several documents of the part have the fingerprint.
-                    found.setdefault(part, []).append(_several(fps[once] & ~np.uint64(1)))
+                    fps, owner = fps[order] >> LOW, owner[order]
+                    # A long run has its string in several places.
+                    places = 1 + count[order] // (window - GRAM + 1)
+                    first = np.flatnonzero(np.concatenate([[True], (fps[1:] != fps[:-1]) | (owner[1:] != owner[:-1])]))
+                    found.setdefault(part, []).append(_several(packed(fps[first], False, np.add.reduceat(places, first))))
         for part, arrays in found.items():
             fps = _several(np.sort(np.concatenate(arrays)))
-            bucket = (fps >> np.uint64(32)) % np.uint64(buckets)
-            order = np.argsort(bucket, kind="stable")
-            cuts = np.flatnonzero(np.diff(bucket[order])) + 1
-            groups = np.split(fps[order], cuts) if len(fps) else []
-            ids = bucket[order][np.concatenate([[0], cuts])].tolist() if len(fps) else []
-            columns = [pa.array(ids, pa.int32()), pa.array([part] * len(ids), pa.int32()), pa.array([g.tobytes() for g in groups], pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["bucket", "part", "fps"])
+            for bucket, (mine,) in by_bucket(fps >> np.uint64(32), buckets, fps):
+                yield pa.RecordBatch.from_pydict({"bucket": pa.array([bucket], pa.int32()), "part": pa.array([part], pa.int32()), "fps": pa.array([mine], pa.binary())})
 
     return send
 
 
-def _several(fps: np.ndarray) -> np.ndarray:
-    """Sorted fingerprints, each once; the lowest bit is set where it was set or there were several."""
-    if not len(fps):
-        return fps
-    plain = fps >> np.uint64(1)
-    first = np.flatnonzero(np.concatenate([[True], plain[1:] != plain[:-1]]))
-    count = np.diff(np.append(first, len(fps)))
-    marked = np.maximum.reduceat(fps & np.uint64(1), first)
-    return (plain[first] << np.uint64(1)) | ((count > 1) | (marked > 0)).astype(np.uint64)
+def by_bucket(keys: np.ndarray, buckets: int, *values: np.ndarray) -> Iterator[tuple[int, list[bytes]]]:
+    bucket = keys % np.uint64(buckets)
+    order = np.argsort(bucket, kind="stable")
+    cuts = np.flatnonzero(np.diff(bucket[order])) + 1
+    for rows in np.split(order, cuts) if len(order) else []:
+        yield int(bucket[rows[0]]), [v[rows].tobytes() for v in values]
+
+
+def packed(plain: np.ndarray, several, total: np.ndarray) -> np.ndarray:
+    """Fingerprints as sent. The number is rounded up to a power of two."""
+    power = np.minimum(np.frexp((total - 1).astype(float))[1], 31).astype(np.uint64)
+    return (plain << LOW) | (power << np.uint64(1)) | np.asarray(several, np.uint64)
+
+
+def totals(sent: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The fingerprints in sorted ``sent``, each once, whether several documents have them, and their number."""
+    plain = sent >> LOW
+    first = np.flatnonzero(np.concatenate([[True], plain[1:] != plain[:-1]])) if len(sent) else np.zeros(0, np.int64)
+    if not len(first):
+        return plain, np.zeros(0, bool), np.zeros(0, np.int64)
+    count = np.diff(np.append(first, len(sent)))
+    marked = np.maximum.reduceat(sent & np.uint64(1), first)
+    return plain[first], (count > 1) | (marked > 0), np.add.reduceat(numbers(sent), first)
+
 
+def numbers(sent: np.ndarray) -> np.ndarray:
+    return np.int64(1) << ((sent >> np.uint64(1)) & np.uint64(31)).astype(np.int64)
 
-def _repeated(pdf):
-    import pandas as pd
 
-    arrays = [np.frombuffer(x, np.uint64) for x in pdf.fps]
-    every = _several(np.sort(np.concatenate(arrays)))
-    several = every[(every & np.uint64(1)) > 0] >> np.uint64(1)
-    out = []
-    for part, fps in zip(pdf.part, arrays):
-        plain = fps >> np.uint64(1)
-        mine = plain[member(plain, several)]
-        if len(mine):
-            out.append((part, mine.tobytes(), len(mine)))
-    return pd.DataFrame(out, columns=["part", "fps", "n"])
+def _several(sent: np.ndarray) -> np.ndarray:
+    """Sorted fingerprints as sent, each once."""
+    plain, several, total = totals(sent)
+    return packed(plain, several, total)
+
+
+def _repeated(most: int):
+    """A fingerprint is heavy that stands in more than ``most`` places."""
+
+    def find(pdf):
+        import pandas as pd
+
+        arrays = [np.frombuffer(x, np.uint64) for x in pdf.fps]
+        plain, several, total = totals(np.sort(np.concatenate(arrays)))
+        heavy = plain[several & (total > most)]
+        several = plain[several]
+        out = []
+        for part, sent in zip(pdf.part, arrays):
+            hit = member(sent >> LOW, several)
+            mine, n = sent[hit] >> LOW, numbers(sent[hit])
+            if len(mine):
+                split = member(mine, heavy)
+                out.append((part, mine.tobytes(), mine[split].tobytes(), int(n[~split].sum()), int(n[split].sum())))
+        return pd.DataFrame(out, columns=["part", "fps", "heavy", "n", "n_heavy"])
+
+    return find
+
+
+def _weighing(copies: SideTable, wanted: _Wanted, window: int, buckets: int):
+    """Bytes and windows of the segments of heavy fingerprints, by key; equal ones of a part once, as they will be sent."""
+
+    def weigh(batches):
+        known, found = {}, {}
+        for batch in batches:
+            for part, _, texts, copied in _rows(batch, copies, known):
+                mine = found.setdefault(part, {})
+                for _, _, _, body, gram, key in _candidate_segments(texts, copied, wanted.of(part), window, heavy_only=True):
+                    mine[body, gram] = key
+        for part, mine in found.items():
+            keys, at = np.unique(np.fromiter(mine.values(), np.uint64, len(mine)), return_inverse=True)
+            sizes = np.fromiter((len(body) for body, _ in mine), np.int64, len(mine))
+            size, windows = (np.bincount(at, x, len(keys)).astype(np.int64) for x in (sizes, sizes - window + 1))
+            for bucket, values in by_bucket(keys, buckets, keys, size, windows):
+                columns = {"bucket": pa.array([bucket], pa.int32()), "part": pa.array([part], pa.int32())}
+                columns |= {name: pa.array([v], pa.binary()) for name, v in zip(("keys", "sizes", "windows"), values)}
+                yield pa.RecordBatch.from_pydict(columns)
+
+    return weigh
+
+
+def _too_heavy(limit: int, window: int):
+    """The keys of each part with more than ``limit`` bytes in all parts, and the part's bytes once their windows are sent one by one."""
+
+    def find(pdf):
+        import pandas as pd
+
+        keys, sizes, windows = ([np.frombuffer(x, t) for x in pdf[c]] for c, t in (("keys", np.uint64), ("sizes", np.int64), ("windows", np.int64)))
+        every, at = np.unique(np.concatenate(keys), return_inverse=True)
+        heavy = every[np.bincount(at, np.concatenate(sizes), len(every)) > limit]
+        out = []
+        for part, k, size, n in zip(pdf.part, keys, sizes, windows):
+            split = member(k, heavy)
+            out.append((part, k[split].tobytes(), int(size[~split].sum() + n[split].sum() * window)))
+        return pd.DataFrame(out, columns=["part", "keys", "size"])
+
+    return find
 
 
 def member(values: np.ndarray, among: np.ndarray) -> np.ndarray:
@@ -222,38 +304,67 @@ def member(values: np.ndarray, among: np.ndarray) -> np.ndarray:
     return among[at] == values
 
 
-def _candidate_segments(texts: list[bytes], copied: list[bool], among: np.ndarray, window: int):
-    """(text number, start in the text, number of windows, bytes, offset of the fingerprint's string, fingerprint) of each segment."""
+def _candidate_segments(texts: list[bytes], copied: list[bool], wanted: _Part, window: int, heavy_only: bool = False):
+    """(text number, start in the text, number of windows, bytes, offset of the fingerprint's string, key) of each segment."""
+    among = wanted.heavy_fps if heavy_only else wanted.fps
     for fps, owner, place, count, start, hashes, data in runs([b"" if c else t for t, c in zip(texts, copied)], window):
-        hit = np.flatnonzero(member(fps >> np.uint64(1), among))
+        hit = np.flatnonzero(member(fps >> LOW, among))
         for number, skipped, inside, offset in anchored(fps[hit], count[hit], start[hit], hashes):
-            rows = (owner[hit][number], place[hit][number] + skipped, inside, start[hit][number] + skipped, offset, fps[hit][number])
+            rows = (owner[hit][number], place[hit][number] + skipped, inside, start[hit][number] + skipped, offset, fps[hit][number] >> LOW)
             for text, at, n, a, gram, fp in zip(*(x.tolist() for x in rows)):
-                yield text, at, n, data[a : a + n + window - 1], gram, fp
+                if fp not in wanted.heavy:
+                    yield text, at, n, data[a : a + n + window - 1], gram, fp
+                    continue
+                for skip, m, key in split_windows(hashes[a : a + n + window - GRAM], n, gram, fp, window):
+                    if key not in wanted.split:
+                        yield text, at + skip, m, data[a + skip : a + skip + m + window - 1], gram - skip, key
+                        continue
+                    for i in range(skip, skip + m):
+                        body = data[a + i : a + i + window]
+                        yield text, at + i, 1, body, gram - i, int.from_bytes(hashlib.blake2b(body, digest_size=8).digest(), "little")
+
+
+def split_windows(hashes: np.ndarray, n: int, gram: int, fp: int, window: int) -> Iterator[tuple[int, int, int]]:
+    """Runs of the ``n`` windows of a segment with the same next least hash: windows before, windows in it, key."""
+    other = hashes.copy()
+    other[gram] = ~np.uint64(0)
+    least = least_of(other, window - GRAM + 1)
+    first = np.flatnonzero(np.concatenate([[True], least[1:] != least[:-1]]))
+    keys = mixed(least[first] ^ mixed(np.array([fp], np.uint64)))
+    return zip(first.tolist(), np.diff(np.append(first, n)).tolist(), keys.tolist())
+
+
+class _Part:
+    def __init__(self, rows: pa.Table | None, split: pa.Table | None):
+        self.fps, self.heavy_fps, keys = joined_arrays(rows, "fps"), joined_arrays(rows, "heavy"), joined_arrays(split, "keys")
+        self.heavy, self.split = set(self.heavy_fps.tolist()), set(keys.tolist())
+
+
+def joined_arrays(rows: pa.Table | None, column: str) -> np.ndarray:
+    arrays = [np.frombuffer(x, np.uint64) for x in rows[column].to_pylist()] if rows else []
+    return np.sort(np.concatenate(arrays)) if arrays else np.zeros(0, np.uint64)
 
 
 class _Wanted:
-    def __init__(self, table: SideTable):
-        self.table, self.known = table, {}
+    def __init__(self, table: SideTable, split: SideTable | None = None):
+        self.table, self.split, self.known = table, split, {}
 
-    def among(self, part: int) -> np.ndarray:
+    def of(self, part: int) -> _Part:
         if part not in self.known:
-            rows = self.table.rows(part)
-            arrays = [np.frombuffer(x, np.uint64) for x in rows["fps"].to_pylist()] if rows else []
-            self.known[part] = np.sort(np.concatenate(arrays)) if arrays else np.zeros(0, np.uint64)
+            self.known[part] = _Part(self.table.rows(part), self.split.rows(part) if self.split else None)
         return self.known[part]
 
 
-def _segments(copies: SideTable, table: SideTable, window: int, shards: int):
+def _segments(copies: SideTable, wanted: _Wanted, window: int, shards: int):
     def make(batches):
-        known, wanted, found = {}, _Wanted(table), {}
+        known, found = {}, {}
         for batch in batches:
             for part, docs, texts, copied in _rows(batch, copies, known):
                 mine = found.setdefault(part, {})
-                for number, _, _, body, gram, fp in _candidate_segments(texts, copied, wanted.among(part), window):
+                for number, _, _, body, gram, key in _candidate_segments(texts, copied, wanted.of(part), window):
                     old = mine.get((body, gram))
                     if old is None or docs[number] < old[0]:
-                        mine[body, gram] = (docs[number], (fp >> 1) % shards)
+                        mine[body, gram] = (docs[number], key % shards)
         for part, mine in found.items():
             by_shard: dict[int, list] = {}
             for (body, gram), (doc, shard) in mine.items():
@@ -345,15 +456,15 @@ def common_prefix(data: np.ndarray, order: np.ndarray, window: int) -> np.ndarra
     return np.concatenate(out) if out else np.zeros(0, bool)
 
 
-def _cutting(copies: SideTable, table: SideTable, owners: SideTable, window: int):
+def _cutting(copies: SideTable, wanted: _Wanted, owners: SideTable, window: int):
     def cut(batches):
-        known, wanted, answers = {}, _Wanted(table), {}
+        known, answers = {}, {}
         for batch in batches:
             for part, docs, texts, copied in _rows(batch, copies, known):
                 if part not in answers:
                     answers[part] = _answers(owners.rows(part))
                 gone: list[list] = [[] for _ in texts]
-                for number, place, _, body, gram, _ in _candidate_segments(texts, copied, wanted.among(part), window):
+                for number, place, _, body, gram, _ in _candidate_segments(texts, copied, wanted.of(part), window):
                     lengths, values = answers[part][segment_key(body, gram)]
                     at = place
                     for length, owner in zip(lengths, values):

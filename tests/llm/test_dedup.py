@@ -115,6 +115,26 @@ def test_substrings_against_all_windows(docs, texts, monkeypatch, buffer, shard)
     assert got == brute_substrings([(i, (t or "").encode()) for i, t in enumerate(texts)], 50)
 
 
+@pytest.mark.parametrize("length", [24, 46])
+def test_a_common_phrase_is_spread_over_shards(spark, monkeypatch, length):
+    """A phrase in ever different surroundings shares its fingerprints but hardly a window."""
+    limit = 4000
+    monkeypatch.setattr(substring_dedup, "SHARD_BYTES", limit)
+    r = random.Random(length)
+    word = lambda n: "".join(r.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n))
+    # Whose least hash is low enough to be the fingerprint of most windows around it.
+    phrase = next(p for p in iter(lambda: word(length), None) if substring_dedup.gram_hashes(np.frombuffer(p.encode(), np.uint8)).min() < 2**57)
+    passage = word(70)
+    texts = [word(60) + phrase + (passage if i % 50 == 7 else word(60)) for i in range(400)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    seen, real = [], substring_dedup.sharded
+    monkeypatch.setattr(substring_dedup, "sharded", lambda *a: seen.append(real(*a)) or seen[-1])
+    got = {x.doc_id: (x.n_bytes, bytes(x.kept), len(x.spans)) for x in dedup_substrings(docs).collect()}
+    assert got == brute_substrings([(i, t.encode()) for i, t in enumerate(texts)], 50)
+    sizes = [x.size for x in seen[0][1].groupBy("shard").agg(F.sum(F.length("body")).alias("size")).collect()]
+    assert sum(sizes) > 10 * limit and max(sizes) < 3 * limit
+
+
 def test_substrings_odd_rows(spark, empty):
     assert dedup_substrings(empty).count() == 0
     text = "z" * 60
