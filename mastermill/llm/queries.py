@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from mastermill.session import new_work_path
 
+from . import conversation_repair, hard_negatives, nearest
 from .common import read_table, ship_package, stored
 from .decontaminate import benchmark_matches
 from .line_dedup import dedup_line_runs, dedup_lines
@@ -180,6 +181,47 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return totals.totals()
 
 
+@query()
+def op11_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest.nearest(nearest.prepared(read_table(spark, sf_dir, "embeddings")), every=100, count=10)
+
+
+@query()
+def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = conversation_repair.damaged(read_table(spark, sf_dir, "conversations"))
+    return conversation_repair.repair(rows, keep_text=False).drop("repaired")
+
+
+NEGATIVES_SQL = """
+WITH numbers AS (
+  SELECT vec_id, (CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END)::BIGINT AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), pairs AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same,
+         list_sum(list_transform(list_zip(a.v, b.v), lambda p: p[1] * p[2]))::BIGINT AS score
+  FROM numbers a JOIN numbers b ON b.vec_id <> a.vec_id WHERE a.vec_id % 100 = 0
+), positives AS (
+  SELECT anchor_id, other AS positive_id, score AS positive_score FROM pairs WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5
+), negatives AS (
+  SELECT p.anchor_id, positive_id, (row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY n.score DESC, n.other))::INTEGER AS rank,
+         n.other AS negative_id, positive_score, n.score AS negative_score
+  FROM positives p JOIN pairs n ON n.anchor_id = p.anchor_id AND NOT n.same
+  WHERE 80 * positive_score <= 100 * n.score AND n.score <= positive_score
+)
+SELECT * FROM negatives WHERE rank <= 5
+"""
+
+
+@query(NEGATIVES_SQL)
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(hard_negatives.prepared(rows.withColumn("label", moved)))
+
+
 @query()
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
