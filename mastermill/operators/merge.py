@@ -33,6 +33,21 @@ def apply_updates(
     )
 
 
+def updated_rows(
+    target: DataFrame, updates: DataFrame, keys: Sequence[str], update_columns: Sequence[str], carry: Sequence[str] = ()
+) -> DataFrame:
+    """The new versions of the target rows that have an update, as :func:`apply_updates` makes them, with the ``carry`` columns of the old rows.
+
+    Of the old rows only the columns are read that an update leaves as they were.
+    """
+    kept = [c for c in target.columns if c not in carry]
+    columns = [c for c in kept if c in update_columns]
+    types = {f.name: f.dataType.simpleString() for f in target.schema.fields}
+    right = pad_columns(updates, {c: types[c] for c in [*keys, *[c for c in columns if c not in keys]]})
+    old = target.select(*keys, *[c for c in kept if c not in columns and c not in keys], *carry)
+    return old.join(right, list(keys)).select(*kept, *carry)
+
+
 def align(df: DataFrame, like: DataFrame) -> DataFrame:
     """The columns of ``like``, in its order and types; absent ones are null."""
     return pad_columns(df, {f.name: f.dataType.simpleString() for f in like.schema.fields})

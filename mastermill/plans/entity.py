@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import date, datetime, timezone
 
@@ -23,7 +23,7 @@ from ..operators.lookups import (
     one_per_code,
     qualifying_codes,
 )
-from ..operators.merge import CREATED_COLUMNS, align, apply_updates
+from ..operators.merge import CREATED_COLUMNS, align, apply_updates, updated_rows
 from ..operators.schema import (
     conform,
     default_region,
@@ -36,13 +36,15 @@ from ..operators.schema import (
     stamp_audit,
 )
 from ..session import new_work_path
+from ..sources import small_files
 from ..sources.files import is_empty
-from ..sources.tables import SEGMENT, SnapshotStore
-from ..spec import AUDIT_COLUMNS, EntitySpec, GateRule
+from ..sources.tables import FILE, PRUNED_UNITS, ROW, SEGMENT, Commit, SnapshotStore, Unit
+from ..spec import AUDIT_COLUMNS, AUDIT_DATES, EntitySpec, GateRule
 from .audit import EMPTY, FAILED, SKIPPED, SUCCESS, RunRecord, append_audit
 from .dimensions import DIMENSION, DIMENSIONS, STORED_SCHEMA, Dimensions, by_file
 
 TARGET, STATE, AUDIT = "target", "state", "run_audit"
+ORIGIN = "_origin"  # the file of a row, in runs of several files
 
 
 @dataclass(frozen=True)
@@ -64,14 +66,17 @@ class RunOptions:
     broadcast_bytes: int = 64 << 20
 
 
-def open_store(spark, root: str, spec: EntitySpec, buckets: int = 0, unit_rows: int = 1_000_000) -> SnapshotStore:
+def open_store(
+    spark, root: str, spec: EntitySpec, buckets: int = 0, unit_rows: int = 1_000_000, rewrite_rows: int = 1024
+) -> SnapshotStore:
     """Store of one entity, cut by the row key into slices of about ``unit_rows``; with ``buckets`` its target and state are
-    clustered by that key."""
-    return SnapshotStore(spark, root, buckets, {TARGET: spec.cluster_keys, STATE: spec.cluster_keys}, unit_rows)
+    clustered by that key. Slices of up to ``rewrite_rows`` are rewritten for an update."""
+    return SnapshotStore(spark, root, buckets, {TARGET: spec.cluster_keys, STATE: spec.cluster_keys}, unit_rows, rewrite_rows)
 
 
-def compact(store: SnapshotStore, most: int = 256) -> int:
-    """Rewrite at most ``most`` small slices of target and state, and as many small dimension segments, as fewer larger ones.
+def compact(store: SnapshotStore, most: int = 256, deleted_share: float = 0.1) -> int:
+    """Rewrite at most ``most`` slices of target and state that are small or of which ``deleted_share`` is deleted, and as many small
+    dimension segments, as fewer larger ones.
 
     Loads never do this. Call it between loads until it returns 0; it returns how many pieces it replaced, and publishes
     like a run. The rows stay the same.
@@ -80,16 +85,22 @@ def compact(store: SnapshotStore, most: int = 256) -> int:
     if head is None:
         return 0
     tables: dict[str, list[str]] = {}
+    facts: dict[str, dict[str, Unit]] = {}
     live = store.live_segments(STATE, head)
     small = store.small_units(STATE, live, most)
-    number = store.slices(sum(n for _, n in small))
+    number, holed = store.slices(sum(n for _, n in small)), _holed(store, head, deleted_share)
+    gone = [unit for unit, _ in small] if number < len(small) else []
+    gone = [*gone, *[unit for unit in holed if unit not in gone][: most - len(gone)]]
     replaced = 0
-    if number < len(small):
-        gone, segment = [unit for unit, _ in small], f"s{uuid.uuid4().hex}"
+    if gone:
+        known = head.units[STATE]
+        segment, keys = f"s{uuid.uuid4().hex}", store.bucket_keys[STATE]
+        number = store.slices(sum(known[u].rows for u in gone) or sum(n for _, n in small))
         replaced += len(gone)
         for table in (TARGET, STATE):
-            written = store.write_segment(table, store.read_segments(table, gone), segment=segment, slices=number)
+            written = store.write_segment(table, store.rows(table, head, gone), segment=segment, slices=number)
         tables = dict.fromkeys((TARGET, STATE), [u for u in live if u not in set(gone)] + written)
+        facts = dict.fromkeys((TARGET, STATE), store.describe(STATE, written, keys, number))
     live = store.live_segments(DIMENSIONS, head)
     gone = [s for s, _ in store.small_units(DIMENSIONS, live, most, STORED_SCHEMA)]
     if len(gone) > 1:
@@ -98,11 +109,20 @@ def compact(store: SnapshotStore, most: int = 256) -> int:
         written = store.write_segment(DIMENSIONS, rows, partition_by=[DIMENSION])
         tables[DIMENSIONS] = [s for s in live if s not in set(gone)] + written
     if tables:
-        store.commit(f"compact-{uuid.uuid4().hex}", tables, head)
+        store.commit(f"compact-{uuid.uuid4().hex}", tables, head, facts=facts)
     store.release(keep=before)
     return replaced
 
 
+def _holed(store: SnapshotStore, head: Commit, share: float) -> list[str]:
+    """Units of which that share of the rows, or more, is deleted."""
+    if not head.deletes.get(STATE):
+        return []
+    units = head.units[STATE]
+    counts = store.deleted_counts(STATE, head)
+    return [unit for unit, n in counts.items() if unit in units and n >= share * max(1, units[unit].rows)]
+
+
 def conform_extract(extract: DataFrame, spec: EntitySpec, region: str = "") -> DataFrame:
     """Names, constants, types and derived columns of an extract; one projection over the scan."""
     df = drop_columns(lower_names(extract), spec.drop)
@@ -119,8 +139,9 @@ def conform_extract(extract: DataFrame, spec: EntitySpec, region: str = "") -> D
 
 
 def valid_rows(df: DataFrame, spec: EntitySpec) -> DataFrame:
-    """Rows with complete keys, one per key."""
-    return dedupe_keys(require_keys(df, spec.keys), spec.keys, spec.order_by)
+    """Rows with complete keys, one per key; of several files the last by name that has the key."""
+    first = [ORIGIN] if ORIGIN in df.columns else []
+    return dedupe_keys(require_keys(df, spec.keys), spec.keys, [*first, *spec.order_by])
 
 
 def finish_rows(df: DataFrame, spec: EntitySpec, options: RunOptions) -> DataFrame:
@@ -131,13 +152,13 @@ def finish_rows(df: DataFrame, spec: EntitySpec, options: RunOptions) -> DataFra
     """
     df = df.withColumn("code", business_key(spec.code_columns))
     df = stamp_audit(df, options.run_ts, options.user, spec.validation_status)
-    wanted = dict(spec.target_columns)
+    wanted, origin = dict(spec.target_columns), {ORIGIN: "string"} if ORIGIN in df.columns else {}
     if options.legacy_fingerprint:
-        df = with_fingerprint(df, legacy=True, method=spec.fingerprint)
-        return pad_columns(df, wanted | {"code": "string", "hash_value": "string", "check_sum": "int"})
-    df = pad_columns(df, wanted | {"code": "string"})
+        df = with_fingerprint(df, exclude=(*AUDIT_DATES, ORIGIN), legacy=True, method=spec.fingerprint)
+        return pad_columns(df, wanted | {"code": "string", "hash_value": "string", "check_sum": "int"} | origin)
+    df = pad_columns(df, wanted | {"code": "string"} | origin)
     outside = () if spec.keep_code else ("code",)
-    return with_fingerprint(df, exclude=(*AUDIT_COLUMNS, *outside), method=spec.fingerprint)
+    return with_fingerprint(df, exclude=(*AUDIT_COLUMNS, *outside, ORIGIN), method=spec.fingerprint)
 
 
 def resolve_codes(df: DataFrame, spec: EntitySpec, dims: Dimensions, options: RunOptions) -> DataFrame:
@@ -180,88 +201,156 @@ def run_entity(
     """Load one extract and publish the result; returns the audit record, which is also appended.
 
     On failure nothing is published, the audit row says so and the error is raised. A run id that was
-    published before is skipped, so a repeated delivery changes nothing.
+    published before is skipped, so a repeated delivery changes nothing; a run that changed nothing counts as published.
     """
     options = options or RunOptions()
     record = RunRecord(spec.name, options.file_name, options.region)
-    audit, before = f"{store.root}/{AUDIT}", set(store.registered)
+
+    def conformed() -> DataFrame | None:
+        if options.run_id and store.has_run(options.run_id):
+            record.close(SKIPPED, "run was published before")
+        elif is_empty(extract):
+            record.close(EMPTY, "extract has no rows")
+        else:
+            return conform_extract(extract, spec, options.region)
+
+    run_conformed(store, spec, conformed, [record], [options.run_id] if options.run_id else [], options, dimensions)
+    return record
+
+
+def run_conformed(
+    store: SnapshotStore,
+    spec: EntitySpec,
+    conformed: Callable[[], DataFrame | None],
+    records: Sequence[RunRecord],
+    run_ids: Sequence[str],
+    options: RunOptions,
+    dimensions: Mapping[str, DataFrame] | None = None,
+) -> None:
+    """Load the frame that ``conformed`` makes as one commit that stands for ``run_ids``, and append the audit records of its files.
+
+    With several records the frame tells the file of a row in ``ORIGIN``. An error, also one while the frame is made, closes all
+    records as failed and is raised.
+    """
+    before, work = set(store.registered), []
     try:
-        _load(store, spec, extract, options, dimensions or {}, record)
+        frame = conformed()
+        if frame is not None:
+            _load(store, spec, frame, records, run_ids, options, dimensions or {}, work)
     except Exception as error:
-        append_audit(store.spark, record.close(FAILED, str(error)), audit)
+        for record in records:
+            record.close(FAILED, str(error))
         raise
     finally:
         store.release(keep=before)
-    append_audit(store.spark, record, audit)
-    return record
+        append_audit(store.spark, records, f"{store.root}/{AUDIT}")
+        for folder in work:
+            small_files.delete(store.spark, folder)
 
 
-def _load(store, spec, extract, options, given, record) -> None:
-    spark, run_id = store.spark, options.run_id or uuid.uuid4().hex
-    if options.run_id and store.has_run(run_id):
-        record.close(SKIPPED, "run was published before")
-        return
-    if is_empty(extract):
-        record.close(EMPTY, "extract has no rows")
-        return
-    head = store.head()
-    dims = Dimensions(store, head, given, options)
+def _load(store, spec, conformed, records, run_ids, options, given, work) -> None:
+    spark, head = store.spark, store.head()
+
+    def staged(df: DataFrame, label: str, partition_by: Sequence[str] = ()) -> DataFrame:
+        path = new_work_path(spark, f"{spec.name}-{label}")
+        work.append(path)
+        df.write.partitionBy(*partition_by).parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
 
-    conformed, read = count_rows(conform_extract(extract, spec, options.region), f"read-{uuid.uuid4().hex}")
+    dims = Dimensions(store, head, given, options)
+    several = ORIGIN in conformed.columns
+    if several:
+        read = {r[ORIGIN]: r["count"] for r in conformed.groupBy(ORIGIN).count().collect()}
+    else:
+        conformed, counted_rows = count_rows(conformed, f"read-{uuid.uuid4().hex}")
     rows = valid_rows(conformed, spec)
     if spec.rules:
         # Several jobs read the valid rows: keep them as columns on shared storage.
-        staged = new_work_path(spark, f"{spec.name}-rows")
-        rows.write.parquet(staged)
-        rows = resolve_codes(spark.read.parquet(staged), spec, dims, options)
+        rows = resolve_codes(staged(rows, "rows"), spec, dims, options)
     rows = finish_rows(rows, spec, options)
 
-    keys, live = list(spec.delta_keys), store.live_segments(STATE, head)
-    state = store.read_segments(STATE, live)
+    keys, looked = list(spec.delta_keys), store.live_segments(STATE, head)
+    if len(looked) >= PRUNED_UNITS:
+        # Only the slices that may hold a key are read. The rows are needed twice for that, so they are kept.
+        rows, found = count_rows(rows, f"keys-{uuid.uuid4().hex}")
+        rows = staged(rows, "keyed")
+        looked = store.units_with(STATE, head, rows, keys, found.get.get("rows", 0))
+    state = store.rows(STATE, head, looked, places=True)
     if state is None:
-        classified = rows.withColumns({SEGMENT: F.lit(None).cast("string"), CHANGE: F.lit(INSERT)})
+        nothing = {SEGMENT: "string", FILE: "string", ROW: "bigint"}
+        classified = rows.withColumns({c: F.lit(None).cast(t) for c, t in nothing.items()}).withColumn(CHANGE, F.lit(INSERT))
     else:
-        classified = classify_delta(rows, state, keys, carry=[SEGMENT])
+        classified = classify_delta(rows, state, keys, carry=[SEGMENT, FILE, ROW])
     classified, counted = count_changes(classified, f"changes-{uuid.uuid4().hex}")
-    staged = new_work_path(spark, f"{spec.name}-changes")
-    classified.filter(F.col(CHANGE) != UNCHANGED).write.partitionBy(CHANGE).parquet(staged)
-    record.csv_count = read.get.get("rows", 0)
-    record.data_insert_count, record.data_update_count = counted.get.get(INSERT, 0), counted.get.get(UPDATE, 0)
+    changes = staged(classified.filter(F.col(CHANGE) != UNCHANGED), "changes", [CHANGE])
+    inserted, updated = counted.get.get(INSERT, 0), counted.get.get(UPDATE, 0)
+    by_file = {}
+    if several and (inserted or updated):
+        by_file = {(r[ORIGIN], r[CHANGE]): r["count"] for r in changes.groupBy(ORIGIN, CHANGE).count().collect()}
+    for record in records:
+        record.units_read = len(looked)
+        record.csv_count = read.get(record.file_name, 0) if several else counted_rows.get.get("rows", 0)
+        record.data_insert_count = by_file.get((record.file_name, INSERT), 0) if several else inserted
+        record.data_update_count = by_file.get((record.file_name, UPDATE), 0) if several else updated
 
     tables = {DIMENSIONS: dims.segments} if dims.grown else {}
     counters = {name: dims.counters[name] for name in dims.grown}
-    if record.data_insert_count or record.data_update_count:
-        changes = spark.read.schema(classified.schema).parquet(staged)
-        tables |= _write_version(store, spec, changes, live, head, options, record)
-        counters[TARGET] = (head.counters.get(TARGET, 0) if head else 0) + record.data_insert_count
-    if tables:
-        store.commit(run_id, tables, head, counters)
-    record.close(SUCCESS, "extract loaded")
-
-
-def _write_version(store, spec, changes, live, head, options, record) -> dict[str, list[str]]:
-    """Write the segment that replaces the slices holding updated rows and adds the new rows."""
-    keys = list(spec.delta_keys)
+    facts, deletes = {}, {}
+    if inserted or updated:
+        written, facts, deletes = _write_version(store, spec, changes.drop(ORIGIN), head, options, inserted, updated, staged)
+        tables |= written
+        counters[TARGET] = (head.counters.get(TARGET, 0) if head else 0) + inserted
+    if tables or run_ids:
+        store.commit(run_ids[0] if run_ids else uuid.uuid4().hex, tables, head, counters, facts, deletes, run_ids)
+    for record in records:
+        empty = several and not record.csv_count
+        record.close(EMPTY if empty else SUCCESS, "extract has no rows" if empty else "extract loaded")
+
+
+def _write_version(store, spec, changes, head, options, inserted, updated, staged) -> tuple[dict, dict, dict]:
+    """Write the segment of new rows and new versions of rows; the live units, their facts and the sets of deleted rows.
+
+    Old versions are left where they are and their places are stored as deleted. Slices that are small, or of which much changed, are
+    replaced by the new segment instead.
+    """
+    spark, keys, live = store.spark, list(spec.delta_keys), store.live_segments(STATE, head)
     inserts, updates = changes.filter(F.col(CHANGE) == INSERT), changes.filter(F.col(CHANGE) == UPDATE)
-    touched: list[str] = []
-    if record.data_update_count:
-        touched = [r[SEGMENT] for r in updates.select(SEGMENT).distinct().collect()]
+    rewritten: list[str] = []
+    marked: list[str] = []
+    if updated:
+        for row in updates.groupBy(SEGMENT).count().toLocalIterator():
+            size = head.units[STATE][row[SEGMENT]].rows
+            (rewritten if size <= store.rewrite_rows or row["count"] * 10 >= size else marked).append(row[SEGMENT])
 
     fresh = number_by_position(inserts, head.counters.get(TARGET, 0) if head else 0)
     if options.narrow_inserts:
         fresh = narrow_decimals(fresh, spec.narrow)
     fresh = pad_columns(fresh, {"id": "bigint"} | spec.target_columns)
-    target, state = [fresh], [project_state(changes, keys)]
-    if touched:
-        old = store.read_segments(TARGET, touched).drop(SEGMENT)
-        update_columns = spec.update_columns
-        if options.preserve_created:
-            update_columns = [c for c in update_columns if c not in CREATED_COLUMNS]
+    target, state, deletes, moved = [fresh], [project_state(changes, keys)], {}, 0
+    update_columns = spec.update_columns
+    if options.preserve_created:
+        update_columns = [c for c in update_columns if c not in CREATED_COLUMNS]
+    if rewritten:
+        old = store.rows(TARGET, head, rewritten).drop(SEGMENT)
         target = [apply_updates(old, updates, keys, update_columns), align(fresh, old)]
-        old_state = store.read_segments(STATE, touched).drop(SEGMENT)
+        old_state = store.rows(STATE, head, rewritten).drop(SEGMENT)
         state = [old_state.join(updates.select(*keys), keys, "left_anti"), *state]
-    segment, number = f"s{uuid.uuid4().hex}", store.slices(record.data_insert_count, len(touched))
+    if marked:
+        named = F.broadcast(spark.createDataFrame([(u,) for u in marked], f"{SEGMENT} string"))
+        some = updates.join(named, SEGMENT, "left_semi")
+        old = store.rows(TARGET, head, marked, places=True)
+        replaced = staged(updated_rows(old, some, keys, update_columns, carry=[SEGMENT, FILE, ROW]), "replaced")
+        moved = replaced.count()
+        target.append(align(replaced, target[0]))
+        keep = [u for u in live if u not in set(rewritten)]
+        deletes = {
+            TARGET: store.write_deletes(TARGET, replaced, moved, head, keep),
+            STATE: store.write_deletes(STATE, some, moved, head, keep),
+        }
+    segment, number = f"s{uuid.uuid4().hex}", store.slices(inserted + moved, len(rewritten))
     store.write_segment(TARGET, *target, segment=segment, slices=number)
-    gone = set(touched)
-    kept = [s for s in live if s not in gone] + store.write_segment(STATE, *state, segment=segment, slices=number)
-    return {TARGET: kept, STATE: kept}
+    written = store.write_segment(STATE, *state, segment=segment, slices=number)
+    gone = set(rewritten)
+    kept = [u for u in live if u not in gone] + written
+    facts = store.describe(STATE, written, keys, number)
+    return {TARGET: kept, STATE: kept}, {TARGET: facts, STATE: facts}, deletes

@@ -3,16 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.keys import file_date
-from ..plans.audit import FAILED, RunRecord, append_audit
-from ..plans.entity import AUDIT, RunOptions, run_entity
-from ..sources.files import is_accepted, read_extract
+from ..plans.daily import ExtractFile, run_files
+from ..plans.entity import RunOptions
+from ..sources.files import is_accepted
 from ..sources.tables import SnapshotStore
 from ..spec import EntitySpec
 
@@ -46,43 +45,25 @@ def ingest_stream(
     region: str,
     options: RunOptions | None = None,
     dimensions: Mapping[str, DataFrame] | None = None,
-    max_files: int = 16,
+    max_files: int = 256,
     trigger: Mapping[str, object] | None = None,
     fail_fast: bool = False,
 ) -> StreamingQuery:
-    """Load every new extract of a region directory with :func:`run_entity`.
+    """Load every new extract of a region directory, the files of a micro-batch as one extract and one commit (:func:`run_files`).
 
     The stream carries file names, at most ``max_files`` per batch, because headers differ from file to file;
-    the rows are read by the batch. A file of another type is audited as failed, and
-    so is one whose run fails; with ``fail_fast`` that ends the stream. A batch may be delivered twice after a failure: files are skipped by name
+    the rows are read by the batch. Files of another type, unreadable ones and those whose header lacks a key are audited as failed and
+    the others are loaded; with ``fail_fast`` that ends the stream. A batch may be delivered twice after a failure: files are skipped by name
     once they are published.
     """
     options = options or RunOptions()
-    spark = store.spark
 
     def load(batch: DataFrame, batch_id: int) -> None:
         name = F.col("file_name")
         chosen = batch.withColumns({"file_date": file_date(name), "accepted": is_accepted(name)})
-        for file in chosen.orderBy("file_name").collect():
-            if not file["accepted"]:
-                record = RunRecord(spec.name, file["file_name"], region)
-                message = f"unsupported file type: {file['file_name']}"
-                append_audit(spark, record.close(FAILED, message), f"{store.root}/{AUDIT}")
-                continue
-            run = replace(
-                options,
-                region=region,
-                file_name=file["file_name"],
-                file_date=file["file_date"],
-                run_id=f"{region}/{file['file_name']}",
-            )
-            try:
-                run_entity(store, spec, read_extract(spark, file["path"]), run, dimensions)
-            except Exception:
-                # The run has written its audit row; the files behind a bad one are loaded all the same.
-                if fail_fast:
-                    raise
+        found = [ExtractFile(f["path"], f["file_name"], f["file_date"], f["accepted"]) for f in chosen.orderBy("file_name").collect()]
+        run_files(store, spec, found, region, options, dimensions, fail_fast)
 
-    files = stream_files(spark, directory, spec.files.get(region, ""), max_files)
+    files = stream_files(store.spark, directory, spec.files.get(region, ""), max_files)
     writer = files.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"availableNow": True})).start()
