@@ -16,6 +16,7 @@ ALTERNATE_PARTS = EntitySpec(
         brandsort string, rgcd string
     """),
     keys=("root_part", "xref_part"),
+    region_default=True,
 )
 
 BILL_OF_MATERIALS = EntitySpec(
@@ -43,15 +44,15 @@ CUSTOMER = EntitySpec(
     keys=("custid",),
     constants={"grp": "", "mngrp": ""},
     drop=("sldtd", "mmbygrp", "sldtod", "mmexcll", "record_action"),
-    # One chain, group, ship-to or sold-to may own a large share of the customers: ``salt`` spreads its rows
+    # One chain, group, ship-to or sold-to may own a large share of the customers: ``spread`` divides its rows
     # once the dimension is too large to broadcast.
     rules=(
-        register("chainc", "x_chain", salt=16),
-        register("chnl", "x_channel", salt=16),
-        register("grp", "x_customer_group", salt=16),
-        register("mngrp", "x_customer_main_group", salt=16),
-        register("shpto", "x_ship_to", prefix=6, salt=16),
-        register("sldto", "x_sold_to", prefix=6, salt=16),
+        register("chainc", "x_chain", spread=True),
+        register("chnl", "x_channel", spread=True),
+        register("grp", "x_customer_group", spread=True),
+        register("mngrp", "x_customer_main_group", spread=True),
+        register("shpto", "x_ship_to", prefix=6, spread=True),
+        register("sldto", "x_sold_to", prefix=6, spread=True),
     ),
     not_updated=("sldto_d",),
     validation_status=" ",
@@ -130,23 +131,24 @@ PART_REGIONAL = EntitySpec(
         rgcd string, sub_brand int, part_uofm string, rg_part string
     """),
     keys=("part_num",),
+    region_default=True,
     merge_keys=("part_num", "rgcd"),
     constants={"prdmgr": 1, "brnd_cd": 1},
     drop=("lpp_part",),
     category_ladder=True,
     rules=(
-        register("prod_cd5", "x_product_code_1_digit", "prod_cd1", prefix=1, salt=16),
-        register("prod_cd5", "x_product_code_3_digit", "prod_cd3", prefix=3, salt=16),
+        register("prod_cd5", "x_product_code_1_digit", "prod_cd1", prefix=1, spread=True),
+        register("prod_cd5", "x_product_code_3_digit", "prod_cd3", prefix=3, spread=True),
         LookupRule(
             "mktcd",
             "x_market_code",
             {f"mktcdl{n}": (f"level{n}", "int") for n in range(1, 6)},
             missing="null",
             require_source=True,
-            salt=16,
+            spread=True,
         ),
         LookupRule("part_num", "p_lifecycle_stage", {"lfcycle": ("id", "bigint")}, missing="null"),
-        LookupRule("rgcd", "p_pricing_region", {"rgcd": ("id", "bigint")}, missing="drop", salt=16),
+        LookupRule("rgcd", "p_pricing_region", {"rgcd": ("id", "bigint")}, missing="drop", spread=True),
         register("part_num", "x_sub_brand", "sub_brand"),
         GateRule(
             "part_num",
@@ -197,6 +199,7 @@ TECHNICAL_PART_DETAILS = EntitySpec(
         leader string, family string, vndr string, caltype string, tubodm string, rgcd string
     """),
     keys=("part_num", "rgcd"),
+    region_default=True,
     drop=("action", "tubtyoe", "type", "odm59", "odm60"),
     keep_code=True,
 )

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
 from collections.abc import Iterable, Sequence
+from dataclasses import asdict, dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -66,6 +69,33 @@ def with_fingerprint(
     return texts.selectExpr(*[f"`{c}`" for c in df.columns], f"{value} AS hash_value", "hash(_row_text) AS check_sum")
 
 
+@dataclass(frozen=True)
+class Signature:
+    """How rows were hashed: the method, the columns with their types in the order they were joined in, and whether without separator."""
+
+    method: str
+    columns: tuple[str, ...]
+    legacy: bool = False
+
+    @property
+    def name(self) -> str:
+        return hashlib.sha1(json.dumps(asdict(self)).encode()).hexdigest()[:12]
+
+    def of(self, df: DataFrame) -> Column:
+        """The ``hash_value`` that rows had under this signature; columns that are no longer there count as null."""
+        have = {f.name: f for f in df.schema.fields}
+        texts = [(canonical_text(have[c]) if not self.legacy else f"CAST(`{c}` AS STRING)") if c in have else "CAST(NULL AS STRING)" for c in self.columns]
+        joined = f"concat_ws('', {', '.join(texts)})" if self.legacy else f"concat_ws(chr(31), {', '.join(map(_marked, texts))})"
+        return F.expr(f"CAST(hash({joined}) AS STRING)" if self.method == "murmur" else f"sha1({joined})")
+
+
+def signature(df: DataFrame, exclude: Iterable[str] = AUDIT_DATES, legacy: bool = False, method: str = "sha1") -> Signature:
+    """The signature of :func:`with_fingerprint` with the same arguments."""
+    skip = set(exclude)
+    names = [f.name for f in df.schema.fields if f.name not in skip]
+    return Signature(method, tuple(names if legacy else sorted(names)), legacy)
+
+
 def code_prefix(column: str, length: int | None) -> Column:
     """The first ``length`` characters of a column, or the whole column as a string."""
     text = F.col(column).cast("string")

@@ -6,7 +6,7 @@ from .filters import has_columns, require_code, require_keys, require_source
 from .lookups import (
     action_gate,
     assign_ids,
-    hot_codes,
+    code_counts,
     lookup_optional,
     lookup_or_drop,
     lookup_required,
@@ -16,9 +16,11 @@ from .lookups import (
     qualifying_codes,
     register_and_lookup,
     register_codes,
+    split_codes,
+    spread,
     unregistered_codes,
 )
-from .merge import advance_state, align, apply_updates, merge
+from .merge import advance_state, align, apply_updates, merge, updated_rows
 from .schema import (
     assert_overridden,
     conform,

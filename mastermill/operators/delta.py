@@ -55,7 +55,7 @@ def count_rows(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
 
 
 def count_changes(classified: DataFrame, name: str) -> tuple[DataFrame, Observation]:
-    """Count inserts, updates and unchanged rows while another action runs."""
+    """Count inserts, updates, unchanged and all rows while another action runs."""
     observation = Observation(name)
     counts = [F.count_if(F.col(CHANGE) == c).alias(c) for c in (INSERT, UPDATE, UNCHANGED)]
-    return classified.observe(observation, *counts), observation
+    return classified.observe(observation, *counts, F.count("*").alias("total")), observation

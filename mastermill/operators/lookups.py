@@ -13,13 +13,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.keys import key_text
+from ..session import new_work_path
 from ..spec import AUDIT_COLUMNS
 from .schema import audit_values
 
-_CODE, _SALT, _HIT = "_lookup_code", "_lookup_salt", "_lookup_hit"
-HOT_CODES = 64
+_CODE, _SALT, _SLOTS, _HIT = "_lookup_code", "_lookup_salt", "_lookup_slots", "_lookup_hit"
+TARGET_ROWS = 1_000_000  # rows of one code that one task may take
+SPLIT_CODES = 1 << 18  # the most codes that are split, which bounds their broadcast; beyond it a task takes more rows of a code
 ID_BUCKET_DIGITS = 3
-FLAG_SLOTS = 16
+NUMBERED_FILES, BROADCAST_FILES = 1 << 12, 1 << 21
+# Fixed value: the name of a registered code.
 PLACEHOLDER_NAME = "to be filled"
 
 
@@ -31,20 +34,40 @@ def one_per_code(dim: DataFrame, values: Sequence[str] = ("id",)) -> DataFrame:
     return dim.groupBy("code").agg(F.min(F.struct(*values)).alias("_v")).select("code", "_v.*")
 
 
-def hot_codes(df: DataFrame, code: Column, top: int = HOT_CODES) -> list[str]:
-    """The ``top`` most frequent codes: the counts are combined in the map tasks, at most ``top`` rows return."""
-    counts = df.select(code.alias(_CODE)).filter(F.col(_CODE).isNotNull()).groupBy(_CODE).count()
-    ranked = counts.orderBy(F.desc("count"), _CODE).limit(top).collect()
-    return [r[_CODE] for r in ranked]
+def code_counts(df: DataFrame, code: Column) -> DataFrame:
+    """``code, rows`` of the non-null codes; the counts are combined in the map tasks."""
+    counts = df.select(code.cast("string").alias("code")).filter(F.col("code").isNotNull()).groupBy("code").agg(F.count("*").alias("rows"))
+    return counts
 
 
-def _spread(df: DataFrame, dim: DataFrame, hot: Sequence[str], salt: int) -> tuple[DataFrame, DataFrame]:
-    """Split the rows of hot and null codes over ``salt`` join keys; only hot dimension rows are repeated."""
-    slot = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns if c != _CODE]), F.lit(salt)).cast("int")
-    is_hot = F.col(_CODE).isin(list(hot)) if hot else F.lit(False)
-    df = df.withColumn(_SALT, F.when(F.col(_CODE).isNull() | is_hot, slot).otherwise(0))
-    slots = F.when(is_hot, F.sequence(F.lit(0), F.lit(salt - 1))).otherwise(F.array(F.lit(0)))
-    return df, dim.withColumn(_SALT, F.explode(slots))
+def split_codes(counts: DataFrame, target_rows: int = TARGET_ROWS) -> DataFrame:
+    """``code, slots`` of the codes with more than ``target_rows`` rows: twice as many slots as would hold them at that size, because
+    rows fall into slots by hash. At most ``SPLIT_CODES`` codes can have that many rows: the size grows with the total where need be."""
+    total = counts.agg(F.coalesce(F.sum("rows"), F.lit(0))).scalar()
+    size = F.greatest(F.lit(target_rows), (total / SPLIT_CODES).cast("bigint"))
+    hot = counts.filter(F.col("rows") > size)
+    return hot.select(F.col("code").cast("string").alias("code"), (2 * F.ceil(F.col("rows") / size)).cast("int").alias("slots"))
+
+
+def spread(left: DataFrame, right: DataFrame, on: str, split: DataFrame | Mapping[str, int]) -> tuple[DataFrame, DataFrame]:
+    """Both sides of a join on ``on`` with a further key that divides the rows of the ``split`` codes; ``right`` is repeated for these alone.
+
+    ``split`` has the slots of each code, as rows of :func:`split_codes` or by name. Rows of ``left`` without a code meet nothing and are dealt
+    over as many keys as a shuffle has partitions.
+    """
+
+    def with_slots(df: DataFrame) -> DataFrame:
+        if isinstance(split, DataFrame):
+            hot = F.broadcast(split.select(F.col("code").alias(on), F.col("slots").alias(_SLOTS)))
+            return df.join(hot, on, "left").withColumn(_SLOTS, F.coalesce(_SLOTS, F.lit(1)))
+        slots = F.coalesce(*[F.when(F.col(on) == code, n) for code, n in split.items()], F.lit(1))
+        return df.withColumn(_SLOTS, slots)
+
+    nulls = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    row = F.xxhash64(*[F.col(f"`{c}`") for c in left.columns if c != on])
+    slot = F.pmod(row, F.when(F.col(on).isNull(), nulls).otherwise(F.col(_SLOTS))).cast("int")
+    left = with_slots(left).withColumn(_SALT, slot).drop(_SLOTS)
+    return left, with_slots(right).withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.col(_SLOTS) - 1))).drop(_SLOTS)
 
 
 def _attach(
@@ -56,6 +79,8 @@ def _attach(
     small: bool,
     salt: int,
     hot: Sequence[str] | None,
+    counts: DataFrame | None,
+    target_rows: int,
 ) -> DataFrame:
     names = {out: f"_lookup_{n}" for n, out in enumerate(outputs)}
     right = dim.select(
@@ -66,9 +91,12 @@ def _attach(
     on = [_CODE]
     if small:
         right = F.broadcast(right)
-    elif salt > 1:
-        hot = hot_codes(df, code.cast("string")) if hot is None else hot
-        left, right = _spread(left, right, hot, salt)
+    elif salt or counts is not None:
+        if hot is not None:
+            split = dict.fromkeys(hot, salt)
+        else:
+            split = split_codes(code_counts(df, code) if counts is None else counts, target_rows)
+        left, right = spread(left, right, _CODE, split)
         on = [_CODE, _SALT]
     joined = left.join(right, on, how)
     kept = [f"{names[c]} AS `{c}`" if c in outputs else f"`{c}`" for c in df.columns]
@@ -83,13 +111,16 @@ def lookup_required(
     small: bool = False,
     salt: int = 0,
     hot: Sequence[str] | None = None,
+    counts: DataFrame | None = None,
+    target_rows: int = TARGET_ROWS,
 ) -> DataFrame:
     """Inner join on the dimension's ``code``; only the output columns of the dimension survive.
 
-    ``small`` asks for a broadcast, for dimensions whose row count was checked. ``salt`` spreads the rows of
-    the most frequent codes over that many join keys, for larger ones; ``hot`` names these codes if known.
+    ``small`` asks for a broadcast, for dimensions whose row count was checked. For larger ones ``counts`` (:func:`code_counts`), or ``salt``
+    where they are to be made from ``df``, divides every code of more than ``target_rows`` rows over as many join keys as its rows
+    need; ``hot`` names the codes instead, each of ``salt`` keys.
     """
-    return _attach(df, dim, code, outputs, "inner", small, salt, hot)
+    return _attach(df, dim, code, outputs, "inner", small, salt, hot, counts, target_rows)
 
 
 def lookup_or_drop(df: DataFrame, dim: DataFrame, code: Column, outputs: Mapping[str, tuple[str, str]], **kw) -> DataFrame:
@@ -105,9 +136,11 @@ def lookup_optional(
     small: bool = False,
     salt: int = 0,
     hot: Sequence[str] | None = None,
+    counts: DataFrame | None = None,
+    target_rows: int = TARGET_ROWS,
 ) -> DataFrame:
     """Keep all rows; the output columns are null where the code is unknown."""
-    return _attach(df, dim, code, outputs, "left", small, salt, hot)
+    return _attach(df, dim, code, outputs, "left", small, salt, hot, counts, target_rows)
 
 
 def unregistered_codes(df: DataFrame, dim: DataFrame, code: Column) -> DataFrame:
@@ -160,16 +193,29 @@ def number_by_position(stored: DataFrame, start: int = 0, id_column: str = "id")
 
     The id is the number of rows in the preceding files plus the row's index in its own file, so it is the
     same on every read of the same files. ``stored`` must hold whole files: filter it by partition columns
-    only. The row counts per file, one row for each file, are all that is gathered and broadcast.
+    only. Files stand in the order of a hash of their paths. More than ``NUMBERED_FILES`` are summed up within 4096 groups of files first, then over
+    the groups, so no task holds them all; what rows are joined with is 16 bytes a file, broadcast while the files are at most ``BROADCAST_FILES``.
     """
-    rows = stored.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
-    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (
-        rows.groupBy("_file")
-        .agg(F.count("*").alias("_n"))
-        .select("_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    )
-    numbered = rows.join(F.broadcast(starts), "_file")
+    path = F.col("_metadata.file_path")
+    rows = stored.select("*", path.alias("_path"), F.xxhash64(path).alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    files = rows.groupBy("_file").agg(F.count("*").alias("_n"), F.min("_path").alias("least"), F.max("_path").alias("most"))
+    two = F.raise_error(F.lit("two files have one hash")).cast("bigint")
+    files = files.select("_file", F.when(F.col("least") == F.col("most"), F.col("_n")).otherwise(two).alias("_n"))
+    count, nothing = len(stored.inputFiles()), F.lit(0)
+    if count <= NUMBERED_FILES:
+        before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+        starts = files.select("_file", F.coalesce(F.sum("_n").over(before), nothing).alias("_start"))
+    else:
+        files = files.withColumn("_group", F.shiftright("_file", 52))
+        groups = files.groupBy("_group").agg(F.sum("_n").alias("_n"))
+        before = Window.orderBy("_group").rowsBetween(Window.unboundedPreceding, -1)
+        inside = Window.partitionBy("_group").orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+        groups = groups.select("_group", F.coalesce(F.sum("_n").over(before), nothing).alias("_before"))
+        start_of = F.col("_before") + F.coalesce(F.sum("_n").over(inside), nothing)
+        starts = files.join(F.broadcast(groups), "_group").select("_file", start_of.alias("_start"))
+    if count <= BROADCAST_FILES:
+        starts = F.broadcast(starts)
+    numbered = rows.join(starts, "_file")
     ids = (F.lit(start) + F.col("_start") + F.col("_row") + 1).cast("bigint").alias(id_column)
     return numbered.select(ids, *[F.col(f"`{c}`") for c in stored.columns if c != id_column])
 
@@ -205,23 +251,33 @@ def register_codes(df: DataFrame, dim: DataFrame, code: Column, run_ts: datetime
 def register_and_lookup(
     df: DataFrame, dim: DataFrame, code: Column, output: str, run_ts: datetime, user: str = "system", salt: int = 0
 ) -> tuple[DataFrame, DataFrame]:
-    """``(rows with the id in output, new dimension rows)``, as one lazy plan.
+    """``(rows with the id in output, new dimension rows)``.
 
+    The codes of the rows and their counts are written once; the new codes, the ids and the division of frequent codes all start
+    from there, so the rows themselves are read once for their codes and once for the lookup.
     Callers that store the dimension write the new rows first and look up in the stored table, so that an id
     is durable before a row refers to it.
     """
-    fresh = register_codes(df, dim, code, run_ts, user)
+    path = new_work_path(df.sparkSession, "codes")
+    code_counts(df, code).write.parquet(path)
+    counts = df.sparkSession.read.schema("code string, rows bigint").parquet(path)
+    fresh = register_codes(counts, dim, F.col("code"), run_ts, user)
     full = dim.select("id", "code").unionByName(fresh.select("id", "code"))
-    return lookup_required(df, full, code, {output: ("id", "bigint")}, salt=salt), fresh
+    return lookup_required(df, full, code, {output: ("id", "bigint")}, salt=salt, counts=counts if salt else None), fresh
 
 
 def qualifying_codes(
-    actions: DataFrame, flags: DataFrame, file_date: date, flag_code: str = "True", app_value: str = "yes"
+    actions: DataFrame,
+    flags: DataFrame,
+    file_date: date,
+    flag_code: str = "True",
+    app_value: str = "yes",
+    target_rows: int = TARGET_ROWS,
 ) -> DataFrame:
     """Distinct codes with an applied action that takes effect on the file date and whose flag is set.
 
     The date test is a half-open range on the stored timestamp, so the scan can prune by it. Most actions
-    point at the same one or two flags; the few flag rows are repeated to spread them.
+    point at the same one or two flags: equal actions are one row, and flags of more than ``target_rows`` of these are divided by their counts.
     """
     start = datetime(file_date.year, file_date.month, file_date.day)
     active = actions.filter(
@@ -229,11 +285,9 @@ def qualifying_codes(
         & (F.col("effdt") >= F.lit(start.isoformat(" ")).cast("timestamp"))
         & (F.col("effdt") < F.lit((start + timedelta(days=1)).isoformat(" ")).cast("timestamp"))
     )
-    on = flags.filter(F.col("code") == flag_code).select(F.col("id").cast("string").alias("attr"))
-    on = on.distinct().withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(FLAG_SLOTS - 1))))
-    code = F.col("code").cast("string")
-    slot = F.pmod(F.xxhash64(code), F.lit(FLAG_SLOTS)).cast("int")
-    active = active.select(code.alias("code"), F.col("attr").cast("string").alias("attr"), slot.alias(_SALT))
+    on = flags.filter(F.col("code") == flag_code).select(F.col("id").cast("string").alias("attr")).distinct()
+    active = active.select(F.col("code").cast("string").alias("code"), F.col("attr").cast("string").alias("attr")).distinct()
+    active, on = spread(active, on, "attr", split_codes(code_counts(active, F.col("attr")), target_rows))
     return active.join(on, ["attr", _SALT], "left_semi").select("code").distinct()
 
 

@@ -67,6 +67,7 @@ def force_constants(df: DataFrame, constants: Mapping[str, object]) -> DataFrame
     return df.withColumns({c: F.lit(v) for c, v in constants.items()}) if constants else df
 
 
+# Fixed rule: the region codes of source directories.
 def region_code(region: str) -> str:
     """Region code of a source directory: AUS keeps its own, every other directory is CA."""
     return "AUS" if region == "AUS" else "CA"

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.keys import code_prefix
 from ..operators.dedupe import dedupe_keys
-from ..operators.lookups import HOT_CODES, new_dimension_rows
+from ..operators.lookups import code_counts, new_dimension_rows, split_codes, spread
 from ..session import new_work_path
 from ..sources.tables import SEGMENT, Commit, SnapshotStore
 from ..spec import AUDIT_COLUMNS, EntitySpec, GateRule, LookupRule
@@ -40,6 +40,7 @@ class Dimensions:
         self.grown: set[str] = set()
         self.code_counts: DataFrame | None = None
         self.stored_rows: DataFrame | None = None
+        self.sizes: dict[str, tuple[int, int]] = {}
 
     def given_frame(self, name: str) -> DataFrame:
         if name not in self.given:
@@ -57,23 +58,31 @@ class Dimensions:
             return self.store.spark.createDataFrame([], f"{STORED_SCHEMA}, {SEGMENT} string")
         return self.store.read_segments(DIMENSIONS, segments, STORED_SCHEMA)
 
-    def strategy(self, rule: LookupRule) -> dict:
-        """How to join a dimension: broadcast when its rows and code bytes, as counted, fit the limit; beyond
-        it a shuffle join, whose frequent codes are spread if the rule has a ``salt``."""
+    def fits(self, rule: LookupRule) -> bool:
+        """Whether the rows of a dimension and the bytes of what a join takes of it, as counted, are within the limit for a broadcast."""
+        name = rule.dimension
         if rule.missing == "register":
-            rows, size = self.counters.get(rule.dimension, 0), self.counters.get(f"{rule.dimension}.bytes", 0)
-        elif rule.salt > 1:
-            size = F.coalesce(F.sum(F.octet_length(F.col("code").cast("string"))), F.lit(0))
-            rows, size = self.given_frame(rule.dimension).agg(F.count("*"), size).first()
+            rows, size = self.counters.get(name, 0), self.counters.get(f"{name}.bytes", 0)
         else:
+            if name not in self.sizes:
+                taken = dict.fromkeys(["code", *(value for value, _ in rule.outputs.values())])
+                sizes = [F.octet_length(F.coalesce(F.col(c).cast("string"), F.lit(""))) for c in taken]
+                size = F.coalesce(F.sum(functools.reduce(lambda a, b: a + b, sizes)), F.lit(0))
+                self.sizes[name] = self.given_frame(name).agg(F.count("*"), size).first()
+            rows, size = self.sizes[name]
+        return rows * ROW_OVERHEAD + size <= self.options.broadcast_bytes
+
+    def strategy(self, rule: LookupRule) -> dict:
+        """How to join a dimension: broadcast where it fits; beyond it a shuffle join, whose frequent codes are divided by their counts
+        if the rule asks for it."""
+        if rule.missing != "register" and not rule.spread:
             return {}  # codes are unique in the rows: Catalyst's own choice is safe
-        if rows * ROW_OVERHEAD + size <= self.options.broadcast_bytes:
+        if self.fits(rule):
             return {"small": True}
-        if rule.salt < 2:
+        if not rule.spread:
             return {}
-        counts = self.code_counts.filter(F.col(DIMENSION) == rule.dimension)
-        top = counts.orderBy(F.desc("rows"), "code").limit(HOT_CODES).collect()
-        return {"salt": rule.salt, "hot": [r["code"] for r in top]}
+        counts = self.code_counts.filter(F.col(DIMENSION) == rule.dimension).select("code", "rows")
+        return {"counts": counts, "target_rows": self.options.target_rows}
 
     def register_all(self, rows: DataFrame, spec: EntitySpec) -> None:
         """Store the codes of ``rows`` that the registered dimensions lack, for all rules at once.
@@ -82,7 +91,7 @@ class Dimensions:
         """
         lookups = [r for r in spec.rules if isinstance(r, LookupRule)]
         names = [r.dimension for r in lookups if r.missing == "register"]
-        if not names and all(r.salt < 2 for r in lookups):
+        if not names and not any(r.spread for r in lookups):
             return
         spark = self.store.spark
         staged = new_work_path(spark, f"{spec.name}-codes")
@@ -154,13 +163,18 @@ class Dimensions:
             code = code_prefix(rule.source, rule.prefix)
             if rule.require_source or rule.missing != "null":
                 reached = reached & F.col(rule.source).isNotNull()
-            if rule.missing == "register" or rule.salt > 1:
+            if rule.missing == "register" or rule.spread:
                 entry = F.struct(F.lit(rule.dimension).alias(DIMENSION), code.alias("code"))
                 entries.append(F.when(reached & code.isNotNull(), entry))
             if rule.missing == "drop":
                 known = self.given_frame(rule.dimension).select(F.col("code").cast("string").alias(f"_code{n}"))
-                known = known.distinct().withColumn(f"_known{n}", F.lit(True))
-                rows = rows.join(known, code == F.col(f"_code{n}"), "left")
+                known = known.filter(F.col(f"_code{n}").isNotNull()).distinct().withColumn(f"_known{n}", F.lit(True))
+                rows = rows.withColumn(f"_code{n}", code.cast("string"))
+                if self.fits(rule):
+                    rows = rows.join(F.broadcast(known), f"_code{n}", "left")
+                else:
+                    left, right = spread(rows, known, f"_code{n}", split_codes(code_counts(rows, code), self.options.target_rows))
+                    rows = left.join(right, [f"_code{n}", "_lookup_salt"], "left").drop("_lookup_salt")
                 reached = reached & F.col(f"_known{n}").isNotNull()
         used = rows.select(F.explode(F.array_compact(F.array(*entries))).alias("e")).select("e.*")
         return used.groupBy(DIMENSION, "code").agg(F.count("*").alias("rows"))

@@ -2,19 +2,22 @@
 
 from __future__ import annotations
 
+import functools
 import uuid
+from collections import Counter
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import asdict, dataclass, field
 from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.keys import business_key, category_ladder, code_prefix, with_fingerprint
+from ..functions.keys import Signature, business_key, category_ladder, code_prefix, signature, with_fingerprint
 from ..operators.dedupe import dedupe_keys
 from ..operators.delta import CHANGE, INSERT, UNCHANGED, UPDATE, classify_delta, count_changes, count_rows
 from ..operators.filters import has_columns, require_keys, require_source
 from ..operators.lookups import (
+    TARGET_ROWS,
     action_gate,
     lookup_optional,
     lookup_or_drop,
@@ -44,6 +47,7 @@ from .audit import EMPTY, FAILED, SKIPPED, SUCCESS, RunRecord, append_audit
 from .dimensions import DIMENSION, DIMENSIONS, STORED_SCHEMA, Dimensions, by_file
 
 TARGET, STATE, AUDIT = "target", "state", "run_audit"
+RENEWAL = "renewal"  # a row whose stored hash alone is replaced
 ORIGIN = "_origin"  # the file of a row, in runs of several files
 
 
@@ -51,7 +55,7 @@ ORIGIN = "_origin"  # the file of a row, in runs of several files
 class RunOptions:
     """Choices of one run that are not part of the entity.
 
-    ``broadcast_bytes`` is the greatest counted size of a registered dimension that is broadcast.
+    ``broadcast_bytes`` is the greatest counted size of a dimension that is broadcast; beyond it, codes of more than ``target_rows`` rows are divided.
     """
 
     run_ts: datetime = field(default_factory=lambda: datetime.now(timezone.utc))
@@ -64,6 +68,7 @@ class RunOptions:
     preserve_created: bool = False
     narrow_inserts: bool = False
     broadcast_bytes: int = 64 << 20
+    target_rows: int = TARGET_ROWS
 
 
 def open_store(
@@ -91,16 +96,21 @@ def compact(store: SnapshotStore, most: int = 256, deleted_share: float = 0.1) -
     number, holed = store.slices(sum(n for _, n in small)), _holed(store, head, deleted_share)
     gone = [unit for unit, _ in small] if number < len(small) else []
     gone = [*gone, *[unit for unit in holed if unit not in gone][: most - len(gone)]]
-    replaced = 0
+    replaced, known = 0, head.units.get(STATE, {})
+    if gone:  # the rows of a slice have one signature
+        sorts = Counter(known[unit].signature for unit in gone)
+        first = max(sorts, key=lambda name: (sorts[name], str(name)))
+        gone = [unit for unit in gone if known[unit].signature == first]
+        if set(gone).isdisjoint(holed) and store.slices(sum(known[u].rows for u in gone)) >= len(gone):
+            gone = []
     if gone:
-        known = head.units[STATE]
         segment, keys = f"s{uuid.uuid4().hex}", store.bucket_keys[STATE]
         number = store.slices(sum(known[u].rows for u in gone) or sum(n for _, n in small))
         replaced += len(gone)
         for table in (TARGET, STATE):
             written = store.write_segment(table, store.rows(table, head, gone), segment=segment, slices=number)
         tables = dict.fromkeys((TARGET, STATE), [u for u in live if u not in set(gone)] + written)
-        facts = dict.fromkeys((TARGET, STATE), store.describe(STATE, written, keys, number))
+        facts = dict.fromkeys((TARGET, STATE), store.describe(STATE, written, keys, number, first))
     live = store.live_segments(DIMENSIONS, head)
     gone = [s for s, _ in store.small_units(DIMENSIONS, live, most, STORED_SCHEMA)]
     if len(gone) > 1:
@@ -157,8 +167,18 @@ def finish_rows(df: DataFrame, spec: EntitySpec, options: RunOptions) -> DataFra
         df = with_fingerprint(df, exclude=(*AUDIT_DATES, ORIGIN), legacy=True, method=spec.fingerprint)
         return pad_columns(df, wanted | {"code": "string", "hash_value": "string", "check_sum": "int"} | origin)
     df = pad_columns(df, wanted | {"code": "string"} | origin)
-    outside = () if spec.keep_code else ("code",)
-    return with_fingerprint(df, exclude=(*AUDIT_COLUMNS, *outside, ORIGIN), method=spec.fingerprint)
+    return with_fingerprint(df, exclude=_unhashed(spec), method=spec.fingerprint)
+
+
+def _unhashed(spec: EntitySpec) -> tuple[str, ...]:
+    return (*AUDIT_COLUMNS, *(() if spec.keep_code else ("code",)), ORIGIN)
+
+
+def row_signature(finished: DataFrame, spec: EntitySpec, options: RunOptions) -> Signature | None:
+    """How :func:`finish_rows` hashed the rows; ``None`` for the legacy fingerprint, whose columns are those of the file."""
+    if options.legacy_fingerprint:
+        return None
+    return signature(finished.drop("hash_value", "check_sum"), exclude=_unhashed(spec), method=spec.fingerprint)
 
 
 def resolve_codes(df: DataFrame, spec: EntitySpec, dims: Dimensions, options: RunOptions) -> DataFrame:
@@ -187,7 +207,7 @@ def _gate(df: DataFrame, rule: GateRule, dims: Dimensions, options: RunOptions)
     if options.file_date is None:
         raise ValueError("the action gate needs the date of the file")
     actions, flags = dims.given_frame(rule.actions), dims.given_frame(rule.flags)
-    codes = qualifying_codes(actions, flags, options.file_date, rule.flag_code, rule.app_value)
+    codes = qualifying_codes(actions, flags, options.file_date, rule.flag_code, rule.app_value, options.target_rows)
     return action_gate(df, codes, F.col(rule.source), rule.columns)
 
 
@@ -275,15 +295,16 @@ def _load(store, spec, conformed, records, run_ids, options, given, work) -> Non
         rows, found = count_rows(rows, f"keys-{uuid.uuid4().hex}")
         rows = staged(rows, "keyed")
         looked = store.units_with(STATE, head, rows, keys, found.get.get("rows", 0))
-    state = store.rows(STATE, head, looked, places=True)
+    state, now = store.rows(STATE, head, looked, places=True), row_signature(rows, spec, options)
     if state is None:
         nothing = {SEGMENT: "string", FILE: "string", ROW: "bigint"}
         classified = rows.withColumns({c: F.lit(None).cast(t) for c, t in nothing.items()}).withColumn(CHANGE, F.lit(INSERT))
     else:
-        classified = classify_delta(rows, state, keys, carry=[SEGMENT, FILE, ROW])
+        classified = _classified(rows, state, keys, head, looked, now)
     classified, counted = count_changes(classified, f"changes-{uuid.uuid4().hex}")
     changes = staged(classified.filter(F.col(CHANGE) != UNCHANGED), "changes", [CHANGE])
-    inserted, updated = counted.get.get(INSERT, 0), counted.get.get(UPDATE, 0)
+    inserted, updated, total = (counted.get.get(c, 0) for c in (INSERT, UPDATE, "total"))
+    renewed = total - inserted - updated - counted.get.get(UNCHANGED, 0)
     by_file = {}
     if several and (inserted or updated):
         by_file = {(r[ORIGIN], r[CHANGE]): r["count"] for r in changes.groupBy(ORIGIN, CHANGE).count().collect()}
@@ -296,31 +317,54 @@ def _load(store, spec, conformed, records, run_ids, options, given, work) -> Non
     tables = {DIMENSIONS: dims.segments} if dims.grown else {}
     counters = {name: dims.counters[name] for name in dims.grown}
     facts, deletes = {}, {}
-    if inserted or updated:
-        written, facts, deletes = _write_version(store, spec, changes.drop(ORIGIN), head, options, inserted, updated, staged)
+    if inserted or updated or renewed:
+        written, facts, deletes = _write_version(store, spec, changes.drop(ORIGIN), head, options, inserted, updated, renewed, now, staged)
         tables |= written
         counters[TARGET] = (head.counters.get(TARGET, 0) if head else 0) + inserted
     if tables or run_ids:
-        store.commit(run_ids[0] if run_ids else uuid.uuid4().hex, tables, head, counters, facts, deletes, run_ids)
+        signatures = {now.name: asdict(now)} if now is not None else {}
+        store.commit(run_ids[0] if run_ids else uuid.uuid4().hex, tables, head, counters, facts, deletes, run_ids, signatures)
     for record in records:
         empty = several and not record.csv_count
         record.close(EMPTY if empty else SUCCESS, "extract has no rows" if empty else "extract loaded")
 
 
-def _write_version(store, spec, changes, head, options, inserted, updated, staged) -> tuple[dict, dict, dict]:
+def _classified(rows, state, keys, head, looked, now: Signature | None) -> DataFrame:
+    """The rows with their change, each compared by the signature that its stored row was hashed with.
+
+    A row that is the same under an older signature is a renewal: only its stored hash changes.
+    """
+    known = {unit: head.units[STATE][unit].signature for unit in looked}
+    older = {name for name in known.values() if name in head.signatures and now is not None and name != now.name}
+    if not older:
+        return classify_delta(rows, state, keys, carry=[SEGMENT, FILE, ROW])
+    names = F.broadcast(state.sparkSession.createDataFrame([(u, n) for u, n in known.items() if n in older], f"{SEGMENT} string, _signature string"))
+    state = state.join(names, SEGMENT, "left").withColumn("_now", F.col("hash_value"))
+    columns = {name: Signature(**head.signatures[name] | {"columns": tuple(head.signatures[name]["columns"])}).of(rows) for name in sorted(older)}
+    before = rows.withColumns({f"_hash_{name}": hashed for name, hashed in columns.items()})
+    classified = classify_delta(before, state, keys, carry=[SEGMENT, FILE, ROW, "_now", "_signature"])
+    same = functools.reduce(lambda a, b: a | b, [(F.col("_signature") == n) & (F.col(f"_hash_{n}") == F.col("_now")) for n in columns])
+    change = F.when((F.col(CHANGE) == UPDATE) & F.coalesce(same, F.lit(False)), RENEWAL).otherwise(F.col(CHANGE))
+    return classified.withColumn(CHANGE, change).drop("_now", "_signature", *[f"_hash_{n}" for n in columns])
+
+
+def _write_version(store, spec, changes, head, options, inserted, updated, renewed, now, staged) -> tuple[dict, dict, dict]:
     """Write the segment of new rows and new versions of rows; the live units, their facts and the sets of deleted rows.
 
     Old versions are left where they are and their places are stored as deleted. Slices that are small, or of which much changed, are
-    replaced by the new segment instead.
+    replaced by the new segment instead, unless their rows were hashed in another way: the rows of a slice have one signature. A renewed row moves
+    with its target row, so both tables keep the same slices.
     """
     spark, keys, live = store.spark, list(spec.delta_keys), store.live_segments(STATE, head)
-    inserts, updates = changes.filter(F.col(CHANGE) == INSERT), changes.filter(F.col(CHANGE) == UPDATE)
+    inserts, updates = changes.filter(F.col(CHANGE) == INSERT), changes.filter(F.col(CHANGE).isin(UPDATE, RENEWAL))
     rewritten: list[str] = []
     marked: list[str] = []
-    if updated:
+    name = now.name if now is not None else None
+    if updated or renewed:
         for row in updates.groupBy(SEGMENT).count().toLocalIterator():
-            size = head.units[STATE][row[SEGMENT]].rows
-            (rewritten if size <= store.rewrite_rows or row["count"] * 10 >= size else marked).append(row[SEGMENT])
+            unit = head.units[STATE][row[SEGMENT]]
+            small = unit.rows <= store.rewrite_rows or row["count"] * 10 >= unit.rows
+            (rewritten if small and unit.signature == name else marked).append(row[SEGMENT])
 
     fresh = number_by_position(inserts, head.counters.get(TARGET, 0) if head else 0)
     if options.narrow_inserts:
@@ -339,7 +383,12 @@ def _write_version(store, spec, changes, head, options, inserted, updated, stage
         named = F.broadcast(spark.createDataFrame([(u,) for u in marked], f"{SEGMENT} string"))
         some = updates.join(named, SEGMENT, "left_semi")
         old = store.rows(TARGET, head, marked, places=True)
-        replaced = staged(updated_rows(old, some, keys, update_columns, carry=[SEGMENT, FILE, ROW]), "replaced")
+        changed = some.filter(F.col(CHANGE) == UPDATE)
+        replaced = updated_rows(old, changed, keys, update_columns, carry=[SEGMENT, FILE, ROW])
+        if renewed:
+            same = old.join(some.filter(F.col(CHANGE) == RENEWAL).select(*keys), keys, "left_semi")
+            replaced = replaced.unionByName(same.select(*replaced.columns))
+        replaced = staged(replaced, "replaced")
         moved = replaced.count()
         target.append(align(replaced, target[0]))
         keep = [u for u in live if u not in set(rewritten)]
@@ -352,5 +401,5 @@ def _write_version(store, spec, changes, head, options, inserted, updated, stage
     written = store.write_segment(STATE, *state, segment=segment, slices=number)
     gone = set(rewritten)
     kept = [u for u in live if u not in gone] + written
-    facts = store.describe(STATE, written, keys, number)
+    facts = store.describe(STATE, written, keys, number, name)
     return {TARGET: kept, STATE: kept}, {TARGET: facts, STATE: facts}, deletes

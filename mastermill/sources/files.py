@@ -1,4 +1,4 @@
-"""Inbound extracts: selecting the day's files and reading them."""
+"""Extracts: selecting the day's files and reading them."""
 
 from __future__ import annotations
 
@@ -53,9 +53,9 @@ def discover_files(spark: SparkSession, root: str, prefixes: Mapping[str, str],
 
 def require_accepted(files: DataFrame) -> DataFrame:
     """Raise when a selected file has an ending that is not an extract; encrypted archives are among these."""
-    refused = [r["file_name"] for r in files.filter(~F.col("accepted")).select("file_name").limit(10).collect()]
+    refused = [r["file_name"] for r in files.filter(~F.col("accepted")).select("file_name").orderBy("file_name").collect()]
     if refused:
-        raise ValueError(f"unsupported file type: {', '.join(refused)}")
+        raise ValueError(f"unsupported file type ({len(refused)}): {', '.join(refused)}")
     return files
 
 

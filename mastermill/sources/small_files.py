@@ -34,6 +34,15 @@ def delete(spark: SparkSession, location: str) -> None:
     system.delete(path, True)
 
 
+def move(spark: SparkSession, location: str, target: str) -> None:
+    """Give a file or folder another name, where none may be yet."""
+    system, path = _open(spark, location)
+    goal = _open(spark, target)[1]
+    system.mkdirs(goal.getParent())
+    if not system.rename(path, goal):
+        raise OSError(f"cannot move {location} to {target}")
+
+
 def read_text(spark: SparkSession, location: str) -> str | None:
     """The text of a file; ``None`` when there is none."""
     system, path = _open(spark, location)

@@ -20,7 +20,7 @@ FILE, ROW = "_stored_file", "_stored_row"  # where a stored row stands
 LOG, MANIFESTS, DELETES, FILTERS = "commit_log", "manifests", "deletes", "filters"
 CHECKPOINT_EVERY = 16  # commits between two checkpoints of the run ids, and the most sets of deleted rows that a table has
 RECENT = 64  # the most changes that a commit lists beside its manifest
-MANIFEST_SCHEMA = "place int, table string, unit string, rows bigint, slices int, words int, least string, greatest string"
+MANIFEST_SCHEMA = "place int, table string, unit string, rows bigint, slices int, words int, least string, greatest string, signature string"
 DELETE_SCHEMA = f"{SEGMENT} string, {FILE} string, {ROW} bigint"
 FILTER_SCHEMA = f"slices int, words int, {SLICE} int, word bigint, bits bigint"
 BROADCAST_ROWS = 1 << 20
@@ -62,13 +62,18 @@ def path_exists(spark: SparkSession, location: str) -> bool:
 
 @dataclass(frozen=True)
 class Unit:
-    """What a commit knows of a slice: its rows, how many slices its segment has, the words of its key filter, and its range of keys as text."""
+    """What a commit knows of a slice: its rows, how many slices its segment has, the words of its key filter, its range of keys as text, and
+    the name of the signature that its rows were hashed with."""
 
     rows: int = 0
     slices: int = 0
     words: int = 0
     least: str | None = None
     greatest: str | None = None
+    signature: str | None = None
+
+
+UNIT_FIELDS = tuple(Unit.__dataclass_fields__)
 
 
 @dataclass(frozen=True)
@@ -78,6 +83,7 @@ class Commit:
     units: Mapping[str, Mapping[str, Unit]]
     counters: Mapping[str, int]
     deletes: Mapping[str, Mapping[str, int]] = field(default_factory=dict)
+    signatures: Mapping[str, Mapping] = field(default_factory=dict)
     manifest: str | None = field(default=None, compare=False)
     recent: Sequence[Mapping] = field(default=(), compare=False)
 
@@ -160,10 +166,10 @@ class SnapshotStore:
             if entry.get("gone"):
                 units.get(table, {}).pop(unit, None)
             else:
-                units.setdefault(table, {})[unit] = Unit(*(entry[c] for c in ("rows", "slices", "words", "least", "greatest")))
+                units.setdefault(table, {})[unit] = Unit(*(entry[c] for c in UNIT_FIELDS))
         for table in row["tables"]:
             units.setdefault(table, {})
-        return Commit(row["version"], row["run_id"], units, row["counters"], row["deletes"], row["manifest"], row["recent"])
+        return Commit(row["version"], row["run_id"], units, row["counters"], row["deletes"], row["signatures"], row["manifest"], row["recent"])
 
     def _manifest_rows(self, name: str | None) -> list:
         if name is None:
@@ -212,11 +218,13 @@ class SnapshotStore:
         facts: Mapping[str, Mapping[str, Unit]] | None = None,
         deletes: Mapping[str, Mapping[str, int]] | None = None,
         runs: Sequence[str] = (),
+        signatures: Mapping[str, Mapping] | None = None,
     ) -> Commit:
         """Publish the live units and greatest ids of the named tables; other tables keep theirs.
 
         ``previous`` is the commit the run started from; when another run was published from it, this one fails. ``facts`` describes new units,
-        ``deletes`` has the sets of deleted rows of the named tables with their sizes, and ``runs`` further run ids that this commit stands for.
+        ``deletes`` has the sets of deleted rows of the named tables with their sizes, and ``runs`` further run ids that this commit stands for,
+        ``signatures`` what units name as theirs.
         """
         old = previous.units if previous else {}
         units, changes = dict(old), []
@@ -230,15 +238,17 @@ class SnapshotStore:
             manifest, recent = self._write_manifest(units), []
         version, top = (previous.version if previous else 0) + 1, dict(previous.counters if previous else {}) | dict(counters or {})
         live_deletes = dict(previous.deletes if previous else {}) | {t: dict(d) for t, d in (deletes or {}).items()}
+        known_signatures = dict(previous.signatures if previous else {}) | dict(signatures or {})
         row = {
             "version": version, "run_id": run_id, "runs": list(dict.fromkeys([run_id, *runs])), "committed_at": datetime.now(timezone.utc).isoformat(),
             "tables": sorted(units), "manifest": manifest, "recent": recent, "counters": top, "deletes": live_deletes,
+            "signatures": known_signatures,
         }
         if not files.write_new(self.spark, self._commit_path(version), json.dumps(row)):
             raise RuntimeError(f"version {version} already exists: another run published it")
         if version % CHECKPOINT_EVERY == 0:
             self._checkpoint(version)
-        return Commit(version, run_id, units, top, live_deletes, manifest, recent)
+        return Commit(version, run_id, units, top, live_deletes, known_signatures, manifest, recent)
 
     def _checkpoint(self, version: int) -> None:
         """Gather the run ids up to a version; only the writer of that version does, and a missing checkpoint costs no more than reading on from the one before."""
@@ -454,7 +464,7 @@ class SnapshotStore:
         place = F.pmod(F.hash(*keys), F.lit(self.buckets or slices))
         return (place.cast("bigint") * slices / self.buckets).cast("int") if self.buckets else place
 
-    def describe(self, table: str, units: Sequence[str], keys: Sequence[str], slices: int) -> dict[str, Unit]:
+    def describe(self, table: str, units: Sequence[str], keys: Sequence[str], slices: int, signature: str | None = None) -> dict[str, Unit]:
         """Rows, key ranges and a key filter of the units of one new segment.
 
         The filter is a Bloom filter in words of 64 bits, four bits a key and about 16 for each: a key looks at one word. It is a table by word, made
@@ -471,7 +481,7 @@ class SnapshotStore:
             bits = found.select(*columns).groupBy(SLICE, "word").agg(F.bit_or("bits").alias("bits"))
             bits = bits.select(F.lit(slices).alias("slices"), F.lit(words).alias("words"), SLICE, "word", "bits")
             bits.write.parquet(f"{self.root}/{FILTERS}/{SEGMENT}={units[0].split('/')[0]}")
-        return {t[SEGMENT]: Unit(t["rows"], slices, words, t["least"], t["greatest"]) for t in tallies}
+        return {t[SEGMENT]: Unit(t["rows"], slices, words, t["least"], t["greatest"], signature) for t in tallies}
 
     def units_with(self, table: str, at: Commit | None, incoming: DataFrame, keys: Sequence[str], count: int) -> list[str]:
         """The units that may hold a row with one of the ``count`` keys of ``incoming``: by key range, by slice, then by filter.

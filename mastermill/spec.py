@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 
 _COLUMN = re.compile(r"(\w+)\s+(\w+(?:\(\d+,\s*\d+\))?)")
 
+# The audit columns of every target.
 AUDIT_COLUMNS = {
     "updated_by": "string",
     "updated_date": "timestamp",
@@ -31,7 +32,7 @@ class LookupRule:
 
     ``missing`` says what happens to rows whose code is not in the dimension: ``register`` adds the code to
     the dimension first, ``null`` keeps the row with nulls, ``drop`` removes the row.
-    ``outputs`` maps an output column to ``(dimension column, type)``.
+    ``outputs`` maps an output column to ``(dimension column, type)``. ``spread`` says that few codes may hold most rows.
     """
 
     source: str
@@ -40,7 +41,7 @@ class LookupRule:
     prefix: int | None = None
     missing: str = "register"
     require_source: bool = False
-    salt: int = 0
+    spread: bool = False
 
     def __post_init__(self):
         if self.missing not in ("register", "null", "drop"):

@@ -314,14 +314,16 @@ def ruled_sql(feed: Feed, given: str = "", gate: str = "") -> str:
     return merged_sql(feed.spec, *days, before=", ".join(parts) + ",")
 
 
-def load_two_days(spark: SparkSession, sf: str, feed: Feed, dimensions=None, buckets: int = 0, **options) -> SnapshotStore:
+def load_two_days(
+    spark: SparkSession, sf: str, feed: Feed, dimensions=None, buckets: int = 0, spec: EntitySpec | None = None, **options
+) -> SnapshotStore:
     """Write both extracts, load them in order and return the store."""
-    base = new_work_path(spark, f"feed-{feed.entity}")
-    store = open_store(spark, f"{base}/store", feed.spec, buckets)
+    base, spec = new_work_path(spark, f"feed-{feed.entity}"), spec or feed.spec
+    store = open_store(spark, f"{base}/store", spec, buckets)
     for second, stamp in ((False, RUN_TS), (True, LATER_TS)):
         path = feed.write(spark, sf, second, f"{base}/day{int(second) + 1}")
         run = RunOptions(run_ts=stamp, region=feed.region, file_name=f"{feed.entity}_{int(second) + 1}.csv", **options)
-        run_entity(store, feed.spec, read_extract(spark, path), run, dimensions)
+        run_entity(store, spec, read_extract(spark, path), run, dimensions)
     return store
 
 
