@@ -20,7 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES, MOST_BYTES = 4 << 20, 256 << 20
+EXCERPT_CHARS, LEAST_WORDS = 400, 5
 
 
 def normal(text: str | None) -> str:
@@ -33,17 +34,34 @@ def pieces(item: str, budget: int) -> list[tuple[int, str]]:
     return [(a, item[a:b]) for a, b in zip(cuts, cuts[1:])]
 
 
+def windows(text: str) -> list[str]:
+    """The text and, if it is long, its windows; the last one ends with it."""
+    if len(text) <= EXCERPT_CHARS:
+        return [text]
+    size, step = EXCERPT_CHARS // 2, EXCERPT_CHARS // 4
+    return [text, *[text[a : a + size] for a in range(0, len(text) - size, step)], text[len(text) - size :]]
+
+
 class Matcher:
-    def __init__(self, items: list[tuple[int, str]], rate: float):
+    def __init__(self, items: list[tuple[int, str]], rate: float, least_chars: int = 40):
         self.items, self.automaton, by_piece = [], ahocorasick.Automaton(), {}
-        for number, (item_id, text) in enumerate(items):
-            budget = int(rate * len(text))
-            masks: dict[str, int] = {}
-            for i, c in enumerate(text):
-                masks[c] = masks.get(c, 0) | 1 << i
-            self.items.append((item_id, len(text), budget, masks))
-            for offset, piece in pieces(text, budget):
-                by_piece.setdefault(piece, []).append((number, offset))
+        self.whole: dict[str, list[int]] = {}
+        for item_id, whole in items:
+            if len(whole) < least_chars:
+                if len(whole.split()) < LEAST_WORDS:
+                    self.whole.setdefault(whole, []).append(item_id)
+                else:
+                    by_piece.setdefault(whole, []).append((len(self.items), 0))
+                    self.items.append((item_id, len(whole), -1, {}))
+                continue
+            for text in windows(whole):
+                budget = int(rate * len(text))
+                masks: dict[str, int] = {}
+                for i, c in enumerate(text):
+                    masks[c] = masks.get(c, 0) | 1 << i
+                for offset, piece in pieces(text, budget):
+                    by_piece.setdefault(piece, []).append((len(self.items), offset))
+                self.items.append((item_id, len(text), budget, masks))
         for piece, places in by_piece.items():
             self.automaton.add_word(piece, (len(piece), places))
         if by_piece:
@@ -51,18 +69,21 @@ class Matcher:
 
     def matches(self, text: str) -> dict[int, int]:
         """Least distance by item id."""
+        found = dict.fromkeys(self.whole.get(text, ()), 0)
         if not self.items or not text:
-            return {}
+            return found
         near: dict[int, list[tuple[int, int]]] = {}
         for end, (size, places) in self.automaton.iter(text):
             for number, offset in places:
-                _, length, budget, _ = self.items[number]
+                item_id, length, budget, _ = self.items[number]
                 start = end + 1 - size - offset
-                near.setdefault(number, []).append((start - budget, start + length + budget))
-        found: dict[int, int] = {}
-        for number, windows in near.items():
+                if budget >= 0:
+                    near.setdefault(number, []).append((start - budget, start + length + budget))
+                elif not text[max(0, start - 1) : start].isalnum() and not text[end + 1 : end + 2].isalnum():
+                    found[item_id] = 0
+        for number, around in near.items():
             item_id, length, budget, masks = self.items[number]
-            best = min(distance(masks, length, text[max(0, a) : b]) for a, b in joined(windows))
+            best = min(distance(masks, length, text[max(0, a) : b]) for a, b in joined(around))
             if best <= budget:
                 found[item_id] = min(best, found.get(item_id, best))
         return found
@@ -101,12 +122,15 @@ def distance(masks: dict[str, int], length: int, text: str) -> int:
     return best
 
 
-def item_blocks(benchmark: DataFrame, least_chars: int) -> Iterator[list[tuple[int, str]]]:
+def item_blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
     """The items in blocks of at most ``BLOCK_BYTES`` of text (one item at least)."""
+    held = benchmark.agg(F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0))).first()[0]
+    if held > MOST_BYTES:
+        raise ValueError(f"a benchmark of {held} bytes is beyond the {MOST_BYTES} that pass through the driver")
     block, size = [], 0
     for row in benchmark.select("item_id", "text").toLocalIterator():
         text = normal(row.text)
-        if row.item_id is None or len(text) < least_chars:
+        if row.item_id is None or not text:
             continue
         if block and size + len(text) > BLOCK_BYTES:
             yield block
@@ -119,15 +143,15 @@ def item_blocks(benchmark: DataFrame, least_chars: int) -> Iterator[list[tuple[i
 def benchmark_matches(docs: DataFrame, benchmark: DataFrame, rate: float = 0.06, least_chars: int = 40) -> DataFrame:
     """``doc_id``, ``item_id`` and ``distance`` of each document and item that match."""
     out = None
-    for block in item_blocks(benchmark, least_chars):
-        part = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_matching(block, rate), "doc_id long, item_id long, distance long")
+    for block in item_blocks(benchmark):
+        part = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_matching(block, rate, least_chars), "doc_id long, item_id long, distance long")
         out = part if out is None else out.union(part)
     return out
 
 
-def _matching(block: list[tuple[int, str]], rate: float):
+def _matching(block: list[tuple[int, str]], rate: float, least_chars: int):
     def match(batches):
-        matcher = Matcher(block, rate)
+        matcher = Matcher(block, rate, least_chars)
         for batch in batches:
             rows = [(d, i, n) for d, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) for i, n in matcher.matches(normal(t)).items()]
             columns = list(zip(*rows)) if rows else [[]] * 3
@@ -139,14 +163,14 @@ def _matching(block: list[tuple[int, str]], rate: float):
 def decontaminate(docs: DataFrame, benchmark: DataFrame, rate: float = 0.06, least_chars: int = 40) -> DataFrame:
     """The rows of ``docs`` that match no item."""
     at = [c.lower() for c in docs.columns].index("text")
-    for block in item_blocks(benchmark, least_chars):
-        docs = docs.mapInArrow(_clean(block, rate, at), docs.schema)
+    for block in item_blocks(benchmark):
+        docs = docs.mapInArrow(_clean(block, rate, least_chars, at), docs.schema)
     return docs
 
 
-def _clean(block: list[tuple[int, str]], rate: float, at: int):
+def _clean(block: list[tuple[int, str]], rate: float, least_chars: int, at: int):
     def clean(batches):
-        matcher = Matcher(block, rate)
+        matcher = Matcher(block, rate, least_chars)
         for batch in batches:
             yield batch.filter(pa.array([not matcher.matches(normal(t)) for t in batch.column(at).to_pylist()], pa.bool_()))
 

@@ -1,15 +1,17 @@
 """Line dedup by content-defined chunks, with DataFrame functions only.
 
-The lines of a text (split at ``\\n``) are hashed. A rolling hash over ``WINDOW`` neighbouring line hashes ends a chunk
-where it is divisible by ``DIVISOR``, so that chunk limits depend on nearby lines only and shift along with them. Chunks of two lines
-or more that occur several times anywhere are removed but for their first occurrence (smallest doc_id, null last, then
-earliest in the text), after their text was found equal byte by byte to that of the first. Only digests are shuffled for the search.
+The lines of a text (split at ``\\n``) are hashed. A rolling hash over two neighbouring line hashes ends a chunk
+where it is divisible by ``DIVISOR``, and a line of ``LEAST_BYTES`` bytes or more is a chunk of its own, so that chunk limits depend on nearby
+lines only and shift along with them. Chunks of two lines or more, or of ``LEAST_BYTES``,
+that occur several times anywhere are removed but for their first occurrence (smallest doc_id, null last, then
+earliest in the text), after their text was found equal byte by byte to that of the first. Only digests are shuffled for the search, and the texts of
+a digest that many documents hold are dealt over ``SLOTS`` tasks.
 
 Defined results: a null or empty text stays as it is with no lines removed. Rows that agree in doc_id and text are one
 document and come out alike. A text of which nothing is left becomes empty, and ``n_kept_lines`` is 0. Columns that
 clash with the result's own (``n_lines``, ``n_kept_lines``) are replaced; other columns pass through.
 
-Chunks of two lines or more with limits after about every 4th line miss most repeated passages of few lines. :func:`dedup_line_runs` is
+Of passages of short lines the chunks at either end run on into other lines and stay. :func:`dedup_line_runs` is
 the whole rule: a line goes if it lies in a run of whole lines of ``LEAST_BYTES`` or more (line ends counted) that stands earlier too.
 It looks up the shortest such runs from and up to each line, of which every longer run is made, by their SHA-256, so that no text is
 shuffled for the search. Each line that goes still stands in an earlier place.
@@ -22,7 +24,8 @@ from pyspark.sql import functions as F
 
 from .common import quoted, stored
 
-DIVISOR = 4
+DIVISOR = 2
+SLOTS = 64
 FACTOR = 31
 LEAST_LINES = 2
 LEAST_BYTES = 50
@@ -41,8 +44,10 @@ def chunk_ends(lines: Column) -> Column:
         F.arrays_zip(F.slice(hashes, 1, F.greatest(count - 1, F.lit(0))).alias("a"), F.slice(hashes, 2, F.greatest(count - 1, F.lit(0))).alias("b")),
         lambda x, i: F.when((x["a"] * FACTOR + x["b"]) % DIVISOR == 0, i + 1),
     )
-    inner = F.filter(ends, lambda e: e.isNotNull() & (e < count - 1))
-    return F.concat(inner, F.array(count - 1))
+    # A long line ends its own chunk and the one before it.
+    alone = F.flatten(F.transform(lines, lambda x, i: F.when(F.octet_length(x) >= LEAST_BYTES, F.array(i - 1, i)).otherwise(F.array())))
+    inner = F.filter(F.concat(ends, alone), lambda e: e.isNotNull() & (e >= 0) & (e < count - 1))
+    return F.concat(F.array_sort(F.array_distinct(inner)), F.array(count - 1))
 
 
 def chunked(docs: DataFrame) -> DataFrame:
@@ -61,14 +66,18 @@ def row_key() -> Column:
 
 def repeated_chunks(docs: DataFrame) -> DataFrame:
     """``key`` and ``chunk`` of each chunk to remove."""
-    several = chunked(docs).filter(F.col("n_lines") >= LEAST_LINES)
-    refs = several.select(F.md5("body").alias("digest"), F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "key", "chunk").alias("at"), "body")
-    # Digests alone, counted in the map tasks first; a chunk in a third of all texts is one row per task.
-    found = refs.groupBy("digest").agg(F.min("at").alias("first"), F.count("*").alias("copies"), F.max("at").alias("greatest"))
-    found = found.filter("first != greatest").select("digest", "first")
-    again = stored(refs.join(found, "digest").select("digest", "first", "at", "body"), "chunks")
+    several = chunked(docs).filter((F.col("n_lines") >= LEAST_LINES) | (F.octet_length("body") >= LEAST_BYTES))
+    slot = F.pmod(F.xxhash64("key", "chunk"), F.lit(SLOTS)).cast("int").alias("slot")
+    refs = several.select(F.md5("body").alias("digest"), slot, F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "key", "chunk").alias("at"), "body")
+    # Digests alone, counted in the map tasks first; a chunk in a third of all texts is one row per task and slot.
+    dealt = stored(refs.groupBy("digest", "slot").agg(F.min("at").alias("first"), F.max("at").alias("greatest")), "digests")
+    found = dealt.groupBy("digest").agg(F.min("first").alias("first"), F.max("greatest").alias("greatest")).filter("first != greatest")
+    pairs = dealt.select("digest", "slot").join(found.select("digest", "first"), "digest")
+    again = stored(refs.join(pairs, ["digest", "slot"]).select("digest", "slot", "first", "at", "body"), "chunks")
     firsts = again.filter("at = first").select("digest", F.col("body").alias("first_body")).dropDuplicates(["digest"])
-    later = again.filter("at != first").join(firsts, "digest").filter("body = first_body")
+    later = again.filter("at != first")
+    firsts = firsts.join(later.select("digest", "slot").distinct(), "digest")
+    later = later.join(firsts, ["digest", "slot"]).filter("body = first_body")
     return later.select(F.col("at.key").alias("key"), F.col("at.chunk").alias("chunk"))
 
 

@@ -67,7 +67,9 @@ def pack(docs: DataFrame, tokenizer: str, window: int = 2048, end_id: int = 1) -
     pieces = cut_pieces(docs, tokenizer, window, end_id)
     pieces = stored(pieces.select(F.monotonically_increasing_id().alias("piece"), "*"), "pieces")
     step = -(-window // BINS)
-    binned = pieces.select("piece", "length", F.ceil(F.col("length") / step).cast("int").alias("bin"), F.shiftright("piece", 33).cast("int").alias("task"))
+    # What does not fit beside the smallest piece stands in the last bin, alone in its sequence.
+    bin_ = F.least(F.ceil(F.col("length") / step).cast("int"), F.lit(window // step))
+    binned = pieces.select("piece", "length", bin_.alias("bin"), F.shiftright("piece", 33).cast("int").alias("task"))
 
     groups = binned.groupBy("bin", "task").agg(F.count("*").alias("n"))
     before = F.coalesce(F.sum("n").over(Window.partitionBy("bin").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))

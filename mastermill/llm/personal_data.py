@@ -80,7 +80,8 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 def candidates(text: str, taken: list[tuple[int, int, int]]) -> Iterator[tuple[int, int, int]]:
     """(start, end, features as bits) of each candidate."""
-    done = 0
+    done = word = seen = 0
+    in_url = False
     for m in DIGITS.finditer(text):
         if m.start() < done:
             continue
@@ -89,12 +90,17 @@ def candidates(text: str, taken: list[tuple[int, int, int]]) -> Iterator[tuple[i
             start -= 1
         while end < len(text) and text[end] in RUN:
             end += 1
-        done = end
+        # The word that holds the run begins after the last space, however far that is; what was looked at is not looked at again.
+        space = text.rfind(" ", done, start)
+        if space >= 0:
+            word, seen, in_url = space + 1, space + 1, False
+        in_url = in_url or text.find("://", max(word, seen - 2), start) >= 0
+        seen, done = start, end
         if end - start >= LEAST and not any(a < end and start < b for a, _, b in taken):
-            yield start, end, features(text, start, end)
+            yield start, end, features(text, start, end, in_url)
 
 
-def features(text: str, start: int, end: int) -> int:
+def features(text: str, start: int, end: int, in_url: bool) -> int:
     run, before = text[start:end], text[max(0, start - 48) : start]
     word, sign, quote = BEFORE.search(before).groups()
     counts = Counter(run)
@@ -113,7 +119,7 @@ def features(text: str, start: int, end: int) -> int:
         "quoted": bool(quote) and text[end : end + 1] == quote,
         "varied": entropy >= 3,
         "uniform": entropy < 2.2,
-        "url": "://" in before.split(" ")[-1] or run.count("/") > 1,
+        "url": in_url or run.count("/") > 1,
         "joined": any(c in run for c in "/_-"),
     }
     return sum(1 << i for i, name in enumerate(FEATURES) if values[name])
@@ -155,10 +161,11 @@ def reliabilities(vote: np.ndarray, counts: np.ndarray, rounds: int = 200) -> tu
 
 
 def train(patterns: np.ndarray, counts: np.ndarray, chance: np.ndarray, penalty: float = 1.0) -> np.ndarray:
-    """Weights (bias last) of the logistic classifier, by Newton's method on the weighted patterns."""
+    """Weights (bias last) of the logistic classifier, by Newton's method on the patterns weighted by their shares: the penalty weighs as much
+    against few candidates as against many."""
     x = np.hstack([matrix(patterns), np.ones((len(patterns), 1))])
     w = np.zeros(x.shape[1])
-    share = counts / counts.sum() * min(counts.sum(), 1e4)
+    share = counts / counts.sum() * 1e4
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
         gradient = x.T @ (share * (p - chance)) + penalty * w

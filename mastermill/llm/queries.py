@@ -13,7 +13,7 @@ from .decontaminate import benchmark_matches
 from .line_dedup import dedup_line_runs, dedup_lines
 from .near_dedup import near_duplicates
 from .packing import pack
-from .personal_data import BASE_KINDS, personal_data
+from .personal_data import BASE_KINDS, KINDS, personal_data
 from .quality import fit_quality, rate_quality
 from .substring_dedup import dedup_substrings
 from .token_counts import TokenTotals, count_tokens
@@ -54,14 +54,15 @@ WITH lines AS (
 ), hashed AS (
   SELECT *, ('0x' || substr(md5(line), 1, 12))::BIGINT AS h FROM each
 ), ended AS (
-  SELECT *, CASE WHEN i > 0 AND (lag(h) OVER w * 31 + h) % 4 = 0 THEN 1 ELSE 0 END AS ends FROM hashed
+  SELECT *, CASE WHEN i > 0 AND (lag(h) OVER w * 31 + h) % 2 = 0 OR strlen(line) >= 50 OR lead(strlen(line)) OVER w >= 50 THEN 1 ELSE 0 END AS ends FROM hashed
   WINDOW w AS (PARTITION BY doc_id ORDER BY i)
 ), numbered AS (
   SELECT *, coalesce(sum(ends) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS chunk FROM ended
 ), chunks AS (
   SELECT doc_id, chunk, count(*) AS n_lines, string_agg(line, chr(10) ORDER BY i) AS body FROM numbered GROUP BY ALL
 ), gone AS (
-  SELECT doc_id, chunk, n_lines > 1 AND row_number() OVER (PARTITION BY body, n_lines > 1 ORDER BY doc_id, chunk) > 1 AS gone FROM chunks
+  SELECT doc_id, chunk, counts AND row_number() OVER (PARTITION BY body, counts ORDER BY doc_id, chunk) > 1 AS gone
+  FROM (SELECT *, n_lines > 1 OR strlen(body) >= 50 AS counts FROM chunks)
 )
 SELECT n.doc_id, coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '') AS text,
        count(*)::BIGINT AS n_lines, (count(*) FILTER (NOT gone))::BIGINT AS n_kept_lines
@@ -155,9 +156,9 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = personal_data(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
-    counts = [F.expr(f"cast(size(filter(spans, s -> s.kind = '{kind}')) as bigint)").alias(f"n_{kind}") for kind in BASE_KINDS]
+    counts = [F.expr(f"cast(size(filter(spans, s -> s.kind = '{kind}')) as bigint)").alias(f"n_{kind}") for kind in KINDS]
     base = joined_spans(F.filter("spans", lambda s: s["kind"].isin(*BASE_KINDS)))
-    return found.select("doc_id", *counts, F.sha2(base, 256).alias("base_sha256"), joined_spans(F.col("spans")).alias("spans"))
+    return found.select("doc_id", *counts, F.sha2(base, 256).alias("base_sha256"), joined_spans(F.col("spans")).alias("spans"), F.size("spans").cast("long").alias("n_spans"))
 
 
 def joined_spans(spans: Column) -> Column:
@@ -166,21 +167,35 @@ def joined_spans(spans: Column) -> Column:
 
 @query()
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Insert all documents, replay that batch, delete repeats of a text, and move the rest to the version that counts an end id."""
+    """Insert all documents, replay that batch, delete repeats of a text, revise the rest to counts with an end id, and insert the rest under a
+    second version that counts none. A document's repeats have the same text and a greater doc_id."""
     counts = stored(count_tokens(read_table(spark, sf_dir, "documents"), tokenizer_path()), "counts")
-    first = counts.groupBy("digest").agg(F.min("doc_id").alias("first"))
-    repeats = counts.join(first, "digest").filter("doc_id <> first")
-    kept = counts.join(first, "digest").filter("doc_id = first")
     totals = TokenTotals(spark, new_work_path(spark, "token-totals"))
-    inserted = counts.select(F.lit("insert").alias("op"), "source", "lang", F.lit("bpe-1").alias("version"), "n_tokens", F.lit(None).alias("old_tokens"))
-    totals.commit("insert", inserted)
-    totals.commit("insert", inserted)
-    totals.commit("delete", repeats.select(F.lit("delete").alias("op"), "source", "lang", F.lit("bpe-1").alias("version"), "n_tokens", F.lit(None).alias("old_tokens")))
-    with_end = (F.col("n_tokens") + 1).alias("n_tokens")
-    totals.commit("revise", kept.select(F.lit("revise").alias("op"), "source", "lang", F.lit("bpe-1").alias("version"), with_end, F.col("n_tokens").alias("old_tokens")))
+    for name, changes in token_batches(counts):
+        totals.commit(name, changes)
     return totals.totals()
 
 
+def token_batches(counts: DataFrame) -> list[tuple[str, DataFrame]]:
+    first = counts.groupBy("digest").agg(F.min("doc_id").alias("doc_id")).withColumn("is_first", F.lit(True))
+    # Joined by text and document, so a text that many documents have is many keys.
+    marked = stored(counts.join(first, ["digest", "doc_id"], "left"), "marked").filter("doc_id is not null")
+    kept, repeats = marked.filter("is_first"), marked.filter("is_first is null")
+
+    def changes(rows: DataFrame, op: str, version: str, count: Column, old: Column) -> DataFrame:
+        return rows.select(F.lit(op).alias("op"), "source", "lang", F.lit(version).alias("version"), count.alias("n_tokens"), old.alias("old_tokens"))
+
+    n, none = F.col("n_tokens"), F.lit(None).cast("long")
+    inserted = changes(counts, "insert", "bpe-1", n, none)
+    return [
+        ("insert", inserted),
+        ("insert", inserted),
+        ("delete", changes(repeats, "delete", "bpe-1", n, none)),
+        ("revise", changes(kept, "revise", "bpe-1", n + 1, n)),
+        ("bare", changes(kept, "insert", "bpe-1-bare", n, none)),
+    ]
+
+
 @query()
 def op11_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest.nearest(nearest.prepared(read_table(spark, sf_dir, "embeddings")), every=100, count=10)

@@ -26,6 +26,7 @@ from .tokens import encoder
 
 GROUP = ("source", "lang", "version")
 SCHEMA = "source string, lang string, version string, n_docs long, n_tokens long"
+FOLDED = "folded-"
 _NAME = re.compile(r"batch=([0-9a-z-]+)~([0-9a-f]+)$")
 
 
@@ -56,6 +57,8 @@ class TokenTotals:
         name ``batch``; False if that batch is committed already."""
         if not re.fullmatch("[0-9a-z-]+", batch):
             raise ValueError("a batch is named with digits, lower-case letters and hyphens")
+        if batch.startswith(FOLDED):
+            raise ValueError(f"names that begin with {FOLDED} are kept for folded batches")
         live, folded = self._state()
         if batch in folded or any(name == batch for name, _ in live):
             return False
@@ -64,12 +67,14 @@ class TokenTotals:
         docs = F.when(F.col("op") == "insert", 1).when(F.col("op") == "delete", -1).when(F.col("op") == "revise", 0).otherwise(wrong)
         tokens = F.when(F.col("op") == "insert", count).when(F.col("op") == "delete", -count).when(F.col("op") == "revise", count - old)
         sums = changes.groupBy(*GROUP).agg(F.sum(docs).alias("n_docs"), F.sum(tokens).alias("n_tokens"))
-        sums.coalesce(1).write.parquet(f"{self.path}/batch={batch}~{uuid.uuid4().hex}")
+        sums.write.parquet(f"{self.path}/batch={batch}~{uuid.uuid4().hex}")
         return True
 
     def totals(self) -> DataFrame:
         """The groups with their documents and tokens."""
-        live, _ = self._state()
+        return self._sums(self._state()[0])
+
+    def _sums(self, live: list[tuple[str, str]]) -> DataFrame:
         if not live:
             return self.spark.createDataFrame([], SCHEMA)
         rows = self.spark.read.schema(SCHEMA).option("basePath", self.path).parquet(*[f"{self.path}/batch={a}~{b}" for a, b in live])
@@ -77,12 +82,15 @@ class TokenTotals:
         return sums.filter("n_docs <> 0 or n_tokens <> 0")
 
     def compact(self) -> None:
-        """Fold all committed batches into one; what was folded stays known and counts no longer by itself."""
+        """Fold all committed batches into one; what was folded stays known and counts no longer by itself.
+
+        The names and the sums are those of one listing, so a batch committed meanwhile counts by itself.
+        """
         live, folded = self._state()
-        names = sorted(folded | {a for a, _ in live if not a.startswith("folded-")})
-        target = f"{self.path}/batch=folded-{len(names):012d}~{uuid.uuid4().hex}"
+        names = sorted(folded | {a for a, _ in live if not a.startswith(FOLDED)})
+        target = f"{self.path}/batch={FOLDED}{len(names):012d}~{uuid.uuid4().hex}"
         self.spark.createDataFrame([(json.dumps(names),)], "names string").coalesce(1).write.json(f"{target}-names".replace("batch=", "names="))
-        self.totals().coalesce(1).write.parquet(target)
+        self._sums(live).write.parquet(target)
 
     def _state(self) -> tuple[list[tuple[str, str]], set[str]]:
         """The folders (batch, attempt) that count now, and the names that the greatest fold holds."""
@@ -96,10 +104,10 @@ class TokenTotals:
             found = _NAME.search(status.getPath().getName())
             if found and system.exists(jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")):
                 first[found[1]] = min(found[2], first.get(found[1], found[2]))
-        folds = [n for n in first if n.startswith("folded-")]
+        folds = [n for n in first if n.startswith(FOLDED)]
         if not folds:
             return sorted(first.items()), set()
         fold = max(folds)
         names = self.spark.read.schema("names string").json(f"{self.path}/names={fold}~{first[fold]}-names").first().names
         known = set(json.loads(names))
-        return sorted((n, a) for n, a in first.items() if n == fold or not n.startswith("folded-") and n not in known), known
+        return sorted((n, a) for n, a in first.items() if n == fold or not n.startswith(FOLDED) and n not in known), known

@@ -22,15 +22,19 @@ FIRST = "\0"  # marks a text's first unit, which no space begins; it is in no te
 END = "\1"  # marks signs that follow letters
 SIGNS = ".,;:!?%$#&*|"
 
+
 class Encoder:
-    """Encodes texts with the tokenizer file at ``path``; strings of special tokens are ordinary text."""
+    """Encodes texts with the tokenizer file at ``path`` as the library does by default, where the strings of its special tokens stand for
+    those tokens; with ``plain`` they are ordinary text."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, plain: bool = False):
         from tokenizers import Tokenizer
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark has dealt out the cores
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = plain
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.added = [t.content for t in added if not (plain and t.special)]  # they may hold spaces, or stand within a word
         size = self.tokenizer.get_vocab_size()
         self.begins = np.zeros(size, bool)
         for token, number in self.tokenizer.get_vocab().items():
@@ -59,7 +63,7 @@ class Encoder:
             return [self.whole(x) for x in texts]
         if len(self.units) > CACHE_UNITS or self.n_pool > POOL_IDS:
             self._clear()
-        split = [x.split(" ") if falls_at_spaces(x) else None for x in texts]
+        split = [x.split(" ") if falls_at_spaces(x) and not any(t in x for t in self.added) else None for x in texts]
         found = iter(self._looked_up([parts for parts in split if parts]))
         return [self.whole(x) if parts is None else next(found) for x, parts in zip(texts, split)]
 
@@ -134,14 +138,14 @@ def filled(array: np.ndarray, at: int, values: np.ndarray) -> np.ndarray:
     return array
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[tuple[str, bool], Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, plain: bool = False) -> Encoder:
     """The worker's own encoder for ``path``, with what it has learned so far."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+    if (path, plain) not in _ENCODERS:
+        _ENCODERS[path, plain] = Encoder(path, plain)
+    return _ENCODERS[path, plain]
 
 
 def forget() -> None:

@@ -1,8 +1,9 @@
 """URL filters: fixed host and path rules first, then association rules mined by FP-growth; DataFrame functions only.
 
 A URL becomes a set of tokens: labels of the host, segments of the path (numbers alike), keys of the query. Over the labelled pages
-FP-growth finds the token combinations that come with the bad label often (``support``) and reliably (``confidence``). A
-combination whose part is a rule already adds nothing and is left out. Rules are found by an inverted index over their rarest token
+FP-growth finds the token combinations that come with the bad label on at least ``least_pages`` pages and in at least the share
+``confidence`` of the pages that hold them. It runs on the bad pages alone; the pages of either label that hold a combination are then counted by an
+inverted index over its rarest token. A combination whose part is a rule already adds nothing and is left out. Rules are found by an inverted index over their rarest token
 and then compared whole. Equal token sets are judged once.
 
 Defined results: a null url, or one without ``://``, has an empty host and path, no tokens and the verdict ``allow``. Labels with
@@ -51,30 +52,33 @@ def fixed_rule(rules: tuple) -> Column:
     return found
 
 
-def mine_rules(pages: DataFrame, labels: DataFrame, support: float = 0.005, confidence: float = 0.8, least_pages: int = 5) -> DataFrame:
-    """``tokens`` and their rarest token ``key`` of each rule that marks a page as bad; it holds for ``support`` of the labelled
-    pages, and for ``least_pages`` of them."""
+def mine_rules(pages: DataFrame, labels: DataFrame, confidence: float = 0.8, least_pages: int = 5) -> DataFrame:
+    """``tokens`` and their rarest token ``key`` of each rule that marks a page as bad, with ``n_bad`` of the ``n_pages`` labelled pages it holds for."""
     spark = pages.sparkSession
     known = labels.filter("doc_id is not null and quality is not null and toxic is not null")
     known = known.groupBy(F.col("doc_id").alias("page_id")).agg(F.max((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("bad"))
     marked = url_parts(pages).select("page_id", url_tokens().alias("tokens")).filter("size(tokens) > 0").join(known, "page_id")
-    baskets = marked.select("bad", F.when(F.col("bad"), F.concat("tokens", F.array(F.lit(BAD)))).otherwise(F.col("tokens")).alias("items"))
-    baskets = stored(baskets, "baskets")
-    schema = "tokens array<string>, key string"
-    if baskets.filter("bad").isEmpty():
-        return spark.createDataFrame([], schema)
-    support = min(1.0, max(support, least_pages / baskets.count()))
-    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=confidence).fit(baskets)
-    mined = model.associationRules.filter(F.col("consequent") == F.array(F.lit(BAD))).select("antecedent")
-    mined = stored(mined.select(F.array_sort("antecedent").alias("tokens")).distinct(), "rules")
-    single = model.freqItemsets.filter("size(items) = 1").select(F.col("items")[0].alias("token"), "freq")
-    by_token = mined.select("tokens", F.explode("tokens").alias("token")).join(single, "token")
-    keyed = by_token.groupBy("tokens").agg(F.min(F.struct("freq", "token"))["token"].alias("key"))
+    # Equal token sets are one row with the number of pages of each label.
+    sets = stored(marked.groupBy("tokens").agg(F.count("*").alias("n"), F.count_if("bad").alias("bad")), "baskets")
+    bad = marked.filter("bad").select(F.col("tokens").alias("items"))
+    bad = stored(bad, "bad-baskets")
+    n_bad = bad.count()
+    if n_bad < least_pages:
+        return spark.createDataFrame([], "tokens array<string>, key string, n_bad long, n_pages long")
+    model = FPGrowth(itemsCol="items", minSupport=(least_pages - 0.5) / n_bad, minConfidence=1.0).fit(bad)
+    frequent = stored(model.freqItemsets.select(F.array_sort("items").alias("tokens"), F.col("freq").alias("n_bad")), "frequent")
+    single = sets.select(F.explode("tokens").alias("token"), "n").groupBy("token").agg(F.sum("n").alias("freq"))
+    by_token = frequent.select("tokens", "n_bad", F.explode("tokens").alias("token")).join(single, "token")
+    keyed = by_token.groupBy("tokens", "n_bad").agg(F.min(F.struct("freq", "token"))["token"].alias("key"))
+    held = sets.select(F.col("tokens").alias("page"), "n", F.explode("tokens").alias("token"))
+    held = keyed.join(held, F.col("key") == F.col("token")).filter("size(array_except(tokens, page)) = 0")
+    held = held.groupBy("tokens", "key", "n_bad").agg(F.sum("n").alias("n_pages"))
+    mined = stored(held.filter(F.col("n_bad") >= confidence * F.col("n_pages")), "rules")
     # A rule within which another rule lies holds that rule's key.
-    other = keyed.select(F.col("tokens").alias("part"), F.col("key").alias("token"))
+    other = mined.select(F.col("tokens").alias("part"), F.col("key").alias("token"))
     wider = mined.select("tokens", F.explode("tokens").alias("token")).join(other, "token")
     wider = wider.filter("size(part) < size(tokens) and size(array_except(part, tokens)) = 0").select("tokens").distinct()
-    return stored(keyed.join(wider, "tokens", "left_anti").select("tokens", "key"), "pruned")
+    return stored(mined.join(wider, "tokens", "left_anti").select("tokens", "key", "n_bad", "n_pages"), "pruned")
 
 
 def judge_urls(pages: DataFrame, rules: DataFrame, fixed: tuple = FIXED_RULES) -> DataFrame:

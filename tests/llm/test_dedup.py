@@ -154,13 +154,14 @@ def brute_lines(rows):
         chunks, now = [], []
         for i, line in enumerate(lines):
             now.append(line)
-            if i and (h(lines[i - 1]) * 31 + h(line)) % 4 == 0:
+            alone = any(len(x.encode()) >= 50 for x in lines[i : i + 2])
+            if alone or i and (h(lines[i - 1]) * 31 + h(line)) % 2 == 0:
                 chunks.append(now)
                 now = []
         chunks += [now] if now else []
         left = []
         for k, c in enumerate(chunks):
-            if len(c) > 1 and seen.setdefault("\n".join(c), (d, k)) != (d, k):
+            if (len(c) > 1 or len(c[0].encode()) >= 50) and seen.setdefault("\n".join(c), (d, k)) != (d, k):
                 continue
             left += c
         out[d] = (t if len(left) == len(lines) else "\n".join(left), len(lines), len(left))
@@ -173,6 +174,22 @@ def test_line_dedup_against_a_scan(docs, texts):
     assert got == want and any(n != k for _, n, k in want.values())
 
 
+def test_line_dedup_finds_planted_passages(spark):
+    """Passages of 3 to 8 lines in ever different surroundings: lines of a sentence go whole, of short lines a third goes."""
+    r = random.Random(11)
+    line = lambda n: " ".join(f"w{r.randrange(10**6)}" for _ in range(n))
+    for words, least in ((12, 1.0), (3, 0.3)):
+        passages = [[line(words) for _ in range(k)] for k in range(3, 9) for _ in range(10)]
+        rows = []
+        for p in passages:
+            for _ in range(2):
+                rows.append((len(rows), "\n".join([*[line(words) for _ in range(r.randint(1, 3))], *p, *[line(words) for _ in range(r.randint(1, 3))]])))
+        got = {x.doc_id: x.text.split("\n") for x in dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+        lost = sum(sum(x not in got[2 * n + 1] for x in p) for n, p in enumerate(passages))
+        assert lost >= least * sum(map(len, passages))
+        assert all(set(got[2 * n]) == set(rows[2 * n][1].split("\n")) for n in range(len(passages)))
+
+
 def test_line_dedup_odd_rows(spark, empty):
     assert dedup_lines(empty).columns[-2:] == ["n_lines", "n_kept_lines"] and dedup_lines(empty).count() == 0
     text = "\n".join("abcdefgh")

@@ -1,14 +1,16 @@
 import hashlib
+import itertools
 import re
 
 import numpy as np
+import pytest
 
 from mastermill.llm import decontaminate as D
 from mastermill.llm import quality as Q
 from mastermill.llm.decontaminate import Matcher, benchmark_matches, normal
-from mastermill.llm.personal_data import BASE_KINDS, base_spans, candidates, fit_secrets, luhn, personal_data, reliabilities, votes
+from mastermill.llm.personal_data import BASE_KINDS, FEATURES, base_spans, candidates, fit_secrets, luhn, personal_data, reliabilities, train, votes
 from mastermill.llm.quality import NGrams, base_metrics, fit_quality, rate_quality, repeated_words
-from mastermill.llm.url_rules import judge_urls, mine_rules
+from mastermill.llm.url_rules import judge_urls, mine_rules, url_parts, url_tokens
 from tests.llm.conftest import SCHEMA
 
 
@@ -161,13 +163,99 @@ def test_urls(spark):
     assert mine_rules(trained, labels.limit(0)).count() == 0 and judge_urls(pages.limit(0), rules).count() == 0
 
 
-def test_url_verdicts_against_brute_force(spark):
+def test_url_rules_and_verdicts_against_brute_force(spark):
+    """All token sets of all labelled pages, counted; a planted pattern besides."""
     sf = "/root/testdata/sf0.001"
-    pages, labels = spark.read.parquet(f"{sf}/pages.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
-    rules = mine_rules(pages, labels, support=0.02, confidence=0.6)
-    mined = [set(r.tokens) for r in rules.collect()]
-    from mastermill.llm.url_rules import url_parts, url_tokens
-
-    tokens = {r.page_id: set(r.tokens) for r in url_parts(pages).select("page_id", url_tokens().alias("tokens")).collect()}
-    for r in judge_urls(pages, rules, fixed=()).collect():
-        assert r.rule is None and r.verdict == ("block" if any(m <= tokens[r.page_id] for m in mined) else "allow")
+    labels = spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "quality", "toxic")
+    pages = spark.read.parquet(f"{sf}/pages.parquet").select("page_id", "url")
+    planted = spark.range(5000, 5040).selectExpr("id AS page_id", "concat('http://shop', id % 3, '.test/win/', id, '?ref=', id) AS url")
+    pages = pages.unionByName(planted)
+    labels = labels.unionByName(spark.range(5000, 5040).selectExpr("id AS doc_id", "if(id % 10 = 0, 1, 0) AS quality", "0 AS toxic"))
+    tokens = {r.page_id: frozenset(r.tokens) for r in url_parts(pages).select("page_id", url_tokens().alias("tokens")).collect()}
+    bad = {}
+    for r in labels.collect():
+        bad[r.doc_id] = bad.get(r.doc_id, False) or r.quality == 0 or r.toxic == 1
+    counts = {}
+    for page, found in tokens.items():
+        if page in bad:
+            for size in range(1, len(found) + 1):
+                for part in itertools.combinations(sorted(found), size):
+                    n, n_bad = counts.get(part, (0, 0))
+                    counts[part] = (n + 1, n_bad + bad[page])
+    for confidence, least in ((0.8, 5), (0.6, 3)):
+        fit = {p for p, (n, b) in counts.items() if b >= least and b >= confidence * n}
+        want = {p: counts[p][::-1] for p in fit if not any(set(q) < set(p) for q in fit)}
+        rules = mine_rules(pages, labels, confidence=confidence, least_pages=least)
+        assert {tuple(r.tokens): (r.n_bad, r.n_pages) for r in rules.collect()} == want and ("path:win",) in want
+        for r in judge_urls(pages, rules, fixed=()).collect():
+            assert r.rule is None and r.verdict == ("block" if any(set(m) <= tokens[r.page_id] for m in want) else "allow")
+
+
+def test_short_items_and_excerpts_of_long_ones(spark):
+    r = np.random.default_rng(8)
+    words = ["".join(r.choice(list("abcdefghij"), 6)) for _ in range(200)]
+    long = " ".join(words)
+    items = [(1, "one two three four five"), (2, "Yes"), (3, long)]
+    excerpt, altered = " ".join(words[60:130]), " ".join(w if i % 25 else w[:-1] + "z" for i, w in enumerate(words[60:130]))
+    texts = {0: "so one TWO  three four five.", 1: "none two three four fives", 2: "yes", 3: "yes it is", 4: f"before {excerpt} after", 5: altered,
+             6: " ".join(words[60:75]), 7: " ".join(reversed(words)), 8: long}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    bench = spark.createDataFrame([*items, (4, ""), (5, None)], "item_id long, text string")
+    found = {(x.doc_id, x.item_id): x.distance for x in benchmark_matches(docs, bench).collect()}
+    assert set(found) == {(0, 1), (2, 2), (4, 3), (5, 3), (8, 3)} and found[4, 3] == found[8, 3] == 0 < found[5, 3]
+    assert {x.doc_id for x in D.decontaminate(docs, bench).collect()} == {1, 3, 6, 7}
+    assert len(D.windows("x" * 401)) == 5 and all(len(w) == 200 for w in D.windows("x" * 1001)[1:])
+
+
+def test_a_benchmark_beyond_the_bound_is_an_error(spark, docs, monkeypatch):
+    monkeypatch.setattr(D, "MOST_BYTES", 10)
+    with pytest.raises(ValueError, match="beyond the 10"):
+        benchmark_matches(docs, spark.createDataFrame([(1, "x" * 50)], "item_id long, text string"))
+
+
+def test_a_url_is_seen_however_long_the_word_is():
+    found = list(candidates("see http://h.test/" + "a." * 200 + "0123456789abcdef x 0123456789abcdef", []))
+    urls = [bool(f >> FEATURES.index("url") & 1) for _, _, f in found]
+    assert urls == [True, False]
+    r = np.random.default_rng(2)
+    for _ in range(300):
+        text = "".join(r.choice(["://", " ", "ab", "12345678", "x9", "."], 12))
+        for start, end, f in candidates(text, []):
+            want = "://" in text[:start].split(" ")[-1] or text[start:end].count("/") > 1
+            assert bool(f >> FEATURES.index("url") & 1) == want
+
+
+def test_the_penalty_weighs_alike_at_every_size():
+    found = np.array([f for _, _, f in candidates('token = "0123456789abcdef0123" or 1234567890 or key=abcdefgh12', [])])
+    _, chance = reliabilities(votes(found), np.ones(len(found)))
+    assert np.allclose(train(found, np.ones(len(found)), chance), train(found, np.full(len(found), 1e6), chance))
+
+
+def brute_spans(text):
+    """Base spans by trying every start, the longest match there."""
+    out = []
+    for kind, pattern in enumerate((r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", r"[0-9]([\x20-]?[0-9])+", r"\+[0-9][\x20().0-9-]+[0-9]")):
+        at = 0
+        while at < len(text):
+            m = re.compile(pattern).match(text, at)
+            if not m:
+                at += 1
+                continue
+            digits = [c for c in m[0] if c in "0123456789"]
+            doubled = [int(d) * (1 + k % 2) for k, d in enumerate(reversed(digits))]
+            good = (
+                True if kind == 0 else all(int(x) <= 255 for x in m[0].split(".")) if kind == 1
+                else 12 <= len(digits) <= 19 and sum(d - 9 * (d > 9) for d in doubled) % 10 == 0 if kind == 2 else 9 <= len(digits) <= 15
+            )
+            if good:
+                out.append((m.start(), kind, m.end()))
+            at = m.end()
+    return sorted(out)
+
+
+def test_base_spans_against_a_scan(texts):
+    r = np.random.default_rng(6)
+    parts = ["a@b.c", "x.y@z", "@", ".", "1.2.3.4", "256.1.1.1", "4111 1111 1111 1111", "0000-0000-0000", "+1 (2) 3456-7890", "+", " ", "-", "é", "12", "\n"]
+    for text in [t or "" for t in texts] + ["".join(r.choice(parts, 9)) for _ in range(300)]:
+        if len(text) < 3000:
+            assert base_spans(text) == brute_spans(text), text

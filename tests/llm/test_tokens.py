@@ -6,17 +6,18 @@ import pyarrow as pa
 import pytest
 
 from mastermill.llm.packing import nonnegative_least_squares, pack, plan_ranges, plan_sequences
+from mastermill.llm.queries import token_batches
 from mastermill.llm.token_counts import TokenTotals, count_tokens
 from mastermill.llm.token_files import ShardReader, pack_bits, read_token_files, unpack_bits, write_token_files
 from mastermill.llm.tokens import Encoder
 from tests.llm.conftest import SCHEMA
 
 
-def plain_ids(path, text):
+def plain_ids(path, text, plain=False):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True
+    t.encode_special_tokens = plain
     return t.encode(text or "", add_special_tokens=False).ids
 
 
@@ -24,8 +25,11 @@ def test_encoder_equals_the_library(path, texts):
     e = Encoder(path)
     more = ["don't 't 's", " a", "a ", "a\nb c\n", "x\ty z", "end. Next, one!! two%%% 3.5", "a\u200bb c", "a\x1c b"]
     every = [t or "" for t in texts] + more
+    every += ["a <|endoftext|> b", "a<|endoftext|>b c", "<|endoftext|>", "x <|endoftext|", "one two\n<|endoftext|>three"]
     for _ in range(2):
         assert [x.tolist() for x in e.encode(every)] == [plain_ids(path, t) for t in every]
+    assert [x.tolist() for x in Encoder(path, plain=True).encode(every)] == [plain_ids(path, t, True) for t in every]
+    assert len(plain_ids(path, "<|endoftext|>")) == 1 < len(plain_ids(path, "<|endoftext|>", True))
 
 
 def test_encoder_forgets_without_changing_results(path, texts, monkeypatch):
@@ -150,6 +154,59 @@ def test_unknown_operations_fail(spark, tmp_path):
     assert store.totals().count() == 0
 
 
+def test_a_batch_committed_while_others_are_folded_counts_once(spark, tmp_path, monkeypatch):
+    store = TokenTotals(spark, str(tmp_path / "totals"))
+    rows = spark.createDataFrame([("insert", "a", "en", "1", 10, None, 1)], CHANGES)
+    more = spark.createDataFrame([("insert", "a", "en", "1", 1, None, 1)], CHANGES)
+    store.commit("b1", rows)
+    other, listed = TokenTotals(spark, store.path), store._state
+
+    def meanwhile():
+        found = listed()
+        other.commit("b2", more)
+        return found
+
+    monkeypatch.setattr(store, "_state", meanwhile)
+    store.compact()
+    assert [tuple(r) for r in other.totals().collect()] == [("a", "en", "1", 2, 11)]
+    with pytest.raises(ValueError, match="kept for folded"):
+        other.commit("folded-5", rows)
+    other.compact()
+    assert [tuple(r) for r in other.totals().collect()] == [("a", "en", "1", 2, 11)]
+
+
+def test_the_batches_of_the_query_against_a_scan(spark, docs, texts, path, tmp_path):
+    counts, store = count_tokens(docs, path), TokenTotals(spark, str(tmp_path / "totals"))
+    assert [store.commit(name, changes) for name, changes in token_batches(counts)] == [True, False, True, True, True]
+    want, seen = {}, set()
+    for d, lang, source in sorted((r.doc_id, r.lang, r.source) for r in docs.collect()):
+        text = texts[d] or ""
+        if text in seen:
+            continue
+        seen.add(text)
+        n = len(plain_ids(path, text))
+        for version, tokens in (("bpe-1", n + 1), ("bpe-1-bare", n)):
+            docs_, total = want.get((source, lang, version), (0, 0))
+            want[source, lang, version] = (docs_ + 1, total + tokens)
+    assert {(r.source, r.lang, r.version): (r.n_docs, r.n_tokens) for r in store.totals().collect()} == want
+
+
+@pytest.mark.parametrize("window", [1001, 7, 257, 2047])
+def test_windows_that_the_bins_do_not_divide(spark, docs, texts, path, window):
+    packed = pack(docs, path, window=window, end_id=1)
+    rows = packed.pieces.join(packed.places, "piece").collect()
+    assert sum(r.length for r in rows) == sum(len(plain_ids(path, t)) + 1 for t in texts)
+    sequences = {}
+    for r in rows:
+        sequences.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for parts in sequences.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= window
+
+
 def test_counts_equal_the_library(docs, texts, path, empty):
     got = {r.doc_id: r.n_tokens for r in count_tokens(docs, path).collect()}
     assert got == {i: len(plain_ids(path, t)) for i, t in enumerate(texts)}
