@@ -10,9 +10,8 @@ A byte goes if a string of ``window`` bytes around it also starts in a document
    shard of their key, so all places of a window that repeats meet in one shard. The key is the fingerprint, for heavy ones
    the fingerprint with the next least hash of the window. Those keys are weighed in a pass of their own, which only runs if a fingerprint is heavy,
    and windows of a key that is still too heavy go by the hash of the whole window. All three are functions of the window alone.
-4. A shard's segments are joined and their suffixes sorted by external induced sorting (:mod:`induced_sorting`). Neighbouring suffixes
-   with a common prefix of a window's length are one string; the common prefixes are read from the bytes, not carried through the
-   induction. The smallest doc_id of each string goes back to the parts, which cut their documents.
+4. A shard's segments are joined and their suffixes sorted by external induced sorting (:mod:`induced_sorting`), which carries the common prefixes along.
+   Neighbouring suffixes with a common prefix of a window's length are one string. The smallest doc_id of each string goes back to the parts, which cut their documents.
 
 What a task needs of another step it reads from the shared folder by the number of its part, so texts are never shuffled. A passage in a
 third of all documents is one segment per part. Shards are made as many as keep each near ``SHARD_BYTES``, by the weights of the keys.
@@ -37,6 +36,7 @@ from .quality import BASE, as_bytes
 
 GRAM = 20
 SHARD_BYTES = 4 << 20
+BUCKET_BYTES = 64 << 20  # of texts; the fingerprints of a bucket are about half as large
 BUFFER = 1 << 19
 NONE = -(1 << 63)
 LOW = np.uint64(6)  # bits of a sent fingerprint that hold, from the least, whether several documents have it and the logarithm of its number
@@ -149,7 +149,8 @@ def dedup_substrings(docs: DataFrame, window: int = 50) -> DataFrame:
 
 def sharded(parts: DataFrame, copies: SideTable, window: int) -> tuple[_Wanted, DataFrame]:
     """Which fingerprints and keys of each part are to be looked up and split, and the segments by shard."""
-    buckets = int(parts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = parts.agg(F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0))).first()[0]
+    buckets = max(int(parts.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES))
     most = 2 * window - GRAM  # bytes of a segment
     blocks = parts.mapInArrow(_sending(copies, window, buckets), "bucket int, part int, fps binary")
     found = blocks.groupBy("bucket").applyInPandas(_repeated(SHARD_BYTES // most), "part int, fps binary, heavy binary, n long, n_heavy long")
@@ -434,9 +435,10 @@ def smallest_owners(segments: list[tuple[bytes, int]], docs: np.ndarray, window:
     number = np.repeat(np.arange(len(segments)), sizes + 1)
     size = window - GRAM + 1
     starts = np.arange(len(data)) + size <= (begins + sizes)[number]
-    order = suffix_array(data)
+    order, shared = suffix_array(data, cap=size)
+    string = np.cumsum(shared < size)[starts[order]]
     order = order[starts[order]]
-    same = common_prefix(data, order, size)
+    same = string[1:] == string[:-1]
     string = np.cumsum(np.concatenate([[True], ~same])) - 1
     least = np.minimum.reduceat(docs[number[order]], np.flatnonzero(np.concatenate([[True], ~same])))
     owner = np.zeros(len(data), np.int64)
@@ -448,14 +450,6 @@ def smallest_owners(segments: list[tuple[bytes, int]], docs: np.ndarray, window:
     return runs_of, np.diff(np.append(first, len(place))), owner[first]
 
 
-def common_prefix(data: np.ndarray, order: np.ndarray, window: int) -> np.ndarray:
-    """Whether each suffix in order, but the first, starts with the same ``window`` characters as the one before."""
-    view = np.lib.stride_tricks.sliding_window_view(data, window)
-    pairs = [slice(a, min(a + 10_000, len(order) - 1)) for a in range(0, len(order) - 1, 10_000)]
-    out = [(view[order[:-1][p]] == view[order[1:][p]]).all(axis=1) for p in pairs]
-    return np.concatenate(out) if out else np.zeros(0, bool)
-
-
 def _cutting(copies: SideTable, wanted: _Wanted, owners: SideTable, window: int):
     def cut(batches):
         known, answers = {}, {}

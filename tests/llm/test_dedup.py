@@ -81,15 +81,54 @@ def test_components_of_a_long_path(spark):
     assert got == dict.fromkeys([n for n in names[:201] if n != min(names[:201])], min(names[:201]))
 
 
-def test_suffix_array_against_sorting(monkeypatch):
+def shared_prefix(text, a, b, cap):
+    k = 0
+    while k < cap and max(a, b) + k < len(text) and text[a + k] == text[b + k]:
+        k += 1
+    return k
+
+
+def test_suffix_array_and_prefixes_against_sorting(monkeypatch):
     r = np.random.default_rng(5)
     for bucket in (1, 3, 64):
         monkeypatch.setattr(induced_sorting, "BUCKET", bucket)
         for n in (0, 1, 2, 7, 50, 200):
             for letters in (1, 2, 5, 300):
-                text = r.integers(0, letters, n)
-                want = sorted(range(n), key=lambda i: text[i:].tolist())
-                assert induced_sorting.suffix_array(text, memory=int(r.choice([3, 20, 10**6]))).tolist() == want
+                for cap in (2, 31, 255):
+                    text = r.integers(0, letters, n)
+                    want = sorted(range(n), key=lambda i: text[i:].tolist())
+                    order, shared = induced_sorting.suffix_array(text, memory=int(r.choice([3, 20, 10**6])), cap=cap)
+                    assert order.tolist() == want
+                    assert shared[1:].tolist() == [shared_prefix(text, a, b, cap) for a, b in zip(want, want[1:])]
+
+
+def test_a_shard_of_ten_times_the_queue_spills_and_gives_the_same(monkeypatch):
+    r = np.random.default_rng(6)
+    words = [r.integers(1, 9, int(r.integers(2, 40))) for _ in range(300)]
+    text = np.concatenate([words[i] for i in r.integers(0, 300, 3000)])
+    queues, real = [], induced_sorting.BucketQueue
+
+    def kept(*args):
+        queues.append(real(*args))
+        return queues[-1]
+
+    monkeypatch.setattr(induced_sorting, "BucketQueue", kept)
+    whole = induced_sorting.suffix_array(text, cap=31)
+    assert not any(q.spills for q in queues)
+    queues.clear()
+    small = induced_sorting.suffix_array(text, memory=len(text) // 10, cap=31)
+    assert sum(q.spills for q in queues) >= 4 and all((a == b).all() for a, b in zip(whole, small))
+
+
+def test_minima_of_ranges():
+    r = np.random.default_rng(7)
+    values = r.integers(0, 256, 300).astype(np.uint8)
+    made, grown = induced_sorting.Minima(values), induced_sorting.Minima()
+    for v in values.tolist():
+        grown.append(v)
+    a, b = r.integers(0, 300, 500), r.integers(0, 300, 500)
+    want = [int(values[x : y + 1].min()) if y >= x else 99 for x, y in zip(a, b)]
+    assert made.least(a, b, 99).tolist() == grown.least(a, b, 99).tolist() == want
 
 
 def brute_substrings(rows, window):

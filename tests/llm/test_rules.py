@@ -259,3 +259,62 @@ def test_base_spans_against_a_scan(texts):
     for text in [t or "" for t in texts] + ["".join(r.choice(parts, 9)) for _ in range(300)]:
         if len(text) < 3000:
             assert base_spans(text) == brute_spans(text), text
+
+
+def test_quality_scores_and_thresholds_against_counting(spark, texts):
+    """Both scores from plain counts of words and pairs, and the thresholds by trying every cut."""
+    docs, labels = quality_tables(spark)
+    docs = docs.unionByName(spark.createDataFrame([(300 + i, t, "en", "s", 0) for i, t in enumerate(texts)], SCHEMA))
+    docs = docs.unionByName(docs.limit(4))
+    model = fit_quality(docs, labels, prior=1.0, worst_prior=1.0)
+    rows = docs.select("doc_id", "text", Q.fold().alias("fold")).collect()
+    trusted = {}
+    for r in labels.collect():
+        if None not in (r.doc_id, r.quality, r.toxic):
+            trusted[r.doc_id] = trusted.get(r.doc_id, True) and r.quality == 1 and r.toxic == 0
+    pattern = re.compile(rb"[0-9A-Za-z_\x80-\xff]+|[^0-9A-Za-z_\x80-\xff\x00-\x20\x7f]+")
+
+    def grams(text):
+        words = pattern.findall((text or "").encode())
+        return [(w,) for w in words] + list(zip(words, words[1:]))
+
+    def tables(chosen, once):
+        out = [{}, {}]
+        for r in rows:
+            if chosen(trusted.get(r.doc_id)):
+                for g in set(grams(r.text)) if once else grams(r.text):
+                    out[r.fold][g] = out[r.fold].get(g, 0) + 1
+        return out
+
+    def weight(raw, good, k, g, prior=1.0):
+        a, b = raw[1 - k], good[1 - k]
+        total = {n: (sum(v for x, v in a.items() if len(x) == n), sum(v for x, v in b.items() if len(x) == n)) for n in (1, 2)}
+        if not a or not b:
+            return 0.0
+        n_raw, n_good = total[len(g)]
+        return np.log((b.get(g, 0) + prior) / (a.get(g, 0) * n_good / max(1, n_raw) + prior))
+
+    raw, good = tables(lambda t: True, False), tables(lambda t: t is True, False)
+    once = [tables(c, True) for c in (lambda t: True, lambda t: t is True, lambda t: t is False)]
+    got = {(r.doc_id, r.text): r.quality for r in rate_quality(docs, model).collect()}
+    scores = {}
+    for r in rows:
+        found = grams(r.text)
+        if len(found) > 800:
+            continue
+        score = sum(weight(raw, good, r.fold, g) for g in found) / max(1, len(found))
+        low = sorted(max(weight(once[0], once[1], r.fold, g), weight(once[2], once[1], r.fold, g)) for g in set(found))
+        worst = sum(x for x in low[:2] if x <= Q.FAINT) / 2
+        mine = got[r.doc_id, r.text]
+        assert abs(mine.score - score) < 1e-4 and abs(mine.worst - worst) < 1e-4, r.doc_id
+        scores[r.doc_id, r.text] = mine
+    for name, step, threshold in (("score", Q.SCORE_STEP, model.threshold), ("worst", Q.WORST_STEP, model.worst_threshold)):
+        bins = [(int(np.floor(got[r.doc_id, r.text][name] / step)), trusted[r.doc_id]) for r in rows if r.doc_id in trusted]
+        bad, clean = [b for b, t in bins if not t], [b for b, t in bins if t]
+        gain = lambda cut: sum(b < cut for b in bad) / len(bad) - 10 * sum(b < cut for b in clean) / len(clean)  # noqa: B023, E731
+        best = max((gain(c) for c in range(min(b for b, _ in bins), max(b for b, _ in bins) + 2)), default=0)
+        cut = -np.inf if threshold == -np.inf else round(threshold / step)
+        assert abs((0 if cut == -np.inf else gain(cut)) - max(0, best)) < 1e-9
+    for r in rows:
+        mine = got[r.doc_id, r.text]
+        assert mine.kept == (not mine.base_failed and mine.score >= model.threshold and mine.worst >= model.worst_threshold)
