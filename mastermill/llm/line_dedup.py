@@ -36,28 +36,46 @@ def line_hash(line: Column) -> Column:
     return F.conv(F.substring(F.md5(line), 1, 12), 16, 10).cast("long")
 
 
-def chunk_ends(lines: Column) -> Column:
-    """Positions (from 0) of the last line of each chunk."""
-    hashes = F.transform(lines, line_hash)
-    count = F.size(lines)
-    ends = F.transform(
-        F.arrays_zip(F.slice(hashes, 1, F.greatest(count - 1, F.lit(0))).alias("a"), F.slice(hashes, 2, F.greatest(count - 1, F.lit(0))).alias("b")),
-        lambda x, i: F.when((x["a"] * FACTOR + x["b"]) % DIVISOR == 0, i + 1),
-    )
-    # A long line ends its own chunk and the one before it.
-    alone = F.flatten(F.transform(lines, lambda x, i: F.when(F.octet_length(x) >= LEAST_BYTES, F.array(i - 1, i)).otherwise(F.array())))
-    inner = F.filter(F.concat(ends, alone), lambda e: e.isNotNull() & (e >= 0) & (e < count - 1))
-    return F.concat(F.array_sort(F.array_distinct(inner)), F.array(count - 1))
+def let(value: Column, use) -> Column:
+    """``use(value)`` with the value evaluated once, however often it is used and even within functions of array elements."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def chunk_ends(facts: Column, count: Column) -> Column:
+    """Positions (from 0) of the last line of each chunk, from the hash of each line and whether it is long."""
+
+    def end(x, i):
+        # A long line ends its own chunk and the one before it.
+        rolled = (i > 0) & ((F.get(facts, i - 1)["h"] * FACTOR + x["h"]) % DIVISOR == 0)
+        return F.when((i == count - 1) | x["long"] | F.get(facts, i + 1)["long"] | rolled, i)
+
+    return F.filter(F.transform(facts, end), lambda e: e.isNotNull())
+
+
+def chunks_of(lines: Column) -> Column:
+    """``chunk``, ``start`` (line, from 0), ``n_lines``, ``size`` (bytes) and ``digest`` of each chunk."""
+    facts = F.transform(lines, lambda x: F.struct(line_hash(x).alias("h"), (F.octet_length(x) >= LEAST_BYTES).alias("long")))
+
+    def chunk(ends, e, i):
+        start = F.when(i == 0, F.lit(0)).otherwise(F.get(ends, i - 1) + 1)
+        place = (i.alias("chunk"), start.alias("start"), (e - start + 1).alias("n_lines"))
+        return let(body(lines, start, e - start + 1), lambda x: F.struct(*place, F.octet_length(x).alias("size"), F.md5(x).alias("digest")))
+
+    return let(facts, lambda f: let(chunk_ends(f, F.size(lines)), lambda ends: F.transform(ends, lambda e, i: chunk(ends, e, i))))
+
+
+def body(lines: Column, start: Column, n_lines: Column) -> Column:
+    return F.array_join(F.slice(lines, start + 1, n_lines), "\n")
 
 
 def chunked(docs: DataFrame) -> DataFrame:
-    """One row per document and chunk: ``key``, ``doc_id``, ``chunk``, ``n_lines``, ``body``."""
-    lines = F.split(F.coalesce("text", F.lit("")), "\n", -1)
-    rows = docs.select("doc_id", row_key().alias("key"), lines.alias("lines")).withColumn("ends", chunk_ends(F.col("lines")))
-    each = rows.select("doc_id", "key", "lines", "ends", F.posexplode("ends").alias("chunk", "end"))
-    start = F.when(F.col("chunk") == 0, F.lit(0)).otherwise(F.col("ends")[F.col("chunk") - 1] + 1)
-    parts = each.withColumn("start", start).withColumn("n_lines", F.col("end") - F.col("start") + 1)
-    return parts.select("key", "doc_id", "chunk", "n_lines", F.array_join(F.slice("lines", F.col("start") + 1, F.col("n_lines")), "\n").alias("body"))
+    """One row per document and chunk: ``key``, ``doc_id`` and the columns of :func:`chunks_of`; no text is repeated."""
+    rows = docs.select("doc_id", row_key().alias("key"), F.explode(let(text_lines(), chunks_of)).alias("c"))
+    return rows.select("key", "doc_id", "c.*")
+
+
+def text_lines() -> Column:
+    return F.split(F.coalesce("text", F.lit("")), "\n", -1)
 
 
 def row_key() -> Column:
@@ -65,48 +83,53 @@ def row_key() -> Column:
 
 
 def repeated_chunks(docs: DataFrame) -> DataFrame:
-    """``key`` and ``chunk`` of each chunk to remove."""
-    several = chunked(docs).filter((F.col("n_lines") >= LEAST_LINES) | (F.octet_length("body") >= LEAST_BYTES))
+    """``key``, ``chunk``, ``start`` and ``n_lines`` of each chunk to remove."""
+    several = chunked(docs).filter((F.col("n_lines") >= LEAST_LINES) | (F.col("size") >= LEAST_BYTES))
     slot = F.pmod(F.xxhash64("key", "chunk"), F.lit(SLOTS)).cast("int").alias("slot")
-    refs = several.select(F.md5("body").alias("digest"), slot, F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "key", "chunk").alias("at"), "body")
+    at = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "key", "chunk").alias("at")
+    refs = stored(several.select("digest", slot, at, "start", "n_lines"), "chunks")
     # Digests alone, counted in the map tasks first; a chunk in a third of all texts is one row per task and slot.
-    dealt = stored(refs.groupBy("digest", "slot").agg(F.min("at").alias("first"), F.max("at").alias("greatest")), "digests")
-    found = dealt.groupBy("digest").agg(F.min("first").alias("first"), F.max("greatest").alias("greatest")).filter("first != greatest")
-    pairs = dealt.select("digest", "slot").join(found.select("digest", "first"), "digest")
-    again = stored(refs.join(pairs, ["digest", "slot"]).select("digest", "slot", "first", "at", "body"), "chunks")
-    firsts = again.filter("at = first").select("digest", F.col("body").alias("first_body")).dropDuplicates(["digest"])
-    later = again.filter("at != first")
-    firsts = firsts.join(later.select("digest", "slot").distinct(), "digest")
-    later = later.join(firsts, ["digest", "slot"]).filter("body = first_body")
-    return later.select(F.col("at.key").alias("key"), F.col("at.chunk").alias("chunk"))
+    dealt = refs.groupBy("digest", "slot").agg(F.min("at").alias("first"), F.max("at").alias("greatest"))
+    found = dealt.groupBy("digest").agg(F.min("first").alias("first"), F.max("greatest").alias("greatest"), F.collect_set("slot").alias("slots"))
+    found = found.filter("first != greatest").select("digest", "first", "slots")
+    pairs = found.select("digest", "first", F.explode("slots").alias("slot"))
+    again = refs.join(pairs, ["digest", "slot"]).withColumn("is_first", F.col("at") == F.col("first"))
+    # The texts of these chunks alone, gathered by document, are compared byte by byte.
+    wanted = F.struct("digest", "slot", "is_first", F.col("at.chunk").alias("chunk"), "start", "n_lines")
+    needed = stored(again.groupBy(F.col("at.key").alias("key")).agg(F.collect_set(wanted).alias("needed")), "repeated-chunks")
+    texts = docs.select(row_key().alias("key"), "text").join(needed, "key").dropDuplicates(["key"])
+
+    def bodies(lines):
+        kept = ("digest", "slot", "is_first", "chunk", "start", "n_lines")
+        return F.transform("needed", lambda c: F.struct(*[c[k].alias(k) for k in kept], body(lines, c["start"], c["n_lines"]).alias("body")))
+
+    each = texts.select("key", F.explode(let(text_lines(), bodies)).alias("c")).select("key", "c.*")
+    firsts = each.filter("is_first").select("digest", F.col("body").alias("first_body"))
+    firsts = firsts.join(found.select("digest", F.explode("slots").alias("slot")), "digest")
+    later = each.filter("not is_first").join(firsts, ["digest", "slot"]).filter("body = first_body")
+    return later.select("key", "chunk", "start", "n_lines")
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
     """``docs`` with the repeated chunks cut out of ``text``, and the counts ``n_lines`` and ``n_kept_lines``."""
     own = ("n_lines", "n_kept_lines", "_key", "_gone")
     docs = docs.select(*[F.col(quoted(c)) for c in docs.columns if c.lower() not in own])
-    gone = repeated_chunks(docs.select("doc_id", "text")).groupBy("key").agg(F.collect_set("chunk").alias("_gone"))
-    gone = gone.select(F.col("key").alias("_key"), "_gone")
-    joined = docs.withColumn("_key", row_key()).join(gone, "_key", "left")
-    return cut(joined, docs.columns)
+    gone = repeated_chunks(docs.select("doc_id", "text")).groupBy(F.col("key").alias("_key"))
+    gone = gone.agg(F.collect_set(F.struct("start", "n_lines")).alias("_runs"))
+    return cut_runs(docs, gone)
 
 
-def cut(joined: DataFrame, columns: list[str]) -> DataFrame:
-    lines = F.split(F.coalesce("text", F.lit("")), "\n", -1)
-    ends = chunk_ends(F.col("_lines"))
+def cut_runs(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """``docs`` without the lines in the runs (``start``, ``n_lines``) that ``gone`` has in ``_runs`` for their ``_key``."""
+    places = F.flatten(F.transform("_runs", lambda r: F.sequence(r["start"], r["start"] + r["n_lines"] - 1)))
+    joined = docs.withColumn("_key", row_key()).join(gone.select("_key", F.array_distinct(places).alias("_gone")), "_key", "left")
+    out = joined.withColumn("_lines", F.split(F.coalesce("text", F.lit("")), "\n", -1))
+    left = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_gone"))
+    out = out.withColumn("_left", F.when(F.col("_gone").isNotNull(), F.transform(left, lambda i: F.col("_lines")[i])))
     text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join("_left", "\n"))
-    # The number of a line's chunk is the number of ends before it.
-    bounds = F.transform("_ends", lambda e, i: F.struct(F.when(i == 0, F.lit(0)).otherwise(F.col("_ends")[i - 1] + 1).alias("start"), e.alias("end"), i.alias("chunk")))
-    left = F.flatten(
-        F.transform(
-            F.filter(bounds, lambda b: ~F.array_contains("_gone", b["chunk"])),
-            lambda b: F.slice("_lines", b["start"] + 1, b["end"] - b["start"] + 1),
-        )
-    )
-    out = joined.withColumn("_lines", lines).withColumn("_ends", F.when(F.col("_gone").isNotNull(), ends))
-    out = out.withColumn("_left", F.when(F.col("_gone").isNull(), F.col("_lines")).otherwise(left))
-    kept = [text.alias(c) if c.lower() == "text" else F.col(quoted(c)) for c in columns]
-    return out.select(*kept, F.size("_lines").cast("long").alias("n_lines"), F.size("_left").cast("long").alias("n_kept_lines"))
+    kept = [text.alias(c) if c.lower() == "text" else F.col(quoted(c)) for c in docs.columns]
+    n_kept = F.when(F.col("_gone").isNull(), F.size("_lines")).otherwise(F.size("_left"))
+    return out.select(*kept, F.size("_lines").cast("long").alias("n_lines"), n_kept.cast("long").alias("n_kept_lines"))
 
 
 def line_runs(docs: DataFrame) -> DataFrame:
@@ -156,13 +179,5 @@ def dedup_line_runs(docs: DataFrame) -> DataFrame:
     own = ("n_lines", "n_kept_lines", "_key", "_gone")
     docs = docs.select(*[F.col(quoted(c)) for c in docs.columns if c.lower() not in own])
     gone = repeated_runs(docs.select("doc_id", "text")).groupBy(F.col("key").alias("_key"))
-    gone = gone.agg(F.collect_set(F.struct("first", "n_lines")).alias("_runs"))
-    places = F.flatten(F.transform("_runs", lambda r: F.sequence(r["first"], r["first"] + r["n_lines"] - 1)))
-    joined = docs.withColumn("_key", row_key()).join(gone.select("_key", F.array_distinct(places).alias("_gone")), "_key", "left")
-    out = joined.withColumn("_lines", F.split(F.coalesce("text", F.lit("")), "\n", -1))
-    left = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_gone"))
-    out = out.withColumn("_left", F.when(F.col("_gone").isNotNull(), F.transform(left, lambda i: F.col("_lines")[i])))
-    text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join("_left", "\n"))
-    kept = [text.alias(c) if c.lower() == "text" else F.col(quoted(c)) for c in docs.columns]
-    n_kept = F.when(F.col("_gone").isNull(), F.size("_lines")).otherwise(F.size("_left"))
-    return out.select(*kept, F.size("_lines").cast("long").alias("n_lines"), n_kept.cast("long").alias("n_kept_lines"))
+    gone = gone.agg(F.collect_set(F.struct(F.col("first").alias("start"), "n_lines")).alias("_runs"))
+    return cut_runs(docs, gone)
