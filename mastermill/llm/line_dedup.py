@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from .common import quoted, stored
 
 DIVISOR = 2
-SLOTS = 64
+SLOTS = 64  # bits of a long
 FACTOR = 31
 LEAST_LINES = 2
 LEAST_BYTES = 50
@@ -59,7 +59,7 @@ def chunks_of(lines: Column) -> Column:
     def chunk(ends, e, i):
         start = F.when(i == 0, F.lit(0)).otherwise(F.get(ends, i - 1) + 1)
         place = (i.alias("chunk"), start.alias("start"), (e - start + 1).alias("n_lines"))
-        return let(body(lines, start, e - start + 1), lambda x: F.struct(*place, F.octet_length(x).alias("size"), F.md5(x).alias("digest")))
+        return let(body(lines, start, e - start + 1), lambda x: F.struct(*place, F.octet_length(x).alias("size"), F.unhex(F.md5(x)).alias("digest")))
 
     return let(facts, lambda f: let(chunk_ends(f, F.size(lines)), lambda ends: F.transform(ends, lambda e, i: chunk(ends, e, i))))
 
@@ -79,7 +79,7 @@ def text_lines() -> Column:
 
 
 def row_key() -> Column:
-    return F.md5(F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.md5(F.coalesce("text", F.lit("")))))
+    return F.unhex(F.md5(F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.md5(F.coalesce("text", F.lit(""))))))
 
 
 def repeated_chunks(docs: DataFrame) -> DataFrame:
@@ -88,11 +88,11 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
     slot = F.pmod(F.xxhash64("key", "chunk"), F.lit(SLOTS)).cast("int").alias("slot")
     at = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "key", "chunk").alias("at")
     refs = stored(several.select("digest", slot, at, "start", "n_lines"), "chunks")
-    # Digests alone, counted in the map tasks first; a chunk in a third of all texts is one row per task and slot.
-    dealt = refs.groupBy("digest", "slot").agg(F.min("at").alias("first"), F.max("at").alias("greatest"))
-    found = dealt.groupBy("digest").agg(F.min("first").alias("first"), F.max("greatest").alias("greatest"), F.collect_set("slot").alias("slots"))
-    found = found.filter("first != greatest").select("digest", "first", "slots")
-    pairs = found.select("digest", "first", F.explode("slots").alias("slot"))
+    # Digests alone, counted in the map tasks first; a chunk in a third of all texts is one row per task.
+    slots = F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), "slot")).alias("slots")
+    found = refs.groupBy("digest").agg(F.min("at").alias("first"), F.max("at").alias("greatest"), slots).filter("first != greatest")
+    used = F.filter(F.sequence(F.lit(0), F.lit(SLOTS - 1)), lambda k: F.call_function("shiftright", "slots", k).bitwiseAND(F.lit(1)) == 1)
+    pairs = stored(found.select("digest", "first", F.explode(used).alias("slot")), "repeated-digests")
     again = refs.join(pairs, ["digest", "slot"]).withColumn("is_first", F.col("at") == F.col("first"))
     # The texts of these chunks alone, gathered by document, are compared byte by byte.
     wanted = F.struct("digest", "slot", "is_first", F.col("at.chunk").alias("chunk"), "start", "n_lines")
@@ -105,7 +105,7 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
 
     each = texts.select("key", F.explode(let(text_lines(), bodies)).alias("c")).select("key", "c.*")
     firsts = each.filter("is_first").select("digest", F.col("body").alias("first_body"))
-    firsts = firsts.join(found.select("digest", F.explode("slots").alias("slot")), "digest")
+    firsts = firsts.join(pairs.select("digest", "slot"), "digest")
     later = each.filter("not is_first").join(firsts, ["digest", "slot"]).filter("body = first_body")
     return later.select("key", "chunk", "start", "n_lines")
 
