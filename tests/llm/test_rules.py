@@ -274,9 +274,16 @@ def test_quality_scores_and_thresholds_against_counting(spark, texts):
             trusted[r.doc_id] = trusted.get(r.doc_id, True) and r.quality == 1 and r.toxic == 0
     pattern = re.compile(rb"[0-9A-Za-z_\x80-\xff]+|[^0-9A-Za-z_\x80-\xff\x00-\x20\x7f]+")
 
+    hasher, known = NGrams(), {}
+
+    def bucket(gram):  # grams that fall into one bucket are counted as one
+        if gram not in known:
+            known[gram] = int(np.concatenate([b for b, _ in hasher.buckets([b" ".join(gram)])])[-1])
+        return known[gram]
+
     def grams(text):
         words = pattern.findall((text or "").encode())
-        return [(w,) for w in words] + list(zip(words, words[1:]))
+        return [bucket((w,)) for w in words] + [bucket(pair) for pair in zip(words, words[1:])]
 
     def tables(chosen, once):
         out = [{}, {}]
@@ -288,10 +295,10 @@ def test_quality_scores_and_thresholds_against_counting(spark, texts):
 
     def weight(raw, good, k, g, prior=1.0):
         a, b = raw[1 - k], good[1 - k]
-        total = {n: (sum(v for x, v in a.items() if len(x) == n), sum(v for x, v in b.items() if len(x) == n)) for n in (1, 2)}
+        pairs = g >> Q.BITS
+        n_raw, n_good = (sum(v for x, v in side.items() if x >> Q.BITS == pairs) for side in (a, b))
         if not a or not b:
             return 0.0
-        n_raw, n_good = total[len(g)]
         return np.log((b.get(g, 0) + prior) / (a.get(g, 0) * n_good / max(1, n_raw) + prior))
 
     raw, good = tables(lambda t: True, False), tables(lambda t: t is True, False)
