@@ -21,11 +21,19 @@ from collections.abc import Iterator
 import numpy as np
 
 MEMORY = 1 << 20  # tuples of a queue
-BUCKET = 1 << 12
+BUCKET = 1 << 11
 GROUP = 32
 LEVELS = np.frexp(np.arange((1 << 16) + 1, dtype=float))[1].astype(np.int64) - 1  # the greatest power of two within a number; not used for 0
 
 
+def stable_order(values: np.ndarray) -> np.ndarray:
+    """The order of whole numbers, equal ones as they come; numpy sorts by digits what fits 16 bits."""
+    least = values.min(initial=0)
+    if int(values.max(initial=0)) - int(least) < 1 << 16:
+        values = (values - least).astype(np.uint16)
+    return np.argsort(values, kind="stable")
+
+
 class BucketQueue:
     """Tuples (key, position, common prefix) by key, those with equal keys in the order of their arrival; keys handed out never decrease."""
 
@@ -47,8 +55,9 @@ class BucketQueue:
     def push(self, keys: np.ndarray, positions: np.ndarray, prefixes: np.ndarray) -> None:
         bucket = self.bucket[keys]
         place = np.where(bucket // GROUP == self.turn, bucket, -1 - bucket // GROUP)
-        order = np.argsort(place, kind="stable")
-        place, tuples = place[order], np.stack([keys[order], positions[order], prefixes[order]])
+        order = stable_order(place)
+        place, tuples = place[order], np.empty((3, len(order)), self.dtype)
+        tuples[0], tuples[1], tuples[2] = keys[order], positions[order], prefixes[order]
         cuts = [0, *(np.flatnonzero(place[1:] != place[:-1]) + 1).tolist(), len(place)]
         for a, b in zip(cuts, cuts[1:]):
             at = int(place[a])
@@ -160,7 +169,7 @@ def induced(key: np.ndarray, seeds: np.ndarray, seed_keys: np.ndarray, shared: n
                 more = queue.take(b)
                 held = np.concatenate([held, more], axis=1) if held.shape[1] else more
                 if not queue.single[b]:
-                    held = held[:, np.argsort(held[0], kind="stable")]
+                    held = held[:, stable_order(held[0])]
             keys, positions, prefixes = held
             before = positions - 1
             pushes = (positions > 0) & wanted[before]
@@ -190,12 +199,15 @@ def _carried(keys: np.ndarray, at: np.ndarray, height: np.ndarray, batches: Mini
 
     ``batch_of`` a key is the batch that pushed it last, and ``tail`` the least height after that push within that batch.
     """
-    order = np.argsort(keys, kind="stable")
+    order = stable_order(keys)
     key, place = keys[order], at[order]
-    change = key[1:] != key[:-1]
-    first, last = np.r_[True, change], np.r_[change, True]
+    first, last = np.ones(len(key), bool), np.ones(len(key), bool)
+    first[1:] = last[:-1] = key[1:] != key[:-1]
     minima = Minima(height)
-    least = minima.least(np.where(first, 0, np.r_[0, place[:-1]] + 1), place, cap)
+    begin = np.zeros(len(key), np.int64)
+    begin[1:] = place[:-1] + 1
+    begin[first] = 0
+    least = minima.least(begin, place, cap)
     heads = np.flatnonzero(first)
     names = key[heads]
     since = np.minimum(tail[names], batches.least(batch_of[names] + 1, np.full(len(names), batches.size - 1), cap))

@@ -10,7 +10,7 @@ A byte goes if a string of ``window`` bytes around it also starts in a document
    shard of their key, so all places of a window that repeats meet in one shard. The key is the fingerprint, for heavy ones
    the fingerprint with the next least hash of the window. Those keys are weighed in a pass of their own, which only runs if a fingerprint is heavy,
    and windows of a key that is still too heavy go by the hash of the whole window. All three are functions of the window alone.
-4. A shard's segments are joined and their suffixes sorted by external induced sorting (:mod:`induced_sorting`), which carries the common prefixes along.
+4. A shard's segments, but for those whose ``GRAM`` bytes no other segment has, are joined and their suffixes sorted by external induced sorting (:mod:`induced_sorting`), which carries the common prefixes along.
    Neighbouring suffixes with a common prefix of a window's length are one string. The smallest doc_id of each string goes back to the parts, which cut their documents.
 
 What a task needs of another step it reads from the shared folder by the number of its part, so texts are never shuffled. A passage in a
@@ -418,10 +418,26 @@ def smallest_owners(segments: list[tuple[bytes, int]], docs: np.ndarray, window:
     """The smallest doc of each window's string over all segments, by runs of windows: where each segment's runs begin, the runs'
     lengths, and their docs.
 
-    All windows of a segment hold its gram, so it is one character of the text that is sorted; equal grams are equal characters.
+    All windows of a segment hold its gram, so it is one character of the text that is sorted; equal grams are equal characters. A segment that
+    has its gram to itself shares no window with another and is left out of that text.
     """
     known: dict[bytes, int] = {}
-    symbols = np.fromiter((known.setdefault(body[g : g + GRAM], len(known)) for body, g in segments), np.int32, len(segments))
+    symbols = np.fromiter((known.setdefault(body[g : g + GRAM], len(known)) for body, g in segments), np.int64, len(segments))
+    alone = np.bincount(symbols, minlength=1)[symbols] == 1
+    met = np.flatnonzero(~alone)
+    count = np.ones(len(segments), np.int64)
+    begins, its_lengths, its_owners = sorted_owners([segments[i] for i in met.tolist()], symbols[met], docs[met], window) if len(met) else ([0], [], [])
+    count[met] = np.diff(begins)
+    inside = np.repeat(~alone, count)
+    lengths, owner = np.empty(len(inside), np.int64), np.empty(len(inside), np.int64)
+    lengths[inside], owner[inside] = its_lengths, its_owners
+    lengths[~inside] = np.fromiter((len(body) - window + 1 for body, _ in segments), np.int64, len(segments))[alone]
+    owner[~inside] = docs[alone]
+    return np.append(0, np.cumsum(count)), lengths, owner
+
+
+def sorted_owners(segments: list[tuple[bytes, int]], symbols: np.ndarray, docs: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The same by suffix sorting; ``symbols`` are the numbers of the segments' grams."""
     sizes = np.fromiter((len(body) - GRAM + 1 for body, _ in segments), np.int64, len(segments))
     # A character 0 between segments, bytes from 1 and grams from 257: no string crosses into the next segment.
     data = np.zeros(int((sizes + 1).sum()), np.int32)
