@@ -111,7 +111,7 @@ class Minima:
     """The least of any range of numbers, by the least of all ranges whose length is a power of two; numbers can be added."""
 
     def __init__(self, values: np.ndarray | None = None):
-        self.levels, self.size = [np.zeros(64, np.uint8)], 0
+        self.levels, self.size, self.flat = [np.zeros(64, np.uint8)], 0, None
         if values is not None:
             self.levels, self.size, step = [values], len(values), 1
             while 2 * step <= len(values):
@@ -121,7 +121,7 @@ class Minima:
 
     def append(self, value: int) -> None:
         at, step, level = self.size, 1, 0
-        self.size += 1
+        self.size, self.flat = self.size + 1, None
         while True:
             if level == len(self.levels):
                 self.levels.append(np.zeros(64, np.uint8))
@@ -140,8 +140,9 @@ class Minima:
         level = LEVELS[np.minimum(size, 1 << 16)] if len(self.levels) < 17 else np.frexp(size.astype(float))[1] - 1
         empty = size <= 0
         level[empty] = 0
-        begins = np.cumsum([0, *[len(row) for row in self.levels[:-1]]])
-        rows, base = np.concatenate(self.levels), begins[level]
+        if self.flat is None:
+            self.flat = np.concatenate(self.levels), np.cumsum([0, *[len(row) for row in self.levels[:-1]]])
+        rows, base = self.flat[0], self.flat[1][level]
         first, last = np.where(empty, 0, first), np.where(empty, 0, last)
         out = np.minimum(rows[base + first], rows[base + last + 1 - (1 << level)])
         out[empty] = nothing
@@ -233,7 +234,7 @@ def substring_names(tagged: np.ndarray, starts: np.ndarray) -> np.ndarray:
         for k in range(done, done + width):
             at = np.minimum(starts[open_] + k, len(tagged) - 1)
             word = (word << bits) | np.where(k < sizes[open_], tagged[at], 0)
-        order = np.lexsort((word, group[open_]))
+        order = np.lexsort((word, group[open_])) if done else np.argsort(word)
         open_, word = open_[order], word[order]
         old = group[open_]
         first = np.concatenate([[True], old[1:] != old[:-1]])
@@ -241,9 +242,11 @@ def substring_names(tagged: np.ndarray, starts: np.ndarray) -> np.ndarray:
         place = np.arange(len(open_))
         group[open_] = old + np.maximum.accumulate(np.where(new, place, 0)) - np.maximum.accumulate(np.where(first, place, 0))
         done += width
-        number, counts = np.unique(group[open_], return_inverse=True, return_counts=True)[1:]
-        open_ = open_[(counts[number] > 1) & (sizes[open_] > done)]
-    return np.unique(group, return_inverse=True)[1]
+        last = np.append(new[1:], True)
+        open_ = open_[~(new & last) & (sizes[open_] > done)]
+    used = np.zeros(len(starts), np.int64)
+    used[group] = 1
+    return (np.cumsum(used) - 1)[group]
 
 
 def suffix_array(text: np.ndarray, memory: int = MEMORY, cap: int = 255) -> tuple[np.ndarray, np.ndarray]:

@@ -37,7 +37,7 @@ from .quality import BASE, as_bytes
 GRAM = 20
 SHARD_BYTES = 4 << 20
 BUCKET_BYTES = 64 << 20  # of texts; the fingerprints of a bucket are about half as large
-BUFFER = 1 << 19
+BUFFER = 1 << 16  # bytes hashed at once, whose arrays stay near the processor
 NONE = -(1 << 63)
 LOW = np.uint64(6)  # bits of a sent fingerprint that hold, from the least, whether several documents have it and the logarithm of its number
 SPANS = "array<struct<start:bigint,end:bigint>>"
@@ -47,8 +47,13 @@ def gram_hashes(data: np.ndarray) -> np.ndarray:
     """The hash of each string of ``GRAM`` bytes of ``data``, which is not shorter than that."""
     n = len(data)
     up, down = powers(n)
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:n])])
-    return mixed((sums[GRAM:] - sums[:-GRAM]) * down[: n - GRAM + 1])
+    terms, sums = data.astype(np.uint64), np.zeros(n + 1, np.uint64)
+    terms += np.uint64(1)
+    terms *= up[:n]
+    np.cumsum(terms, out=sums[1:])
+    hashes = sums[GRAM:] - sums[:-GRAM]
+    hashes *= down[: n - GRAM + 1]
+    return mixed(hashes)
 
 
 def least_of(hashes: np.ndarray, span: int) -> np.ndarray:
@@ -110,18 +115,13 @@ def _runs(part: list[bytes], owner: list[int], shift: list[int], window: int) ->
     return fps[first], np.array(owner)[piece], place, count, first, hashes, data
 
 
-def anchored(fps: np.ndarray, count: np.ndarray, start: np.ndarray, hashes: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+def anchored(fps: np.ndarray, count: np.ndarray, start: np.ndarray, hashes: np.ndarray, span: int) -> Iterator[tuple[np.ndarray, ...]]:
     """The runs cut so that all windows of one have the same first place of the string their fingerprint is of: number of the run, windows
     before the part, windows in it, and the offset of that place from the part's start. Nearly all runs are whole parts."""
     number, skipped = np.arange(len(fps)), np.zeros(len(fps), np.int64)
     while len(number):
-        offset, at = np.full(len(number), -1), start[number] + skipped
-        open_ = np.arange(len(number))
-        k = 0
-        while len(open_):
-            hit = hashes[at[open_] + k] == fps[number[open_]]
-            offset[open_[hit]] = k
-            open_, k = open_[~hit], k + 1
+        of_window = np.lib.stride_tricks.sliding_window_view(hashes, span)[start[number] + skipped]
+        offset = (of_window == fps[number][:, None]).argmax(axis=1)
         inside = np.minimum(count[number] - skipped, offset + 1)
         yield number, skipped, inside, offset
         more = skipped + inside < count[number]
@@ -307,13 +307,13 @@ def member(values: np.ndarray, among: np.ndarray) -> np.ndarray:
 
 def _candidate_segments(texts: list[bytes], copied: list[bool], wanted: _Part, window: int, heavy_only: bool = False):
     """(text number, start in the text, number of windows, bytes, offset of the fingerprint's string, key) of each segment."""
-    among = wanted.heavy_fps if heavy_only else wanted.fps
+    among, heavy = wanted.heavy_fps if heavy_only else wanted.fps, wanted.heavy
     for fps, owner, place, count, start, hashes, data in runs([b"" if c else t for t, c in zip(texts, copied)], window):
         hit = np.flatnonzero(member(fps >> LOW, among))
-        for number, skipped, inside, offset in anchored(fps[hit], count[hit], start[hit], hashes):
+        for number, skipped, inside, offset in anchored(fps[hit], count[hit], start[hit], hashes, window - GRAM + 1):
             rows = (owner[hit][number], place[hit][number] + skipped, inside, start[hit][number] + skipped, offset, fps[hit][number] >> LOW)
             for text, at, n, a, gram, fp in zip(*(x.tolist() for x in rows)):
-                if fp not in wanted.heavy:
+                if not heavy or fp not in heavy:
                     yield text, at, n, data[a : a + n + window - 1], gram, fp
                     continue
                 for skip, m, key in split_windows(hashes[a : a + n + window - GRAM], n, gram, fp, window):
