@@ -257,8 +257,8 @@ def suffix_array(text: np.ndarray, memory: int = MEMORY, cap: int = 255) -> tupl
         return np.arange(n), np.zeros(n, np.int64)
     kind = np.int32 if 4 * max(n, int(text.max()) + 2) < 1 << 31 else np.int64
     chars = np.append(text.astype(kind) + 1, 0).astype(kind)  # a least character ends the text
-    differs = np.flatnonzero(chars[1:] != chars[:-1])
-    next_change = differs[np.searchsorted(differs, np.arange(n))]
+    differs = chars[1:] != chars[:-1]
+    next_change = np.flatnonzero(differs)[np.cumsum(differs) - differs]
     run = np.append(np.minimum(next_change - np.arange(n) + 1, cap), 1).astype(np.uint8)
     small = np.append(chars[next_change] < chars[next_change + 1], True)
     stars = (np.flatnonzero(small[1:] & ~small[:-1]) + 1).astype(kind)

@@ -390,21 +390,21 @@ def _shard(window: int):
     def answer(pdf):
         import pandas as pd
 
-        least: dict[tuple[bytes, int], int] = {}
-        parts = []
-        for part, body, sizes, grams, docs in zip(pdf.part, pdf.body, pdf.sizes, pdf.grams, pdf.docs):
+        number: dict[tuple[bytes, int], int] = {}
+        parts, docs = [], []
+        for part, body, sizes, grams, sent in zip(pdf.part, pdf.body, pdf.sizes, pdf.grams, pdf.docs):
             ends = np.cumsum(np.frombuffer(sizes, "<i4").astype(np.int64)).tolist()
-            bodies = [(body[a:b], g) for a, b, g in zip([0, *ends], ends, np.frombuffer(grams, "<i4").tolist())]
-            for x, doc in zip(bodies, np.frombuffer(docs, "<i8").tolist()):
-                least[x] = min(doc, least.get(x, doc))
-            parts.append((part, bodies))
-        number = dict(zip(least, range(len(least))))
-        runs_of, lengths, owner = smallest_owners(list(least), np.fromiter(least.values(), np.int64, len(least)), window)
-        keys = [segment_key(*x) for x in least]
+            bodies = ((body[a:b], g) for a, b, g in zip([0, *ends], ends, np.frombuffer(grams, "<i4").tolist()))
+            parts.append((part, np.fromiter((number.setdefault(x, len(number)) for x in bodies), np.int64, len(ends))))
+            docs.append(np.frombuffer(sent, "<i8"))
+        least = np.full(len(number), np.iinfo(np.int64).max)
+        np.minimum.at(least, np.concatenate([mine for _, mine in parts]), np.concatenate(docs))
+        segments = list(number)
+        runs_of, lengths, owner = smallest_owners(segments, least, window)
+        keys = [segment_key(*x) for x in segments]
         out = []
-        for part, bodies in parts:
+        for part, mine in parts:
             # Runs of windows with one owner; a part needs no more than that.
-            mine = np.fromiter(map(number.__getitem__, bodies), np.int64, len(bodies))
             count = runs_of[mine + 1] - runs_of[mine]
             at = np.repeat(runs_of[mine] - np.cumsum(count) + count, count) + np.arange(count.sum())
             row = (part, b"".join([keys[i] for i in mine.tolist()]), count.astype("<i4"), lengths[at].astype("<i4"), owner[at].astype("<i8"))
@@ -472,12 +472,11 @@ def _cutting(copies: SideTable, wanted: _Wanted, owners: SideTable, window: int)
         for batch in batches:
             for part, docs, texts, copied in _rows(batch, copies, known):
                 if part not in answers:
-                    answers[part] = _answers(owners.rows(part))
+                    answers[part] = _Answers(owners.rows(part))
                 gone: list[list] = [[] for _ in texts]
                 for number, place, _, body, gram, _ in _candidate_segments(texts, copied, wanted.of(part), window):
-                    lengths, values = answers[part][segment_key(body, gram)]
                     at = place
-                    for length, owner in zip(lengths, values):
+                    for length, owner in answers[part].of(segment_key(body, gram)):
                         if owner < docs[number]:
                             gone[number].append((at, at + length + window - 1))
                         at += length
@@ -494,15 +493,23 @@ def _cutting(copies: SideTable, wanted: _Wanted, owners: SideTable, window: int)
     return cut
 
 
-def _answers(rows: pa.Table | None) -> dict[bytes, tuple]:
+class _Answers:
     """Lengths and docs of the runs by the key of their segment."""
-    out: dict[bytes, tuple] = {}
-    for row in rows.to_pylist() if rows else []:
-        ends = np.cumsum(np.frombuffer(row["counts"], "<i4")).tolist()
-        lengths, docs, keys = np.frombuffer(row["lengths"], "<i4").tolist(), np.frombuffer(row["docs"], "<i8").tolist(), row["keys"]
-        for k, (a, b) in enumerate(zip([0, *ends], ends)):
-            out[keys[16 * k : 16 * k + 16]] = (lengths[a:b], docs[a:b])
-    return out
+
+    def __init__(self, rows: pa.Table | None):
+        self.place: dict[bytes, int] = {}
+        self.ends, self.lengths, self.docs = [0], [], []
+        for row in rows.to_pylist() if rows else []:
+            keys, before = row["keys"], self.ends[-1]
+            self.place.update(zip((keys[k : k + 16] for k in range(0, len(keys), 16)), range(len(self.ends) - 1, len(self.ends) - 1 + len(keys) // 16)))
+            self.ends.extend((np.cumsum(np.frombuffer(row["counts"], "<i4").astype(np.int64)) + before).tolist())
+            self.lengths.extend(np.frombuffer(row["lengths"], "<i4").tolist())
+            self.docs.extend(np.frombuffer(row["docs"], "<i8").tolist())
+
+    def of(self, key: bytes) -> Iterator[tuple[int, int]]:
+        at = self.place[key]
+        a, b = self.ends[at], self.ends[at + 1]
+        return zip(self.lengths[a:b], self.docs[a:b])
 
 
 def joined(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
