@@ -69,6 +69,18 @@ def with_fingerprint(
     return texts.selectExpr(*[f"`{c}`" for c in df.columns], f"{value} AS hash_value", "hash(_row_text) AS check_sum")
 
 
+def packed_hash(hashed: Column) -> Column:
+    """A stored hash as fewer bytes, for shuffles and intermediate tables: hex digits in pairs, any other text as it is, told apart by the first byte."""
+    digits = hashed.rlike("^([0-9a-f][0-9a-f])+$")
+    return F.when(digits, F.concat(F.unhex(F.lit("01")), F.unhex(hashed))).otherwise(F.concat(F.unhex(F.lit("00")), F.encode(hashed, "UTF-8")))
+
+
+def unpacked_hash(packed: Column) -> Column:
+    """The text that :func:`packed_hash` was made from."""
+    rest = F.substring(packed, 2, 1 << 30)
+    return F.when(F.substring(packed, 1, 1) == F.unhex(F.lit("01")), F.lower(F.hex(rest))).otherwise(F.decode(rest, "UTF-8"))
+
+
 @dataclass(frozen=True)
 class Signature:
     """How rows were hashed: the method, the columns with their types in the order they were joined in, and whether without separator."""

@@ -7,8 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from ..functions.keys import packed_hash
+
 INSERT, UPDATE, UNCHANGED = "insert", "update", "unchanged"
 CHANGE = "_change"
+OLD_HASH = "_old_hash"  # the packed hash of the stored row
 
 
 
@@ -17,14 +20,14 @@ def classify_delta(incoming: DataFrame, state: DataFrame, keys: Sequence[str], c
     """Add ``_change`` (insert, update, unchanged) to every incoming row with one left join on the key.
 
     A row is changed when its hash differs from the stored hash of the same key. ``carry`` names state
-    columns to bring along, such as the segment that holds the row.
+    columns to bring along, such as the segment that holds the row, or ``OLD_HASH``. The stored hashes are packed for the join.
     """
     known = state.select(
-        *keys, F.col("hash_value").alias("_old_hash"), F.lit(True).alias("_known"), *carry
+        *keys, packed_hash(F.col("hash_value")).alias(OLD_HASH), F.lit(True).alias("_known"), *[c for c in carry if c != OLD_HASH]
     )
     change = (
         F.when(F.col("_known").isNull(), INSERT)
-        .when(F.col("hash_value").eqNullSafe(F.col("_old_hash")), UNCHANGED)
+        .when(packed_hash(F.col("hash_value")).eqNullSafe(F.col(OLD_HASH)), UNCHANGED)
         .otherwise(UPDATE)
     )
     joined = incoming.join(known, list(keys), "left").withColumn(CHANGE, change)

@@ -12,9 +12,9 @@ from datetime import date, datetime, timezone
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.keys import Signature, business_key, category_ladder, code_prefix, signature, with_fingerprint
+from ..functions.keys import Signature, business_key, category_ladder, code_prefix, packed_hash, signature, unpacked_hash, with_fingerprint
 from ..operators.dedupe import dedupe_keys
-from ..operators.delta import CHANGE, INSERT, UNCHANGED, UPDATE, classify_delta, count_changes, count_rows
+from ..operators.delta import CHANGE, INSERT, OLD_HASH, UNCHANGED, UPDATE, classify_delta, count_changes, count_rows
 from ..operators.filters import has_columns, require_keys, require_source
 from ..operators.lookups import (
     TARGET_ROWS,
@@ -28,6 +28,7 @@ from ..operators.lookups import (
 )
 from ..operators.merge import CREATED_COLUMNS, align, apply_updates, updated_rows
 from ..operators.schema import (
+    audit_values,
     conform,
     default_region,
     drop_columns,
@@ -41,7 +42,7 @@ from ..operators.schema import (
 from ..session import new_work_path
 from ..sources import small_files
 from ..sources.files import is_empty
-from ..sources.tables import FILE, PRUNED_UNITS, ROW, SEGMENT, Commit, SnapshotStore, Unit
+from ..sources.tables import COMPRESSION, FILE, PRUNED_UNITS, ROW, SEGMENT, Commit, SnapshotStore, Unit
 from ..spec import AUDIT_COLUMNS, AUDIT_DATES, EntitySpec, GateRule
 from .audit import EMPTY, FAILED, SKIPPED, SUCCESS, RunRecord, append_audit
 from .dimensions import DIMENSION, DIMENSIONS, STORED_SCHEMA, Dimensions, by_file
@@ -49,6 +50,7 @@ from .dimensions import DIMENSION, DIMENSIONS, STORED_SCHEMA, Dimensions, by_fil
 TARGET, STATE, AUDIT = "target", "state", "run_audit"
 RENEWAL = "renewal"  # a row whose stored hash alone is replaced
 ORIGIN = "_origin"  # the file of a row, in runs of several files
+PLACES = (SEGMENT, FILE, ROW)
 
 
 @dataclass(frozen=True)
@@ -107,8 +109,9 @@ def compact(store: SnapshotStore, most: int = 256, deleted_share: float = 0.1) -
         segment, keys = f"s{uuid.uuid4().hex}", store.bucket_keys[STATE]
         number = store.slices(sum(known[u].rows for u in gone) or sum(n for _, n in small))
         replaced += len(gone)
-        for table in (TARGET, STATE):
-            written = store.write_segment(table, store.rows(table, head, gone), segment=segment, slices=number)
+        store.write_segment(TARGET, store.rows(TARGET, head, gone), segment=segment, slices=number)
+        packed = store.rows(STATE, head, gone).withColumn("hash_value", packed_hash(F.col("hash_value")))
+        written = store.write_segment(STATE, (packed.drop(SEGMENT), _unpacked), segment=segment, slices=number)
         tables = dict.fromkeys((TARGET, STATE), [u for u in live if u not in set(gone)] + written)
         facts = dict.fromkeys((TARGET, STATE), store.describe(STATE, written, keys, number, first))
     live = store.live_segments(DIMENSIONS, head)
@@ -124,6 +127,10 @@ def compact(store: SnapshotStore, most: int = 256, deleted_share: float = 0.1) -
     return replaced
 
 
+def _unpacked(df: DataFrame) -> DataFrame:
+    return df.withColumn("hash_value", unpacked_hash(F.col("hash_value")))
+
+
 def _holed(store: SnapshotStore, head: Commit, share: float) -> list[str]:
     """Units of which that share of the rows, or more, is deleted."""
     if not head.deletes.get(STATE):
@@ -174,6 +181,58 @@ def _unhashed(spec: EntitySpec) -> tuple[str, ...]:
     return (*AUDIT_COLUMNS, *(() if spec.keep_code else ("code",)), ORIGIN)
 
 
+@dataclass(frozen=True)
+class LeanRows:
+    """Which columns of finished rows have to be kept, and how the others are made again.
+
+    Audit columns and columns that the resolved rows lack have one value in a run, and code and fingerprint follow from the row (the legacy
+    fingerprint is kept in packed form: it has columns that the target lacks). Shuffles, sorts and intermediate tables hold the rest alone.
+    """
+
+    spec: EntitySpec
+    options: RunOptions
+    types: Mapping[str, str]  # of the finished rows
+    constant: tuple[str, ...]
+    derived: tuple[str, ...]
+
+    @classmethod
+    def of(cls, finished: DataFrame, resolved: DataFrame, spec: EntitySpec, options: RunOptions) -> LeanRows:
+        types = {f.name: f.dataType.simpleString() for f in finished.schema.fields}
+        made = ("code", "hash_value", "check_sum")
+        constant = tuple(c for c in types if c not in made and (c in AUDIT_COLUMNS or c not in resolved.columns))
+        code = ("code",) if set(spec.code_columns) <= set(types) - set(constant) else ()
+        return cls(spec, options, types, constant, code if options.legacy_fingerprint else (*code, "hash_value", "check_sum"))
+
+    def lean(self, finished: DataFrame) -> DataFrame:
+        """The columns to keep, and those that were added to the finished rows."""
+        df = finished.drop(*self.constant, *self.derived)
+        return df.withColumn("hash_value", packed_hash(F.col("hash_value"))) if "hash_value" in df.columns else df
+
+    def full(self, lean: DataFrame) -> DataFrame:
+        """The finished rows that :meth:`lean` was made from, with the added columns."""
+        added, options = [c for c in lean.columns if c not in self.types], self.options
+        audit = audit_values(options.run_ts, options.user, self.spec.validation_status)
+        df = lean.withColumns({c: F.lit(audit.get(c)).cast(self.types[c]) for c in self.constant})
+        if "code" in self.derived:
+            df = df.withColumn("code", business_key(self.spec.code_columns))
+        if "hash_value" in self.derived:
+            df = with_fingerprint(df, exclude=(*_unhashed(self.spec), *added), method=self.spec.fingerprint)
+        else:
+            df = _unpacked(df)
+        return df.select(*[F.col(f"`{c}`") for c in [*self.types, *added]])
+
+    def state(self, lean: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+        """The rows of the state, as a part of a segment: hashes are packed, and a code that follows from the keys is left out."""
+        rows = project_state(self.full(lean), keys).withColumn("hash_value", packed_hash(F.col("hash_value")))
+        follows = "code" in self.derived and "code" not in keys and set(self.spec.code_columns) <= set(keys)
+
+        def stored(df: DataFrame) -> DataFrame:
+            df = _unpacked(df)
+            return project_state(df.withColumn("code", business_key(self.spec.code_columns)) if follows else df, keys)
+
+        return (rows.drop("code") if follows else rows), stored
+
+
 def row_signature(finished: DataFrame, spec: EntitySpec, options: RunOptions) -> Signature | None:
     """How :func:`finish_rows` hashed the rows; ``None`` for the legacy fingerprint, whose columns are those of the file."""
     if options.legacy_fingerprint:
@@ -274,7 +333,7 @@ def _load(store, spec, conformed, records, run_ids, options, given, work) -> Non
     def staged(df: DataFrame, label: str, partition_by: Sequence[str] = ()) -> DataFrame:
         path = new_work_path(spark, f"{spec.name}-{label}")
         work.append(path)
-        df.write.partitionBy(*partition_by).parquet(path)
+        df.write.option("compression", COMPRESSION).partitionBy(*partition_by).parquet(path)
         return spark.read.schema(df.schema).parquet(path)
 
     dims = Dimensions(store, head, given, options)
@@ -287,14 +346,16 @@ def _load(store, spec, conformed, records, run_ids, options, given, work) -> Non
     if spec.rules:
         # Several jobs read the valid rows: keep them as columns on shared storage.
         rows = resolve_codes(staged(rows, "rows"), spec, dims, options)
-    rows = finish_rows(rows, spec, options)
+    resolved, rows = rows, finish_rows(rows, spec, options)
+    leaner = LeanRows.of(rows, resolved, spec, options)
 
     keys, looked = list(spec.delta_keys), store.live_segments(STATE, head)
     if len(looked) >= PRUNED_UNITS:
         # Only the slices that may hold a key are read. The rows are needed twice for that, so they are kept.
         rows, found = count_rows(rows, f"keys-{uuid.uuid4().hex}")
-        rows = staged(rows, "keyed")
-        looked = store.units_with(STATE, head, rows, keys, found.get.get("rows", 0))
+        kept = staged(leaner.lean(rows), "keyed")
+        looked = store.units_with(STATE, head, kept, keys, found.get.get("rows", 0))
+        rows = leaner.full(kept.repartition(*keys))  # the join moves lean rows; their hashes are made after it
     state, now = store.rows(STATE, head, looked, places=True), row_signature(rows, spec, options)
     if state is None:
         nothing = {SEGMENT: "string", FILE: "string", ROW: "bigint"}
@@ -302,7 +363,7 @@ def _load(store, spec, conformed, records, run_ids, options, given, work) -> Non
     else:
         classified = _classified(rows, state, keys, head, looked, now)
     classified, counted = count_changes(classified, f"changes-{uuid.uuid4().hex}")
-    changes = staged(classified.filter(F.col(CHANGE) != UNCHANGED), "changes", [CHANGE])
+    changes = staged(leaner.lean(classified.filter(F.col(CHANGE) != UNCHANGED)), "changes", [CHANGE])
     inserted, updated, total = (counted.get.get(c, 0) for c in (INSERT, UPDATE, "total"))
     renewed = total - inserted - updated - counted.get.get(UNCHANGED, 0)
     by_file = {}
@@ -318,7 +379,7 @@ def _load(store, spec, conformed, records, run_ids, options, given, work) -> Non
     counters = {name: dims.counters[name] for name in dims.grown}
     facts, deletes = {}, {}
     if inserted or updated or renewed:
-        written, facts, deletes = _write_version(store, spec, changes.drop(ORIGIN), head, options, inserted, updated, renewed, now, staged)
+        written, facts, deletes = _write_version(store, spec, changes, head, options, inserted, updated, renewed, now, staged, leaner)
         tables |= written
         counters[TARGET] = (head.counters.get(TARGET, 0) if head else 0) + inserted
     if tables or run_ids:
@@ -337,60 +398,71 @@ def _classified(rows, state, keys, head, looked, now: Signature | None) -> DataF
     known = {unit: head.units[STATE][unit].signature for unit in looked}
     older = {name for name in known.values() if name in head.signatures and now is not None and name != now.name}
     if not older:
-        return classify_delta(rows, state, keys, carry=[SEGMENT, FILE, ROW])
+        return classify_delta(rows, state, keys, carry=PLACES)
     names = F.broadcast(state.sparkSession.createDataFrame([(u, n) for u, n in known.items() if n in older], f"{SEGMENT} string, _signature string"))
-    state = state.join(names, SEGMENT, "left").withColumn("_now", F.col("hash_value"))
+    state = state.join(names, SEGMENT, "left")
     columns = {name: Signature(**head.signatures[name] | {"columns": tuple(head.signatures[name]["columns"])}).of(rows) for name in sorted(older)}
     before = rows.withColumns({f"_hash_{name}": hashed for name, hashed in columns.items()})
-    classified = classify_delta(before, state, keys, carry=[SEGMENT, FILE, ROW, "_now", "_signature"])
-    same = functools.reduce(lambda a, b: a | b, [(F.col("_signature") == n) & (F.col(f"_hash_{n}") == F.col("_now")) for n in columns])
+    classified = classify_delta(before, state, keys, carry=[*PLACES, OLD_HASH, "_signature"])
+    same = functools.reduce(lambda a, b: a | b, [(F.col("_signature") == n) & (packed_hash(F.col(f"_hash_{n}")) == F.col(OLD_HASH)) for n in columns])
     change = F.when((F.col(CHANGE) == UPDATE) & F.coalesce(same, F.lit(False)), RENEWAL).otherwise(F.col(CHANGE))
-    return classified.withColumn(CHANGE, change).drop("_now", "_signature", *[f"_hash_{n}" for n in columns])
+    return classified.withColumn(CHANGE, change).drop(OLD_HASH, "_signature", *[f"_hash_{n}" for n in columns])
 
 
-def _write_version(store, spec, changes, head, options, inserted, updated, renewed, now, staged) -> tuple[dict, dict, dict]:
+def _write_version(store, spec, changes, head, options, inserted, updated, renewed, now, staged, leaner) -> tuple[dict, dict, dict]:
     """Write the segment of new rows and new versions of rows; the live units, their facts and the sets of deleted rows.
 
     Old versions are left where they are and their places are stored as deleted. Slices that are small, or of which much changed, are
-    replaced by the new segment instead, unless their rows were hashed in another way: the rows of a slice have one signature. A renewed row moves
-    with its target row, so both tables keep the same slices.
+    replaced by the new segment instead, unless rows of them stay that were hashed in another way: the rows of a slice have one signature. A renewed
+    row moves with its target row, so both tables keep the same slices. ``changes`` are lean rows.
     """
     spark, keys, live = store.spark, list(spec.delta_keys), store.live_segments(STATE, head)
-    inserts, updates = changes.filter(F.col(CHANGE) == INSERT), changes.filter(F.col(CHANGE).isin(UPDATE, RENEWAL))
+    inserts, updates = changes.filter(F.col(CHANGE) == INSERT), leaner.full(changes.filter(F.col(CHANGE).isin(UPDATE, RENEWAL))).drop(ORIGIN)
     rewritten: list[str] = []
+    emptied: list[str] = []  # those of the rewritten slices whose rows all have a new version
     marked: list[str] = []
     name = now.name if now is not None else None
     if updated or renewed:
         for row in updates.groupBy(SEGMENT).count().toLocalIterator():
             unit = head.units[STATE][row[SEGMENT]]
-            small = unit.rows <= store.rewrite_rows or row["count"] * 10 >= unit.rows
-            (rewritten if small and unit.signature == name else marked).append(row[SEGMENT])
-
-    fresh = number_by_position(inserts, head.counters.get(TARGET, 0) if head else 0)
-    if options.narrow_inserts:
-        fresh = narrow_decimals(fresh, spec.narrow)
-    fresh = pad_columns(fresh, {"id": "bigint"} | spec.target_columns)
-    target, state, deletes, moved = [fresh], [project_state(changes, keys)], {}, 0
+            small, whole = unit.rows <= store.rewrite_rows or row["count"] * 10 >= unit.rows, row["count"] == unit.rows
+            (rewritten if whole or small and unit.signature == name else marked).append(row[SEGMENT])
+            if whole:
+                emptied.append(row[SEGMENT])
+
+    fresh = number_by_position(inserts, head.counters.get(TARGET, 0) if head else 0).drop(CHANGE, ORIGIN, *PLACES)
+
+    def stored(lean: DataFrame) -> DataFrame:
+        df = leaner.full(lean)
+        if options.narrow_inserts:
+            df = narrow_decimals(df, spec.narrow)
+        return pad_columns(df, {"id": "bigint"} | spec.target_columns)
+
+    target, state, deletes, moved, shape = [(fresh, stored)], [leaner.state(changes, keys)], {}, 0, stored(fresh)
     update_columns = spec.update_columns
     if options.preserve_created:
         update_columns = [c for c in update_columns if c not in CREATED_COLUMNS]
     if rewritten:
         old = store.rows(TARGET, head, rewritten).drop(SEGMENT)
-        target = [apply_updates(old, updates, keys, update_columns), align(fresh, old)]
-        old_state = store.rows(STATE, head, rewritten).drop(SEGMENT)
-        state = [old_state.join(updates.select(*keys), keys, "left_anti"), *state]
+        changed = updates.filter(F.col(CHANGE) == UPDATE)
+        shape = old
+        target = [apply_updates(old, changed, keys, update_columns), (fresh, lambda lean: align(stored(lean), shape))]
+        partly = [u for u in rewritten if u not in set(emptied)]
+        if partly:
+            old_state = store.rows(STATE, head, partly).drop(SEGMENT)
+            state = [old_state.join(updates.select(*keys), keys, "left_anti"), *state]
     if marked:
         named = F.broadcast(spark.createDataFrame([(u,) for u in marked], f"{SEGMENT} string"))
         some = updates.join(named, SEGMENT, "left_semi")
         old = store.rows(TARGET, head, marked, places=True)
         changed = some.filter(F.col(CHANGE) == UPDATE)
-        replaced = updated_rows(old, changed, keys, update_columns, carry=[SEGMENT, FILE, ROW])
+        replaced = updated_rows(old, changed, keys, update_columns, carry=PLACES)
         if renewed:
             same = old.join(some.filter(F.col(CHANGE) == RENEWAL).select(*keys), keys, "left_semi")
             replaced = replaced.unionByName(same.select(*replaced.columns))
         replaced = staged(replaced, "replaced")
         moved = replaced.count()
-        target.append(align(replaced, target[0]))
+        target.append(align(replaced, shape))
         keep = [u for u in live if u not in set(rewritten)]
         deletes = {
             TARGET: store.write_deletes(TARGET, replaced, moved, head, keep),

@@ -33,6 +33,7 @@ from .base import (
     table,
 )
 
+FILE_RECORDS = 2_000_000
 SQL_TYPES = {"string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "timestamp": "TIMESTAMP", "double": "DOUBLE"}
 
 
@@ -59,12 +60,13 @@ class Feed:
         return dict(self.columns) | dict(self.junk) | (dict(self.changes) if second else {})
 
     def write(self, spark: SparkSession, sf: str, second: bool, path: str, upper: bool = True) -> str:
-        """Write one day's extract as headered CSV with upper-case names."""
+        """Write one day's extract as headered gzip CSV with upper-case names; a file cannot be split, so none has too many rows for a task."""
         rows = table(spark, sf, self.source)
         if not second:
             rows = rows.filter(self.first_day)
         names = {(c.upper() if upper else c): e for c, e in self.day(second).items()}
-        rows.selectExpr(*[f"{e} AS {c}" for c, e in names.items()]).write.csv(path, header=True)
+        writer = rows.selectExpr(*[f"{e} AS {c}" for c, e in names.items()]).write
+        writer.option("maxRecordsPerFile", FILE_RECORDS).csv(path, header=True, compression="gzip")
         return path
 
 
