@@ -51,6 +51,7 @@ TARGET, STATE, AUDIT = "target", "state", "run_audit"
 RENEWAL = "renewal"  # a row whose stored hash alone is replaced
 ORIGIN = "_origin"  # the file of a row, in runs of several files
 PLACES = (SEGMENT, FILE, ROW)
+BROADCAST_UPDATES = 1 << 16  # the most updated rows that are broadcast to the stored ones
 
 
 @dataclass(frozen=True)
@@ -221,6 +222,23 @@ class LeanRows:
             df = _unpacked(df)
         return df.select(*[F.col(f"`{c}`") for c in [*self.types, *added]])
 
+    def follows_from_target(self, target: DataFrame) -> bool:
+        """Whether the state of a new row can be made from its row in a target of these columns: it holds all that is hashed, as it was hashed."""
+        made = {"code", "hash_value"} <= set(self.derived) and not self.options.narrow_inserts
+        have, wanted = dict(target.dtypes), self.spec.target_columns
+        return made and set(self.spec.code_columns) <= set(wanted) and all(c == "code" or have.get(c) == self.types.get(c) for c in wanted)
+
+    def state_of_target(self, target: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+        """As :meth:`state`, from the target's rows of new keys; where :meth:`follows_from_target`. The columns that a run has one value of are not read."""
+        lean = target.select(*[c for c in self.spec.target_columns if c not in self.constant])
+
+        def stored(df: DataFrame) -> DataFrame:
+            absent = {c: F.lit(None).cast(t) for c, t in self.spec.target_columns.items() if c in self.constant and c not in AUDIT_COLUMNS}
+            df = df.withColumns(absent).withColumn("code", business_key(self.spec.code_columns))
+            return project_state(with_fingerprint(df, exclude=_unhashed(self.spec), method=self.spec.fingerprint), keys)
+
+        return lean, stored
+
     def state(self, lean: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
         """The rows of the state, as a part of a segment: hashes are packed, and a code that follows from the keys is left out."""
         rows = project_state(self.full(lean), keys).withColumn("hash_value", packed_hash(F.col("hash_value")))
@@ -338,6 +356,7 @@ def _load(store, spec, conformed, records, run_ids, options, given, work) -> Non
 
     dims = Dimensions(store, head, given, options)
     several = ORIGIN in conformed.columns
+    read, uncounted = {}, conformed
     if several:
         read = {r[ORIGIN]: r["count"] for r in conformed.groupBy(ORIGIN).count().collect()}
     else:
@@ -350,7 +369,13 @@ def _load(store, spec, conformed, records, run_ids, options, given, work) -> Non
     leaner = LeanRows.of(rows, resolved, spec, options)
 
     keys, looked = list(spec.delta_keys), store.live_segments(STATE, head)
+    # Only an extract that is small against the stored rows is kept for the search below: a large one would be written and shuffled once more to find
+    # that all slices are read. So its rows are counted first, where no job has done it yet.
+    few = False
     if len(looked) >= PRUNED_UNITS:
+        count = sum(read.values()) if several else counted_rows.get.get("rows", 0) if spec.rules else uncounted.count()
+        few = store.prunable(STATE, head, count)
+    if few:
         # Only the slices that may hold a key are read. The rows are needed twice for that, so they are kept.
         rows, found = count_rows(rows, f"keys-{uuid.uuid4().hex}")
         kept = staged(leaner.lean(rows), "keyed")
@@ -438,7 +463,7 @@ def _write_version(store, spec, changes, head, options, inserted, updated, renew
             df = narrow_decimals(df, spec.narrow)
         return pad_columns(df, {"id": "bigint"} | spec.target_columns)
 
-    target, state, deletes, moved, shape = [(fresh, stored)], [leaner.state(changes, keys)], {}, 0, stored(fresh)
+    target, state, deletes, moved, shape = [(fresh, stored)], [], {}, 0, stored(fresh)
     update_columns = spec.update_columns
     if options.preserve_created:
         update_columns = [c for c in update_columns if c not in CREATED_COLUMNS]
@@ -450,12 +475,14 @@ def _write_version(store, spec, changes, head, options, inserted, updated, renew
         partly = [u for u in rewritten if u not in set(emptied)]
         if partly:
             old_state = store.rows(STATE, head, partly).drop(SEGMENT)
-            state = [old_state.join(updates.select(*keys), keys, "left_anti"), *state]
+            state = [old_state.join(updates.select(*keys), keys, "left_anti")]
     if marked:
         named = F.broadcast(spark.createDataFrame([(u,) for u in marked], f"{SEGMENT} string"))
         some = updates.join(named, SEGMENT, "left_semi")
         old = store.rows(TARGET, head, marked, places=True)
         changed = some.filter(F.col(CHANGE) == UPDATE)
+        if updated <= BROADCAST_UPDATES and not store.buckets:
+            changed = F.broadcast(changed)  # the stored rows stay where they are
         replaced = updated_rows(old, changed, keys, update_columns, carry=PLACES)
         if renewed:
             same = old.join(some.filter(F.col(CHANGE) == RENEWAL).select(*keys), keys, "left_semi")
@@ -469,8 +496,15 @@ def _write_version(store, spec, changes, head, options, inserted, updated, renew
             STATE: store.write_deletes(STATE, some, moved, head, keep),
         }
     segment, number = f"s{uuid.uuid4().hex}", store.slices(inserted + moved, len(rewritten))
-    store.write_segment(TARGET, *target, segment=segment, slices=number)
-    written = store.write_segment(STATE, *state, segment=segment, slices=number)
+    written, placed = store.write_segment(TARGET, *target, segment=segment, slices=number), []
+    if inserted and leaner.follows_from_target(shape):
+        # New rows, told by their ids, are hashed as they stand in the new slices of the target: they move once for both tables.
+        start = head.counters.get(TARGET, 0) if head else 0
+        placed = [leaner.state_of_target(store.placed_rows(TARGET, written).filter(F.col("id") > start), keys)]
+        changes = changes.filter(F.col(CHANGE) != INSERT)
+    if updated or renewed or not placed:
+        state.append(leaner.state(changes, keys))
+    written = store.write_segment(STATE, *state, segment=segment, slices=number, placed=placed)
     gone = set(rewritten)
     kept = [u for u in live if u not in gone] + written
     facts = store.describe(STATE, written, keys, number, name)

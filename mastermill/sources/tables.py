@@ -25,6 +25,7 @@ DELETE_SCHEMA = f"{SEGMENT} string, {FILE} string, {ROW} bigint"
 FILTER_SCHEMA = f"slices int, words int, {SLICE} int, word bigint, bits bigint"
 COMPRESSION = "zstd"  # of stored tables; hash digits take half the bytes that they take with snappy
 BROADCAST_ROWS = 1 << 20
+SCANS, SCANNED_ROWS = 64, 1_000_000  # the most scans that one read of a segment is divided into; the rows for each task of a scan
 FILTER_ROWS = 16_384  # segments of fewer rows have no key filter
 PRUNED_UNITS, PRUNED_SHARE = 8, 20  # units are looked for when there are so many, and so many stored rows for each key
 
@@ -346,12 +347,14 @@ class SnapshotStore:
         segment: str | None = None,
         partition_by: Sequence[str] = (),
         slices: int = 1,
+        placed: Sequence[DataFrame | tuple[DataFrame, Callable[[DataFrame], DataFrame]]] = (),
     ) -> list[str]:
         """Write the union of ``parts`` as a new, still invisible segment and return what a commit lists of it.
 
         A part may come with a projection that makes the stored rows of it. It is applied after the rows were moved, so that what can be
         computed from a row, such as absent columns and hashes, is not shuffled or sorted. Each part of a bucketed table is clustered on its own: Spark leaves the shuffle out for a part that
-        comes from a join on the bucket keys, so only the new rows move.
+        comes from a join on the bucket keys, so only the new rows move. ``placed`` are further parts, read by :meth:`placed_rows` from a
+        segment of as many slices: their rows stand together already and are not shuffled.
         """
         segment = segment or f"s{uuid.uuid4().hex}"
         location = f"{self.root}/{table}/{SEGMENT}={segment}"
@@ -363,19 +366,23 @@ class SnapshotStore:
         # Spark's own placement by hash: a task holds the rows of one slice, or of one bucket of it.
         place = self._slice(keys, slices)
         if self.buckets:
-            rows = self._union([_finished(p, lambda df: df.repartition(self.buckets, *keys)) for p in parts]).withColumn(SLICE, place)
+            rows = self._union([_finished(p, lambda df: df.repartition(self.buckets, *keys)) for p in parts] + [_finished(p) for p in placed]).withColumn(SLICE, place)
             name = f"mastermill_{uuid.uuid4().hex}"
             writer = rows.write.format("parquet").partitionBy(SLICE).bucketBy(self.buckets, *keys).sortBy(*keys)
             writer.option("path", location).option("compression", COMPRESSION).saveAsTable(name)
             self.spark.sql(f"DROP TABLE {name}")
         else:
+            def ordered(df: DataFrame) -> DataFrame:
+                return df.sortWithinPartitions(place, *keys) if slices > 1 else df
+
             def moved(df: DataFrame) -> DataFrame:
-                return df.repartition(slices, *keys).sortWithinPartitions(place, *keys) if slices > 1 else df
+                return ordered(df.repartition(slices, *keys)) if slices > 1 else df
 
             # The writer finds the rows of a part in order of their slice, so it sorts no wide rows; a union would lose that order. Rows in
             # order of their keys take fewer bytes.
-            for n, part in enumerate(parts):
-                rows = self._union([_finished(part, moved)]).withColumn(SLICE, place)
+            finished = [_finished(part, moved) for part in parts] + [_finished(part, ordered) for part in placed]
+            for n, part in enumerate(finished):
+                rows = self._union([part]).withColumn(SLICE, place)
                 rows.write.mode("append" if n else "error").option("compression", COMPRESSION).partitionBy(SLICE).parquet(location)
         found = [0]
         if slices > 1:
@@ -427,6 +434,19 @@ class SnapshotStore:
         found = self.spark.table(name)
         return (self._placed(found) if places else found).withColumn(SEGMENT, unit).drop(SLICE)
 
+    def placed_rows(self, table: str, units: Sequence[str]) -> DataFrame:
+        """The rows of the slices of one segment, for another table with the same slices.
+
+        A bucketed table is read by buckets. Of others, a few slices at a time are read, as parts of one union: files
+        hold few bytes a row, and a scan of all of them at once would give a task the rows of many slices to sort.
+        """
+        if self.buckets:
+            return self.read_segments(table, units).drop(SEGMENT)
+        each = max(1, SCANNED_ROWS // self.unit_rows)  # slices for a task
+        size = max(self.spark.sparkContext.defaultParallelism * each, -(-len(units) // SCANS))
+        groups = [units[n : n + size] for n in range(0, len(units), size)]
+        return functools.reduce(DataFrame.unionByName, [self.read_segments(table, group) for group in groups]).drop(SEGMENT)
+
     @staticmethod
     def _placed(df: DataFrame) -> DataFrame:
         return df.select("*", F.col("_metadata.file_name").alias(FILE), F.col("_metadata.row_index").alias(ROW))
@@ -495,13 +515,18 @@ class SnapshotStore:
             bits.write.option("compression", COMPRESSION).parquet(f"{self.root}/{FILTERS}/{SEGMENT}={units[0].split('/')[0]}")
         return {t[SEGMENT]: Unit(t["rows"], slices, words, t["least"], t["greatest"], signature) for t in tallies}
 
+    def prunable(self, table: str, at: Commit | None, count: int) -> bool:
+        """Whether ``count`` keys are few enough, against the stored rows, to look for the units that may hold them."""
+        units = at.units.get(table, {}) if at else {}
+        return len(units) >= PRUNED_UNITS and count * PRUNED_SHARE <= sum(u.rows for u in units.values())
+
     def units_with(self, table: str, at: Commit | None, incoming: DataFrame, keys: Sequence[str], count: int) -> list[str]:
         """The units that may hold a row with one of the ``count`` keys of ``incoming``: by key range, by slice, then by filter.
 
         All units when there are few of them or the keys are many against the stored rows.
         """
         units = dict(at.units.get(table, {})) if at else {}
-        if len(units) < PRUNED_UNITS or count * PRUNED_SHARE > sum(u.rows for u in units.values()):
+        if not self.prunable(table, at, count):
             return list(units)
         cluster, text = self.bucket_keys[table], F.col(f"`{keys[0]}`").cast("string")
         sizes = sorted({u.slices for u in units.values() if u.slices > 1})
