@@ -50,6 +50,7 @@ from .dimensions import DIMENSION, DIMENSIONS, STORED_SCHEMA, Dimensions, by_fil
 TARGET, STATE, AUDIT = "target", "state", "run_audit"
 RENEWAL = "renewal"  # a row whose stored hash alone is replaced
 ORIGIN = "_origin"  # the file of a row, in runs of several files
+FOLLOWS = "state.follows"  # a counter of commits: 1 while every stored hash and code can be made from the row of the target
 PLACES = (SEGMENT, FILE, ROW)
 BROADCAST_UPDATES = 1 << 16  # the most updated rows that are broadcast to the stored ones
 
@@ -228,20 +229,34 @@ class LeanRows:
         have, wanted = dict(target.dtypes), self.spec.target_columns
         return made and set(self.spec.code_columns) <= set(wanted) and all(c == "code" or have.get(c) == self.types.get(c) for c in wanted)
 
-    def state_of_target(self, target: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
-        """As :meth:`state`, from the target's rows of new keys; where :meth:`follows_from_target`. The columns that a run has one value of are not read."""
-        lean = target.select(*[c for c in self.spec.target_columns if c not in self.constant])
+    def updates_follow(self, target: DataFrame, update_columns: Sequence[str], keys: Sequence[str]) -> bool:
+        """Whether the same holds of a row of this target after its update: the update overwrites all that is hashed and all of its code."""
+        hashed = set(self.spec.target_columns) - set(_unhashed(self.spec))
+        return self.follows_from_target(target) and hashed | set(self.spec.code_columns) <= {*update_columns, *keys}
+
+    def state_of_target(
+        self, target: DataFrame, keys: Sequence[str], earlier: bool = False
+    ) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+        """As :meth:`state`, from the target's rows of new keys; where :meth:`follows_from_target`. The columns that a run has one value of are not read.
+
+        With ``earlier`` the target holds rows of earlier runs as well, so these columns are read but for the audit columns.
+        """
+        absent = [c for c in self.constant if c in AUDIT_COLUMNS or not earlier]
+        lean = target.select(*[c for c in self.spec.target_columns if c not in absent])
 
         def stored(df: DataFrame) -> DataFrame:
-            absent = {c: F.lit(None).cast(t) for c, t in self.spec.target_columns.items() if c in self.constant and c not in AUDIT_COLUMNS}
-            df = df.withColumns(absent).withColumn("code", business_key(self.spec.code_columns))
+            nulls = {c: F.lit(None).cast(t) for c, t in self.spec.target_columns.items() if c in absent and c not in AUDIT_COLUMNS}
+            df = df.withColumns(nulls).withColumn("code", business_key(self.spec.code_columns))
             return project_state(with_fingerprint(df, exclude=_unhashed(self.spec), method=self.spec.fingerprint), keys)
 
-        return lean, stored
+        return self._packed(stored(lean), keys) if earlier else (lean, stored)
 
     def state(self, lean: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
         """The rows of the state, as a part of a segment: hashes are packed, and a code that follows from the keys is left out."""
-        rows = project_state(self.full(lean), keys).withColumn("hash_value", packed_hash(F.col("hash_value")))
+        return self._packed(project_state(self.full(lean), keys), keys)
+
+    def _packed(self, rows: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+        rows = rows.withColumn("hash_value", packed_hash(F.col("hash_value")))
         follows = "code" in self.derived and "code" not in keys and set(self.spec.code_columns) <= set(keys)
 
         def stored(df: DataFrame) -> DataFrame:
@@ -404,8 +419,9 @@ def _load(store, spec, conformed, records, run_ids, options, given, work) -> Non
     counters = {name: dims.counters[name] for name in dims.grown}
     facts, deletes = {}, {}
     if inserted or updated or renewed:
-        written, facts, deletes = _write_version(store, spec, changes, head, options, inserted, updated, renewed, now, staged, leaner)
+        written, facts, deletes, follows = _write_version(store, spec, changes, head, options, inserted, updated, renewed, now, staged, leaner)
         tables |= written
+        counters[FOLLOWS] = int(follows)
         counters[TARGET] = (head.counters.get(TARGET, 0) if head else 0) + inserted
     if tables or run_ids:
         signatures = {now.name: asdict(now)} if now is not None else {}
@@ -434,12 +450,14 @@ def _classified(rows, state, keys, head, looked, now: Signature | None) -> DataF
     return classified.withColumn(CHANGE, change).drop(OLD_HASH, "_signature", *[f"_hash_{n}" for n in columns])
 
 
-def _write_version(store, spec, changes, head, options, inserted, updated, renewed, now, staged, leaner) -> tuple[dict, dict, dict]:
-    """Write the segment of new rows and new versions of rows; the live units, their facts and the sets of deleted rows.
+def _write_version(store, spec, changes, head, options, inserted, updated, renewed, now, staged, leaner) -> tuple[dict, dict, dict, bool]:
+    """Write the segment of new rows and new versions of rows; the live units, their facts, the sets of deleted rows and ``FOLLOWS``.
 
     Old versions are left where they are and their places are stored as deleted. Slices that are small, or of which much changed, are
     replaced by the new segment instead, unless rows of them stay that were hashed in another way: the rows of a slice have one signature. A renewed
     row moves with its target row, so both tables keep the same slices. ``changes`` are lean rows.
+
+    While all stored hashes follow from the target, the state of a segment that replaces slices is made from the target's new slices and moves no rows of its own.
     """
     spark, keys, live = store.spark, list(spec.delta_keys), store.live_segments(STATE, head)
     inserts, updates = changes.filter(F.col(CHANGE) == INSERT), leaner.full(changes.filter(F.col(CHANGE).isin(UPDATE, RENEWAL))).drop(ORIGIN)
@@ -463,23 +481,21 @@ def _write_version(store, spec, changes, head, options, inserted, updated, renew
             df = narrow_decimals(df, spec.narrow)
         return pad_columns(df, {"id": "bigint"} | spec.target_columns)
 
-    target, state, deletes, moved, shape = [(fresh, stored)], [], {}, 0, stored(fresh)
+    target, state, deletes, moved, shape, together = [(fresh, stored)], [], {}, 0, stored(fresh), []
     update_columns = spec.update_columns
     if options.preserve_created:
         update_columns = [c for c in update_columns if c not in CREATED_COLUMNS]
+    follows = leaner.follows_from_target(shape) and not renewed and (not live or head.counters.get(FOLLOWS) == 1)
     if rewritten:
-        old = store.rows(TARGET, head, rewritten).drop(SEGMENT)
-        changed = updates.filter(F.col(CHANGE) == UPDATE)
-        shape = old
-        target = [apply_updates(old, changed, keys, update_columns), (fresh, lambda lean: align(stored(lean), shape))]
-        partly = [u for u in rewritten if u not in set(emptied)]
-        if partly:
-            old_state = store.rows(STATE, head, partly).drop(SEGMENT)
-            state = [old_state.join(updates.select(*keys), keys, "left_anti")]
+        rest = store.rows(TARGET, head, rewritten).drop(SEGMENT)
+        shape = rest
+        target = [(fresh, lambda lean: align(stored(lean), shape))]
+        follows = follows and leaner.updates_follow(rest, update_columns, keys)
     if marked:
         named = F.broadcast(spark.createDataFrame([(u,) for u in marked], f"{SEGMENT} string"))
         some = updates.join(named, SEGMENT, "left_semi")
         old = store.rows(TARGET, head, marked, places=True)
+        follows = follows and leaner.updates_follow(old, update_columns, keys)
         changed = some.filter(F.col(CHANGE) == UPDATE)
         if updated <= BROADCAST_UPDATES and not store.buckets:
             changed = F.broadcast(changed)  # the stored rows stay where they are
@@ -496,16 +512,30 @@ def _write_version(store, spec, changes, head, options, inserted, updated, renew
             STATE: store.write_deletes(STATE, some, moved, head, keep),
         }
     segment, number = f"s{uuid.uuid4().hex}", store.slices(inserted + moved, len(rewritten))
-    written, placed = store.write_segment(TARGET, *target, segment=segment, slices=number), []
-    if inserted and leaner.follows_from_target(shape):
+    if rewritten:
+        changed = changes.filter(F.col(CHANGE) == UPDATE)
+        if number > 1 and not store.buckets and keys == list(store.bucket_keys[TARGET]):
+            # Both sides are dealt by slice, so the joined rows stand in their slices and are not moved again.
+            rest, changed = rest.repartition(number, *keys), changed.repartition(number, *keys)
+            together = [apply_updates(rest, leaner.full(changed), keys, update_columns)]
+        else:
+            target.insert(0, apply_updates(rest, leaner.full(changed), keys, update_columns))
+        partly = [u for u in rewritten if u not in set(emptied)]
+        if partly and not follows:
+            old_state = store.rows(STATE, head, partly).drop(SEGMENT)
+            state = [old_state.join(updates.select(*keys), keys, "left_anti")]
+    written, placed = store.write_segment(TARGET, *target, segment=segment, slices=number, placed=together), []
+    if rewritten and follows:
+        placed = [leaner.state_of_target(store.placed_rows(TARGET, written), keys, earlier=True)]
+    elif inserted and leaner.follows_from_target(shape):
         # New rows, told by their ids, are hashed as they stand in the new slices of the target: they move once for both tables.
         start = head.counters.get(TARGET, 0) if head else 0
         placed = [leaner.state_of_target(store.placed_rows(TARGET, written).filter(F.col("id") > start), keys)]
         changes = changes.filter(F.col(CHANGE) != INSERT)
-    if updated or renewed or not placed:
+    if not (rewritten and follows) and (updated or renewed or not placed):
         state.append(leaner.state(changes, keys))
     written = store.write_segment(STATE, *state, segment=segment, slices=number, placed=placed)
     gone = set(rewritten)
     kept = [u for u in live if u not in gone] + written
     facts = store.describe(STATE, written, keys, number, name)
-    return {TARGET: kept, STATE: kept}, {TARGET: facts, STATE: facts}, deletes
+    return {TARGET: kept, STATE: kept}, {TARGET: facts, STATE: facts}, deletes, follows
