@@ -458,12 +458,13 @@ class SnapshotStore:
         found = self.read_segments(table, units, places=places or bool(sets))
         if found is None or not sets:
             return found
-        kept = found.join(self._deleted(table, sets), [FILE, ROW], "left_anti")
+        # A task that writes several slices gives their files one name, so a place is not known without its unit.
+        kept = found.join(self._deleted(table, sets), [SEGMENT, FILE, ROW], "left_anti")
         return kept if places else kept.drop(FILE, ROW)
 
     def _deleted(self, table: str, sets: Mapping[str, int]) -> DataFrame:
         """The places of deleted rows; broadcast while their counted number is small."""
-        dead = self.spark.read.schema(DELETE_SCHEMA).parquet(*[f"{self.root}/{DELETES}/{table}/{name}" for name in sets]).select(FILE, ROW)
+        dead = self.spark.read.schema(DELETE_SCHEMA).parquet(*[f"{self.root}/{DELETES}/{table}/{name}" for name in sets])
         return F.broadcast(dead) if sum(sets.values()) <= BROADCAST_ROWS else dead
 
     def deleted_counts(self, table: str, at: Commit) -> dict[str, int]:
