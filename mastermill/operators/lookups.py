@@ -6,6 +6,7 @@ dimension as large as the fact table is shuffled.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Mapping, Sequence
 from datetime import date, datetime, timedelta
 
@@ -188,16 +189,21 @@ def assign_ids(
     )
 
 
-def number_by_position(stored: DataFrame, start: int = 0, id_column: str = "id") -> DataFrame:
+def number_by_position(stored: DataFrame, start: int = 0, id_column: str = "id", parts: Sequence[DataFrame] = ()) -> DataFrame:
     """Dense ids after ``start`` for rows read from Parquet, without a shuffle or a sort.
 
     The id is the number of rows in the preceding files plus the row's index in its own file, so it is the
     same on every read of the same files. ``stored`` must hold whole files: filter it by partition columns
     only. Files stand in the order of a hash of their paths. More than ``NUMBERED_FILES`` are summed up within 4096 groups of files first, then over
     the groups, so no task holds them all; what rows are joined with is 16 bytes a file, broadcast while the files are at most ``BROADCAST_FILES``.
+    ``parts`` are scans that together read the files of ``stored``: the numbered rows are then their union, with the same ids.
     """
     path = F.col("_metadata.file_path")
-    rows = stored.select("*", path.alias("_path"), F.xxhash64(path).alias("_file"), F.col("_metadata.row_index").alias("_row"))
+
+    def placed(df: DataFrame) -> DataFrame:
+        return df.select("*", path.alias("_path"), F.xxhash64(path).alias("_file"), F.col("_metadata.row_index").alias("_row"))
+
+    rows = placed(stored)
     files = rows.groupBy("_file").agg(F.count("*").alias("_n"), F.min("_path").alias("least"), F.max("_path").alias("most"))
     two = F.raise_error(F.lit("two files have one hash")).cast("bigint")
     files = files.select("_file", F.when(F.col("least") == F.col("most"), F.col("_n")).otherwise(two).alias("_n"))
@@ -215,9 +221,10 @@ def number_by_position(stored: DataFrame, start: int = 0, id_column: str = "id")
         starts = files.join(F.broadcast(groups), "_group").select("_file", start_of.alias("_start"))
     if count <= BROADCAST_FILES:
         starts = F.broadcast(starts)
-    numbered = rows.join(starts, "_file")
     ids = (F.lit(start) + F.col("_start") + F.col("_row") + 1).cast("bigint").alias(id_column)
-    return numbered.select(ids, *[F.col(f"`{c}`") for c in stored.columns if c != id_column])
+    columns = [ids, *[F.col(f"`{c}`") for c in stored.columns if c != id_column]]
+    numbered = [df.join(starts, "_file").select(*columns) for df in ([placed(part) for part in parts] or [rows])]
+    return functools.reduce(DataFrame.unionByName, numbered)
 
 
 def new_dimension_rows(

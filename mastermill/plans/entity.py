@@ -404,6 +404,7 @@ def _load(store, spec, conformed, records, run_ids, options, given, work) -> Non
         classified = _classified(rows, state, keys, head, looked, now)
     classified, counted = count_changes(classified, f"changes-{uuid.uuid4().hex}")
     changes = staged(leaner.lean(classified.filter(F.col(CHANGE) != UNCHANGED)), "changes", [CHANGE])
+    kept_at = work[-1]
     inserted, updated, total = (counted.get.get(c, 0) for c in (INSERT, UPDATE, "total"))
     renewed = total - inserted - updated - counted.get.get(UNCHANGED, 0)
     by_file = {}
@@ -419,7 +420,9 @@ def _load(store, spec, conformed, records, run_ids, options, given, work) -> Non
     counters = {name: dims.counters[name] for name in dims.grown}
     facts, deletes = {}, {}
     if inserted or updated or renewed:
-        written, facts, deletes, follows = _write_version(store, spec, changes, head, options, inserted, updated, renewed, now, staged, leaner)
+        written, facts, deletes, follows = _write_version(
+            store, spec, changes, f"{kept_at}/{CHANGE}={INSERT}", head, options, inserted, updated, renewed, now, staged, leaner
+        )
         tables |= written
         counters[FOLLOWS] = int(follows)
         counters[TARGET] = (head.counters.get(TARGET, 0) if head else 0) + inserted
@@ -450,12 +453,17 @@ def _classified(rows, state, keys, head, looked, now: Signature | None) -> DataF
     return classified.withColumn(CHANGE, change).drop(OLD_HASH, "_signature", *[f"_hash_{n}" for n in columns])
 
 
-def _write_version(store, spec, changes, head, options, inserted, updated, renewed, now, staged, leaner) -> tuple[dict, dict, dict, bool]:
+def _write_version(
+    store, spec, changes, inserts_at, head, options, inserted, updated, renewed, now, staged, leaner
+) -> tuple[dict, dict, dict, bool]:
     """Write the segment of new rows and new versions of rows; the live units, their facts, the sets of deleted rows and ``FOLLOWS``.
 
     Old versions are left where they are and their places are stored as deleted. Slices that are small, or of which much changed, are
     replaced by the new segment instead, unless rows of them stay that were hashed in another way: the rows of a slice have one signature. A renewed
-    row moves with its target row, so both tables keep the same slices. ``changes`` are lean rows.
+    row moves with its target row, so both tables keep the same slices. ``changes`` are lean rows, the new ones of them in the folder ``inserts_at``.
+
+    New rows stand in the staged files as the shuffle by their keys left them. Where these files hold few slices each, they are written from there
+    and move no more.
 
     While all stored hashes follow from the target, the state of a segment that replaces slices is made from the target's new slices and moves no rows of its own.
     """
@@ -473,7 +481,10 @@ def _write_version(store, spec, changes, head, options, inserted, updated, renew
             if whole:
                 emptied.append(row[SEGMENT])
 
-    fresh = number_by_position(inserts, head.counters.get(TARGET, 0) if head else 0).drop(CHANGE, ORIGIN, *PLACES)
+    def numbered(parts: Sequence[DataFrame] = ()) -> DataFrame:
+        return number_by_position(inserts, head.counters.get(TARGET, 0) if head else 0, parts=parts).drop(CHANGE, ORIGIN, *PLACES)
+
+    fresh = numbered()
 
     def stored(lean: DataFrame) -> DataFrame:
         df = leaner.full(lean)
@@ -511,7 +522,10 @@ def _write_version(store, spec, changes, head, options, inserted, updated, renew
             TARGET: store.write_deletes(TARGET, replaced, moved, head, keep),
             STATE: store.write_deletes(STATE, some, moved, head, keep),
         }
-    segment, number = f"s{uuid.uuid4().hex}", store.slices(inserted + moved, len(rewritten))
+    segment, number = f"s{uuid.uuid4().hex}", store.slices(inserted + moved, len(rewritten)) if rewritten else store.dealt_slices(inserted + moved)
+    standing = []
+    if inserted and not rewritten and (number > 1 or store.buckets) and store.stand(TARGET, inserts, number):
+        standing = [(numbered(store.scans(inserts_at, changes, inserted)), target.pop(0)[1])]
     if rewritten:
         changed = changes.filter(F.col(CHANGE) == UPDATE)
         if number > 1 and not store.buckets and keys == list(store.bucket_keys[TARGET]):
@@ -524,7 +538,7 @@ def _write_version(store, spec, changes, head, options, inserted, updated, renew
         if partly and not follows:
             old_state = store.rows(STATE, head, partly).drop(SEGMENT)
             state = [old_state.join(updates.select(*keys), keys, "left_anti")]
-    written, placed = store.write_segment(TARGET, *target, segment=segment, slices=number, placed=together), []
+    written, placed = store.write_segment(TARGET, *target, segment=segment, slices=number, placed=together, standing=standing), []
     if rewritten and follows:
         placed = [leaner.state_of_target(store.placed_rows(TARGET, written), keys, earlier=True)]
     elif inserted and leaner.follows_from_target(shape):

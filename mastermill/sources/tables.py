@@ -26,6 +26,7 @@ FILTER_SCHEMA = f"slices int, words int, {SLICE} int, word bigint, bits bigint"
 COMPRESSION = "zstd"  # of stored tables; hash digits take half the bytes that they take with snappy
 BROADCAST_ROWS = 1 << 20
 SCANS, SCANNED_ROWS = 64, 1_000_000  # the most scans that one read of a segment is divided into; the rows for each task of a scan
+STANDING_FILES = 16  # the most files that a slice may get from rows that are written without being moved
 FILTER_ROWS = 16_384  # segments of fewer rows have no key filter
 PRUNED_UNITS, PRUNED_SHARE = 8, 20  # units are looked for when there are so many, and so many stored rows for each key
 
@@ -332,6 +333,32 @@ class SnapshotStore:
         wanted = max(least, -(-rows // self.unit_rows))
         return min(wanted, self.buckets) if self.buckets else wanted
 
+    def dealt_slices(self, rows: int) -> int:
+        """The number of slices for rows that stand as a shuffle by the key left them: a near divisor of the shuffle's partitions, where there is
+        one, so that the rows of a partition belong to one slice."""
+        wanted, partitions = self.slices(rows), int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        if wanted == 1 or self.buckets:
+            return wanted
+        near = [n for n in range(2, partitions + 1) if partitions % n == 0 and 0.6 * n * self.unit_rows <= rows <= 1.25 * n * self.unit_rows]
+        return min(near, key=lambda n: abs(n - wanted), default=wanted)
+
+    def stand(self, table: str, stored: DataFrame, slices: int) -> bool:
+        """Whether rows read from files need not be moved to be written by :meth:`write_segment`: each file holds few slices (or buckets), so the
+        slices get few files."""
+        place = self._place(self.bucket_keys[table], slices)
+        pairs = stored.select(F.col("_metadata.file_path").alias(FILE), place.alias(SLICE)).distinct().count()
+        return pairs <= STANDING_FILES * (self.buckets or slices)
+
+    def scans(self, location: str, stored: DataFrame, rows: int) -> list[DataFrame]:
+        """The files of a folder in order of their names, as scans of a few files each: files hold few bytes a row, and one scan of them all would
+        give a task more rows than it can sort. ``stored`` is the whole table and ``rows`` the number of rows in the folder."""
+        base, folder = location.rsplit("/", 1)
+        names = [f"{location}/{n}" for n in files.names(self.spark, location) if n[0] not in "_."]
+        each = max(1, SCANNED_ROWS * len(names) // max(1, rows) // (4 if self.buckets else 1))  # a bucketed write sorts whole rows
+        size = max(self.spark.sparkContext.defaultParallelism * each, -(-len(names) // SCANS))
+        reader = self.spark.read.option("basePath", base).schema(stored.schema)
+        return [reader.parquet(*names[n : n + size]) for n in range(0, len(names), size)]
+
     def small_units(self, table: str, units: Sequence[str], most: int, schema: str | None = None) -> list[tuple[str, int]]:
         """At most ``most`` of the given units that hold less than half of ``unit_rows``, smallest first, with their rows."""
         if not units:
@@ -348,14 +375,17 @@ class SnapshotStore:
         partition_by: Sequence[str] = (),
         slices: int = 1,
         placed: Sequence[DataFrame | tuple[DataFrame, Callable[[DataFrame], DataFrame]]] = (),
+        standing: Sequence[DataFrame | tuple[DataFrame, Callable[[DataFrame], DataFrame]]] = (),
     ) -> list[str]:
         """Write the union of ``parts`` as a new, still invisible segment and return what a commit lists of it.
 
         A part may come with a projection that makes the stored rows of it. It is applied after the rows were moved, so that what can be
         computed from a row, such as absent columns and hashes, is not shuffled or sorted. Each part of a bucketed table is clustered on its own: Spark leaves the shuffle out for a part that
         comes from a join on the bucket keys, so only the new rows move. ``placed`` are further parts, read by :meth:`placed_rows` from a
-        segment of as many slices: their rows stand together already and are not shuffled.
+        segment of as many slices: their rows stand together already and are not shuffled. Neither are those of ``standing``, of which
+        :meth:`stand` says so; they may come with a projection as well.
         """
+        placed = [*standing, *placed]
         segment = segment or f"s{uuid.uuid4().hex}"
         location = f"{self.root}/{table}/{SEGMENT}={segment}"
         keys = self.bucket_keys.get(table)
@@ -492,9 +522,13 @@ class SnapshotStore:
 
     # -- which units hold a key ------------------------------------------------------------------------
 
+    def _place(self, keys: Sequence[str], slices: int):
+        """The slice of a row in a segment of so many slices, or its bucket."""
+        return F.pmod(F.hash(*keys), F.lit(self.buckets or slices))
+
     def _slice(self, keys: Sequence[str], slices: int):
         """The slice of a row in a segment of so many slices, as :meth:`write_segment` places it."""
-        place = F.pmod(F.hash(*keys), F.lit(self.buckets or slices))
+        place = self._place(keys, slices)
         return (place.cast("bigint") * slices / self.buckets).cast("int") if self.buckets else place
 
     def describe(self, table: str, units: Sequence[str], keys: Sequence[str], slices: int, signature: str | None = None) -> dict[str, Unit]:
