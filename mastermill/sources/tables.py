@@ -352,7 +352,7 @@ class SnapshotStore:
     def scans(self, location: str, stored: DataFrame, rows: int) -> list[DataFrame]:
         """The files of a folder in order of their names, as scans of a few files each: files hold few bytes a row, and one scan of them all would
         give a task more rows than it can sort. ``stored`` is the whole table and ``rows`` the number of rows in the folder."""
-        base, folder = location.rsplit("/", 1)
+        base = location.rsplit("/", 1)[0]
         names = [f"{location}/{n}" for n in files.names(self.spark, location) if n[0] not in "_."]
         each = max(1, SCANNED_ROWS * len(names) // max(1, rows) // (4 if self.buckets else 1))  # a bucketed write sorts whole rows
         size = max(self.spark.sparkContext.defaultParallelism * each, -(-len(names) // SCANS))
