@@ -211,7 +211,7 @@ class LeanRows:
         return df.withColumn("hash_value", packed_hash(F.col("hash_value"))) if "hash_value" in df.columns else df
 
     def full(self, lean: DataFrame) -> DataFrame:
-        """The finished rows that :meth:`lean` was made from, with the added columns."""
+        """The finished rows that :meth:`lean` was made from, with the added columns; without the file of a row where that was left out since."""
         added, options = [c for c in lean.columns if c not in self.types], self.options
         audit = audit_values(options.run_ts, options.user, self.spec.validation_status)
         df = lean.withColumns({c: F.lit(audit.get(c)).cast(self.types[c]) for c in self.constant})
@@ -221,7 +221,7 @@ class LeanRows:
             df = with_fingerprint(df, exclude=(*_unhashed(self.spec), *added), method=self.spec.fingerprint)
         else:
             df = _unpacked(df)
-        return df.select(*[F.col(f"`{c}`") for c in [*self.types, *added]])
+        return df.select(*[F.col(f"`{c}`") for c in [*self.types, *added] if c != ORIGIN or ORIGIN in lean.columns])
 
     def follows_from_target(self, target: DataFrame) -> bool:
         """Whether the state of a new row can be made from its row in a target of these columns: it holds all that is hashed, as it was hashed."""
