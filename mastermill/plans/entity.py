@@ -524,7 +524,7 @@ def _write_version(
         }
     segment, number = f"s{uuid.uuid4().hex}", store.slices(inserted + moved, len(rewritten)) if rewritten else store.dealt_slices(inserted + moved)
     standing = []
-    if inserted and not rewritten and (number > 1 or store.buckets) and store.stand(TARGET, inserts, number):
+    if inserted and not rewritten and (number > 1 or store.buckets) and store.stand(TARGET, inserts, number, inserted):
         standing = [(numbered(store.scans(inserts_at, changes, inserted)), target.pop(0)[1])]
     if rewritten:
         changed = changes.filter(F.col(CHANGE) == UPDATE)

@@ -27,6 +27,7 @@ COMPRESSION = "zstd"  # of stored tables; hash digits take half the bytes that t
 BROADCAST_ROWS = 1 << 20
 SCANS, SCANNED_ROWS = 64, 1_000_000  # the most scans that one read of a segment is divided into; the rows for each task of a scan
 STANDING_FILES = 16  # the most files that a slice may get from rows that are written without being moved
+STANDING_ROWS = 62_500  # the rows that a file holds for that on average, where slices get several: each file costs its writing, listing and opening
 FILTER_ROWS = 16_384  # segments of fewer rows have no key filter
 PRUNED_UNITS, PRUNED_SHARE = 8, 20  # units are looked for when there are so many, and so many stored rows for each key
 
@@ -342,12 +343,12 @@ class SnapshotStore:
         near = [n for n in range(2, partitions + 1) if partitions % n == 0 and 0.6 * n * self.unit_rows <= rows <= 1.25 * n * self.unit_rows]
         return min(near, key=lambda n: abs(n - wanted), default=wanted)
 
-    def stand(self, table: str, stored: DataFrame, slices: int) -> bool:
-        """Whether rows read from files need not be moved to be written by :meth:`write_segment`: each file holds few slices (or buckets), so the
-        slices get few files."""
-        place = self._place(self.bucket_keys[table], slices)
+    def stand(self, table: str, stored: DataFrame, slices: int, rows: int) -> bool:
+        """Whether ``rows`` rows read from files need not be moved to be written by :meth:`write_segment`: each file holds few slices (or buckets),
+        so the slices get few files, and none that are small."""
+        place, least = self._place(self.bucket_keys[table], slices), self.buckets or slices
         pairs = stored.select(F.col("_metadata.file_path").alias(FILE), place.alias(SLICE)).distinct().count()
-        return pairs <= STANDING_FILES * (self.buckets or slices)
+        return pairs <= min(STANDING_FILES * least, max(least, rows // STANDING_ROWS))
 
     def scans(self, location: str, stored: DataFrame, rows: int) -> list[DataFrame]:
         """The files of a folder in order of their names, as scans of a few files each: files hold few bytes a row, and one scan of them all would
