@@ -2,7 +2,8 @@
 
 A byte goes if a string of ``window`` bytes around it also starts in a document with a smaller doc_id. All documents are treated:
 
-1. The documents are written once with the number of their part (task). Whole copies of an earlier document go at once.
+1. The documents are written once with the number of their part, some neighbouring rows of a task with about ``PART_BYTES`` of text; tasks hold one part at a
+   time, so their memory does not grow with what a task reads. Whole copies of an earlier document go at once.
 2. Each window has a fingerprint: the least hash of its ``GRAM``-byte strings. Neighbouring windows mostly share it, and
    equal windows always do. Each part sends its distinct fingerprints and about how often it has them in a few blocks, and learns which
    of them other documents have, and which are heavy: their segments could exceed ``SHARD_BYTES``.
@@ -23,11 +24,15 @@ than all others and loses nothing. Rows that share a doc_id remove nothing from
 from __future__ import annotations
 
 import hashlib
+import itertools
+import operator
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .common import SideTable, mixed, stored
@@ -36,7 +41,9 @@ from .quality import BASE, as_bytes
 
 GRAM = 20
 SHARD_BYTES = 4 << 20
-BUCKET_BYTES = 64 << 20  # of texts; the fingerprints of a bucket are about half as large
+PART_BYTES = 32 << 20  # of texts
+PARTS = 10  # bits of a part's number for the parts of a task
+BUCKET_BYTES = 32 << 20  # of texts; the fingerprints of a bucket are about half as large
 BUFFER = 1 << 16  # bytes hashed at once, whose arrays stay near the processor
 NONE = -(1 << 63)
 LOW = np.uint64(6)  # bits of a sent fingerprint that hold, from the least, whether several documents have it and the logarithm of its number
@@ -128,18 +135,23 @@ def anchored(fps: np.ndarray, count: np.ndarray, start: np.ndarray, hashes: np.n
         number, skipped = number[more], (skipped + inside)[more]
 
 
-def dedup_substrings(docs: DataFrame, window: int = 50) -> DataFrame:
-    """``doc_id``, ``n_bytes``, ``spans`` (removed runs of bytes) and ``kept`` (the remaining bytes) of each row."""
+def dedup_substrings(docs: DataFrame, window: int = 50, part_bytes: int = PART_BYTES) -> DataFrame:
+    """``doc_id``, ``n_bytes``, ``spans`` (removed runs of bytes) and ``kept`` (the remaining bytes) of each row.
+
+    A part holds the rows of a task that begin within the next ``part_bytes`` of its texts.
+    """
     if window <= GRAM:
         raise ValueError(f"a window holds more than {GRAM} bytes")
-    text = F.coalesce("text", F.lit("")).cast("binary").alias("text")
-    parts = stored(docs.select(F.spark_partition_id().alias("part"), F.coalesce(F.col("doc_id").cast("long"), F.lit(NONE)).alias("doc"), text), "parts")
+    text, sizes = F.coalesce("text", F.lit("")).cast("binary").alias("text"), Observation("sizes")
+    docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NONE)).alias("doc"), text)
+    docs = docs.observe(sizes, F.sum(F.octet_length("text").cast("long")).alias("bytes"))
+    parts = stored(docs.mapInArrow(_numbering(part_bytes), "part int, doc long, text binary"), "parts")
 
     digests = parts.select("part", "doc", F.md5("text").alias("digest"))
     first = digests.groupBy("digest").agg(F.min("doc").alias("first"))
     copies = SideTable(digests.join(first, "digest").filter("doc > first").select("part", "doc", "digest"), "copies")
 
-    wanted, segments = sharded(parts, copies, window)
+    wanted, segments = sharded(parts, copies, window, sizes.get.get("bytes") or 0)
     answers = segments.groupBy("shard").applyInPandas(_shard(window), "part int, keys binary, counts binary, lengths binary, docs binary")
     owners = SideTable(stored(answers, "answers"), "owners")
 
@@ -147,9 +159,23 @@ def dedup_substrings(docs: DataFrame, window: int = 50) -> DataFrame:
     return parts.mapInArrow(_cutting(copies, wanted, owners, window), schema)
 
 
-def sharded(parts: DataFrame, copies: SideTable, window: int) -> tuple[_Wanted, DataFrame]:
-    """Which fingerprints and keys of each part are to be looked up and split, and the segments by shard."""
-    size = parts.agg(F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0))).first()[0]
+def _numbering(part_bytes: int):
+    """Put the number of its part before each row."""
+
+    def number(batches):
+        first, held = TaskContext.get().partitionId() << PARTS, 0
+        for batch in batches:
+            sizes = pc.binary_length(batch.column(1)).to_numpy(zero_copy_only=False).astype(np.int64)
+            before = held + np.cumsum(sizes) - sizes
+            held += int(sizes.sum())
+            part = first + np.minimum(before // part_bytes, (1 << PARTS) - 1)
+            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), *batch.columns], ["part", *batch.schema.names])
+
+    return number
+
+
+def sharded(parts: DataFrame, copies: SideTable, window: int, size: int) -> tuple[_Wanted, DataFrame]:
+    """Which fingerprints and keys of each part are to be looked up and split, and the segments by shard; the texts have ``size`` bytes."""
     buckets = max(int(parts.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES))
     most = 2 * window - GRAM  # bytes of a segment
     blocks = parts.mapInArrow(_sending(copies, window, buckets), "bucket int, part int, fps binary")
@@ -167,33 +193,43 @@ def sharded(parts: DataFrame, copies: SideTable, window: int) -> tuple[_Wanted,
     return wanted, parts.mapInArrow(_segments(copies, wanted, window, shards), "shard int, part int, body binary, sizes binary, grams binary, docs binary")
 
 
-def _rows(batch: pa.RecordBatch, copies: SideTable, known: dict) -> Iterator[tuple[int, list[int], list[bytes], list[bool]]]:
-    """Part, doc, text and whether it is a copy, by part."""
-    part = np.array(batch.column(0).to_pylist(), np.int64)
-    for p in np.unique(part).tolist():
-        rows = batch.filter(pa.array(part == p))
-        if p not in known:
-            table = copies.rows(p)
-            known[p] = set(zip(table["doc"].to_pylist(), table["digest"].to_pylist())) if table else set()
-        docs, texts = rows.column(1).to_pylist(), as_bytes(rows.column(2))
-        ids = {d for d, _ in known[p]}
-        yield p, docs, texts, [d in ids and (d, hashlib.md5(t).hexdigest()) in known[p] for d, t in zip(docs, texts)]
+def _by_part(batches: Iterator[pa.RecordBatch], copies: SideTable) -> Iterator[tuple[int, Iterator[tuple[list[int], list[bytes], list[bool]]]]]:
+    """Each part with its rows, some at a time: doc, text and whether it is a copy. The rows of a part follow each other; should they be dealt to several tasks or
+    come in several pieces, each piece counts as other documents of that part."""
+    for part, rows in itertools.groupby(_rows(batches, copies), operator.itemgetter(0)):
+        yield part, (row[1:] for row in rows)
+
+
+def _rows(batches: Iterator[pa.RecordBatch], copies: SideTable) -> Iterator[tuple[int, list[int], list[bytes], list[bool]]]:
+    last, known, ids = None, set(), set()
+    for batch in batches:
+        part = batch.column(0).to_numpy(zero_copy_only=False)
+        cuts = [0, *(np.flatnonzero(part[1:] != part[:-1]) + 1).tolist(), len(part)]
+        for a, b in zip(cuts, cuts[1:]):
+            if a == b:
+                continue
+            p, rows = int(part[a]), batch.slice(a, b - a)
+            if p != last:
+                table = copies.rows(p)
+                known = set(zip(table["doc"].to_pylist(), table["digest"].to_pylist())) if table else set()
+                last, ids = p, {d for d, _ in known}
+            docs, texts = rows.column(1).to_pylist(), as_bytes(rows.column(2))
+            yield p, docs, texts, [d in ids and (d, hashlib.md5(t).hexdigest()) in known for d, t in zip(docs, texts)]
 
 
 def _sending(copies: SideTable, window: int, buckets: int):
     def send(batches):
-        known, found = {}, {}
-        for batch in batches:
-            for part, _, texts, copied in _rows(batch, copies, known):
+        for part, rows in _by_part(batches, copies):
+            arrays = []
+            for _, texts, copied in rows:
                 for fps, owner, _, count, *_ in runs([b"" if c else t for t, c in zip(texts, copied)], window):
                     order = np.argsort(fps, kind="stable")  # texts are in order already
                     fps, owner = fps[order] >> LOW, owner[order]
                     # A long run has its string in several places.
                     places = 1 + count[order] // (window - GRAM + 1)
                     first = np.flatnonzero(np.concatenate([[True], (fps[1:] != fps[:-1]) | (owner[1:] != owner[:-1])]))
-                    found.setdefault(part, []).append(_several(packed(fps[first], False, np.add.reduceat(places, first))))
-        for part, arrays in found.items():
-            fps = _several(np.sort(np.concatenate(arrays)))
+                    arrays.append(_several(packed(fps[first], False, np.add.reduceat(places, first))))
+            fps = _several(np.sort(np.concatenate(arrays))) if arrays else np.zeros(0, np.uint64)
             for bucket, (mine,) in by_bucket(fps >> np.uint64(32), buckets, fps):
                 yield pa.RecordBatch.from_pydict({"bucket": pa.array([bucket], pa.int32()), "part": pa.array([part], pa.int32()), "fps": pa.array([mine], pa.binary())})
 
@@ -261,13 +297,11 @@ def _weighing(copies: SideTable, wanted: _Wanted, window: int, buckets: int):
     """Bytes and windows of the segments of heavy fingerprints, by key; equal ones of a part once, as they will be sent."""
 
     def weigh(batches):
-        known, found = {}, {}
-        for batch in batches:
-            for part, _, texts, copied in _rows(batch, copies, known):
-                mine = found.setdefault(part, {})
+        for part, rows in _by_part(batches, copies):
+            mine = {}
+            for _, texts, copied in rows:
                 for _, _, _, body, gram, key in _candidate_segments(texts, copied, wanted.of(part), window, heavy_only=True):
                     mine[body, gram] = key
-        for part, mine in found.items():
             keys, at = np.unique(np.fromiter(mine.values(), np.uint64, len(mine)), return_inverse=True)
             sizes = np.fromiter((len(body) for body, _ in mine), np.int64, len(mine))
             size, windows = (np.bincount(at, x, len(keys)).astype(np.int64) for x in (sizes, sizes - window + 1))
@@ -348,29 +382,30 @@ def joined_arrays(rows: pa.Table | None, column: str) -> np.ndarray:
 
 class _Wanted:
     def __init__(self, table: SideTable, split: SideTable | None = None):
-        self.table, self.split, self.known = table, split, {}
+        self.table, self.split, self.known = table, split, (None, None)
 
     def of(self, part: int) -> _Part:
-        if part not in self.known:
-            self.known[part] = _Part(self.table.rows(part), self.split.rows(part) if self.split else None)
-        return self.known[part]
+        """What is known of a part; of the one asked for last, as tasks hold one at a time."""
+        if part != self.known[0]:
+            self.known = (None, None)
+            self.known = (part, _Part(self.table.rows(part), self.split.rows(part) if self.split else None))
+        return self.known[1]
 
 
 def _segments(copies: SideTable, wanted: _Wanted, window: int, shards: int):
     def make(batches):
-        known, found = {}, {}
-        for batch in batches:
-            for part, docs, texts, copied in _rows(batch, copies, known):
-                mine = found.setdefault(part, {})
+        for part, rows in _by_part(batches, copies):
+            mine = {}
+            for docs, texts, copied in rows:
                 for number, _, _, body, gram, key in _candidate_segments(texts, copied, wanted.of(part), window):
                     old = mine.get((body, gram))
                     if old is None or docs[number] < old[0]:
                         mine[body, gram] = (docs[number], key % shards)
-        for part, mine in found.items():
             by_shard: dict[int, list] = {}
             for (body, gram), (doc, shard) in mine.items():
                 by_shard.setdefault(shard, []).append((body, gram, doc))
             rows = []
+            del mine
             for shard, found_here in by_shard.items():
                 bodies, grams, docs = zip(*found_here)
                 sizes = np.array([len(b) for b in bodies], "<i4").tobytes()
@@ -468,15 +503,13 @@ def sorted_owners(segments: list[tuple[bytes, int]], symbols: np.ndarray, docs:
 
 def _cutting(copies: SideTable, wanted: _Wanted, owners: SideTable, window: int):
     def cut(batches):
-        known, answers = {}, {}
-        for batch in batches:
-            for part, docs, texts, copied in _rows(batch, copies, known):
-                if part not in answers:
-                    answers[part] = _Answers(owners.rows(part))
+        for part, found in _by_part(batches, copies):
+            answers = _Answers(owners.rows(part))
+            for docs, texts, copied in found:
                 gone: list[list] = [[] for _ in texts]
                 for number, place, _, body, gram, _ in _candidate_segments(texts, copied, wanted.of(part), window):
                     at = place
-                    for length, owner in answers[part].of(segment_key(body, gram)):
+                    for length, owner in answers.of(segment_key(body, gram)):
                         if owner < docs[number]:
                             gone[number].append((at, at + length + window - 1))
                         at += length
